@@ -1,0 +1 @@
+"""Intentionally empty: every source of this engine is a finite table or folder."""
