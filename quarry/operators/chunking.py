@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarry.functions.rows import unfold
 from quarry.functions.text import bind, html_table_to_markdown, is_filled, last_tokens, token_count
 from quarry.operators.borders import (
     ALONE,
@@ -149,7 +150,7 @@ def _chunks_of(grouped: DataFrame, params: ChunkParams) -> DataFrame:
     """Rows with groups to one row per chunk, numbered within its block."""
     texted = grouped.withColumn("texts", _group_texts(params))
     chunks = F.transform("groups", lambda g, i: _chunk_struct(g, F.col("texts")[i], i))
-    return texted.select("document", "block", F.explode(chunks).alias("c")).select("document", "block", "c.*")
+    return unfold(texted, ["document", "block"], chunks, "c").select("document", "block", "c.*")
 
 
 def _numbered(chunks: DataFrame, index: Column) -> DataFrame:

@@ -7,9 +7,27 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# An Arrow batch holds at most this much, however long the texts in it are.
+MAX_BATCH_BYTES = 64 * 1024 * 1024
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings that may change in a running session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BATCH_BYTES))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; one with fewer splits than there are cores is spread over them."""
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench; on a cluster use the session the cluster gives."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("quarry")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -21,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    return prepare(spark)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.rows import unfold
 from quarry.functions.text import NON_SPACE, bind, single_spaced, strip
 from quarry.schemas import ELEMENT_METADATA
 
@@ -153,7 +154,7 @@ def file_elements(content: Column, extension: Column) -> Column:
 
 def explode_elements(documents: DataFrame, elements: str = "elements") -> DataFrame:
     """Rows (document, elements) to the elements table."""
-    return documents.select("document", F.posexplode(elements).alias("pos", "e")).select(
+    return unfold(documents, ["document"], F.col(elements), "e", "pos").select(
         "document", "pos", "e.type", "e.text", "e.metadata"
     )
 
