@@ -27,8 +27,12 @@ from quarry.operators.borders import (
     group_column,
 )
 from quarry.operators.elements import BLOCK_ROWS, STAND_ALONE, is_valid, reading_text, valid_elements
+from quarry.operators.ranking import small_side
 from quarry.session import cut_lineage
 
+# Names of long documents that may be sent whole to every task.
+MAX_SENT_DOCUMENTS = 1_000_000
+
 IMAGE_FIELDS = ("image_base64", "image_description", "filetype")
 
 
@@ -180,17 +184,28 @@ def chunk_rows(rows: DataFrame, params: ChunkParams) -> DataFrame:
     return _numbered(chunks, F.col("ordinal"))
 
 
-def chunk_elements(elements: DataFrame, params: ChunkParams, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def long_documents(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
+    """Documents with positions beyond one block, None if there are none: reads two columns."""
+    beyond = elements.select("document", "pos").filter(F.col("pos") >= block_rows).select("document")
+    return None if beyond.isEmpty() else cut_lineage(beyond.distinct())
+
+
+def chunk_elements(
+    elements: DataFrame, params: ChunkParams, block_rows: int = BLOCK_ROWS, stored: DataFrame | None = None
+) -> DataFrame:
     """Chunks of an elements table, documents of any length.
 
-    Whether a document is longer than a block is looked up first (it reads one column).
+    Long documents are looked up first, in the ``stored`` table ``elements`` come from where
+    there is one: asking that is cheaper than asking what is computed from it.
     """
-    long_documents = elements.filter(F.col("pos") >= block_rows).select("document").distinct()
-    if long_documents.isEmpty():
+    long = long_documents(elements if stored is None else stored, block_rows)
+    if long is None:
         return chunk_rows(rows_of_table(elements), params)
-    short = elements.join(long_documents, "document", "left_anti")
-    long = elements.join(long_documents, "document", "left_semi")
-    return chunk_rows(rows_of_table(short), params).unionByName(chunk_long_documents(long, params, block_rows))
+    few = small_side(long, MAX_SENT_DOCUMENTS, "document")
+    short = elements.join(few, "document", "left_anti")
+    return chunk_rows(rows_of_table(short), params).unionByName(
+        chunk_long_documents(elements.join(few, "document", "left_semi"), params, block_rows)
+    )
 
 
 # -- documents longer than one block ----------------------------------------------

@@ -16,7 +16,7 @@ IMAGE_MARK = "[IMAGE] "
 STAND_ALONE = ("Table", "Image")
 
 # Elements of one document that one task may see at once.
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 20_000
 
 
 def is_valid(kind: Column, text: Column, image: Column) -> Column:

@@ -10,12 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarry.operators.ranking import small_side
 from quarry.schemas import FILTER_FIELDS, VECTORS
 
 # Characters of a text that are stored with a vector.
 STORED_CONTENT_CHARS = 2000
 STORED_DESCRIPTION_CHARS = 1000
 
+# Ids that may be sent whole to every task.
+MAX_SENT_IDS = 1_000_000
+
 OPERATORS = {"$eq": operator.eq, "$gte": operator.ge, "$lte": operator.le}
 
 
@@ -99,10 +103,11 @@ def latest(rows: DataFrame, order: list[Column], key: str = "id") -> DataFrame:
 def upsert(stored: DataFrame, sent: DataFrame, order: list[Column]) -> DataFrame:
     """``stored`` with the rows of ``sent`` put in; of several with one id the last counts.
 
-    The stored rows are only compared by id: with a small ``sent`` side they do not move.
+    The stored rows are only compared by id: if few rows are sent, they do not move.
     """
     new = latest(sent, order).select(*stored.columns)
-    return stored.join(new.select("id"), "id", "left_anti").unionByName(new)
+    ids = small_side(sent.select("id"), MAX_SENT_IDS, "id")
+    return stored.join(ids, "id", "left_anti").unionByName(new)
 
 
 def upsert_report(sent: DataFrame, table: DataFrame) -> DataFrame:

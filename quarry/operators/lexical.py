@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.rows import unfold
 from quarry.functions.text import bind, words
-from quarry.operators.ranking import MAX_SENT_QUERIES, first_rows, ranked, scan_for_best
+from quarry.operators.ranking import MAX_SENT_QUERIES, first_rows, ranked, scan_for_best, small_side
+from quarry.session import cut_lineage
 
 # Distinct (query, term) pairs that may be sent whole to every task.
 MAX_SENT_TERMS = 1_000_000
@@ -97,6 +98,7 @@ def _query_statistics(index: DataFrame, terms: DataFrame) -> DataFrame:
     """
     corpus = F.array(F.struct(F.lit("").alias("term"), F.col("doc_len").alias("tf")))
     wanted = terms.select("term").distinct().unionByName(terms.sparkSession.createDataFrame([("",)], "term string"))
+    wanted = small_side(wanted, MAX_SENT_TERMS, "term")
     return (
         unfold(index, [], F.concat(corpus, "terms"), "t")
         .select("t.term", "t.tf")
@@ -109,16 +111,13 @@ def _query_statistics(index: DataFrame, terms: DataFrame) -> DataFrame:
 def score(index: DataFrame, queries: DataFrame, params: Bm25Params = Bm25Params()) -> DataFrame:
     """(query_id, doc_id, score) of every pair that shares a term."""
     terms = query_terms(queries)
-    statistics = _query_statistics(index, terms)
-    corpus = statistics.filter(F.col("term") == "").select(
-        F.col("df").alias("n_docs"), (F.col("tf") / F.col("df")).alias("avg_doc_len")
-    )
-    totals = corpus.first()
-    if totals is None:
-        totals = {"n_docs": 0, "avg_doc_len": 0.0}
+    statistics = cut_lineage(_query_statistics(index, terms))
+    corpus = statistics.filter(F.col("term") == "").first()
+    totals = {"n_docs": corpus["df"], "avg_doc_len": corpus["tf"] / corpus["df"]} if corpus else {"n_docs": 0, "avg_doc_len": 0}
     weighted = terms.join(statistics, "term").select(
         "query_id", "term", (F.col("qtf") * idf(F.lit(totals["n_docs"]), F.col("df"))).alias("weight")
     )
+    weighted = small_side(weighted, MAX_SENT_TERMS, "term")
     share = F.col("doc_len") / F.lit(totals["avg_doc_len"] or 1.0)
     saturated = F.col("tf") * (params.k1 + 1) / (F.col("tf") + params.k1 * (1 - params.b + params.b * share))
     return (

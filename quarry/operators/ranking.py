@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,8 +15,10 @@ TIE_DIGITS = 9
 
 # Queries that may be sent whole to every task: 16,384 of up to 1,024 numbers are 128 MB.
 MAX_SENT_QUERIES = 16_384
-# Scores a task holds at once (rows of a batch times queries).
+# Scores a task holds at once (rows of a batch times queries), and hits it keeps before
+# it drops those that no longer are among the best.
 MAX_HELD_SCORES = 4_000_000
+MAX_HELD_HITS = 1_000_000
 
 
 def ranked(hits: DataFrame, k: int, score: str = "score", item: str = "chunk_id", ascending: bool = False) -> DataFrame:
@@ -27,12 +29,10 @@ def ranked(hits: DataFrame, k: int, score: str = "score", item: str = "chunk_id"
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def best_of_batch(
-    scores: np.ndarray, ids: pa.Array, query_ids: pa.Array, k: int, ascending: bool, positive_only: bool
-) -> pa.RecordBatch:
-    """From scores (rows x queries) the rows that may be among the ``k`` best of a query.
+def _best_of_slice(scores: np.ndarray, k: int, ascending: bool, positive_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, queries) of the scores (rows x queries) that may be among the ``k`` best of a query.
 
-    ``ids`` are in rising order, so a stable sort leaves ties in order of id.
+    Rows come in rising order of id, so a stable sort leaves ties in order of id.
     """
     keys = np.round(scores, TIE_DIGITS) if ascending else -np.round(scores, TIE_DIGITS)
     rows, queries = [], []
@@ -47,11 +47,49 @@ def best_of_batch(
         chosen = candidates[np.argsort(key[candidates], kind="stable")][:k]
         rows.append(chosen)
         queries.append(np.full(len(chosen), q))
-    row, query = np.concatenate(rows), np.concatenate(queries)
-    return pa.RecordBatch.from_arrays(
-        [query_ids.take(pa.array(query)), ids.take(pa.array(row)), pa.array(scores[row, query], pa.float64())],
-        names=["query_id", "id", "score"],
+    return np.concatenate(rows), np.concatenate(queries)
+
+
+def _best_of_hits(hits: pa.Table, k: int, ascending: bool) -> pa.Table:
+    """The ``k`` best of each query among the hits (query, id, score) of a task."""
+    key = pc.round(hits.column("score"), TIE_DIGITS)
+    key = key if ascending else pc.negate(key)
+    order = pc.sort_indices(
+        hits.append_column("key", key),
+        sort_keys=[("query", "ascending"), ("key", "ascending"), ("id", "ascending")],
     )
+    ordered = hits.take(order)
+    query = ordered.column("query").to_numpy()
+    place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+    return ordered.filter(pa.array(place < k))
+
+
+def best_in_task(
+    batches: Iterable[pa.RecordBatch],
+    score_batch: Callable[[pa.RecordBatch], np.ndarray],
+    query_ids: pa.Array,
+    k: int,
+    ascending: bool,
+    positive_only: bool,
+) -> pa.Table | None:
+    """(query_id, id, score): the ``k`` best rows per query of all batches; the id is column 0."""
+    step = max(1, MAX_HELD_SCORES // max(1, len(query_ids)))
+    held: list[pa.Table] = []
+    for whole in batches:
+        for offset in range(0, whole.num_rows, step):
+            part = whole.slice(offset, step)
+            part = part.take(pc.sort_indices(part.column(0)))
+            scores = score_batch(part)
+            row, query = _best_of_slice(scores, k, ascending, positive_only)
+            found = [pa.array(query), part.column(0).take(pa.array(row)), pa.array(scores[row, query], pa.float64())]
+            held.append(pa.table(found, names=["query", "id", "score"]))
+            if sum(h.num_rows for h in held) > MAX_HELD_HITS:
+                held = [_best_of_hits(pa.concat_tables(held), k, ascending)]
+    if not held:
+        return None
+    best = _best_of_hits(pa.concat_tables(held), k, ascending)
+    columns = [query_ids.take(best.column("query").combine_chunks()), best.column("id"), best.column("score")]
+    return pa.table(columns, names=["query_id", "id", "score"])
 
 
 def scan_for_best(
@@ -64,19 +102,15 @@ def scan_for_best(
     ascending: bool = False,
     positive_only: bool = False,
 ) -> DataFrame:
-    """Score every row of ``table`` against every query, passing on only the best of each batch.
+    """Score every row of ``table`` against every query, each task passing on only its best.
 
-    The pairs themselves never become rows: a task holds a batch of scores at a time.
+    The pairs themselves never become rows: a task holds a slice of scores at a time.
     """
-    step = max(1, MAX_HELD_SCORES // max(1, len(query_ids)))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for offset in range(0, whole.num_rows, step):
-                part = whole.slice(offset, step)
-                ids = part.column(0)
-                part = part.take(pc.sort_indices(ids))
-                yield best_of_batch(score_batch(part), part.column(0), query_ids, k, ascending, positive_only)
+        found = best_in_task(batches, score_batch, query_ids, k, ascending, positive_only)
+        if found is not None:
+            yield from found.to_batches()
 
     id_type = table.schema[id_column].dataType.simpleString()
     columns = [id_column, *[c for c in table.columns if c != id_column]]
@@ -89,5 +123,9 @@ def first_rows(table: DataFrame, limit: int) -> pa.Table | None:
     return found if found.num_rows <= limit else None
 
 
-def as_sorted_list(key: Column, value: Column) -> Column:
-    return F.array_sort(F.collect_list(F.struct(key.alias("key"), value.alias("value"))))
+def small_side(table: DataFrame, max_rows: int, key: str) -> DataFrame:
+    """``table`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
+
+    Counting up to the bound reads the key column only.
+    """
+    return F.broadcast(table) if table.select(key).limit(max_rows + 1).count() <= max_rows else table

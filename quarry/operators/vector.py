@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ranking import MAX_SENT_QUERIES, best_of_batch, first_rows, ranked, scan_for_best
+from quarry.operators.ranking import MAX_SENT_QUERIES, best_in_task, first_rows, ranked, scan_for_best
 
 METRICS = ("cosine", "dotproduct", "euclidean")
 
@@ -26,12 +26,13 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def _scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Rows x queries; for euclidean the distance, else the similarity."""
+    if metric == "euclidean":
+        # From the differences: the short way over products loses small distances.
+        return np.stack([np.sqrt(((rows - query) ** 2).sum(axis=1)) for query in queries], axis=1)
     products = rows @ queries.T
     if metric == "dotproduct":
         return products
     row_squares, query_squares = (rows**2).sum(axis=1), (queries**2).sum(axis=1)
-    if metric == "euclidean":
-        return np.sqrt(np.maximum(row_squares[:, None] + query_squares[None, :] - 2 * products, 0.0))
     size = np.sqrt(row_squares)[:, None] * np.sqrt(query_squares)[None, :]
     return np.divide(products, size, out=np.zeros_like(products), where=size != 0)
 
@@ -89,12 +90,19 @@ def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, metric: str, bloc
     def best(a: pa.Table, b: pa.Table) -> pa.Table:
         if a.num_rows == 0 or b.num_rows == 0:
             return empty
-        a = a.sort_by("id").combine_chunks()
-        scores = _scores(_matrix(a.column("embedding")), _matrix(b.column("embedding")), metric)
-        ids, query_ids = a.column("id").combine_chunks(), b.column("query_id").combine_chunks()
-        return pa.Table.from_batches([best_of_batch(scores, ids, query_ids, k, ascending, False)])
+        matrix = _matrix(b.column("embedding"))
+        found = best_in_task(
+            a.select(["id", "embedding"]).to_batches(),
+            lambda batch: _scores(_matrix(batch.column("embedding")), matrix, metric),
+            b.column("query_id").combine_chunks(),
+            k,
+            ascending,
+            False,
+        )
+        return empty if found is None else found
 
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {vectors.schema['id'].dataType.simpleString()}, score double"
+    query_type, id_type = (t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (vectors, "id")))
+    schema = f"query_id {query_type}, id {id_type}, score double"
     empty = vectors.sparkSession.createDataFrame([], schema).toArrow()
     keys = ["bucket", "block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, schema)

@@ -34,7 +34,7 @@ def chunk_documents(
     ready = elements if completions is None else describe_images(elements, completions)
     if params.strategy == "semantic":
         ready = element_vectors(ready, encoder)
-    chunks = chunk_elements(ready, params)
+    chunks = chunk_elements(ready, params, stored=elements)
     if not use_context:
         return chunk_records(chunks)
     parts = None if completions is None else document_parts(elements)

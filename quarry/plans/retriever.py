@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quarry.operators import fusion, lexical
 from quarry.operators.enrich import respond
 from quarry.operators.index import combined_filter, compile_filter
+from quarry.operators.ranking import MAX_SENT_QUERIES
 from quarry.operators.vector import dense_topk
 
 METADATA = (
@@ -65,15 +66,18 @@ class Retriever:
             .drop("text_sha", "search_text")
         )
 
-    def with_content(self, hits: DataFrame) -> DataFrame:
-        """Stored text and metadata for the few rows that are hits."""
+    def with_content(self, hits: DataFrame, queries: DataFrame) -> DataFrame:
+        """Stored text and metadata for the rows that are hits.
+
+        With a query table of bounded size the hits are, too, and go to the stored rows.
+        """
         stored = self.vectors.select(
             F.col("id").alias("chunk_id"), F.coalesce("original_content", F.lit("")).alias("content"), *METADATA
         )
-        return hits.join(stored, "chunk_id").select(*_result_columns(hits))
+        return stored.join(_sent_if_few(hits, queries), "chunk_id").select(*_result_columns(hits))
 
     def search(self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None) -> DataFrame:
-        return self.with_content(self.hits(_plain(queries), k, filters))
+        return self.with_content(self.hits(_plain(queries), k, filters), queries)
 
     def search_by_document(self, queries: DataFrame, document: str, k: int = 5) -> DataFrame:
         return self.search(queries, k, {"document": {"$eq": document}})
@@ -103,14 +107,15 @@ class Retriever:
         """
         if self.lexical_index is None or self.corpus is None:
             dense = self.hits(_plain(queries), k, filters)
-            return self.with_content(dense).withColumn("source", F.lit(None).cast("string"))
+            return self.with_content(dense, queries).withColumn("source", F.lit(None).cast("string"))
         dense = self.hits(_plain(queries), 2 * k, filters)
         words = lexical.search(self.lexical_index, queries, 2 * k).withColumnRenamed("doc_id", "chunk_id")
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
         in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
         marked = fused.join(in_dense, ["query_id", "chunk_id"], "left")
-        by_dense = self.with_content(marked.filter("dense")).drop("dense")
-        by_words = marked.filter(F.col("dense").isNull()).drop("dense").join(self.corpus, "chunk_id")
+        by_dense = self.with_content(marked.filter("dense"), queries).drop("dense")
+        not_dense = _sent_if_few(marked.filter(F.col("dense").isNull()).drop("dense"), queries)
+        by_words = self.corpus.join(not_dense, "chunk_id")
         return by_dense.withColumn("source", F.lit(None).cast("string")).unionByName(
             by_words.withColumn("source", F.lit("bm25")), allowMissingColumns=True
         )
@@ -120,7 +125,7 @@ class Retriever:
     def hyde_search(self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None) -> DataFrame:
         """Search with a made-up answer; ``hyde_query`` is that answer, null where there was none."""
         texts = fusion.hyde_texts(queries, self.completions)
-        return self.with_content(self.hits(texts, k, filters))
+        return self.with_content(self.hits(texts, k, filters), queries)
 
     def expanded_hits(self, queries: DataFrame, k: int, variants: int, filters: dict[str, Any] | None) -> DataFrame:
         texts = fusion.expand_queries(queries, self.completions, variants)
@@ -129,7 +134,7 @@ class Retriever:
     def search_expanded(
         self, queries: DataFrame, k: int = 5, variants: int = 3, filters: dict[str, Any] | None = None
     ) -> DataFrame:
-        return self.with_content(self.expanded_hits(queries, k, variants, filters))
+        return self.with_content(self.expanded_hits(queries, k, variants, filters), queries)
 
     def rerank(self, queries: DataFrame, results: DataFrame, k: int = 5) -> DataFrame:
         """Results in the order a model gave; without a response the first ``k``."""
@@ -170,7 +175,7 @@ class Retriever:
         combined = fusion.mean_scores(
             lists.withColumn("by", F.struct("hyde_query")), 2 * k if use_reranking else k, keep="by", first="place"
         ).select("query_id", "rank", "chunk_id", "score", "by.hyde_query")
-        results = self.with_content(combined)
+        results = self.with_content(combined, queries)
         return self.rerank(queries, results, k) if use_reranking else results
 
 
@@ -178,6 +183,12 @@ def _plain(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.col("query").alias("search_text"))
 
 
+def _sent_if_few(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """Hits marked for broadcast if the queries are few; a query has at most some ``k`` of them."""
+    few = queries.select("query_id").limit(MAX_SENT_QUERIES + 1).count() <= MAX_SENT_QUERIES
+    return F.broadcast(hits) if few else hits
+
+
 def _result_columns(hits: DataFrame) -> list[str]:
     extra = [c for c in hits.columns if c not in ("query_id", "rank", "chunk_id", "score")]
     return ["query_id", "rank", "chunk_id", "score", "content", *METADATA, *extra]
