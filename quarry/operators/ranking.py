@@ -71,9 +71,11 @@ def best_in_task(
     k: int,
     ascending: bool,
     positive_only: bool,
+    max_scores: int,
+    max_hits: int,
 ) -> pa.Table | None:
     """(query_id, id, score): the ``k`` best rows per query of all batches; the id is column 0."""
-    step = max(1, MAX_HELD_SCORES // max(1, len(query_ids)))
+    step = max(1, max_scores // max(1, len(query_ids)))
     held: list[pa.Table] = []
     for whole in batches:
         for offset in range(0, whole.num_rows, step):
@@ -83,7 +85,7 @@ def best_in_task(
             row, query = _best_of_slice(scores, k, ascending, positive_only)
             found = [pa.array(query), part.column(0).take(pa.array(row)), pa.array(scores[row, query], pa.float64())]
             held.append(pa.table(found, names=["query", "id", "score"]))
-            if sum(h.num_rows for h in held) > MAX_HELD_HITS:
+            if sum(h.num_rows for h in held) > max_hits:
                 held = [_best_of_hits(pa.concat_tables(held), k, ascending)]
     if not held:
         return None
@@ -107,8 +109,10 @@ def scan_for_best(
     The pairs themselves never become rows: a task holds a slice of scores at a time.
     """
 
+    bounds = MAX_HELD_SCORES, MAX_HELD_HITS
+
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = best_in_task(batches, score_batch, query_ids, k, ascending, positive_only)
+        found = best_in_task(batches, score_batch, query_ids, k, ascending, positive_only, *bounds)
         if found is not None:
             yield from found.to_batches()
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ranking import MAX_SENT_QUERIES, best_in_task, first_rows, ranked, scan_for_best
+from quarry.operators.ranking import MAX_HELD_HITS, MAX_HELD_SCORES, MAX_SENT_QUERIES, best_in_task, first_rows, ranked, scan_for_best
 
 METRICS = ("cosine", "dotproduct", "euclidean")
 
@@ -98,6 +98,8 @@ def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, metric: str, bloc
             k,
             ascending,
             False,
+            MAX_HELD_SCORES,
+            MAX_HELD_HITS,
         )
         return empty if found is None else found
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 MAX_BATCH_BYTES = 64 * 1024 * 1024
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where the package is installed on the executors or sent with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).parent
+    archive = shutil.make_archive(
+        tempfile.mkdtemp(prefix="quarry-") + "/quarry", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings that may change in a running session."""
+    """Settings that may change in a running session, and the package for its workers."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BATCH_BYTES))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
