@@ -61,6 +61,20 @@ def unanswered(requests: DataFrame, completions: DataFrame, task: str) -> DataFr
     return requests.dropDuplicates(["request_id"]).join(answers, "request_id", "left_anti")
 
 
+def ask(
+    requests: DataFrame, completions: DataFrame, task: str, complete: Callable[[Column], Column]
+) -> DataFrame:
+    """The completions with the unanswered requests (request_id, prompt) answered.
+
+    ``complete`` turns the prompt column into a response column, null where a call failed;
+    such requests stay unanswered.  The caller writes the result back.
+    """
+    fresh = unanswered(requests, completions, task).select(
+        F.lit(task).alias("task"), "request_id", complete(F.col("prompt")).alias("response")
+    )
+    return completions.select("task", "request_id", "response").unionByName(fresh.filter("response is not null"))
+
+
 # -- context of chunks --------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.ranking import small_side
 from quarry.schemas import FILTER_FIELDS, VECTORS
+from quarry.sources.versioned import VersionedTable
 
 # Characters of a text that are stored with a vector.
 STORED_CONTENT_CHARS = 2000
@@ -122,62 +123,30 @@ def index_stats(vectors: DataFrame) -> DataFrame:
 
 
 class VectorTable:
-    """A vector table kept as Parquet in numbered versions; the highest finished one counts.
+    """A stored vector table of fixed width; made on first use."""
 
-    A version is complete when Spark has written its ``_SUCCESS`` file, so a job that dies
-    leaves the version before it in force.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, dimensions: int = 1024, metric: str = "cosine"):
-        self.spark, self.path, self.dimensions, self.metric = spark, path.rstrip("/"), dimensions, metric
-        if self._version() is None:
-            self._write(spark.createDataFrame([], VECTORS))
+    def __init__(self, spark: SparkSession, path: str, dimensions: int = 1024):
+        self.table, self.dimensions = VersionedTable(spark, path, VECTORS), dimensions
+        if not self.table.exists():
+            self.table.clear()
 
     def read(self) -> DataFrame:
-        version = self._version()
-        if version is None:
-            raise FileNotFoundError(f"no vector table at {self.path}")
-        return self.spark.read.schema(VECTORS).parquet(self._folder(version))
+        return self.table.read()
 
     def index_chunks(self, vectors: DataFrame, order: list[Column] | None = None) -> dict[str, int]:
-        """Upsert records; a vector of another width stops the job."""
-        stored = self.read()
+        """Upsert records; a vector of another width stops the job and changes nothing."""
         width = F.assert_true(
             F.size("embedding") == self.dimensions, F.lit(f"vectors must have {self.dimensions} numbers")
         )
         checked = vectors.filter(width.isNull())
-        self._write(upsert(stored, checked.select(*stored.columns), order or [F.col("chunk_index")]))
-        return {"upserted": vectors.count(), **self.stats()}
+        self.table.replace(upsert(self.read(), checked, order or [F.col("chunk_index")]))
+        return {"upserted": vectors.select("id").count(), **self.stats()}
 
     def stats(self) -> dict[str, int]:
         return {"total_vectors": self.read().count(), "dimensions": self.dimensions}
 
     def delete_all_vectors(self) -> None:
-        self._write(self.spark.createDataFrame([], VECTORS))
+        self.table.clear()
 
     def delete_index(self) -> None:
-        files, folder = self._files(self.path)
-        files.delete(folder, True)
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={version:08d}"
-
-    def _files(self, path: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
-
-    def _version(self) -> int | None:
-        files, folder = self._files(self.path)
-        if not files.exists(folder):
-            return None
-        names = [entry.getPath().getName() for entry in files.listStatus(folder)]
-        numbers = sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
-        finished = (n for n in numbers if files.exists(self._files(f"{self._folder(n)}/_SUCCESS")[1]))
-        return next(finished, None)
-
-    def _write(self, vectors: DataFrame) -> None:
-        before = self._version()
-        vectors.write.mode("overwrite").parquet(self._folder((before or 0) + 1))
-        if before is not None:
-            files, _ = self._files(self.path)
-            files.delete(self._files(self._folder(before))[1], True)
+        self.table.drop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -143,22 +144,44 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, params: Bm25Params
     return ranked(hits, k, item="doc_id").select("query_id", "rank", "doc_id", "score")
 
 
+def _counts(index: DataFrame, vocabulary: pa.Array) -> dict[int, tuple[int, int]]:
+    """Per place in the vocabulary (documents, occurrences); under -1 the documents and their length.
+
+    Each task counts its documents and passes on one row per term.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, tf = np.zeros(len(vocabulary) + 1, dtype="int64"), np.zeros(len(vocabulary) + 1, dtype="int64")
+        for batch in batches:
+            flat = batch.column("terms").flatten()
+            code = pc.index_in(flat.field("term"), vocabulary).fill_null(len(vocabulary)).to_numpy(zero_copy_only=False)
+            known = code < len(vocabulary)
+            code, occurrences = code[known], flat.field("tf").to_numpy(zero_copy_only=False)[known]
+            df += np.bincount(code, minlength=len(df))
+            tf += np.bincount(code, occurrences, len(tf)).astype("int64")
+            df[-1] += batch.num_rows
+            tf[-1] += pc.sum(batch.column("doc_len"), min_count=0).as_py()
+        seen = np.flatnonzero(df)
+        code = np.where(seen == len(vocabulary), -1, seen)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(df[seen]), pa.array(tf[seen])], ["code", "df", "tf"])
+
+    partial = index.select("doc_len", "terms").mapInArrow(count, "code long, df long, tf long")
+    total = partial.groupBy("code").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    return {r["code"]: (r["df"], r["tf"]) for r in total.collect()}
+
+
 def _scan(index: DataFrame, terms: DataFrame, sent: pa.Table, k: int, params: Bm25Params) -> DataFrame:
-    statistics = {r["term"]: r for r in _query_statistics(index, terms).collect()}
-    corpus = statistics.pop("", None)
-    n_docs, total = (corpus["df"], corpus["tf"]) if corpus else (0, 0)
+    vocabulary = pc.unique(sent.column("term").combine_chunks())
+    counts = _counts(index, vocabulary)
+    n_docs, total = counts.get(-1, (0, 0))
     average = (total / n_docs if n_docs else 0.0) or 1.0
-
-    vocabulary = pa.array(sorted(statistics), pa.string())
-    frequency = np.array([statistics[t]["df"] for t in vocabulary.to_pylist()], dtype="float64")
+    frequency = np.array([counts.get(i, (0, 0))[0] for i in range(len(vocabulary))], dtype="float64")
     weight = np.log((n_docs - frequency + 0.5) / (frequency + 0.5) + 1)
 
     query_ids = pc.unique(sent.column("query_id").combine_chunks())
-    term_of = pc.index_in(sent.column("term").combine_chunks(), vocabulary)
-    known = pc.is_valid(term_of).to_numpy(zero_copy_only=False)
-    term = term_of.fill_null(-1).to_numpy(zero_copy_only=False)[known]
-    query = pc.index_in(sent.column("query_id").combine_chunks(), query_ids).to_numpy(zero_copy_only=False)[known]
-    qtf = sent.column("qtf").to_numpy()[known]
+    term = pc.index_in(sent.column("term").combine_chunks(), vocabulary).to_numpy(zero_copy_only=False)
+    query = pc.index_in(sent.column("query_id").combine_chunks(), query_ids).to_numpy(zero_copy_only=False)
+    qtf = sent.column("qtf").to_numpy()
     by_term = np.argsort(term, kind="stable")
     term, query, qtf = term[by_term], query[by_term], qtf[by_term].astype("float64")
     first = np.searchsorted(term, np.arange(len(vocabulary) + 1))

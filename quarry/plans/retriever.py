@@ -13,6 +13,7 @@ from quarry.operators.enrich import respond
 from quarry.operators.index import combined_filter, compile_filter
 from quarry.operators.ranking import MAX_SENT_QUERIES
 from quarry.operators.vector import dense_topk
+from quarry.session import cut_lineage
 
 METADATA = (
     "document",
@@ -76,8 +77,11 @@ class Retriever:
         )
         return stored.join(_sent_if_few(hits, queries), "chunk_id").select(*_result_columns(hits))
 
-    def search(self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None) -> DataFrame:
-        return self.with_content(self.hits(_plain(queries), k, filters), queries)
+    def search(
+        self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None, include_metadata: bool = True
+    ) -> DataFrame:
+        hits = self.hits(_plain(queries), k, filters)
+        return self.with_content(hits, queries) if include_metadata else hits
 
     def search_by_document(self, queries: DataFrame, document: str, k: int = 5) -> DataFrame:
         return self.search(queries, k, {"document": {"$eq": document}})
@@ -94,9 +98,14 @@ class Retriever:
     # -- hybrid -------------------------------------------------------------------
 
     def index_for_bm25(self, corpus: DataFrame, index: DataFrame | None = None) -> None:
-        """Set the lexical side: ``corpus(chunk_id, content)``; ``index`` if it is stored already."""
+        """Set the lexical side: ``corpus(chunk_id, content)``.
+
+        Give ``index`` if it is stored already; else it is made here, once for all searches.
+        """
         self.corpus = corpus.select("chunk_id", "content")
-        self.lexical_index = lexical.forward_index(self.corpus, "chunk_id", "content") if index is None else index
+        if index is None:
+            index = cut_lineage(lexical.forward_index(self.corpus, "chunk_id", "content"))
+        self.lexical_index = index
 
     def hybrid_search(
         self, queries: DataFrame, k: int = 10, dense_weight: float = 0.7, filters: dict[str, Any] | None = None
@@ -108,7 +117,8 @@ class Retriever:
         if self.lexical_index is None or self.corpus is None:
             dense = self.hits(_plain(queries), k, filters)
             return self.with_content(dense, queries).withColumn("source", F.lit(None).cast("string"))
-        dense = self.hits(_plain(queries), 2 * k, filters)
+        # Both lists are used again below; they are short, the scans behind them are not.
+        dense = cut_lineage(self.hits(_plain(queries), 2 * k, filters))
         words = lexical.search(self.lexical_index, queries, 2 * k).withColumnRenamed("doc_id", "chunk_id")
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
         in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
@@ -138,6 +148,7 @@ class Retriever:
 
     def rerank(self, queries: DataFrame, results: DataFrame, k: int = 5) -> DataFrame:
         """Results in the order a model gave; without a response the first ``k``."""
+        results = cut_lineage(results)
         requests = fusion.rerank_requests(queries, results).drop("prompt")
         responses = respond(requests, self.completions, "rerank").select("query_id", "response")
         return fusion.rerank(results, responses, k).select(*results.columns)
@@ -165,7 +176,7 @@ class Retriever:
         if use_expansion:
             reworded = fusion.expand_queries(queries, self.completions, 2)
             texts = texts.unionByName(reworded.withColumn("method", F.lit("expanded")).select("*", none))
-        found = self.hits(texts, 2 * k, filters)
+        found = cut_lineage(self.hits(texts, 2 * k, filters))
         expanded = fusion.mean_scores(found.filter(F.col("method") == "expanded").drop("rank"), 2 * k)
         others = found.filter(F.col("method") != "expanded")
         place = F.when(F.col("method") == "plain", 0).otherwise(1)

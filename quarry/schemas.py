@@ -78,3 +78,14 @@ VECTORS = T.StructType(
     ]
 )
 FILTER_FIELDS = tuple(f.name for f in VECTORS.fields if f.name not in ("id", "embedding"))
+
+EMBEDDING_CACHE = T.StructType(
+    [T.StructField("text_sha", T.StringType()), T.StructField("embedding", T.ArrayType(T.FloatType()))]
+)
+COMPLETIONS = T.StructType(
+    [
+        T.StructField("task", T.StringType()),
+        T.StructField("request_id", T.StringType()),
+        T.StructField("response", T.StringType()),
+    ]
+)

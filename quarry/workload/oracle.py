@@ -446,7 +446,7 @@ ORACLE["valid_elements"] = "SELECT document, pos, type, text FROM valid"
 ORACLE["image_enriched_elements"] = """
 SELECT document, pos, type, text, description AS image_description,
        CASE WHEN type = 'Image' THEN true END AS has_image, image_base64 FROM described"""
-ORACLE["media_types"] = """
+ORACLE["media_type"] = """
 SELECT CASE filetype WHEN 'jpg' THEN 'image/jpeg' WHEN 'image/gif' THEN 'image/gif' ELSE 'image/png' END AS media_type,
        count(*) AS n FROM mixed WHERE type = 'Image' GROUP BY 1"""
 ORACLE["section_titles"] = """

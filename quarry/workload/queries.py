@@ -17,6 +17,7 @@ from quarry.operators.borders import ChunkParams
 from quarry.operators.index import compile_filter, index_stats, upsert, upsert_report
 from quarry.operators.vector import dense_topk
 from quarry.plans import ingest
+from quarry.session import cut_lineage
 from quarry.schemas import CHUNK_JSON, ELEMENT_JSON
 from quarry.sources import files, parsers
 from quarry.workload import tables as t
@@ -136,11 +137,14 @@ def image_enriched_elements(spark, sf_dir):
 
 
 @query
-def media_types(spark, sf_dir):
+def media_type_(spark, sf_dir):
     images = t.mixed_elements(spark, sf_dir).filter(F.col("type") == "Image")
     return images.groupBy(media_type(F.col("metadata.filetype")).alias("media_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
+REGISTERED["media_type"] = REGISTERED.pop("media_type_")
+
+
 @query
 def section_titles(spark, sf_dir):
     return E.section_titles(t.mixed_elements(spark, sf_dir))
@@ -220,8 +224,8 @@ def chunk_overlap(spark, sf_dir):
 
 @query
 def chunk_semantic(spark, sf_dir):
-    with_vectors = ingest.element_vectors(t.mixed_elements(spark, sf_dir), ENCODER)
-    chunks = chunking.chunk_elements(with_vectors, SMALL_SEMANTIC)
+    mixed = t.mixed_elements(spark, sf_dir)
+    chunks = chunking.chunk_elements(ingest.element_vectors(mixed, ENCODER), SMALL_SEMANTIC, stored=mixed)
     return chunking.chunk_records(chunks).select(*CHUNK_COLUMNS)
 
 
@@ -236,7 +240,7 @@ def chunk_records(spark, sf_dir):
     """Described images, context sentences from responses where there are any."""
     mixed = t.mixed_elements(spark, sf_dir)
     described = E.describe_images(mixed, t.image_completions(spark, sf_dir))
-    chunks = chunking.chunk_elements(described, SMALL)
+    chunks = cut_lineage(chunking.chunk_elements(described, SMALL, stored=mixed))
     parts = E.document_parts(mixed)
     answered = enrich.with_context(chunks, parts, _context_completions(chunks, parts))
     return chunking.chunk_records(answered, F.col("context")).select(*CHUNK_COLUMNS)
@@ -270,7 +274,7 @@ def context_fallback(spark, sf_dir):
 @query
 def context_requests(spark, sf_dir):
     mixed = t.mixed_elements(spark, sf_dir)
-    chunks, parts = chunking.chunk_elements(mixed, SMALL), E.document_parts(mixed)
+    chunks, parts = cut_lineage(chunking.chunk_elements(mixed, SMALL)), E.document_parts(mixed)
     prompts = enrich.context_prompts(enrich.context_requests(chunks, parts), chunks, parts)
     return prompts.select("chunk_id", "request_id", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
 
@@ -334,7 +338,7 @@ def embedding_cache_stats(spark, sf_dir):
 def prepare_vectors(spark, sf_dir):
     mixed = t.mixed_elements(spark, sf_dir)
     described = E.describe_images(mixed, t.image_completions(spark, sf_dir))
-    records = chunking.chunk_records(chunking.chunk_elements(described, SMALL))
+    records = chunking.chunk_records(chunking.chunk_elements(described, SMALL, stored=mixed))
     vectors = ingest.index_records(records, ENCODER)
     # Kept digits of a vector: its first and its largest number.
     first = F.round(F.col("embedding")[0].cast("double"), 6)
@@ -381,6 +385,11 @@ def _index(spark, sf_dir):
     return lexical.forward_index(t.documents(spark, sf_dir))
 
 
+def _kept_index(spark, sf_dir):
+    """The index as it is kept for several passes."""
+    return cut_lineage(_index(spark, sf_dir))
+
+
 @query
 def bm25_postings(spark, sf_dir):
     return lexical.postings(_index(spark, sf_dir))
@@ -399,17 +408,17 @@ def bm25_df(spark, sf_dir):
 
 @query
 def bm25_idf(spark, sf_dir):
-    return lexical.term_idf(_index(spark, sf_dir)).select("term", "df", F.round("idf", 6).alias("idf"))
+    return lexical.term_idf(_kept_index(spark, sf_dir)).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
 def bm25_score(spark, sf_dir):
-    return rounded(lexical.score(_index(spark, sf_dir), t.queries(spark, sf_dir)))
+    return rounded(lexical.score(_kept_index(spark, sf_dir), t.queries(spark, sf_dir)))
 
 
 @query
 def bm25_search(spark, sf_dir):
-    return rounded(lexical.search(_index(spark, sf_dir), t.queries(spark, sf_dir), 10))
+    return rounded(lexical.search(_kept_index(spark, sf_dir), t.queries(spark, sf_dir), 10))
 
 
 # -- dense ----------------------------------------------------------------------------
@@ -550,7 +559,7 @@ def results_json(spark, sf_dir):
 @query
 def search_chunks(spark, sf_dir):
     """The whole way: lines to chunks with context, vectors and words, hybrid search."""
-    records = ingest.chunk_arrays(t.text_arrays(spark, sf_dir), SMALL)
+    records = cut_lineage(ingest.chunk_arrays(t.text_arrays(spark, sf_dir), SMALL))
     search = t.Retriever(ingest.index_records(records, ENCODER), t.encode)
     search.index_for_bm25(records.select("chunk_id", F.col("contextualized_content").alias("content")))
     return _shown(search.hybrid_search(t.queries(spark, sf_dir), 10), "source")

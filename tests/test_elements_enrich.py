@@ -7,6 +7,8 @@ from quarry.operators import elements as E
 from quarry.operators import enrich
 from quarry.operators.borders import ChunkParams
 from quarry.operators.chunking import chunk_elements
+from quarry.schemas import EMBEDDING_CACHE
+from quarry.sources.versioned import VersionedTable
 
 
 def completions(spark, rows):
@@ -122,3 +124,23 @@ def test_hash_embedding(spark):
     assert empty == null == [0.0] * 16
     raw = rows.select(hash_embedding(F.col("t"), 16, normalize=False)).first()[0]
     assert sorted(abs(x) for x in raw if x) == [1.0, 2.0]
+
+
+def test_ask_fills_what_is_missing(spark):
+    requests = spark.createDataFrame([("1", "say a"), ("1", "say a"), ("2", "say b"), ("3", "fail")], "request_id string, prompt string")
+    known = completions(spark, [("hyde", "2", "b"), ("other", "1", "x")])
+    answer = lambda prompt: F.when(prompt != "fail", F.substring(prompt, 5, 9))
+    filled = enrich.ask(requests, known, "hyde", answer)
+    assert {tuple(r) for r in filled.collect()} == {("hyde", "2", "b"), ("other", "1", "x"), ("hyde", "1", "a")}
+
+
+def test_stored_cache(spark, tmp_path):
+    store = VersionedTable(spark, str(tmp_path / "cache"), EMBEDDING_CACHE)
+    assert not store.exists()
+    store.clear()
+    texts = spark.createDataFrame([("a",), ("b",), ("a",)], "text string")
+    for expected in (2, 2):
+        store.replace(enrich.fill_cache(texts, store.read(), enrich.Encoder(dimensions=4).encode))
+        assert store.read().count() == expected
+    store.clear()
+    assert store.read().count() == 0

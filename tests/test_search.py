@@ -240,6 +240,7 @@ def answers(spark, requests, task, response):
 def test_search_and_filters(spark):
     search, _ = make_retriever(spark)
     queries = asked(spark, "python programming")
+    assert search.search(queries, 2, include_metadata=False).columns == ["query_id", "rank", "chunk_id", "score"]
     first = search.search(queries, 2).orderBy("rank").first()
     assert (first.chunk_id, first.content, first.document) == ("chunk_0", "python programming", "even")
     assert {r.document for r in search.search_by_document(queries, "odd").collect()} == {"odd"}
