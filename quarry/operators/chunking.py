@@ -310,8 +310,9 @@ def entry_nodes(blocks: DataFrame, params: ChunkParams) -> DataFrame:
             .select("document", "block", F.inline("exits"))
         )
 
-    # A group ends at the latest with the last element lent to its block.
-    entries = F.when(F.col("block") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("lent") - 1))
+    # A group ends at the latest with the last element lent to its block, so the next one
+    # begins at one of these or right after them.
+    entries = F.when(F.col("block") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("lent")))
     requests = light.select("document", "block", F.explode(entries).alias("at"), F.lit(0).alias("overlap"))
     known = cut_lineage(followed(requests))
     last = light.groupBy("document").agg(F.max("block").alias("last_block"))
@@ -363,7 +364,7 @@ def chunk_long_documents(elements: DataFrame, params: ChunkParams, block_rows: i
         texts = grouped.withColumn("text_before", F.lit("")).select(
             "document",
             (F.col("block") + 1).alias("block"),
-            F.element_at(_group_texts(params), -1).alias("text_before"),
+            F.try_element_at(_group_texts(params), F.lit(-1)).alias("text_before"),
         )
     complete = (
         grouped.join(counts, ["document", "block"])

@@ -48,31 +48,28 @@ def describe_images(elements: DataFrame, completions: DataFrame) -> DataFrame:
     responses = completions.filter(F.col("task") == "image").select(
         F.col("request_id").alias("image_id"), "response"
     )
-    is_image = F.col("type") == "Image"
+    valid = valid_elements(elements)
+    is_image = F.coalesce(F.col("type") == "Image", F.lit(False))
+    # Only images take part in the join; all other rows stay where they are.
     described = (
-        valid_elements(elements)
-        .withColumn("image_id", F.when(is_image, F.sha2("metadata.image_base64", 256)))
+        valid.filter(is_image)
+        .withColumn("image_id", F.sha2("metadata.image_base64", 256))
         .join(responses, "image_id", "left")
-    )
-    description = (
-        F.when(F.col("response").isNull(), NO_DESCRIPTION)
-        .when(F.col("response") == "", EMPTY_DESCRIPTION)
-        .otherwise(strip(F.col("response")))
-    )
-    return described.withColumn("description", F.when(is_image, description)).select(
-        "document",
-        "pos",
-        "type",
-        F.when(is_image, F.concat(F.lit(IMAGE_MARK), "description")).otherwise(F.col("text")).alias("text"),
-        F.when(
-            is_image,
+        .withColumn(
+            "description",
+            F.when(F.col("response").isNull(), NO_DESCRIPTION)
+            .when(F.col("response") == "", EMPTY_DESCRIPTION)
+            .otherwise(strip(F.col("response"))),
+        )
+        .withColumn("text", F.concat(F.lit(IMAGE_MARK), "description"))
+        .withColumn(
+            "metadata",
             F.col("metadata")
             .withField("image_description", F.col("description"))
             .withField("has_image", F.lit(True)),
         )
-        .otherwise(F.col("metadata"))
-        .alias("metadata"),
     )
+    return valid.filter(~is_image).unionByName(described.select(*valid.columns))
 
 
 def carried_over(

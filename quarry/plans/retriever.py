@@ -117,12 +117,12 @@ class Retriever:
         if self.lexical_index is None or self.corpus is None:
             dense = self.hits(_plain(queries), k, filters)
             return self.with_content(dense, queries).withColumn("source", F.lit(None).cast("string"))
-        # Both lists are used again below; they are short, the scans behind them are not.
+        # These lists are used again below; they are short, the scans behind them are not.
         dense = cut_lineage(self.hits(_plain(queries), 2 * k, filters))
         words = lexical.search(self.lexical_index, queries, 2 * k).withColumnRenamed("doc_id", "chunk_id")
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
         in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
-        marked = fused.join(in_dense, ["query_id", "chunk_id"], "left")
+        marked = cut_lineage(fused.join(in_dense, ["query_id", "chunk_id"], "left"))
         by_dense = self.with_content(marked.filter("dense"), queries).drop("dense")
         not_dense = _sent_if_few(marked.filter(F.col("dense").isNull()).drop("dense"), queries)
         by_words = self.corpus.join(not_dense, "chunk_id")

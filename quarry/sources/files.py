@@ -76,7 +76,8 @@ def route(files: DataFrame, path: str = "path") -> DataFrame:
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, filename, extension, content) of the files of a flat folder."""
-    raw = spark.read.format("binaryFile").load(folder).select("path", F.decode("content", "UTF-8").alias("content"))
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    raw = spark.read.format("binaryFile").load(folder).select("path", text.alias("content"))
     return raw.withColumns({"filename": file_name(F.col("path")), "extension": file_extension(F.col("path"))})
 
 

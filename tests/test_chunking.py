@@ -104,6 +104,12 @@ def test_long_documents_semantic(spark):
     assert got(chunk_elements(elements, params, block_rows=70)) == got(chunk_elements(elements, params))
 
 
+def test_last_block_without_a_group_of_its_own(spark):
+    documents = {"same": [("NarrativeText", "one two three four five six seven eight")] * 76}
+    chunks = chunk_elements(elements_of(spark, documents), ChunkParams("basic", 20, 60, 0.1), block_rows=75)
+    assert got(chunks) == expected(documents, 20, 60, 0.1)
+
+
 def test_block_must_hold_a_group(sample):
     with pytest.raises(ValueError):
         chunking.block_rows_of(sample, ChunkParams(), 100)

@@ -82,17 +82,20 @@ def test_json_name_changes_the_last_suffix_only(spark):
 
 def test_folder_of_files(spark, tmp_path):
     (tmp_path / "a.TXT").write_text("Été line.\n")
+    (tmp_path / "d.md").write_bytes(b"# bad \xff byte")
     (tmp_path / "b.html").write_text("<p>para</p>")
-    (tmp_path / "c.pdf").write_bytes(b"%PDF")
+    (tmp_path / "c.pdf").write_bytes(b"%PDF\xff\xfe\x00\x80")
     extracted = files.extract(files.read_files(spark, str(tmp_path)))
     log = {r.filename: r for r in files.extract_log(extracted).collect()}
     assert (log["a.TXT"].status, log["a.TXT"].elements_count, log["a.TXT"].strategy) == ("success", 1, "fast")
     assert (log["c.pdf"].status, log["c.pdf"].error) == ("failed", "no reader for file type .pdf")
     assert files.extract_summary(files.extract_log(extracted)).first().asDict() == {
-        "total": 3, "successful": 2, "failed": 1, "elements": 2
+        "total": 4, "successful": 3, "failed": 1, "elements": 3
     }
     elements = parsers.explode_elements(extracted)
-    assert {(r.document, r.text) for r in elements.collect()} == {("a.TXT", "Été line."), ("b.html", "para")}
+    assert {(r.document, r.text) for r in elements.collect()} == {
+        ("a.TXT", "Été line."), ("b.html", "para"), ("d.md", "bad \ufffd byte")
+    }
 
 
 def test_summary_of_a_log(spark):
