@@ -89,15 +89,26 @@ class Grouping:
         return int(whole * self.params.overlap)
 
     def groups(self, own: int, start: int, overlap: int):
-        """Groups that begin among the first ``own`` elements: (start, stop, overlap, title)."""
-        title, seen, found = -1, 0, []
+        """Groups that begin among the first ``own`` elements: (start, stop, overlap, title, back).
+
+        ``title`` is the last Title up to the group's first element.  ``back`` is the group
+        from which on the texts before are needed for the repeated text: mostly the one
+        before, earlier ones only where that is shorter than what is repeated; -1 if the
+        repeated text may reach beyond the first group.
+        """
+        title, seen, found, sizes = -1, 0, [], []
         while start < min(own, len(self.tokens)):
             for at in range(seen, start + 1):
                 if self.kinds[at] == TITLE:
                     title = at
             seen = start + 1
             stop, following = self.close(start, overlap)
-            found.append((start, stop, overlap, title))
+            back, needed = len(found) - 1, overlap
+            while back >= 0 and needed > sizes[back] and found[back][2]:
+                needed = found[back][2]
+                back -= 1
+            found.append((start, stop, overlap, title, back))
+            sizes.append(sum(self.tokens[start:stop]))
             start, overlap = stop, following
         return found
 
@@ -119,7 +130,8 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.dot(a, b)) / size if size else 0.0
 
 
-GROUP_TYPE = "array<struct<start:int,stop:int,overlap:int,title:int>>"
+GROUP_FIELDS = ("start", "stop", "overlap", "title", "back")
+GROUP_TYPE = "array<struct<start:int,stop:int,overlap:int,title:int,back:int>>"
 EXIT_TYPE = "array<struct<at:int,overlap:int,exit_at:int,exit_overlap:int>>"
 
 
@@ -131,7 +143,7 @@ def group_column(
     def groups_of(tokens, kinds, own, at, overlap, vectors=None):
         rows = zip(tokens, kinds, own, at, overlap, vectors if vectors is not None else [None] * len(tokens))
         return [
-            [dict(zip(("start", "stop", "overlap", "title"), g)) for g in Grouping(params, t, k, v).groups(o, a, c)]
+            [dict(zip(GROUP_FIELDS, g)) for g in Grouping(params, t, k, v).groups(o, a, c)]
             for t, k, o, a, c, v in rows
         ]
 

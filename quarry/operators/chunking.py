@@ -9,6 +9,8 @@ of groups passes from block to block is found by ``entry_nodes``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -101,28 +103,34 @@ def _with_groups(rows: DataFrame, params: ChunkParams) -> DataFrame:
     return rows.withColumn("groups", found)
 
 
-def _members(group: Column) -> Column:
-    return F.slice("elements", group["start"] + 1, group["stop"] - group["start"])
+def _members(group: Column, pick: Callable[[Column], Column]) -> Column:
+    """Something of each element of a group, read by place: ``slice`` would copy the whole row first."""
+    places = F.sequence(group["start"], group["stop"] - 1)
+    return F.transform(places, lambda i: pick(F.col("elements")[i]))
 
 
 def _own_text(group: Column) -> Column:
-    bodies = F.transform(_members(group), lambda e: e["body"])
+    bodies = _members(group, lambda e: e["body"])
     return F.array_join(F.filter(bodies, is_filled), "\n\n")
 
 
-def _group_texts(params: ChunkParams) -> Column:
-    """Text of every group of a row, repeated text included."""
+def _group_text(params: ChunkParams, group: Column, ordinal: Column) -> Column:
+    """Text of a group, with the end of the text before it where that is repeated."""
     if params.overlap == 0:
-        return F.transform("groups", _own_text)
+        return _own_text(group)
+
+    def repeating(before: Column, g: Column) -> Column:
+        repeated = F.concat(F.lit(OVERLAP_MARK), last_tokens(before, g["overlap"]))
+        return F.concat(repeated, F.lit("\n\n"), _own_text(g))
 
-    def following(state: Column, group: Column) -> Column:
-        repeated = F.concat(F.lit(OVERLAP_MARK), last_tokens(state["last"], group["overlap"]))
-        own = _own_text(group)
-        text = F.when(group["overlap"] > 0, F.concat(repeated, F.lit("\n\n"), own)).otherwise(own)
-        return bind(text, lambda t: F.struct(t.alias("last"), F.concat(state["all"], F.array(t)).alias("all")))
+    def next_text(before: Column, i: Column) -> Column:
+        g = F.col("groups")[i]
+        return F.when(i == group["back"], _own_text(g)).otherwise(repeating(before, g))
 
-    start = F.struct(F.col("text_before").alias("last"), F.array().cast("array<string>").alias("all"))
-    return F.aggregate("groups", start, following)["all"]
+    first = F.greatest(group["back"], F.lit(0))
+    needed = F.when(ordinal > first, F.sequence(first, ordinal - 1)).otherwise(F.array().cast("array<int>"))
+    before = F.aggregate(needed, F.col("text_before"), next_text)
+    return F.when(group["overlap"] > 0, repeating(before, group)).otherwise(_own_text(group))
 
 
 def _chunk_struct(group: Column, text: Column, ordinal: Column) -> Column:
@@ -131,12 +139,9 @@ def _chunk_struct(group: Column, text: Column, ordinal: Column) -> Column:
     chunk_type = F.when(is_image, "image").when(first["type"] == "Table", "table").otherwise("text")
     title = F.when(group["title"] >= 0, F.col("elements")[group["title"]]["text"]).otherwise(F.col("title_before"))
     repeated = (group["overlap"] > 0).cast("int")
-    tokens = F.aggregate(
-        _members(group),
-        F.lit(0),
-        # Tables count by their Markdown, everything else by its text, already counted.
-        lambda total, e: total + F.when(e["type"] == "Table", token_count(e["body"])).otherwise(e["tokens"]),
-    )
+    # Tables count by their Markdown, everything else by its text, already counted.
+    counted = _members(group, lambda e: F.when(e["type"] == "Table", token_count(e["body"])).otherwise(e["tokens"]))
+    tokens = F.aggregate(counted, F.lit(0), lambda total, n: total + n)
     return F.struct(
         ordinal.alias("ordinal"),
         text.alias("original_content"),
@@ -152,9 +157,8 @@ def _chunk_struct(group: Column, text: Column, ordinal: Column) -> Column:
 
 def _chunks_of(grouped: DataFrame, params: ChunkParams) -> DataFrame:
     """Rows with groups to one row per chunk, numbered within its block."""
-    texted = grouped.withColumn("texts", _group_texts(params))
-    chunks = F.transform("groups", lambda g, i: _chunk_struct(g, F.col("texts")[i], i))
-    return unfold(texted, ["document", "block"], chunks, "c").select("document", "block", "c.*")
+    chunks = F.transform("groups", lambda g, i: _chunk_struct(g, _group_text(params, g, i), i))
+    return unfold(grouped, ["document", "block"], chunks, "c").select("document", "block", "c.*")
 
 
 def _numbered(chunks: DataFrame, index: Column) -> DataFrame:
@@ -361,10 +365,10 @@ def chunk_long_documents(elements: DataFrame, params: ChunkParams, block_rows: i
     else:
         # Repeated text reaches back fewer tokens than a block holds, so the last text of
         # a block, as far as it is repeated, does not depend on the text before the block.
-        texts = grouped.withColumn("text_before", F.lit("")).select(
-            "document",
-            (F.col("block") + 1).alias("block"),
-            F.try_element_at(_group_texts(params), F.lit(-1)).alias("text_before"),
+        last = F.size("groups") - 1
+        text = bind(F.struct(F.col("groups")[last].alias("g"), last.alias("i")), lambda x: _group_text(params, x["g"], x["i"]))
+        texts = grouped.withColumn("text_before", F.lit("")).filter(last >= 0).select(
+            "document", (F.col("block") + 1).alias("block"), text.alias("text_before")
         )
     complete = (
         grouped.join(counts, ["document", "block"])

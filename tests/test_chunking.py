@@ -149,9 +149,19 @@ def test_below_minimum_may_exceed_maximum(make_elements):
 
 def test_no_overlap_after_a_table():
     walk = Grouping(ChunkParams("basic", 1, 4, 0.5), [4, 1, 4, 4], [0, 2, 0, 0]).groups(4, 0, 0)
+    assert [g[4] for g in walk] == [-1, 0, 1, 2]
     assert [g[:3] for g in walk] == [(0, 1, 0), (1, 2, 0), (2, 3, 0), (3, 4, 2)]
 
 
+def test_repeated_text_may_reach_back_several_groups(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    documents = {"d": [("NarrativeText", t) for t in (long, "a", "b", "c d", "e", long, "f", "g")]}
+    chunks = chunk_elements(elements_of(spark, documents), ChunkParams("basic", 1, 10, 0.5))
+    assert got(chunks) == expected(documents, 1, 10, 0.5)
+    walk = Grouping(ChunkParams("basic", 1, 10, 0.5), [40, 1, 1, 2, 1], [0] * 5).groups(5, 0, 0)
+    assert [g[4] for g in walk] == [-1, 0, 0, 0, 0]
+
+
 def test_element_count_counts_the_overlap(make_elements):
     rows = [("NarrativeText", "a b c d", metadata()), ("NarrativeText", "e f g h", metadata())]
     chunks = chunk_elements(make_elements(rows), ChunkParams("basic", 2, 5, 0.5)).orderBy("chunk_index").collect()
