@@ -44,6 +44,7 @@ def text_key(column: Column | str = "text") -> Column:
     return F.unhex(F.md5(text_or_empty(column)))
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread rows by ``columns`` over the session's shuffle partitions."""
-    return df.repartition(*[F.col(c) for c in columns])
+def row_key(docs: DataFrame) -> Column:
+    """A key of the whole row: 16 bytes of the text and 8 of all columns (maps cannot be hashed and are left out)."""
+    rest = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.unhex(F.concat(F.md5(text_or_empty()), F.lpad(F.hex(F.xxhash64(*rest)), 16, "0")))

@@ -6,7 +6,7 @@ is above. With the sources ordered by the share at which they are full, that is
 
 Sampling: a source whose target is r times its words takes every document floor(r) times for certain. The rest is an
 unequal-probability sample: each document has inclusion odds, those of the remaining share times its own weight, and a
-uniform number from a hash of its id; documents are ranked by the odds of the uniform number divided by the inclusion
+uniform number from a hash of its row; documents are ranked by the odds of the uniform number divided by the inclusion
 odds, and taken in that order while their words fit into what remains. One more document, that which comes nearest to the
 gap left, closes the sample, if it brings the words nearer to the target.
 
@@ -15,7 +15,7 @@ words of the ranges are added up, and only the range in which the target is reac
 and ranges are written first, so that Spark knows their size when it joins them.
 
 Defined results: null or blank text has size 0 and takes 0 words; null source is a source of its own; null doc_id hashes like
-a value; repeated rows and ties in rank are ordered by doc_id and size, each row being taken or not by itself; an empty table
+a value; repeated rows are numbered, and each is taken or not by itself; ties in rank go by doc_id; an empty table
 gives an empty result; further columns are ignored. Reruns agree, since the random numbers are hashes.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import WORD, stored, text_or_empty
+from quarry.llm.common import WORD, row_key, stored, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -77,23 +77,25 @@ def mix(
     odds_weight: Column | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies.
+    """doc_id, row_key, size, source_size, target, taken, copies.
 
     ``odds_weight``: a Column over doc_id, text, size that multiplies a document's inclusion odds; 1 if not given.
     """
     text = text_or_empty()
-    sized = docs.select("doc_id", source_key(F.col("source")).alias("source_key"), text.alias("text")).select(
+    sized = docs.select(
+        "doc_id", row_key(docs).alias("row_key"), source_key(F.col("source")).alias("source_key"), text.alias("text")
+    ).select(
         "doc_id",
+        "row_key",
         "source_key",
         F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"),
-        F.crc32("text").alias("crc"),
         (F.lit(1.0) if odds_weight is None else odds_weight.cast("double")).alias("w"),
     )
     # Repeated rows are told apart by a number of their own, so that no two rows have one rank.
-    again = Window.partitionBy("doc_id", "crc", "source_key").orderBy("size")
+    again = Window.partitionBy("row_key").orderBy("size")
     sized = sized.withColumn("again", F.row_number().over(again))
     # 52 bits of a hash, in the middle of their step: never 0 or 1.
-    bits = F.shiftrightunsigned(F.xxhash64("doc_id", "crc", "again", F.lit(seed)), 12)
+    bits = F.shiftrightunsigned(F.xxhash64("row_key", "again", F.lit(seed)), 12)
     sized = stored(sized.withColumn("u", (bits + 0.5) / float(1 << 52)))
 
     full = F.col("source_size") > 0
@@ -125,7 +127,7 @@ def mix(
         .agg(F.min(F.struct("part", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
         .select("source_key", F.col("e.part").alias("edge"), "e.before")
     )
-    placed = ranked.join(edge, "source_key", "left").withColumn("me", F.struct("rank", "doc_id", "again"))
+    placed = ranked.join(edge, "source_key", "left").withColumn("me", F.struct("rank", "doc_id", "row_key", "again"))
     order = Window.partitionBy("source_key").orderBy("me").rowsBetween(Window.unboundedPreceding, 0)
     inside = placed.where("part = edge").withColumn("upto", F.col("before") + F.sum("size").over(order))
     # The first document that does not fit, and the words taken before it.
@@ -154,9 +156,20 @@ def mix(
     copies = F.col("whole") + (F.col("by_rank") | closes).cast("long")
     return chosen.join(closing, "source_key", "left").select(
         "doc_id",
+        "row_key",
         "size",
         "source_size",
         "target",
         (copies * F.col("size")).alias("taken"),
         copies.alias("copies"),
     )
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    counts = mix(docs, **options).groupBy("row_key").agg(F.sum("copies").alias("n")).where("n > 0")
+    counts = stored(counts.select(F.col("row_key").alias("__row"), F.col("n").alias("__n")))
+    marked = docs.withColumn("__row", row_key(docs))
+    # Rows that are alike count together and are one row here, which comes as often as all of them.
+    one = marked.join(counts, "__row").dropDuplicates(["__row"])
+    return one.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)

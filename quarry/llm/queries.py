@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import adaptive_quality, chat, decontaminate, mixture, probminhash, reshard, site_tree, toxicity
+from quarry.llm import adaptive_quality, chat, decontaminate, mixture, packing, pii_crf, probminhash, reshard, site_tree, toxicity
 from quarry.session import prepare
 
 
@@ -38,6 +38,33 @@ def op4_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents: those of the patterns, and all."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii_crf.spans(docs, pii_crf.fit(docs))
+
+    def of(kind: str, column: Column) -> Column:
+        return F.filter(column, lambda s: s["kind"] == kind)
+
+    def written(column: Column) -> Column:
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.array_join(F.transform(column, one), ",")
+
+    both = F.concat("base", "added")
+    counts = [F.size(of(k, F.col("base"))).cast("long").alias(f"n_{k}") for k in pii_crf.KINDS]
+    # All spans again by kind as listed, then start.
+    every = F.flatten(F.array(*[F.sort_array(of(k, both)) for k in pii_crf.KINDS]))
+    return found.select(
+        "doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(every).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as rows of packed token ids."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the formatted conversations, read back from the formatted text."""
     rows = table(spark, sf_dir, "conversations")
@@ -86,5 +113,5 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixture, op4_site_tree, op7_chat_format, op8_reshard, op9_probminhash, op10_adaptive_quality)
+    f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixture, op4_site_tree, op5_pii, op6_packing, op7_chat_format, op8_reshard, op9_probminhash, op10_adaptive_quality)
 }

@@ -15,7 +15,7 @@ within their piece, so that no shard is sorted in one task.
 ``rewrite`` writes the files of those new shards only whose rows change.
 
 Defined results: null text has no bytes and counts as empty; every row has one byte more than its text; repeated rows each
-get a slot; ties are broken by id, then text; an empty table gives an empty result; further columns are kept by ``reshard`` and
+get a slot; ties are broken by id, then the whole row; an empty table gives an empty result; further columns are kept by ``reshard`` and
 ignored by ``assign``.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import stored, text_key, text_or_empty
+from quarry.llm.common import row_key, stored, text_key, text_or_empty
 
 OLD_SHARDS, NEW_SHARDS = 12, 16
 #: Blocks per old shard.
@@ -116,7 +116,7 @@ def assign(
     piece_rows: int = PIECE_ROWS,
     cost: Sequence[Sequence[int]] | None = None,
 ) -> DataFrame:
-    """doc_id, text_key, size, text_crc32, old_shard, shard, slot: one row per row of ``docs``.
+    """doc_id, row_key, size, text_crc32, old_shard, shard, slot: one row per row of ``docs``.
 
     ``old_shard``: where a row lies now, 0 to old_shards - 1, as a Column over doc_id, text and text_key (equal texts should
     lie together); by default a range of the hash of its text.
@@ -124,10 +124,11 @@ def assign(
     key_hash = F.xxhash64("text_key")
     now = F.pmod(key_hash, F.lit(old_shards)) if old_shard is None else old_shard
     text = text_or_empty()
-    rows = docs.select("doc_id", text.alias("text"), text_key().alias("text_key"))
+    rows = docs.select("doc_id", row_key(docs).alias("row_key"), text.alias("text"), text_key().alias("text_key"))
     rows = stored(
         rows.select(
             "doc_id",
+            "row_key",
             "text_key",
             (F.octet_length("text") + 1).cast("long").alias("size"),
             F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
@@ -167,42 +168,31 @@ def assign(
     placed = rows.join(F.broadcast(where), ["old_shard", "block", "part"])  # as bounded as the blocks
 
     n_pieces = -(-n_rows // (new_shards * piece_rows))
-    placed = placed.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(n_pieces)).cast("int"))
+    placed = placed.withColumn("piece", F.pmod(F.xxhash64("row_key"), F.lit(n_pieces)).cast("int"))
     counts = placed.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("n"))
     ahead = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(counts.select("shard", "piece", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first")))
-    order = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_key")
+    order = Window.partitionBy("shard", "piece").orderBy("doc_id", "row_key")
     return (
         placed.withColumn("nth", F.row_number().over(order) - 1)
         .join(starts, ["shard", "piece"])
         .select(
-            "doc_id", "text_key", "size", "text_crc32", "old_shard", "shard",
+            "doc_id", "row_key", "size", "text_crc32", "old_shard", "shard",
             (F.col("first") + F.col("nth")).cast("long").alias("slot"),
         )
     )
 
 
 def reshard(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with old_shard, shard and slot; columns of these names in the input are replaced.
-
-    Rows that are alike in id and text are numbered among themselves on both sides, so that each gets a slot of its own.
-    """
+    """``docs`` with old_shard, shard and slot; columns of these names in the input are replaced."""
     names = [c for c in docs.columns if c not in ("old_shard", "shard", "slot")]
-    same = Window.partitionBy("__id", "__key")
-    found = assign(docs, **options).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "old_shard", "shard", "slot"
-    )
-    found = found.withColumn("__nth", F.row_number().over(same.orderBy("slot")))
-    found = found.select(*[F.col(c).alias(f"__f{c}") for c in found.columns])
-    rows = docs.select(*names, F.col("doc_id").alias("__id"), text_key().alias("__key"))
-    rows = rows.withColumn("__nth", F.row_number().over(same.orderBy("__id")))
-    joined = rows.join(
-        found,
-        rows["__id"].eqNullSafe(found["__f__id"])
-        & (rows["__key"] == found["__f__key"])
-        & (rows["__nth"] == found["__f__nth"]),
-    )
-    return joined.select(*names, *[F.col(f"__f{c}").alias(c) for c in ("old_shard", "shard", "slot")])
+    docs = docs.select(*names)
+    place = F.struct("slot", "shard", "old_shard")
+    found = assign(docs, **options).groupBy("row_key").agg(F.collect_list(place).alias("__places"))
+    found = stored(found.withColumnRenamed("row_key", "__row"))
+    # Rows that are alike are one row here, which comes once for each of their places.
+    one = docs.withColumn("__row", row_key(docs)).join(found, "__row").dropDuplicates(["__row"])
+    return one.withColumn("__p", F.explode("__places")).select(*names, "__p.old_shard", "__p.shard", "__p.slot")
 
 
 def rewrite(resharded: DataFrame, path: str) -> None:
