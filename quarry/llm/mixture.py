@@ -29,6 +29,8 @@ from quarry.llm.common import WORD, row_key, stored, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
+#: Passes over the ranked documents; each takes up those that fit into what the pass before left.
+PASSES = 3
 SEED = 20240229
 
 
@@ -113,38 +115,17 @@ def mix(
         .withColumn("rank", F.when((F.col("share") > 0) & (F.col("size") > 0), odds / inclusion))
         .withColumn("part", F.floor(even / (1 + even) * F.ceil(F.sqrt("n_docs"))))
     )
-    so_far = Window.partitionBy("source_key").orderBy("part")
-    parts = (
-        ranked.where("part is not null")
-        .groupBy("source_key", "part")
-        .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-        .withColumn("upto", F.sum("words").over(so_far))
-    )
-    # The first range that does not fit whole, with the words of the ranges before it.
-    edge = stored(
-        parts.where("upto > rest")
-        .groupBy("source_key")
-        .agg(F.min(F.struct("part", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
-        .select("source_key", F.col("e.part").alias("edge"), "e.before")
-    )
-    placed = ranked.join(edge, "source_key", "left").withColumn("me", F.struct("rank", "doc_id", "row_key", "again"))
-    order = Window.partitionBy("source_key").orderBy("me").rowsBetween(Window.unboundedPreceding, 0)
-    inside = placed.where("part = edge").withColumn("upto", F.col("before") + F.sum("size").over(order))
-    # The first document that does not fit, and the words taken before it.
-    cut = stored(
-        inside.where("upto > rest")
-        .groupBy("source_key")
-        .agg(F.min(F.struct("me", (F.col("upto") - F.col("size")).alias("words"))).alias("c"))
-        .select("source_key", F.col("c.me").alias("stop"), F.col("c.words").alias("reached"))
-    )
-    by_rank = F.coalesce(
-        F.when(F.col("edge").isNull(), F.col("rank").isNotNull())
-        .when(F.col("part") == F.col("edge"), F.col("me") < F.col("stop"))
-        .otherwise(F.col("part") < F.col("edge")),
-        F.lit(False),
-    )
-    chosen = placed.join(cut, "source_key", "left").withColumn("by_rank", by_rank)
-    gap = F.col("rest") - F.col("reached")
+    ranked = ranked.withColumn("me", F.struct("rank", "doc_id", "row_key", "again"))
+    taken = F.lit(False)
+    state = aims.select("source_key", F.col("rest").alias("gap_0"))
+    for n in range(PASSES):
+        open_rows = ranked.join(state, "source_key").where(F.col("rank").isNotNull() & ~taken & (F.col("size") <= F.col(f"gap_{n}")))
+        state = stored(state.join(_fill(open_rows, f"gap_{n}", n), "source_key", "left"))
+        state = state.withColumn(f"gap_{n + 1}", F.col(f"gap_{n}") - F.coalesce(f"words_{n}", F.lit(0)))
+        fits = (F.col("size") <= F.col(f"gap_{n}")) & F.coalesce(F.col("me") < F.col(f"stop_{n}"), F.lit(True))
+        taken = taken | fits
+    chosen = ranked.join(state, "source_key").withColumn("by_rank", F.col("rank").isNotNull() & taken)
+    gap = F.col(f"gap_{PASSES}")
     miss = F.abs(gap - F.col("size"))
     closing = stored(
         chosen.where(~F.col("by_rank") & F.col("rank").isNotNull() & (miss < gap))
@@ -165,6 +146,35 @@ def mix(
     )
 
 
+def _fill(rows: DataFrame, gap: str, n: int) -> DataFrame:
+    """Per source: stop_n, the first row in order of rank that no longer fits into the gap (null if all do), and words_n before it."""
+    so_far = Window.partitionBy("source_key").orderBy("part")
+    parts = (
+        rows.groupBy("source_key", "part")
+        .agg(F.sum("size").alias("words"), F.first(gap).alias("gap"))
+        .withColumn("upto", F.sum("words").over(so_far))
+    )
+    over = F.col("upto") > F.col("gap")
+    # The first range that does not fit whole, and the words of the ranges before it.
+    edge = stored(
+        parts.groupBy("source_key").agg(
+            F.min(F.when(over, F.struct("part", (F.col("upto") - F.col("words")).alias("before")))).alias("e"),
+            F.sum("words").alias("all"),
+        )
+    )
+    order = Window.partitionBy("source_key").orderBy("me").rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.join(edge, "source_key").where(F.col("part") == F.col("e.part"))
+    inside = inside.withColumn("upto", F.col("e.before") + F.sum("size").over(order))
+    cut = (
+        inside.where(F.col("upto") > F.col(gap))
+        .groupBy("source_key")
+        .agg(F.min(F.struct("me", (F.col("upto") - F.col("size")).alias("words"))).alias("c"))
+    )
+    return edge.join(cut, "source_key", "left").select(
+        "source_key", F.col("c.me").alias(f"stop_{n}"), F.coalesce("c.words", "all").alias(f"words_{n}")
+    )
+
+
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     counts = mix(docs, **options).groupBy("row_key").agg(F.sum("copies").alias("n")).where("n > 0")
