@@ -9,19 +9,19 @@ first. Two texts agree in a register with the probability Jaccard similarity of
 similarity where each text has equal weights. Arrivals are drawn only up to a time at which all registers are filled (early
 termination; if one is empty, up to twice that time), so a sketch costs about m ln m arrivals, however long the text.
 
-**Links.** Registers are cut into bands; texts that agree in a whole band are candidates. Exact copies are one node from the
-start. In each crowded band value, all members are compared with one leader, the member that meets the most others over all
-its bands (for edited copies, their original). A pair is a link if its five-word shingles have a Jaccard similarity of 0.8
-or more, computed on the whole texts. Members that then still lie in different components are compared with one
-another, by their sketches first (a pair whose registers agree in less than ``LEAST_AGREEMENT`` goes: a
-similar pair falls below that about once in 10^8), and exactly where these allow it. So every candidate pair
-has been verified, is settled by its sketches, or lies in one component already.
+**Candidates.** Registers are cut into bands; texts that agree in a whole band are candidates. Exact copies are one node from
+the start. Each member of a crowded band value is tied to the least one, and what is tied together is a family.
+
+**Links.** Within a family every pair is compared on the whole texts: an index from shingles to members counts, for one member,
+what it shares with all others at once. A pair is a link if the Jaccard similarity of its five-word shingles is 0.8 or more.
+Of the links found together, those that join what is not joined yet are returned: enough for the classes, and never more than
+there are texts. Large families are cut into pieces, and pieces are compared two by two, so no task holds more than two.
 
 **Classes** are connected components of the links: the least label spreads over links, with pointer jumping, each round a
 written table.
 
-Scale: texts are shuffled only for candidate pairs; large band values are cut into pieces of ``PIECE`` members before
-they are compared; everything kept between steps is a table in the shared folder.
+Scale: texts are shuffled only if they are in a family (a sieve of at most ``SIEVE`` numbers goes to all workers and lets no other
+text pass to the shuffle, but for rare collisions); everything kept between steps is a table in the shared folder.
 
 Defined results: null text counts as empty; equal texts (also empty ones) are one class; texts of one to four words are one
 shingle; a null doc_id is carried along, and is the class only if the class has no other id; repeated rows are in one
@@ -45,23 +45,15 @@ WORDS_IN_SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 4, 24
 REGISTERS = ROWS * BANDS
-LEAST_AGREEMENT = 0.55
-PIECE = 400
+#: Members, and characters, of a family that are compared at once, about.
+PIECE, PIECE_CHARS = 400, 8_000_000
+SIEVE = 1 << 20
 #: Arrivals are drawn until a time by which a register is empty with probability exp(-SURE) / REGISTERS.
 SURE = 2.5
 #: Shingles that are sketched at once.
 TOGETHER = 30_000
 
 
-def shingle_sets(text: str | None, known: tuple[Words, ...]) -> list[np.ndarray]:
-    return [np.unique(shingle_hashes(words.hashes(text), WORDS_IN_SHINGLE)) for words in known]
-
-
-def jaccard(left: np.ndarray, right: np.ndarray) -> float:
-    both = len(np.intersect1d(left, right, assume_unique=True))
-    return both / max(1, len(left) + len(right) - both)
-
-
 def weighted_shingles(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray]:
     found, times = np.unique(shingle_hashes(known.hashes(text), WORDS_IN_SHINGLE), return_counts=True)
     return found, 1.0 + np.log(times)
@@ -124,60 +116,30 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         cuts = np.flatnonzero(np.diff(np.cumsum(counts[some]) // TOGETHER)) + 1
         signatures = [prob_min_hash([found[i] for i in part]) for part in np.split(some, cuts) if len(part)]
         signatures = np.concatenate([np.zeros((0, REGISTERS), np.uint64), *signatures])
-        agree = [b""] * len(found)
-        for i, row in zip(some, (signatures & np.uint64(0xFF)).astype(np.uint8), strict=True):
-            agree[i] = row.tobytes()
         ends = np.cumsum([0, *(BANDS * (counts > 0))], dtype=np.int32)
         flat = band_hashes(signatures).ravel()
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("key"),
-                pa.array(counts.astype(np.int32)),
-                pa.array(agree, pa.binary()),
+                batch.column("n_chars"),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
             ],
-            ["doc_id", "key", "n_shingles", "sketch", "bands"],
+            ["doc_id", "key", "n_chars", "bands"],
         )
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """node, key, doc_id (least), n_shingles, sketch, bands: one row per distinct text, written."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_or_empty().alias("text"))
-    sketches = rows.mapInArrow(
-        _sketch_batches, "doc_id long, key binary, n_shingles int, sketch binary, bands array<long>"
-    )
-    one = sketches.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first(F.struct("n_shingles", "sketch", "bands")).alias("s")
-    )
+    """node, key, doc_id (least), n_chars, bands: one row per distinct text, written."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_or_empty().alias("text")
+    ).withColumn("n_chars", F.length("text").cast("long"))
+    sketches = rows.mapInArrow(_sketch_batches, "doc_id long, key binary, n_chars long, bands array<long>")
+    one = sketches.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_chars", "bands")).alias("s"))
     # The number of a node is fixed once it is written.
     return stored(one.select(F.monotonically_increasing_id().alias("node"), "key", "doc_id", "s.*"))
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, last, mine = (Words(), Words(marks=True)), None, []
-    for batch in batches:
-        a, b, sims = [], [], []
-        for x, y, left, right in zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b")), strict=True):
-            if x.as_py() != last:
-                last, mine = x.as_py(), shingle_sets(left.as_py(), known)
-            similarity = max(map(jaccard, mine, shingle_sets(right.as_py(), known)))
-            if similarity >= SIMILARITY:
-                a.append(last)
-                b.append(y.as_py())
-                sims.append(similarity)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sims, pa.float64())], ["a", "b", "similarity"]
-        )
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar: a, b, similarity."""
-    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_similar, "a long, b long, similarity double")
-
-
 def components(links: DataFrame) -> DataFrame:
     """node, label: the least node that links lead to, for every node that has a link."""
     edges = stored(
@@ -207,71 +169,85 @@ def components(links: DataFrame) -> DataFrame:
         total = seen
 
 
-def _agreeing(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a piece, or of two pieces of one band value, that lie apart and whose sketches agree enough."""
-    group = group.sort_values("node")
-    sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), REGISTERS)
-    node, label, slot = (group[c].to_numpy() for c in ("node", "label", "slot"))
-    size = group["n_shingles"].to_numpy()
-    same_piece = group["low"].iloc[0] == group["high"].iloc[0]
+def _shared(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set in turn, how many elements it shares with each of the sets."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owners = owner[np.argsort(number, kind="stable")]
+    ends = np.cumsum(np.bincount(number))
+    begins = np.concatenate([[0], ends[:-1]])
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    for i in range(len(sets)):
+        own = number[at[i] : at[i + 1]]
+        count = ends[own] - begins[own]
+        stop = np.cumsum(count)
+        places = np.arange(count.sum()) - np.repeat(stop - count - begins[own], count)
+        yield np.bincount(owners[places], minlength=len(sets))
+
+
+def _family_links(members: pd.DataFrame) -> pd.DataFrame:
+    """Links that join members of one piece, or of two pieces, of a family."""
+    members = members.sort_values("node")
+    node, slot = members["node"].to_numpy(), members["slot"].to_numpy()
+    inside = members["low"].iloc[0] == members["high"].iloc[0]
+    above = list(range(len(node)))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = i = above[above[i]]
+        return i
+
     found = []
-    for i in range(len(group) - 1):
-        rest = slice(i + 1, None)
-        open_ = (label[rest] != label[i]) & (same_piece | (slot[rest] != slot[i]))
-        open_ &= np.minimum(size[rest], size[i]) >= SIMILARITY * np.maximum(size[rest], size[i])
-        at = np.flatnonzero(open_) + i + 1
-        agree = (sketch[at] == sketch[i]).mean(axis=1) >= LEAST_AGREEMENT
-        found += [(node[i], node[j]) for j in at[agree]]
+    for words in (Words(), Words(marks=True)):
+        sets = [np.unique(shingle_hashes(words.hashes(t), WORDS_IN_SHINGLE)) for t in members["text"]]
+        size = np.array([len(x) for x in sets])
+        if not size.any():
+            continue
+        for i, both in enumerate(_shared(sets)):
+            # both >= SIMILARITY * union, in whole numbers of a hundredth.
+            alike = (both > 0) & (100 * both >= round(100 * SIMILARITY) * (size + size[i] - both))
+            alike[: i + 1] = False
+            if not inside:
+                alike &= slot != slot[i]
+            for j in np.flatnonzero(alike):
+                x, y = top(i), top(int(j))
+                if x != y:
+                    above[y] = x
+                    found.append((node[i], node[j]))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """nodes(docs), and the verified links between them that settle every candidate pair (a, b, similarity)."""
+    """nodes(docs), and links (a, b) between them whose components are those of all similar pairs among the candidates."""
     every = nodes(docs)
     banded = every.select("node", F.explode("bands").alias("band"))
-    crowds = stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    crowded = stored(banded.join(crowds, "band"))
-    met = stored(crowded.groupBy("node").agg(F.sum("n").alias("met")))
-    leaders = stored(
-        crowded.join(met, "node")
-        .groupBy("band")
-        .agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("leader"))
-    )
-    first_pairs = stored(
-        crowded.join(leaders, "band")
-        .where("node <> leader")
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    crowds = stored(
+        banded.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    needed = crowded.select("node").distinct().join(every.select("node", "key"), "node")
-    whole = docs.select(text_key().alias("key"), text_or_empty().alias("text"))
-    texts = stored(whole.join(stored(needed), "key").dropDuplicates(["node"]).select("node", "text"))
-    first_links = stored(verified(first_pairs, texts))
-
-    label = components(first_links)
-    apart = (
-        crowded.where("n > 2")
-        .join(label, "node", "left")
-        .select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    ties = stored(
+        banded.join(crowds, "band").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     )
-    apart = stored(apart)
-    mixed_bands = stored(
-        apart.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
-    )
-    pieces = F.ceil(F.col("n") / PIECE).cast("int")
-    slot = F.pmod(F.xxhash64("node"), pieces).cast("int")
+    family = components(ties).withColumnRenamed("label", "family")
+    which = F.pmod(F.xxhash64("key", "doc_id"), F.lit(SIEVE))
+    needed = stored(family.join(every.drop("bands"), "node").withColumn("which", which))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_or_empty().alias("text"))
+    # At most SIEVE numbers.
+    passed = rows.join(F.broadcast(needed.select("which").distinct()), which == F.col("which"), "left_semi")
+    texts = passed.select("key", "text").join(needed.drop("doc_id", "which"), "key").dropDuplicates(["node"])
+    sizes = needed.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    pieces = F.greatest(F.ceil(F.col("n") / PIECE), F.ceil(F.col("chars") / PIECE_CHARS), F.lit(1)).cast("int")
+    sizes = stored(sizes.select("family", pieces.alias("pieces")))
     members = (
-        apart.join(mixed_bands, "band")
-        .withColumn("slot", slot)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        stored(texts.select("node", "family", "text"))
+        .join(sizes, "family")
+        .withColumn("slot", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .withColumn("low", F.least("slot", "other"))
         .withColumn("high", F.greatest("slot", "other"))
-        .join(every.select("node", "sketch", "n_shingles"), "node")
+        .select("family", "low", "high", "slot", "node", "text")
     )
-    further = members.groupBy("band", "low", "high").applyInPandas(_agreeing, "a long, b long").distinct()
-    tested = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    further_pairs = stored(further.join(tested, ["a", "b"], "left_anti"))
-    return every, stored(first_links.unionByName(verified(further_pairs, texts)))
+    return every, stored(members.groupBy("family", "low", "high").applyInPandas(_family_links, "a long, b long"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
