@@ -10,7 +10,8 @@
   seven digits. Each token is linked to the last one before it that agrees, so links grow with the tokens, not their pairs.
 
 The weights are fitted by pseudo-likelihood with the base spans as labels, on the candidate tokens of at most ``FIT_DOCUMENTS`` documents (those
-with the least hash of their id, a bounded sample for fitting only). In every document, tokens of base spans are given, and loopy belief
+with the least hash of their id, a bounded sample for fitting only). A token without a base span that agrees with one of
+a base span is not known to be none of the kinds, and is left out of the fit. In every document, tokens of base spans are given, and loopy belief
 propagation passes messages along all edges, so that a number that is a phone number in one place is one in others too,
 even where no pattern matches. Tokens with a belief of at least ``SURE`` and a given or believed twin add spans; base spans stay as they are.
 
@@ -282,6 +283,7 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows += [
                 {"doc_id": doc_id, "at": k, "features": f, "label": label[k], "left": left[k], "right": right[k], "twins": twins[k]}
                 for k, f in enumerate(tokens.features)
+                if label[k] < NONE or not any(twins[k][:NONE])
             ]
         ints = pa.list_(pa.int32())
         kind = pa.schema(

@@ -143,7 +143,7 @@ def assign(
     total = sum(x[2] for x in table)
     capacity = [total // new_shards + (j < total % new_shards) for j in range(new_shards)]
     # A block that no shard can hold is dealt out over ids.
-    pieces = {(o, b): -(-2 * size // max(1, capacity[0])) for o, b, size in table if size > capacity[0]}
+    pieces = {(o, b): 64 * -(-size // max(1, capacity[0])) for o, b, size in table if size > capacity[0]}
     blocks = [(o, b, 0, size) for o, b, size in table if (o, b) not in pieces]
     part = F.lit(0)
     if pieces:

@@ -18,7 +18,7 @@ The tree of a host is rows of counts, added up before they are shuffled, never o
 parsed form, and the removed paths (of the few undecided ones) are joined to them by host.
 
 Defined results: null html or url counts as empty; a page without text gives an empty string; broken markup is read as far as it
-goes, an unclosed comment or script to the end; repeated pages count in the tree each time and give a row each; an empty
+goes, an unclosed comment or script to the end; repeated pages are one page of the tree and give a row each; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -178,7 +178,7 @@ class Parser:
 
 
 PARSED = (
-    "page_id long, url string, host string, path array<long>, prior array<float>, hash array<long>, text array<string>, "
+    "page_id long, url string, host string, page long, path array<long>, prior array<float>, hash array<long>, text array<string>, "
     "node array<long>, children array<long>, leaf array<long>, above array<array<long>>"
 )
 
@@ -205,10 +205,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (longs, floats, longs, strings, longs, longs, longs, pa.list_(longs))
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c) for c in ("page_id", "url", "host")),
+                *(batch.column(c) for c in ("page_id", "url", "host", "page")),
                 *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
             ],
-            ["page_id", "url", "host", "path", "prior", "hash", "text", "node", "children", "leaf", "above"],
+            ["page_id", "url", "host", "page", "path", "prior", "hash", "text", "node", "children", "leaf", "above"],
         )
 
 
@@ -216,13 +216,15 @@ def parsed(pages: DataFrame) -> DataFrame:
     """The pages as blocks and style nodes, written."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(host, F.lit("")).alias("host"), "html"
+        F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(host, F.lit("")).alias("host"),
+        F.xxhash64("html").alias("page"), "html",
     )
     return stored(rows.mapInArrow(_parse, PARSED))
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, importance of each text node, from the parsed pages."""
+    """host, path, importance of each text node, from the parsed pages; pages that are alike are one page of the tree."""
+    pages = pages.select("host", "page", "path", "hash", "node", "children", "leaf", "above").dropDuplicates(["host", "page"])
     nodes = pages.select("host", F.explode(F.arrays_zip("node", "children")).alias("x"))
     kinds = nodes.groupBy("host", F.col("x.node").alias("path"), F.col("x.children").alias("c")).agg(
         F.count(F.lit(1)).alias("n")
