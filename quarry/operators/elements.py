@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.functions.text import html_table_to_markdown, is_filled, media_type, strip
+from quarry.operators.enrich import one_answer
 
 # What stands for a description that could not be had.
 NO_DESCRIPTION = "[Image: description unavailable]"
@@ -36,7 +37,7 @@ def image_requests(elements: DataFrame) -> DataFrame:
         F.sha2("metadata.image_base64", 256).alias("request_id"),
         F.col("metadata.image_base64").alias("image_base64"),
         media_type(F.col("metadata.filetype")).alias("media_type"),
-    ).dropDuplicates(["request_id"])
+    ).groupBy("request_id").agg(F.first("image_base64").alias("image_base64"), F.min("media_type").alias("media_type"))
 
 
 def describe_images(elements: DataFrame, completions: DataFrame) -> DataFrame:
@@ -45,9 +46,7 @@ def describe_images(elements: DataFrame, completions: DataFrame) -> DataFrame:
     ``completions(task, request_id, response)``: an empty response and a missing one
     leave two different stand-in texts.
     """
-    responses = completions.filter(F.col("task") == "image").select(
-        F.col("request_id").alias("image_id"), "response"
-    )
+    responses = one_answer(completions, "image").withColumnRenamed("request_id", "image_id")
     valid = valid_elements(elements)
     is_image = F.coalesce(F.col("type") == "Image", F.lit(False))
     # Only images take part in the join; all other rows stay where they are.

@@ -23,12 +23,6 @@ CONTEXT_PROMPT = (
     "\n</chunk>\n\nPlease give a short succinct context to situate this chunk within the overall document for the "
     "purposes of improving search retrieval of the chunk. Answer only with the succinct context and nothing else.",
 )
-IMAGE_PROMPT = (
-    "Describe this image in detail. Include what type of content it is (chart, diagram, screenshot, photo, etc.) and "
-    "all relevant information visible in the image. Be specific and thorough."
-)
-# Most tokens a response may have, by task.
-RESPONSE_TOKENS = {"context": 100, "image": 300, "rerank": 100, "hyde": 200, "expand": 200}
 
 
 @dataclass(frozen=True)
@@ -51,10 +45,17 @@ def respond(requests: DataFrame, completions: DataFrame | None, task: str) -> Da
     """Requests with their ``response`` (stripped; null where there is none)."""
     if completions is None:
         return requests.withColumn("response", F.lit(None).cast("string"))
-    answers = completions.filter(F.col("task") == task).select("request_id", strip(F.col("response")).alias("response"))
+    answers = one_answer(completions, task).withColumn("response", strip(F.col("response")))
     return requests.join(answers, "request_id", "left")
 
 
+def one_answer(completions: DataFrame, task: str) -> DataFrame:
+    """request_id, response: of several answers to one request the least that is not empty, else empty."""
+    answers = completions.filter(F.col("task") == task).groupBy("request_id")
+    filled = F.min(F.when(F.col("response") != "", F.col("response")))
+    return answers.agg(F.coalesce(filled, F.min("response")).alias("response"))
+
+
 def unanswered(requests: DataFrame, completions: DataFrame, task: str) -> DataFrame:
     """Distinct requests for which no response is on file."""
     answers = completions.filter(F.col("task") == task).select("request_id")
@@ -148,7 +149,7 @@ def embed_texts(texts: DataFrame, cache: DataFrame, dimensions: int, text: str =
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dimensions)
     return (
         text_keys(texts, text)
-        .join(cache.select("text_sha", "embedding"), "text_sha", "left")
+        .join(cache.groupBy("text_sha").agg(F.min("embedding").alias("embedding")), "text_sha", "left")
         .withColumn("embedding", F.coalesce("embedding", zeros))
         .drop("text_sha")
     )

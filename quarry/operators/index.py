@@ -14,18 +14,25 @@ from quarry.operators.ranking import small_side
 from quarry.schemas import FILTER_FIELDS, VECTORS
 from quarry.sources.versioned import VersionedTable
 
-# Characters of a text that are stored with a vector.
-STORED_CONTENT_CHARS = 2000
-STORED_DESCRIPTION_CHARS = 1000
-
 # Ids that may be sent whole to every task.
 MAX_SENT_IDS = 1_000_000
 
 OPERATORS = {"$eq": operator.eq, "$gte": operator.ge, "$lte": operator.le}
 
 
-def prepare_vectors(chunks: DataFrame, embedding: Column | None = None) -> DataFrame:
-    """Chunk records as flat, filterable index records with defaults for what is missing."""
+def prepare_vectors(
+    chunks: DataFrame,
+    embedding: Column | None = None,
+    content_chars: int | None = None,
+    description_chars: int | None = None,
+) -> DataFrame:
+    """Chunk records as flat, filterable index records with defaults for what is missing.
+
+    Texts are stored whole; ``content_chars`` and ``description_chars`` cut them for a store that limits them.
+    """
+
+    def cut(column: str, chars: int | None) -> Column:
+        return F.col(column) if chars is None else F.left(column, F.lit(chars))
 
     def number(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0)).cast("int").alias(name)
@@ -46,9 +53,9 @@ def prepare_vectors(chunks: DataFrame, embedding: Column | None = None) -> DataF
         number("element_count"),
         number("token_count"),
         F.coalesce("has_image", F.lit(False)).alias("has_image"),
-        F.nullif(F.left("image_description", F.lit(STORED_DESCRIPTION_CHARS)), F.lit("")).alias("image_description"),
+        F.nullif(cut("image_description", description_chars), F.lit("")).alias("image_description"),
         F.nullif("filetype", F.lit("")).alias("filetype"),
-        F.left("original_content", F.lit(STORED_CONTENT_CHARS)).alias("original_content"),
+        cut("original_content", content_chars).alias("original_content"),
     )
 
 
@@ -134,12 +141,15 @@ class VectorTable:
         return self.table.read()
 
     def index_chunks(self, vectors: DataFrame, order: list[Column] | None = None) -> dict[str, int]:
-        """Upsert records; a vector of another width stops the job and changes nothing."""
+        """Upsert records; a vector of another width stops the job and changes nothing.
+
+        Of several records with one id the last in ``order`` counts, by default the last in the batch.
+        """
         width = F.assert_true(
             F.size("embedding") == self.dimensions, F.lit(f"vectors must have {self.dimensions} numbers")
         )
-        checked = vectors.filter(width.isNull())
-        self.table.replace(upsert(self.read(), checked, order or [F.col("chunk_index")]))
+        checked = vectors.filter(width.isNull()).withColumn("_sent", F.monotonically_increasing_id())
+        self.table.replace(upsert(self.read(), checked, order or [F.col("_sent")]))
         return {"upserted": vectors.select("id").count(), **self.stats()}
 
     def stats(self) -> dict[str, int]:

@@ -17,11 +17,19 @@ METRICS = ("cosine", "dotproduct", "euclidean")
 MAX_BUCKET_ROWS = 20_000
 
 
-def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+    """Vectors as rows of ``width`` numbers (by default that of the first); null vectors and numbers are zero."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    return flat.reshape(len(vectors), -1)
+    sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    there = vectors.is_valid().to_numpy(zero_copy_only=False)
+    if width is None:
+        width = int(sizes[there][0]) if there.any() else 0
+    if (sizes[there] != width).any():
+        raise ValueError(f"vectors must have {width} numbers")
+    rows = np.zeros((len(vectors), width))
+    rows[there] = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, width)
+    return np.nan_to_num(rows, nan=0.0)
 
 
 def _scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -46,6 +54,7 @@ def dense_topk(
 ) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` best vectors per query.
 
+    A null vector counts as zeros; one of another width than the queries stops the job.
     ``vectors(id, embedding)`` should already be filtered; ``queries(query_id, embedding)``.
     Up to ``max_sent`` queries are sent to every task and the vectors are only scanned;
     more queries are cut into blocks of that size, each joined with every bucket of vectors.
@@ -67,7 +76,7 @@ def dense_topk(
         matrix = vectors.sparkSession.sparkContext.broadcast(_matrix(sent.column("embedding")))
 
         def score_batch(batch: pa.RecordBatch) -> np.ndarray:
-            return _scores(_matrix(batch.column("embedding")), matrix.value, metric)
+            return _scores(_matrix(batch.column("embedding"), matrix.value.shape[1]), matrix.value, metric)
 
         hits = scan_for_best(vectors, "id", score_batch, query_ids, query_type, k, ascending)
     return ranked(hits, k, item="id", ascending=ascending).select("query_id", "rank", "id", "score")
@@ -93,7 +102,7 @@ def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, metric: str, bloc
         matrix = _matrix(b.column("embedding"))
         found = best_in_task(
             a.select(["id", "embedding"]).to_batches(),
-            lambda batch: _scores(_matrix(batch.column("embedding")), matrix, metric),
+            lambda batch: _scores(_matrix(batch.column("embedding"), matrix.shape[1]), matrix, metric),
             b.column("query_id").combine_chunks(),
             k,
             ascending,

@@ -41,10 +41,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; one with fewer splits than there are cores is spread over them."""
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    """A Parquet table, in the splits that the session's settings give."""
+    return spark.read.parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -68,11 +66,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the folder the session names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests) is a folder chosen here.
+    Only a local session without that setting gets a folder of its own; a cluster must name one that is shared.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quarry-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -11,7 +11,7 @@ class VersionedTable:
 
     A folder is finished when Spark has written its ``_SUCCESS`` file, so a job that dies
     leaves the version before it in force.  A new version may be computed from the one in
-    force, which goes only afterwards.
+    force.  Old versions stay readable until ``clean_up``.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
@@ -29,9 +29,15 @@ class VersionedTable:
     def replace(self, table: DataFrame) -> None:
         before = self._version()
         table.select(*self.schema.names).write.mode("overwrite").parquet(self._folder((before or 0) + 1))
-        if before is not None:
-            files, folder = self._files(self._folder(before))
-            files.delete(folder, True)
+
+    def clean_up(self, keep: int = 1) -> None:
+        """Delete all but the last ``keep`` versions; no reader may still be at work on them."""
+        files, folder = self._files(self.path)
+        force = self._version()
+        for entry in files.listStatus(folder) if force is not None else ():
+            name = entry.getPath().getName()
+            if name.startswith("version=") and int(name.split("=")[1]) <= force - max(1, keep):
+                files.delete(entry.getPath(), True)
 
     def clear(self) -> None:
         self.replace(self.spark.createDataFrame([], self.schema))

@@ -254,7 +254,7 @@ CTES["records"] = """
     SELECT document || '_chunk_0' AS id, document, 0 AS chunk_index,
            CASE WHEN lang = 'en' THEN 'text' WHEN lang = 'fr' THEN 'table' ELSE 'image' END AS chunk_type,
            coalesce(source, '') AS section_title, (n_chars % 50)::INT AS page_number, n_chars % 5 = 0 AS has_image,
-           left(text, 2000) AS original_content, text AS full_content, v::DOUBLE[] AS v
+           text AS original_content, text AS full_content, v::DOUBLE[] AS v
     FROM docs JOIN doc_vectors ON key = document || '_chunk_0'"""
 CTES["asked_vectors"] = hashed("asked", "query_id", "query")
 
@@ -510,8 +510,8 @@ CTES["told_v"] = hashed("told_records", "chunk_id", "contextualized_content")
 ORACLE["prepare_vectors"] = """
 SELECT chunk_id AS id, chunk_id, document, chunk_index::INT AS chunk_index, chunk_type, coalesce(section_title, '') AS section_title,
        coalesce(page_number, 0) AS page_number, element_count, token_count, coalesce(has_image, false) AS has_image,
-       nullif(left(image_description, 1000), '') AS image_description, nullif(filetype, '') AS filetype,
-       left(original_content, 2000) AS original_content, round(v[1]::DOUBLE, 6) AS first, round(list_max(v)::DOUBLE, 6) AS largest
+       nullif(image_description, '') AS image_description, nullif(filetype, '') AS filetype,
+       original_content, round(v[1]::DOUBLE, 6) AS first, round(list_max(v)::DOUBLE, 6) AS largest
 FROM told_records JOIN told_v ON key = chunk_id"""
 CTES["sent"] = """
     SELECT r.id, r.document, 'quality ' || quality AS section_title, page_number, 1 AS seq FROM records r JOIN labelled USING (document)
@@ -572,7 +572,7 @@ SELECT query_id, rank, chunk_id, round(score, 6) AS score, md5(original_content)
 FROM ({top(dense('plain'), 5, 'chunk_id')}) h JOIN records r ON r.id = h.chunk_id"""
 ORACLE["search_chunks"] = """
 SELECT f.query_id, f.rank, f.chunk_id, round(f.score, 6) AS score,
-       md5(CASE WHEN d.chunk_id IS NULL THEN contextualized_content ELSE left(original_content, 2000) END) AS content,
+       md5(CASE WHEN d.chunk_id IS NULL THEN contextualized_content ELSE original_content END) AS content,
        CASE WHEN d.chunk_id IS NOT NULL THEN document END AS document, CASE WHEN d.chunk_id IS NOT NULL THEN 'text' END AS chunk_type,
        CASE WHEN d.chunk_id IS NOT NULL THEN 0 END AS page_number, CASE WHEN d.chunk_id IS NOT NULL THEN false END AS has_image,
        CASE WHEN d.chunk_id IS NULL THEN 'bm25' END AS source

@@ -128,8 +128,8 @@ def test_sample_document(make_elements):
     assert len(chunks) >= 1
     assert [c.chunk_type for c in chunks].count("table") == 1
     table = next(c for c in chunks if c.chunk_type == "table")
-    assert table.original_content == "| Header1 | Header2 |\n| --- | --- |\n| Value1 | Value2 |"
-    assert (table.section_title, table.page_number, table.has_image) == ("Introduction", 2, None)
+    assert table.original_content == "| Stone | Weight |\n| --- | --- |\n| slate | heavy |"
+    assert (table.section_title, table.page_number, table.has_image) == ("Overview", 2, None)
     text = next(c for c in chunks if c.chunk_type == "text")
     assert text.has_image is False and text.chunk_id == "doc_chunk_0"
 

@@ -34,7 +34,7 @@ def test_document_text_has_what_chunks_drop(make_elements):
         ("Title", None, metadata()),
     ]
     elements = make_elements(rows)
-    text = "image text\n\n| Header1 | Header2 |\n| --- | --- |\n| Value1 | Value2 |\n\nplain"
+    text = "image text\n\n| Stone | Weight |\n| --- | --- |\n| slate | heavy |\n\nplain"
     assert E.document_parts(elements).first().text == text
     parts = E.document_parts(elements, part_rows=2).orderBy("part").collect()
     assert "\n\n".join(p.text for p in parts) == text and len(parts) == 2
@@ -144,3 +144,9 @@ def test_stored_cache(spark, tmp_path):
         assert store.read().count() == expected
     store.clear()
     assert store.read().count() == 0
+
+
+def test_repeated_answers_count_once(spark):
+    requests = spark.createDataFrame([("1",), ("2",)], "request_id string")
+    known = completions(spark, [("hyde", "1", "b"), ("hyde", "1", "a"), ("hyde", "1", ""), ("hyde", "2", "")])
+    assert {tuple(r) for r in enrich.respond(requests, known, "hyde").collect()} == {("1", "a"), ("2", "")}

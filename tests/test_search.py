@@ -24,7 +24,7 @@ def asked(spark, *texts):
 
 
 def test_corpus_stats(spark):
-    index = lexical.forward_index(docs(spark, ["The quick brown fox", "The lazy dog sleeps"]))
+    index = lexical.forward_index(docs(spark, ["The tall grey heron", "The small otter dives"]))
     assert lexical.corpus_stats(index).first().asDict() == {"n_docs": 2, "avg_doc_len": 4.0}
 
 
@@ -36,28 +36,28 @@ def test_postings(spark):
 
 
 def test_idf_rare_above_common(spark):
-    index = lexical.forward_index(docs(spark, ["the quick brown fox", "the lazy dog", "the cat sleeps"]))
+    index = lexical.forward_index(docs(spark, ["the tall grey heron", "the small otter", "the mole dives"]))
     idf = {r.term: r.idf for r in lexical.term_idf(index).collect()}
-    assert idf["fox"] > idf["the"]
+    assert idf["heron"] > idf["the"]
     assert idf["the"] == pytest.approx(math.log(0.5 / 3.5 + 1))
 
 
 def test_score_needs_a_shared_word(spark):
     index = lexical.forward_index(
-        docs(spark, ["machine learning is great", "deep learning neural networks", "cooking recipes and food"])
+        docs(spark, ["river rowing is hard", "night rowing club races", "baking bread and cakes"])
     )
-    scores = {r.doc_id: r.score for r in lexical.score(index, asked(spark, "learning")).collect()}
+    scores = {r.doc_id: r.score for r in lexical.score(index, asked(spark, "rowing")).collect()}
     assert set(scores) == {"doc1", "doc2"} and min(scores.values()) > 0
 
 
-PROGRAMS = ["python programming language", "python snake animal", "java programming language"]
+PROGRAMS = ["granite carving manual", "granite boulder hill", "marble carving manual"]
 
 
 @pytest.mark.parametrize("bound", [0, 1_000_000])
 def test_search(spark, monkeypatch, bound):
     monkeypatch.setattr(lexical, "MAX_SENT_TERMS", bound)
     index = lexical.forward_index(docs(spark, PROGRAMS))
-    hits = lexical.search(index, asked(spark, "python programming", "xyz unknown"), 2).orderBy("rank").collect()
+    hits = lexical.search(index, asked(spark, "granite carving", "xyz unknown"), 2).orderBy("rank").collect()
     assert [(r.query_id, r.rank, r.doc_id) for r in hits] == [(0, 1, "doc1"), (0, 2, "doc2")]
     assert hits[0].score > hits[1].score
 
@@ -154,7 +154,9 @@ def record(spark, **known):
 def test_prepare_vectors(spark):
     row = prepare_vectors(record(spark, original_content="é" * 5000, image_description="", filetype="")).first()
     assert (row.id, row.chunk_type, row.section_title, row.page_number, row.has_image) == ("c0", "text", "", 0, False)
-    assert len(row.original_content) == 2000 and row.image_description is None and row.filetype is None
+    assert len(row.original_content) == 5000 and row.image_description is None and row.filetype is None
+    cut = prepare_vectors(record(spark, original_content="é" * 5000, image_description="d" * 9), None, 2000, 3).first()
+    assert (len(cut.original_content), cut.image_description) == (2000, "ddd")
     long = prepare_vectors(record(spark, image_description="x" * 1500, filetype="png")).first()
     assert (len(long.image_description), long.filetype) == (1000, "png")
 
@@ -202,6 +204,13 @@ def test_vector_table(spark, tmp_path):
     assert again == {"upserted": 4, "total_vectors": 2, "dimensions": 2}
     assert VectorTable(spark, str(tmp_path / "index"), 2).read().count() == 2
     assert index_stats(table.read()).first().asDict() == {"total_vectors": 2, "dimensions": 2}
+    held = table.read()
+    first = prepare_vectors(record(spark)).withColumn("original_content", F.lit("first"))
+    table.index_chunks(first.unionByName(first.withColumn("original_content", F.lit("second"))))
+    assert held.count() == 2 and held.filter("original_content = 'second'").count() == 0
+    assert table.read().filter("original_content = 'second'").count() == 1
+    table.table.clean_up()
+    assert table.read().count() == 2
     with pytest.raises(Exception, match="vectors must have 2 numbers"):
         table.index_chunks(prepare_vectors(record(spark, embedding=[1.0])))
     assert table.stats()["total_vectors"] == 2
@@ -214,7 +223,7 @@ def test_vector_table(spark, tmp_path):
 
 # -- retrieval -------------------------------------------------------------------------
 
-CORPUS = ["python programming", "java programming", "cooking recipes", "cooking with python"]
+CORPUS = ["granite carving", "marble carving", "baking bread", "baking with granite"]
 
 
 def make_retriever(spark, completions=None, texts=CORPUS):
@@ -239,10 +248,10 @@ def answers(spark, requests, task, response):
 
 def test_search_and_filters(spark):
     search, _ = make_retriever(spark)
-    queries = asked(spark, "python programming")
+    queries = asked(spark, "granite carving")
     assert search.search(queries, 2, include_metadata=False).columns == ["query_id", "rank", "chunk_id", "score"]
     first = search.search(queries, 2).orderBy("rank").first()
-    assert (first.chunk_id, first.content, first.document) == ("chunk_0", "python programming", "even")
+    assert (first.chunk_id, first.content, first.document) == ("chunk_0", "granite carving", "even")
     assert {r.document for r in search.search_by_document(queries, "odd").collect()} == {"odd"}
     assert {r.page_number for r in search.search_by_page_range(queries, 1, 2).collect()} == {1, 2}
     assert search.search_by_type(queries, "table").count() == 0
@@ -251,14 +260,14 @@ def test_search_and_filters(spark):
 
 def test_hybrid(spark):
     search, corpus = make_retriever(spark)
-    queries = asked(spark, "python programming")
+    queries = asked(spark, "granite carving")
     assert search.hybrid_search(queries, 3).count() == 3  # no lexical side yet
     search.index_for_bm25(corpus)
     assert search.hybrid_search(queries, 3).orderBy("rank").first().chunk_id == "chunk_0"
     # The lexical side knows no filter: its hits come with their full text and a source.
     filtered = search.hybrid_search(queries, 4, filters={"document": {"$eq": "odd"}}).collect()
     by_words = {r.chunk_id: (r.content, r.document) for r in filtered if r.source == "bm25"}
-    assert by_words == {"chunk_0": ("python programming", None)}
+    assert by_words == {"chunk_0": ("granite carving", None)}
 
 
 def test_rank_fusion_scores(spark):
@@ -286,10 +295,10 @@ def test_expanded_mean_is_over_variants_that_hit(spark):
 
 def test_hyde(spark):
     queries = asked(spark, "which one")
-    response = answers(spark, fusion.hyde_requests(queries), "hyde", "cooking recipes")
+    response = answers(spark, fusion.hyde_requests(queries), "hyde", "baking bread")
     search, _ = make_retriever(spark, response)
     first = search.hyde_search(queries, 1).first()
-    assert (first.chunk_id, first.hyde_query) == ("chunk_2", "cooking recipes")
+    assert (first.chunk_id, first.hyde_query) == ("chunk_2", "baking bread")
     plain, _ = make_retriever(spark)
     rows = plain.hyde_search(queries, 2).collect()
     assert {r.chunk_id for r in rows} == {r.chunk_id for r in plain.search(queries, 2).collect()}
@@ -318,7 +327,7 @@ def test_rerank(spark, response, expected):
 
 def test_rerank_through_requests(spark):
     search, _ = make_retriever(spark)
-    queries = asked(spark, "python programming")
+    queries = asked(spark, "granite carving")
     results = search.search(queries, 4)
     response = answers(spark, fusion.rerank_requests(queries, results), "rerank", "2, 1")
     search.completions = response
@@ -327,7 +336,7 @@ def test_rerank_through_requests(spark):
 
 
 def test_advanced(spark):
-    queries = asked(spark, "python programming", "cooking")
+    queries = asked(spark, "granite carving", "baking")
     plain, _ = make_retriever(spark)
     off = plain.advanced_search(queries, 2, use_hyde=False, use_expansion=False, use_reranking=False).collect()
     assert {(r.query_id, r.rank, r.chunk_id) for r in off} == {
@@ -345,3 +354,13 @@ def test_cards_and_json(spark):
     assert (card.preview, card.document, card.section_title, card.chunk_type) == ("line one line two...", "even", None, "text")
     assert len(card.score.split(".")[1]) == 4
     assert '"content":"line one\\nline two"' in fusion.results_json(results).first().json
+
+
+def test_null_and_odd_vectors(spark):
+    rows = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 1.0])], "id string, embedding array<float>")
+    queries = spark.createDataFrame([(1, [0.0, 1.0])], "query_id long, embedding array<float>")
+    found = {r.id: r.score for r in vector.dense_topk(rows, queries, 3).collect()}
+    assert found == {"a": 0.0, "b": 0.0, "c": 1.0}
+    odd = rows.unionByName(spark.createDataFrame([("d", [1.0, 0.0, 0.0, 1.0])], rows.schema))
+    with pytest.raises(Exception, match="vectors must have 2 numbers"):
+        vector.dense_topk(odd, queries, 3).collect()
