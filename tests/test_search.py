@@ -158,7 +158,7 @@ def test_prepare_vectors(spark):
     cut = prepare_vectors(record(spark, original_content="é" * 5000, image_description="d" * 9), None, 2000, 3).first()
     assert (len(cut.original_content), cut.image_description) == (2000, "ddd")
     long = prepare_vectors(record(spark, image_description="x" * 1500, filetype="png")).first()
-    assert (len(long.image_description), long.filetype) == (1000, "png")
+    assert (len(long.image_description), long.filetype) == (1500, "png")
 
 
 def test_filters(spark):
