@@ -200,8 +200,10 @@ def chunk_elements(
     """Chunks of an elements table, documents of any length.
 
     Long documents are looked up first, in the ``stored`` table ``elements`` come from where
-    there is one: asking that is cheaper than asking what is computed from it.
+    there is one: asking that is cheaper than asking what is computed from it.  A block is
+    at least as long as the longest group that ``params`` allow.
     """
+    block_rows = max(block_rows, params.max_tokens + 2)
     long = long_documents(elements if stored is None else stored, block_rows)
     if long is None:
         return chunk_rows(rows_of_table(elements), params)
@@ -219,10 +221,8 @@ def block_rows_of(elements: DataFrame, params: ChunkParams, block_rows: int) ->
     """Rows of at most ``block_rows`` elements plus those needed to end the last group.
 
     A group ends at the latest with the element after the one that passes the size
-    limit, so the elements lent from the next block are few.
+    limit, and before a table or an image, so the elements lent from the next block are few.
     """
-    if block_rows < params.max_tokens + 2:
-        raise ValueError("a block must be longer than the longest group")
     vector = F.col("vector") if "vector" in elements.columns else None
     measured = valid_elements(elements).select(
         "document",
@@ -242,7 +242,8 @@ def block_rows_of(elements: DataFrame, params: ChunkParams, block_rows: int) ->
         "nth", F.col("rows_before") + F.row_number().over(in_stretch) - 1
     )
     in_block = W.partitionBy("document", "block").orderBy("nth")
-    spent = F.sum("tokens").over(in_block.rowsBetween(W.unboundedPreceding, -2))
+    weight = F.when(F.col("kind") == ALONE, params.max_tokens + 1).otherwise(F.col("tokens"))
+    spent = F.sum(weight).over(in_block.rowsBetween(W.unboundedPreceding, -2))
     placed = dense.withColumn("block", F.floor(F.col("nth") / block_rows)).withColumn(
         "lent", (F.col("block") > 0) & (F.coalesce(spent, F.lit(0)) <= params.max_tokens)
     )

@@ -19,6 +19,9 @@ STAND_ALONE = ("Table", "Image")
 # Elements of one document that one task may see at once.
 BLOCK_ROWS = 20_000
 
+# Positions of a document whose texts stand together as one part of its full text.
+PART_ROWS = 50
+
 
 def is_valid(kind: Column, text: Column, image: Column) -> Column:
     """An image counts if it has data, anything else if it has visible text."""
@@ -133,11 +136,11 @@ def reading_text(kind: Column, text: Column, html: Column) -> Column:
     return F.when(has_html, html_table_to_markdown(html)).otherwise(F.coalesce(text, F.lit("")))
 
 
-def document_parts(elements: DataFrame, part_rows: int = BLOCK_ROWS) -> DataFrame:
+def document_parts(elements: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Full text of each document, stripped parts joined by blank lines.
 
-    A document is one row (part 0) up to ``part_rows`` positions; a longer one comes in
-    several rows, whose texts joined by blank lines in order of ``part`` are the whole.
+    Every document comes in parts of ``part_rows`` positions, those without text left out;
+    ``enrich.whole_texts`` joins them.
     """
     html = F.col("metadata.text_as_html")
     is_table = F.coalesce((F.col("type") == "Table") & is_filled(html), F.lit(False))

@@ -91,23 +91,30 @@ def context_fallback(document: Column, section_title: Column, page_number: Colum
 def context_requests(chunks: DataFrame, parts: DataFrame) -> DataFrame:
     """(request_id, chunk_id, document): keys only, so that no document is repeated per chunk.
 
-    A document of several parts is longer than any model takes; its chunks have no request
-    and get the fallback, as after any failed call.
+    A document counts by the hash of the hashes of its parts, so its text need not stand together.
     """
-    too_long = parts.filter(F.col("part") > 0).select("document").distinct()
-    documents = parts.select("document", F.sha2("text", 256).alias("document_sha")).join(
-        too_long, "document", "left_anti"
+    hashes = F.array_sort(F.collect_list(F.struct("part", F.sha2("text", 256).alias("sha"))))
+    documents = parts.groupBy("document").agg(hashes.alias("parts")).select(
+        "document", F.sha2(F.array_join("parts.sha", "\n"), 256).alias("document_sha")
     )
     identity = F.sha2(F.concat("document_sha", F.lit("\n"), "original_content"), 256)
     return chunks.join(documents, "document").select(identity.alias("request_id"), "chunk_id", "document")
 
 
+def whole_texts(parts: DataFrame) -> DataFrame:
+    """(document, text): the parts of a document joined by blank lines, in order."""
+    ordered = F.array_sort(F.collect_list(F.struct("part", "text")))
+    joined = parts.groupBy("document").agg(ordered.alias("parts"))
+    return joined.select("document", F.array_join("parts.text", "\n\n").alias("text"))
+
+
 def context_prompts(requests: DataFrame, chunks: DataFrame, parts: DataFrame) -> DataFrame:
-    """The full request texts, for requests that have to be sent."""
+    """The full request texts, for requests that have to be sent: only their documents are put together."""
     head, middle, tail = (F.lit(p) for p in CONTEXT_PROMPT)
+    asked = whole_texts(parts.join(requests.select("document").distinct(), "document", "left_semi"))
     return (
         requests.join(chunks.select("chunk_id", "original_content"), "chunk_id")
-        .join(parts.select("document", "text"), "document")
+        .join(asked, "document")
         .select("request_id", "chunk_id", F.concat(head, "text", middle, "original_content", tail).alias("prompt"))
     )
 

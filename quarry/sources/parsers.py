@@ -25,6 +25,11 @@ HTML_DATA_IMAGE = r"(?is)^<img\b[^>]*\bsrc=[\"']data:image/([a-z]+);base64,([^\"
 BLOCK_START = "\x01"
 BLOCK_END = "\x02"
 TITLE_MAX_CHARS = 80
+CELL_END = "\x01"
+ROW_END = "\x02"
+# A cell, and the comma or line end after it; the possessive loops need no stack, however long the cell.
+CSV_CELL = r'("[^"]*+(?:""[^"]*+)*+"[^,\r\n]*+|[^,\r\n"][^,\r\n]*+|)(,|\r\n|\n)'
+CSV_QUOTED = r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"(.*)\z'
 
 
 def _metadata(**known: Column) -> Column:
@@ -119,10 +124,24 @@ def html_elements(content: Column) -> Column:
 
 
 def csv_elements(content: Column) -> Column:
-    """Comma-separated text: one Table element per file (cells without quotes)."""
+    """Comma-separated text: one Table element per file.
+
+    A cell that begins with a quote goes to the closing quote, over commas and line ends; two
+    quotes in it are one.  A quote that is never closed, or inside a plain cell, is a sign like others.
+    """
+    # Each cell is marked together with what ends it, then line ends become row ends.
+    marked = F.regexp_replace(F.translate(content, CELL_END + ROW_END, "  "), F.lit(CSV_CELL), F.lit(f"$1{CELL_END}$2{ROW_END}"))
+    for separator, end in ((",", CELL_END), ("\r\n", ROW_END), ("\n", ROW_END)):
+        marked = F.replace(marked, F.lit(f"{CELL_END}{separator}{ROW_END}"), F.lit(end))
+
+    def plain(cell: Column) -> Column:
+        inside = F.replace(F.regexp_extract(cell, CSV_QUOTED, 1), F.lit('""'), F.lit('"'))
+        unquoted = F.concat(inside, F.regexp_extract(cell, CSV_QUOTED, 2))
+        return strip(F.when(cell.rlike(CSV_QUOTED), unquoted).otherwise(cell))
+
     rows = F.transform(
-        F.filter(F.split(content, r"\r?\n"), lambda line: line.rlike(NON_SPACE)),
-        lambda line: F.transform(F.split(line, ","), strip),
+        F.filter(F.split(marked, ROW_END), lambda line: line.rlike(NON_SPACE)),
+        lambda line: F.transform(F.split(line, CELL_END), plain),
     )
 
     def table(found: Column) -> Column:

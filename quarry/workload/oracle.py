@@ -93,11 +93,14 @@ CTES["described"] = """
                      WHEN left(image_base64, 1) < 'c' THEN '[Image: description unavailable - empty response]'
                      ELSE '[Image: description unavailable]' END AS description FROM valid)"""
 CTES["parts"] = f"""
-    SELECT document, 0 AS part, string_agg(t, chr(10) || chr(10) ORDER BY pos) AS text FROM (
+    SELECT document, pos // 50 AS part, string_agg(t, chr(10) || chr(10) ORDER BY pos) AS text FROM (
       SELECT document, pos, type = 'Table' AND {filled('text_as_html')} AS is_table,
              CASE WHEN type = 'Table' AND {filled('text_as_html')} THEN {markdown('text_as_html')}
                   ELSE {strip('text')} END AS t FROM mixed)
-    WHERE is_table OR t <> '' GROUP BY document"""
+    WHERE is_table OR t <> '' GROUP BY ALL"""
+CTES["texts"] = """
+    SELECT document, string_agg(text, chr(10) || chr(10) ORDER BY part) AS text,
+           sha256(string_agg(sha256(text), chr(10) ORDER BY part)) AS sha FROM parts GROUP BY document"""
 
 # -- hashed vectors: one row per text, from (key, text) -----------------------------------
 
@@ -197,6 +200,8 @@ chunk_ctes("alike", "valid", 60, 120, 0.15, 0.7)
 chunk_ctes("told", "described", 60, 120)
 chunk_ctes("whole", "els", 400, 800, 0.15)
 chunk_ctes("small", "els", 60, 120)
+chunk_ctes("tiny", "valid", 10, 20)
+chunk_ctes("tiny_overlapped", "valid", 10, 20, 0.15)
 
 CHUNK_COLUMNS = (
     "chunk_id, document, chunk_index, original_content, contextualized_content, "
@@ -425,11 +430,14 @@ SELECT document, (row_number() OVER (PARTITION BY document ORDER BY i, o) - 1)::
        image_base64, filetype FROM page_rows"""
 ORACLE["elements_from_csv"] = """
 SELECT o_orderkey::VARCHAR AS document, 0 AS pos, 'Table' AS type,
-       'key customer status priority' || chr(10) || o_orderkey || ' ' || o_custkey || ' ' || o_orderstatus || ' '
-       || o_orderpriority AS text,
-       '<table><tr><td>key</td><td>customer</td><td>status</td><td>priority</td></tr><tr><td>' || o_orderkey || '</td><td>'
-       || o_custkey || '</td><td>' || o_orderstatus || '</td><td>' || o_orderpriority || '</td></tr></table>' AS text_as_html
-FROM orders"""
+       'key customer status priority note' || chr(10) || o_orderkey || ' ' || o_custkey || ' ' || o_orderstatus || ' '
+       || o_orderpriority || ' ' || note AS text,
+       '<table><tr><td>key</td><td>customer</td><td>status</td><td>priority</td><td>note</td></tr><tr><td>' || o_orderkey
+       || '</td><td>' || o_custkey || '</td><td>' || o_orderstatus || '</td><td>' || o_orderpriority || '</td><td>' || note
+       || '</td></tr></table>' AS text_as_html
+FROM (SELECT *, CASE o_orderkey % 4
+             WHEN 0 THEN 'by "' || o_orderpriority || '", late' || chr(10) || 'or never' WHEN 1 THEN ''
+             WHEN 2 THEN '5" ' || o_orderpriority ELSE o_orderpriority END AS note FROM orders)"""
 CTES["toxic"] = "SELECT DISTINCT 'doc_' || doc_id AS document FROM labels WHERE toxic = 1"
 ORACLE["elements_from_json"] = "SELECT document, pos, type, text FROM els WHERE document NOT IN (SELECT document FROM toxic)"
 CTES["log"] = """
@@ -469,26 +477,34 @@ JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) b ON b.vec_id = a
 ORACLE["chunk_basic"] = records("basic")
 ORACLE["chunk_overlap"] = records("overlapped")
 ORACLE["chunk_semantic"] = records("alike")
+ORACLE["long_chunk_overlap"] = records("tiny_overlapped")
 ORACLE["chunk_text"] = f"""
 SELECT document, pos // 3 AS chunk_ord, string_agg(t, chr(10) || chr(10) ORDER BY pos) AS text FROM (
   SELECT document, pos, CASE WHEN type = 'Table' AND coalesce(text_as_html <> '', false)
          THEN {markdown('text_as_html')} ELSE text END AS t FROM mixed) WHERE {filled('t')} GROUP BY ALL"""
 CTES["told_contexts"] = f"""
     SELECT c.*, coalesce(response, {FALLBACK.replace('document', 'c.document')}) AS context FROM told c
-    LEFT JOIN parts p ON p.document = c.document
-    LEFT JOIN (SELECT sha256(sha256(p2.text) || chr(10) || o.original_content) AS id,
+    LEFT JOIN texts p ON p.document = c.document
+    LEFT JOIN (SELECT sha256(p2.sha || chr(10) || o.original_content) AS id,
                       min({strip("' About ' || left(o.original_content, 9)")}) AS response
-               FROM told o JOIN parts p2 ON p2.document = o.document WHERE o.chunk_index % 2 = 0 GROUP BY 1) a
-      ON a.id = sha256(sha256(p.text) || chr(10) || c.original_content)"""
+               FROM told o JOIN texts p2 ON p2.document = o.document WHERE o.chunk_index % 2 = 0 GROUP BY 1) a
+      ON a.id = sha256(p.sha || chr(10) || c.original_content)"""
 ORACLE["chunk_records"] = records("told_contexts", "context")
 ORACLE["chunk_documents"] = records("whole", FALLBACK)
 ORACLE["context_fallback"] = f"SELECT chunk_id, {FALLBACK} AS context FROM basic"
 _head, _middle, _tail = (lit(p) for p in enrich.CONTEXT_PROMPT)
-ORACLE["context_requests"] = f"""
-SELECT chunk_id, sha256(sha256(text) || chr(10) || original_content) AS request_id, length(prompt)::INT AS chars,
+
+
+def _requests(source: str) -> str:
+    return f"""
+SELECT chunk_id, sha256(sha || chr(10) || original_content) AS request_id, length(prompt)::INT AS chars,
        md5(prompt) AS prompt_md5 FROM (
-  SELECT chunk_id, original_content, text, {_head} || text || {_middle} || original_content || {_tail} AS prompt
-  FROM basic JOIN parts USING (document))"""
+  SELECT chunk_id, original_content, sha, {_head} || text || {_middle} || original_content || {_tail} AS prompt
+  FROM {source} JOIN texts USING (document))"""
+
+
+ORACLE["context_requests"] = _requests("basic")
+ORACLE["long_context_requests"] = _requests("tiny")
 ORACLE["chunks_from_json"] = f"""
 SELECT chunk_id || '_chunks.json' AS filename, unnest([0, 1])::INT AS file_pos, * FROM ({records('whole', FALLBACK)})"""
 ORACLE["hash_embed"] = f"""

@@ -86,7 +86,16 @@ def elements_from_html(spark, sf_dir):
 @query
 def elements_from_csv(spark, sf_dir):
     row = [F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")]
-    content = F.concat(F.lit("key,customer, status ,priority\n\n"), F.concat_ws(" ,", *row), F.lit("\r\n"))
+    # Quoted notes with a comma, quotes and a line end; empty ones; a quote inside a plain cell.
+    kind, priority = F.col("o_orderkey") % 4, F.col("o_orderpriority")
+    note = (
+        F.when(kind == 0, F.concat(F.lit('"by ""'), priority, F.lit('"", late\nor never"')))
+        .when(kind == 1, '""')
+        .when(kind == 2, F.concat(F.lit('5" '), priority))
+        .otherwise(priority)
+    )
+    written = F.concat(F.concat_ws(" ,", *row), F.lit(","), note)
+    content = F.concat(F.lit("key,customer, status ,priority,note\n\n"), written, F.lit("\r\n"))
     orders = t.given(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("document"), parsers.csv_elements(content).alias("elements")
     )
@@ -222,6 +231,19 @@ def chunk_overlap(spark, sf_dir):
     return chunking.chunk_records(chunks).select(*CHUNK_COLUMNS)
 
 
+# Groups of a line or two, and blocks that many documents exceed.
+TINY = ChunkParams(min_tokens=10, max_tokens=20)
+TINY_OVERLAP = ChunkParams(min_tokens=10, max_tokens=20, overlap=0.15)
+SHORT_BLOCK = 25
+
+
+@query
+def long_chunk_overlap(spark, sf_dir):
+    """Documents cut into short blocks give the chunks of whole ones."""
+    chunks = chunking.chunk_elements(t.mixed_elements(spark, sf_dir), TINY_OVERLAP, SHORT_BLOCK)
+    return chunking.chunk_records(chunks).select(*CHUNK_COLUMNS)
+
+
 @query
 def chunk_semantic(spark, sf_dir):
     mixed = t.mixed_elements(spark, sf_dir)
@@ -273,8 +295,18 @@ def context_fallback(spark, sf_dir):
 
 @query
 def context_requests(spark, sf_dir):
+    return _context_requests(spark, sf_dir, SMALL, E.BLOCK_ROWS)
+
+
+@query
+def long_context_requests(spark, sf_dir):
+    """Documents cut into short blocks ask what whole ones ask."""
+    return _context_requests(spark, sf_dir, TINY, SHORT_BLOCK)
+
+
+def _context_requests(spark, sf_dir, params, block_rows):
     mixed = t.mixed_elements(spark, sf_dir)
-    chunks, parts = cut_lineage(chunking.chunk_elements(mixed, SMALL)), E.document_parts(mixed)
+    chunks, parts = cut_lineage(chunking.chunk_elements(mixed, params, block_rows)), E.document_parts(mixed)
     prompts = enrich.context_prompts(enrich.context_requests(chunks, parts), chunks, parts)
     return prompts.select("chunk_id", "request_id", F.length("prompt").alias("chars"), F.md5("prompt").alias("prompt_md5"))
 

@@ -110,9 +110,19 @@ def test_last_block_without_a_group_of_its_own(spark):
     assert got(chunks) == expected(documents, 20, 60, 0.1)
 
 
-def test_block_must_hold_a_group(sample):
-    with pytest.raises(ValueError):
-        chunking.block_rows_of(sample, ChunkParams(), 100)
+def test_block_holds_a_group(spark):
+    """A block shorter than a group may be is made longer."""
+    documents = random_documents(12, n_documents=2, longest=300)
+    assert got(chunk_elements(elements_of(spark, documents), ChunkParams("basic", 20, 60), block_rows=5)) == expected(
+        documents, 20, 60, 0.0
+    )
+
+
+def test_images_are_not_lent(make_elements):
+    """An image ends a group, so a block of images lends its first ones only."""
+    image = ("Image", "", metadata(image_base64="eA==", filetype="png"))
+    blocks = chunking.block_rows_of(make_elements([image] * 200), ChunkParams("basic", 20, 60), 100)
+    assert {(r.block, r.own): r.lent for r in blocks.collect()} == {(0, 100): 0, (1, 100): 2}
 
 
 def test_arrays_and_table_agree(spark):

@@ -93,10 +93,18 @@ def test_context_from_responses(spark, make_elements):
     assert prompt.startswith("<document>\na b c\n\nd e f\n</document>\n\n<chunk>\na b c\n</chunk>\n\nPlease give")
 
 
-def test_long_document_has_no_request(make_elements):
+def test_context_of_a_document_in_parts(spark, make_elements):
     elements = make_elements([("NarrativeText", "a b c", metadata()), ("NarrativeText", "d e f", metadata())])
-    chunks = chunk_elements(elements, ChunkParams("basic", 1, 3))
-    assert enrich.context_requests(chunks, E.document_parts(elements, part_rows=1)).count() == 0
+    chunks, parts = chunk_elements(elements, ChunkParams("basic", 1, 3)), E.document_parts(elements, part_rows=1)
+    assert parts.count() == 2
+    requests = enrich.context_requests(chunks, parts)
+    ids = {r.chunk_id: r.request_id for r in requests.collect()}
+    assert sorted(ids) == ["doc_chunk_0", "doc_chunk_1"]
+    prompts = {r.prompt.split("</document>")[0] for r in enrich.context_prompts(requests, chunks, parts).collect()}
+    assert prompts == {"<document>\na b c\n\nd e f\n"}
+    answers = completions(spark, [("context", ids["doc_chunk_1"], "The end.")])
+    contexts = {r.chunk_id: r.context for r in enrich.with_context(chunks, parts, answers).collect()}
+    assert contexts == {"doc_chunk_0": "This chunk is from doc.", "doc_chunk_1": "The end."}
 
 
 def test_cache(spark):

@@ -56,6 +56,23 @@ def test_csv(spark):
     assert parsed(spark, "\n\n", parsers.csv_elements) == []
 
 
+@pytest.mark.parametrize(
+    "content,cells",
+    [
+        ('"x, y",2', [["x, y", "2"]]),
+        ('"say ""no""",""\n"two\nlines",z\n', [['say "no"', ""], ["two\nlines", "z"]]),
+        ('5" pipe,"open\n1,2', [['5" pipe', '"open'], ["1", "2"]]),
+        ("a,,b,\r\n,,", [["a", "", "b", ""], ["", "", ""]]),
+        ("last", [["last"]]),
+        ('"' + 'long ""quoted"" cell ' * 20_000 + '",1', [[('long "quoted" cell ' * 20_000).strip(), "1"]]),
+    ],
+)
+def test_csv_cells(spark, content, cells):
+    html = parsed(spark, content, parsers.csv_elements)[0][2]["text_as_html"]
+    rows = html.removeprefix("<table>").removesuffix("</table>").split("</tr>")[:-1]
+    assert [r.removeprefix("<tr><td>").removesuffix("</td>").split("</td><td>") for r in rows] == cells
+
+
 @pytest.mark.parametrize(
     "name,strategy",
     [
