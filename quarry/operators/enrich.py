@@ -162,6 +162,18 @@ def embed_texts(texts: DataFrame, cache: DataFrame, dimensions: int, text: str =
     )
 
 
+def with_vectors(
+    texts: DataFrame, encode: Callable[[Column], Column], cache: DataFrame | None = None, text: str = "text"
+) -> DataFrame:
+    """Texts with their ``embedding``: from the cache, encoded where it has none."""
+    fresh = encode(F.col(text))
+    if cache is None:
+        return texts.withColumn("embedding", fresh)
+    kept = cache.groupBy("text_sha").agg(F.min("embedding").alias("embedding"))
+    found = text_keys(texts, text).join(kept, "text_sha", "left")
+    return found.withColumn("embedding", F.coalesce("embedding", fresh)).drop("text_sha")
+
+
 def cache_statistics(texts: DataFrame, text: str = "text") -> DataFrame:
     """Calls, hits and misses of a cache that starts empty and forgets nothing."""
     # Counting per text first keeps a text with very many copies out of one task.

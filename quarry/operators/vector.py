@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ranking import MAX_HELD_HITS, MAX_HELD_SCORES, MAX_SENT_QUERIES, best_in_task, first_rows, ranked, scan_for_best
+from quarry.operators.ranking import MAX_SENT_QUERIES, first_rows, ranked, scan_for_best
+from quarry.session import cut_lineage
 
 METRICS = ("cosine", "dotproduct", "euclidean")
 
-# Vectors a task compares with a block of queries when the queries are too many to be sent.
-MAX_BUCKET_ROWS = 20_000
+# Columns of a query table that filter the vectors for that query, and the column each is compared with.
+CONDITIONS = {
+    "document": "document",
+    "chunk_type": "chunk_type",
+    "min_page": "page_number",
+    "max_page": "page_number",
+    "has_image": "has_image",
+}
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
@@ -45,6 +54,26 @@ def _scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     return np.divide(products, size, out=np.zeros_like(products), where=size != 0)
 
 
+def _allowed(batch: pa.RecordBatch, conditions: dict[str, pa.Array]) -> np.ndarray:
+    """Rows x queries: whether a row meets the conditions of a query; a null condition is none."""
+    allowed = np.True_
+    for name, wanted in conditions.items():
+        values = batch.column(CONDITIONS[name])
+        if name in ("min_page", "max_page"):
+            # Nulls become NaN, which meets no bound.
+            page, bound = (x.cast("double").to_numpy(zero_copy_only=False)[:, None] for x in (values, wanted))
+            meets = np.isnan(bound).T | (page >= bound.T if name == "min_page" else page <= bound.T)
+        else:
+            known = pc.unique(pc.drop_null(wanted))
+            value, want = (
+                pc.fill_null(pc.index_in(x, known), missing).to_numpy(zero_copy_only=False)[:, None]
+                for x, missing in ((values, -2), (wanted, -1))
+            )
+            meets = (want == -1).T | (value == want.T)
+        allowed = allowed & meets
+    return allowed
+
+
 def dense_topk(
     vectors: DataFrame,
     queries: DataFrame,
@@ -55,65 +84,61 @@ def dense_topk(
     """(query_id, rank, id, score): the ``k`` best vectors per query.
 
     A null vector counts as zeros; one of another width than the queries stops the job.
-    ``vectors(id, embedding)`` should already be filtered; ``queries(query_id, embedding)``.
-    Up to ``max_sent`` queries are sent to every task and the vectors are only scanned;
-    more queries are cut into blocks of that size, each joined with every bucket of vectors.
+    ``vectors(id, embedding)`` should already be filtered; ``queries(query_id, embedding)``
+    may have columns of ``CONDITIONS``, each row's own filter (null or empty: none) on the
+    metadata columns that ``vectors`` then needs.  Up to ``max_sent`` queries are sent to every
+    task and the vectors are only scanned; more queries are cut into blocks with a scan each.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}: use one of {METRICS}")
-    ascending = metric == "euclidean"
-    vectors = vectors.select("id", "embedding")
-    queries = queries.select("query_id", "embedding")
-    query_type = queries.schema["query_id"].dataType.simpleString()
+    conditions = [c for c in CONDITIONS if c in queries.columns]
+    vectors = vectors.select("id", "embedding", *sorted({CONDITIONS[c] for c in conditions}))
+    plain = [F.nullif(c, F.lit("")).alias(c) if c in ("document", "chunk_type") else F.col(c) for c in conditions]
+    queries = queries.select("query_id", "embedding", *plain)
+    query_type, id_type = (t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (vectors, "id")))
+    hits = vectors.sparkSession.createDataFrame([], f"query_id {query_type}, id {id_type}, score double")
+    scans = [
+        _scan(vectors, sent, query_type, conditions, k, metric) for sent in _blocks(queries, max_sent) if sent.num_rows
+    ]
+    for n, scan in enumerate(scans):
+        hits = hits.unionByName(scan) if n else scan
+    return ranked(hits, k, item="id", ascending=metric == "euclidean").select("query_id", "rank", "id", "score")
+
+
+def _blocks(queries: DataFrame, max_sent: int) -> Iterator[pa.Table]:
+    """The queries in blocks of at most ``max_sent``, one at a time on the driver."""
     sent = first_rows(queries, max_sent)
-    if sent is None:
-        hits = _blockwise(vectors, queries, k, metric, max_sent)
-    elif sent.num_rows == 0:
-        id_type = vectors.schema["id"].dataType.simpleString()
-        hits = vectors.sparkSession.createDataFrame([], f"query_id {query_type}, id {id_type}, score double")
-    else:
-        query_ids = sent.column("query_id").combine_chunks()
-        matrix = vectors.sparkSession.sparkContext.broadcast(_matrix(sent.column("embedding")))
-
-        def score_batch(batch: pa.RecordBatch) -> np.ndarray:
-            return _scores(_matrix(batch.column("embedding"), matrix.value.shape[1]), matrix.value, metric)
-
-        hits = scan_for_best(vectors, "id", score_batch, query_ids, query_type, k, ascending)
-    return ranked(hits, k, item="id", ascending=ascending).select("query_id", "rank", "id", "score")
-
-
-def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, metric: str, block: int) -> DataFrame:
-    """Every bucket of vectors meets every block of queries in a task of bounded size."""
-    n_blocks = math.ceil(queries.count() / block) * 2
-    n_buckets = max(1, math.ceil(vectors.count() / MAX_BUCKET_ROWS) * 2)
+    if sent is not None:
+        yield sent
+        return
+    kept = cut_lineage(queries)
+    parts = [(F.lit(True), kept.count())]
+    while parts:
+        # Twice as many parts as would do if they were equal; one that is still too large is cut again.
+        condition, n = parts.pop()
+        if n <= max_sent:
+            yield kept.filter(condition).toArrow()
+            continue
+        cuts = math.ceil(2 * n / max_sent)
+        part = F.pmod(F.xxhash64("query_id", F.lit(n)), F.lit(cuts))
+        sizes = kept.filter(condition).groupBy(part.alias("part")).count().collect()
+        if len(sizes) == 1 and kept.filter(condition).select("query_id").distinct().limit(2).count() == 1:
+            raise ValueError("queries must have different ids")
+        parts += [(condition & (part == r["part"]), r["count"]) for r in sizes]
+
+
+def _scan(
+    vectors: DataFrame, sent: pa.Table, query_type: str, conditions: list[str], k: int, metric: str
+) -> DataFrame:
+    """(query_id, id, score): the best of every task for one block of queries."""
     ascending = metric == "euclidean"
+    context = vectors.sparkSession.sparkContext
+    matrix = context.broadcast(_matrix(sent.column("embedding")))
+    wanted = context.broadcast({c: sent.column(c).combine_chunks() for c in conditions})
 
-    def spread(table: DataFrame, key: str, own: str, own_parts: int, other: str, other_parts: int) -> DataFrame:
-        return table.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_parts))).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1)).cast("array<bigint>"))
-        )
-
-    left = spread(vectors, "id", "bucket", n_buckets, "block", n_blocks)
-    right = spread(queries, "query_id", "block", n_blocks, "bucket", n_buckets)
-
-    def best(a: pa.Table, b: pa.Table) -> pa.Table:
-        if a.num_rows == 0 or b.num_rows == 0:
-            return empty
-        matrix = _matrix(b.column("embedding"))
-        found = best_in_task(
-            a.select(["id", "embedding"]).to_batches(),
-            lambda batch: _scores(_matrix(batch.column("embedding"), matrix.shape[1]), matrix, metric),
-            b.column("query_id").combine_chunks(),
-            k,
-            ascending,
-            False,
-            MAX_HELD_SCORES,
-            MAX_HELD_HITS,
-        )
-        return empty if found is None else found
+    def score_batch(batch: pa.RecordBatch) -> np.ndarray:
+        scores = _scores(_matrix(batch.column("embedding"), matrix.value.shape[1]), matrix.value, metric)
+        return np.where(_allowed(batch, wanted.value), scores, np.inf if ascending else -np.inf) if conditions else scores
 
-    query_type, id_type = (t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (vectors, "id")))
-    schema = f"query_id {query_type}, id {id_type}, score double"
-    empty = vectors.sparkSession.createDataFrame([], schema).toArrow()
-    keys = ["bucket", "block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, schema)
+    hits = scan_for_best(vectors, "id", score_batch, sent.column("query_id").combine_chunks(), query_type, k, ascending)
+    return hits.filter(F.abs("score") < float("inf")) if conditions else hits

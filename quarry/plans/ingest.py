@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.borders import PIPELINE_PARAMS, ChunkParams
 from quarry.operators.chunking import chunk_elements, chunk_records, chunk_rows, rows_of_arrays
 from quarry.operators.elements import describe_images, document_parts, valid_elements
-from quarry.operators.enrich import Encoder, embed_texts, fill_cache, with_context
-from quarry.operators.index import prepare_vectors
+from quarry.operators.enrich import Encoder, embed_texts, fill_cache, with_context, with_vectors
+from quarry.operators.index import VectorTable, latest, prepare_vectors
+from quarry.sources.files import read_chunks_json
 
 
 def element_vectors(elements: DataFrame, encoder: Encoder, cache: DataFrame | None = None) -> DataFrame:
@@ -49,6 +50,18 @@ def chunk_arrays(documents: DataFrame, params: ChunkParams = PIPELINE_PARAMS, us
     return chunk_records(with_context(chunks), F.col("context")) if use_context else chunk_records(chunks)
 
 
-def index_records(chunks: DataFrame, encoder: Encoder = Encoder()) -> DataFrame:
-    """Chunk records as rows of the vector table."""
-    return prepare_vectors(chunks, encoder.encode(F.col("contextualized_content")))
+def index_records(chunks: DataFrame, encoder: Encoder = Encoder(), cache: DataFrame | None = None) -> DataFrame:
+    """Chunk records as rows of the vector table, with vectors of the cache where it has them."""
+    return prepare_vectors(with_vectors(chunks, encoder.encode, cache, "contextualized_content"))
+
+
+def index_from_json(
+    table: VectorTable, spark: SparkSession, path: str, encoder: Encoder = Encoder(), cache: DataFrame | None = None
+) -> dict[str, int]:
+    """Index the chunks of one JSON file, or of all ``*_chunks.json`` files of a folder; the statistics of the table.
+
+    Of several chunks with one id the last counts, in order of file names and of places in them.
+    """
+    chunks = read_chunks_json(spark, path)
+    last = latest(chunks, [F.col("filename"), F.col("file_pos")], "chunk_id")
+    return {**table.index_chunks(index_records(last, encoder, cache)), "upserted": chunks.count()}

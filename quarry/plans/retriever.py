@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import fusion, lexical
-from quarry.operators.enrich import respond
+from quarry.operators.enrich import respond, with_vectors
 from quarry.operators.index import combined_filter, compile_filter
 from quarry.operators.ranking import MAX_SENT_QUERIES
-from quarry.operators.vector import dense_topk
+from quarry.operators.vector import CONDITIONS, dense_topk
 from quarry.session import cut_lineage
 
 METADATA = (
@@ -31,10 +31,11 @@ METADATA = (
 
 class Retriever:
     """All methods take ``queries(query_id, query)`` and return one row per hit:
-    ``query_id, rank, chunk_id, score, content`` and the metadata columns.
+    ``query_id, rank, chunk_id, score, content`` and the metadata columns.  Further columns of
+    ``queries`` named as in ``CONDITIONS`` filter the dense side for their query alone.
 
-    ``encode`` turns a text column into a vector column; ``completions`` holds generated
-    texts by request, and where it has none the plain search stands in.
+    ``encode`` turns a text column into a vector column, for texts that are not in ``cache``;
+    ``completions`` holds generated texts by request, and where it has none the plain search stands in.
     """
 
     def __init__(
@@ -43,7 +44,9 @@ class Retriever:
         encode: Callable[[Column], Column],
         completions: DataFrame | None = None,
         metric: str = "cosine",
+        cache: DataFrame | None = None,
     ):
+        self.cache = cache
         self.vectors, self.encode, self.completions, self.metric = vectors, encode, completions, metric
         self.corpus: DataFrame | None = None
         self.lexical_index: DataFrame | None = None
@@ -53,18 +56,18 @@ class Retriever:
     def hits(self, searches: DataFrame, k: int, filters: dict[str, Any] | None = None) -> DataFrame:
         """(…, rank, chunk_id, score) for each row of ``searches(…, search_text)``.
 
-        Equal texts are encoded and searched once.
+        Equal texts with equal conditions are encoded and searched once.
         """
-        texts = searches.select("search_text").distinct()
-        vectors = texts.select(
-            F.sha2("search_text", 256).alias("query_id"), self.encode(F.col("search_text")).alias("embedding")
-        )
+        asked = ["search_text", *_conditions(searches)]
+        key = F.sha2(F.to_json(F.struct(*asked)), 256)
+        texts = searches.select(*asked).distinct().withColumn("query_id", key)
+        vectors = with_vectors(texts, self.encode, self.cache, "search_text")
         kept = self.vectors.filter(compile_filter(filters))
         found = dense_topk(kept, vectors, k, self.metric).withColumnRenamed("query_id", "text_sha")
         return (
-            searches.withColumn("text_sha", F.sha2("search_text", 256))
+            searches.withColumn("text_sha", key)
             .join(found.withColumnRenamed("id", "chunk_id"), "text_sha")
-            .drop("text_sha", "search_text")
+            .drop("text_sha", *asked)
         )
 
     def with_content(self, hits: DataFrame, queries: DataFrame) -> DataFrame:
@@ -135,11 +138,11 @@ class Retriever:
     def hyde_search(self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None) -> DataFrame:
         """Search with a made-up answer; ``hyde_query`` is that answer, null where there was none."""
         texts = fusion.hyde_texts(queries, self.completions)
-        return self.with_content(self.hits(texts, k, filters), queries)
+        return self.with_content(self.hits(_conditioned(texts, queries), k, filters), queries)
 
     def expanded_hits(self, queries: DataFrame, k: int, variants: int, filters: dict[str, Any] | None) -> DataFrame:
         texts = fusion.expand_queries(queries, self.completions, variants)
-        return fusion.mean_scores(self.hits(texts, k, filters), k)
+        return fusion.mean_scores(self.hits(_conditioned(texts, queries), k, filters), k)
 
     def search_expanded(
         self, queries: DataFrame, k: int = 5, variants: int = 3, filters: dict[str, Any] | None = None
@@ -176,7 +179,7 @@ class Retriever:
         if use_expansion:
             reworded = fusion.expand_queries(queries, self.completions, 2)
             texts = texts.unionByName(reworded.withColumn("method", F.lit("expanded")).select("*", none))
-        found = cut_lineage(self.hits(texts, 2 * k, filters))
+        found = cut_lineage(self.hits(_conditioned(texts, queries), 2 * k, filters))
         expanded = fusion.mean_scores(found.filter(F.col("method") == "expanded").drop("rank"), 2 * k)
         others = found.filter(F.col("method") != "expanded")
         place = F.when(F.col("method") == "plain", 0).otherwise(1)
@@ -190,8 +193,18 @@ class Retriever:
         return self.rerank(queries, results, k) if use_reranking else results
 
 
+def _conditions(table: DataFrame) -> list[str]:
+    return [c for c in CONDITIONS if c in table.columns]
+
+
 def _plain(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", F.col("query").alias("search_text"))
+    return queries.select("query_id", F.col("query").alias("search_text"), *_conditions(queries))
+
+
+def _conditioned(texts: DataFrame, queries: DataFrame) -> DataFrame:
+    """Texts made from queries with the conditions of their queries."""
+    own = _conditions(queries)
+    return texts.join(queries.select("query_id", *own), "query_id") if own else texts
 
 
 def _sent_if_few(hits: DataFrame, queries: DataFrame) -> DataFrame:

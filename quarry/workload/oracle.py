@@ -527,8 +527,8 @@ ORACLE["prepare_vectors"] = """
 SELECT chunk_id AS id, chunk_id, document, chunk_index::INT AS chunk_index, chunk_type, coalesce(section_title, '') AS section_title,
        coalesce(page_number, 0) AS page_number, element_count, token_count, coalesce(has_image, false) AS has_image,
        nullif(image_description, '') AS image_description, nullif(filetype, '') AS filetype,
-       original_content, round(v[1]::DOUBLE, 6) AS first, round(list_max(v)::DOUBLE, 6) AS largest
-FROM told_records JOIN told_v ON key = chunk_id"""
+       original_content, round(list_sum(list_transform(v, lambda x, i: x::DOUBLE * i)), 6) AS weighed,
+       round(list_max(v)::DOUBLE, 6) AS largest FROM told_records JOIN told_v ON key = chunk_id"""
 CTES["sent"] = """
     SELECT r.id, r.document, 'quality ' || quality AS section_title, page_number, 1 AS seq FROM records r JOIN labelled USING (document)
     UNION ALL SELECT r.id, r.document, 'resent', page_number, 2 FROM records r JOIN labelled USING (document) WHERE toxic = 1
@@ -561,6 +561,25 @@ ORACLE["search_by_page_range"] = shown(top(dense("plain", "r.page_number BETWEEN
 ORACLE["search_combined"] = shown(
     top(dense("plain", "r.chunk_type = 'text' AND r.page_number BETWEEN 0 AND 40 AND NOT r.has_image"), 5, "chunk_id")
 )
+ORACLE["search_combined_per_query"] = shown(
+    top(
+        dense(
+            "plain",
+            """(q.query_id % 7 <> 3 OR r.document = 'doc_' || q.query_id)
+            AND (q.query_id % 3 = 2 OR r.chunk_type = CASE q.query_id % 3 WHEN 0 THEN 'text' ELSE 'table' END)
+            AND (q.query_id % 4 <> 1 OR r.page_number >= 10) AND (q.query_id % 4 >= 2 OR r.page_number <= 30)
+            AND (q.query_id % 5 <> 0 OR NOT r.has_image)""",
+        ),
+        5,
+        "chunk_id",
+    )
+)
+_beginning = "(CASE WHEN length({0}) % 2 = 0 THEN left({0}, 40) ELSE {0} END)"
+CTES["begun_docs"] = hashed("docs", "document || '_chunk_0'", _beginning.format("text"))
+CTES["begun_asked"] = hashed("asked", "query_id", _beginning.format("query"))
+_begun = f"""
+  SELECT q.key AS query_id, d.key AS chunk_id, {cosine('d.v::DOUBLE[]', 'q.v::DOUBLE[]')} AS score FROM begun_asked q, begun_docs d"""
+ORACLE["search_with_cached_vectors"] = shown(top(_begun, 5, "chunk_id"))
 ORACLE["hybrid_rrf"] = hybrid("hybrid")
 ORACLE["hybrid_filtered"] = hybrid("hybrid_part")
 ORACLE["hybrid_without_lexical"] = shown(top(dense("plain"), 10, "chunk_id"), ", NULL::VARCHAR AS source")

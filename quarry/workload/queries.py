@@ -372,10 +372,11 @@ def prepare_vectors(spark, sf_dir):
     described = E.describe_images(mixed, t.image_completions(spark, sf_dir))
     records = chunking.chunk_records(chunking.chunk_elements(described, SMALL, stored=mixed))
     vectors = ingest.index_records(records, ENCODER)
-    # Kept digits of a vector: its first and its largest number.
-    first = F.round(F.col("embedding")[0].cast("double"), 6)
+    # Of a vector: its numbers weighed by their places, and the largest.
+    products = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    weighed = F.round(F.aggregate(products, F.lit(0.0), lambda total, x: total + x), 6)
     largest = F.round(F.array_max("embedding").cast("double"), 6)
-    return vectors.select(*[c for c in vectors.columns if c != "embedding"], first.alias("first"), largest.alias("largest"))
+    return vectors.select(*[c for c in vectors.columns if c != "embedding"], weighed.alias("weighed"), largest.alias("largest"))
 
 
 def _sent(spark, sf_dir):
@@ -511,6 +512,35 @@ def search_combined(spark, sf_dir):
     return _shown(found)
 
 
+@query
+def search_combined_per_query(spark, sf_dir):
+    """Each query with its own filter, or with none."""
+    n = F.col("query_id")
+    own = t.queries(spark, sf_dir).withColumns(
+        {
+            "document": F.when(n % 7 == 3, F.concat(F.lit("doc_"), n)).when(n % 7 == 4, ""),
+            "chunk_type": F.when(n % 3 == 0, "text").when(n % 3 == 1, "table"),
+            "min_page": F.when(n % 4 == 1, 10),
+            "max_page": F.when(n % 4 < 2, 30),
+            "has_image": F.when(n % 5 == 0, False),
+        }
+    )
+    return _shown(t.retriever(spark, sf_dir).search(own, 5))
+
+
+@query
+def search_with_cached_vectors(spark, sf_dir):
+    """Chunks and queries with vectors on file (here those of their beginnings), the others encoded."""
+    records = t.records(spark, sf_dir)
+    texts = records.select(F.col("contextualized_content").alias("text")).unionByName(
+        t.queries(spark, sf_dir).select(F.col("query").alias("text"))
+    )
+    some = texts.distinct().filter(F.length("text") % 2 == 0)
+    cache = enrich.text_keys(some).select("text_sha", t.encode(F.left("text", F.lit(40))).alias("embedding"))
+    search = t.Retriever(ingest.index_records(records, ENCODER, cache), t.encode, cache=cache)
+    return _shown(search.search(t.queries(spark, sf_dir), 5))
+
+
 # -- fusion ---------------------------------------------------------------------------
 
 

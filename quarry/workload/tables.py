@@ -79,9 +79,9 @@ def image_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.filter(digit < "c").select(F.lit("image").alias("task"), "request_id", response.alias("response"))
 
 
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document as one index record, with metadata taken from its columns."""
-    records = documents(spark, sf_dir).select(
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as one chunk record, with metadata taken from its columns."""
+    return documents(spark, sf_dir).select(
         F.concat("document", F.lit("_chunk_0")).alias("chunk_id"),
         "document",
         F.lit(0).alias("chunk_index"),
@@ -96,7 +96,10 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("original_content"),
         F.col("text").alias("contextualized_content"),
     )
-    return prepare_vectors(records, hash_embedding(F.col("contextualized_content"), DIMENSIONS))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare_vectors(records(spark, sf_dir), hash_embedding(F.col("contextualized_content"), DIMENSIONS))
 
 
 def encode(text):

@@ -101,8 +101,7 @@ def test_search_like_brute_force(spark, monkeypatch, slice_cells):
 
 
 @pytest.mark.parametrize("metric", vector.METRICS)
-def test_dense_like_brute_force(spark, monkeypatch, metric):
-    monkeypatch.setattr(vector, "MAX_BUCKET_ROWS", 20)
+def test_dense_like_brute_force(spark, metric):
     rng = np.random.default_rng(1)
     rows = rng.integers(-2, 3, size=(70, 4)).astype("float64")
     rows[3] = 0
@@ -128,6 +127,44 @@ def test_dense_like_brute_force(spark, monkeypatch, metric):
         assert {(r.query_id, r.rank, r.id, round(r.score, 6) + 0.0) for r in hits} == expected
 
 
+@pytest.mark.parametrize("sent", [100, 2])
+def test_conditions_of_each_query(spark, sent):
+    columns = "id string, embedding array<float>, document string, chunk_type string, page_number int, has_image boolean"
+    table = spark.createDataFrame(
+        [
+            ("a", [1.0, 0.0], "one", "text", 1, False),
+            ("b", [1.0, 0.1], "two", "text", 5, True),
+            ("c", [1.0, 0.2], "two", "table", 9, None),
+            ("d", [1.0, 0.3], None, None, None, None),
+        ],
+        columns,
+    )
+    wanted = {
+        0: ((None,) * 5, "abcd"),
+        1: (("two", None, None, None, None), "bc"),
+        2: (("", "text", None, None, None), "ab"),
+        3: ((None, None, 2, 8, None), "b"),
+        4: ((None, None, None, None, True), "b"),
+        5: (("nowhere", None, None, None, None), ""),
+        6: ((None, "table", 5, None, None), "c"),
+    }
+    names = ("document", "chunk_type", "min_page", "max_page", "has_image")
+    types = ("string", "string", "int", "int", "boolean")
+    schema = "query_id long, embedding array<float>, " + ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
+    queries = spark.createDataFrame([(i, [1.0, 0.0], *c) for i, (c, _) in wanted.items()], schema)
+    for metric in vector.METRICS:
+        found = vector.dense_topk(table, queries, 4, metric, max_sent=sent).collect()
+        got = {(r.query_id, r.id) for r in found}
+        assert got == {(i, x) for i, (_, ids) in wanted.items() for x in ids}
+
+
+def test_many_rows_of_one_query_id(spark):
+    table = spark.createDataFrame([("a", [1.0])], "id string, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0])] * 5, "query_id long, embedding array<float>")
+    with pytest.raises(ValueError):
+        vector.dense_topk(table, queries, max_sent=2)
+
+
 def test_dense_nothing_and_unknown(spark):
     table = spark.createDataFrame([("a", [1.0])], "id string, embedding array<float>")
     queries = spark.createDataFrame([], "query_id long, embedding array<float>")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SAMPLE
 from quarry.operators.borders import ChunkParams
+from quarry.operators.enrich import Encoder, text_keys
+from quarry.operators.index import VectorTable
 from quarry.plans import ingest
 from quarry.sources import files, parsers
 
@@ -138,13 +140,24 @@ def test_element_files(spark, tmp_path):
     }
 
 
-def test_chunk_files(spark, sample, tmp_path):
+def test_chunk_files(spark, sample, tmp_path, tmp_path_factory):
     records = ingest.chunk_documents(sample, ChunkParams("basic", 10, 100))
     lines = [r[0] for r in records.select(files.chunk_json(records)).collect()]
     for name in ("one_chunks.json", "two_chunks.json", "other.json"):
         (tmp_path / name).write_text("[" + ",".join(lines) + "]")
     folder = files.read_chunks_json(spark, str(tmp_path))
     assert folder.count() == 2 * len(lines)
+    table = VectorTable(spark, str(tmp_path_factory.mktemp("store") / "index"), dimensions=8)
+    encoder, n = Encoder(dimensions=8), len(lines)
+    told = ingest.index_from_json(table, spark, str(tmp_path / "one_chunks.json"), encoder)
+    assert told == {"upserted": n, "total_vectors": n, "dimensions": 8}
+    # The second file has the same chunks: rows are sent again, and vectors on file are taken.
+    cache = text_keys(records, "contextualized_content").select(
+        "text_sha", F.array_repeat(F.lit(2.0).cast("float"), 8).alias("embedding")
+    )
+    told = ingest.index_from_json(table, spark, str(tmp_path), encoder, cache)
+    assert told == {"upserted": 2 * n, "total_vectors": n, "dimensions": 8}
+    assert {tuple(r.embedding) for r in table.read().collect()} == {(2.0,) * 8}
     single = files.read_chunks_json(spark, str(tmp_path / "one_chunks.json")).drop("filename", "file_pos")
     assert sorted(map(str, single.collect())) == sorted(map(str, records.select(*single.columns).collect()))
 
