@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.rows import unfold
 from quarry.functions.text import bind, words
-from quarry.operators.ranking import MAX_SENT_QUERIES, first_rows, ranked, scan_for_best, small_side
+from quarry.operators.ranking import MAX_HELD_SCORES, MAX_SENT_QUERIES, blocks, ranked, scan_for_best, small_side
 from quarry.session import cut_lineage
 
 # Distinct (query, term) pairs that may be sent whole to every task.
@@ -92,55 +92,68 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return unfold(queries, ["query_id"], counts, "t").select("query_id", "t.term", F.col("t.tf").alias("qtf"))
 
 
-def _query_statistics(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, df, tf) for the query terms, and under the empty term the corpus itself.
+def statistics(index: DataFrame) -> DataFrame:
+    """(term, df, tf) of every term, and under the empty term the documents and their tokens.
 
-    One pass over the index; the empty word never is a token.
+    The empty word never is a token.  Kept with the index, it saves each search a pass over it.
     """
     corpus = F.array(F.struct(F.lit("").alias("term"), F.col("doc_len").alias("tf")))
-    wanted = terms.select("term").distinct().unionByName(terms.sparkSession.createDataFrame([("",)], "term string"))
-    wanted = small_side(wanted, MAX_SENT_TERMS, "term")
     return (
         unfold(index, [], F.concat(corpus, "terms"), "t")
-        .select("t.term", "t.tf")
-        .join(wanted, "term")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+        .groupBy("t.term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("tf"))
     )
 
 
-def score(index: DataFrame, queries: DataFrame, params: Bm25Params = Bm25Params()) -> DataFrame:
-    """(query_id, doc_id, score) of every pair that shares a term."""
-    terms = query_terms(queries)
-    statistics = cut_lineage(_query_statistics(index, terms))
-    corpus = statistics.filter(F.col("term") == "").first()
-    totals = {"n_docs": corpus["df"], "avg_doc_len": corpus["tf"] / corpus["df"]} if corpus else {"n_docs": 0, "avg_doc_len": 0}
-    weighted = terms.join(statistics, "term").select(
-        "query_id", "term", (F.col("qtf") * idf(F.lit(totals["n_docs"]), F.col("df"))).alias("weight")
+def score(
+    index: DataFrame,
+    queries: DataFrame,
+    candidates: DataFrame,
+    params: Bm25Params = Bm25Params(),
+    kept: DataFrame | None = None,
+) -> DataFrame:
+    """(query_id, doc_id, score) of the pairs in ``candidates(query_id, doc_id)``, 0 without a common term.
+
+    ``kept``: the stored ``statistics`` of the index, made here if not given.
+    """
+    pairs = candidates.select("query_id", "doc_id").distinct()
+    kept = cut_lineage(statistics(index)) if kept is None else kept
+    corpus = kept.filter(F.col("term") == "").first()
+    n_docs, average = (corpus["df"], corpus["tf"] / corpus["df"]) if corpus else (0, 0.0)
+    asked = pairs.join(query_terms(queries), "query_id").join(kept.select("term", "df"), "term")
+    weighted = asked.select(
+        "query_id", "doc_id", "term", (F.col("qtf") * idf(F.lit(n_docs), F.col("df"))).alias("weight")
     )
-    weighted = small_side(weighted, MAX_SENT_TERMS, "term")
-    share = F.col("doc_len") / F.lit(totals["avg_doc_len"] or 1.0)
+    # Only the documents that are asked for are taken apart, and no key is a term alone.
+    read = postings(index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi"))
+    share = F.col("doc_len") / F.lit(average or 1.0)
     saturated = F.col("tf") * (params.k1 + 1) / (F.col("tf") + params.k1 * (1 - params.b + params.b * share))
-    return (
-        postings(index)
-        .join(weighted, "term")
+    scores = (
+        weighted.join(read, ["doc_id", "term"])
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("weight") * saturated).alias("score"))
     )
+    return pairs.join(scores, ["query_id", "doc_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 10, params: Bm25Params = Bm25Params()) -> DataFrame:
+def search(
+    index: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    params: Bm25Params = Bm25Params(),
+    kept: DataFrame | None = None,
+) -> DataFrame:
     """(query_id, rank, doc_id, score): the ``k`` best documents with a score above 0.
 
-    With a query table of bounded size, each task scores its documents and passes on the
-    best; beyond the bound the pairs are joined on their terms.
+    Each task scores its documents and passes on the best; queries beyond the bounds are cut
+    into blocks with a scan each.  ``kept``: the stored ``statistics`` of the index; without
+    them the terms of the queries are counted first, in one more pass.
     """
     terms = query_terms(queries)
-    sent = first_rows(terms, MAX_SENT_TERMS)
-    if sent is not None and pc.count_distinct(sent.column("query_id")).as_py() <= MAX_SENT_QUERIES:
-        hits = _scan(index, terms, sent, k, params)
-    else:
-        hits = score(index, queries, params).filter(F.col("score") > 0)
+    hits = no_hits(index, terms.schema["query_id"].dataType.simpleString())
+    for n, sent in enumerate(blocks(terms, MAX_SENT_TERMS, MAX_SENT_QUERIES)):
+        scan = _scan(index, terms, sent, k, params, kept)
+        hits = hits.unionByName(scan) if n else scan
     return ranked(hits, k, item="doc_id").select("query_id", "rank", "doc_id", "score")
 
 
@@ -170,9 +183,20 @@ def _counts(index: DataFrame, vocabulary: pa.Array) -> dict[int, tuple[int, int]
     return {r["code"]: (r["df"], r["tf"]) for r in total.collect()}
 
 
-def _scan(index: DataFrame, terms: DataFrame, sent: pa.Table, k: int, params: Bm25Params) -> DataFrame:
+def _kept_counts(kept: DataFrame, vocabulary: pa.Array) -> dict[int, tuple[int, int]]:
+    """As ``_counts``, from stored statistics: at most a row per term of the vocabulary comes here."""
+    wanted = kept.sparkSession.createDataFrame(
+        pa.table({"code": pa.array(range(-1, len(vocabulary)), pa.int64()), "term": ["", *vocabulary.to_pylist()]})
+    )
+    found = kept.join(small_side(wanted, MAX_SENT_TERMS + 1, "term"), "term").select("code", "df", "tf")
+    return {r["code"]: (r["df"], r["tf"]) for r in found.collect()}
+
+
+def _scan(
+    index: DataFrame, terms: DataFrame, sent: pa.Table, k: int, params: Bm25Params, kept: DataFrame | None
+) -> DataFrame:
     vocabulary = pc.unique(sent.column("term").combine_chunks())
-    counts = _counts(index, vocabulary)
+    counts = _counts(index, vocabulary) if kept is None else _kept_counts(kept, vocabulary)
     n_docs, total = counts.get(-1, (0, 0))
     average = (total / n_docs if n_docs else 0.0) or 1.0
     frequency = np.array([counts.get(i, (0, 0))[0] for i in range(len(vocabulary))], dtype="float64")
@@ -199,12 +223,15 @@ def _scan(index: DataFrame, terms: DataFrame, sent: pa.Table, k: int, params: Bm
         tf = flat.field("tf").to_numpy(zero_copy_only=False)[hit].astype("float64")
         share = batch.column("doc_len").to_numpy(zero_copy_only=False)[row] / average
         value = weight[code] * tf * (params.k1 + 1) / (tf + params.k1 * (1 - params.b + params.b * share))
-        # Each (document, term) goes to all queries that have the term.
+        # Each (document, term) goes to all queries that have the term, a bounded number at once.
         fan = first[code + 1] - first[code]
-        source = np.repeat(np.arange(len(code)), fan)
-        entry = np.arange(len(source)) - np.repeat(np.cumsum(fan) - fan, fan) + first[code][source]
-        cell = row[source] * n_queries + query[entry]
-        scores = np.bincount(cell, weights=value[source] * qtf[entry], minlength=batch.num_rows * n_queries)
+        scores = np.zeros(batch.num_rows * n_queries)
+        for part in np.split(np.arange(len(code)), np.flatnonzero(np.diff(np.cumsum(fan) // MAX_HELD_SCORES)) + 1):
+            times = fan[part]
+            source = np.repeat(part, times)
+            entry = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times) + first[code][source]
+            cell = row[source] * n_queries + query[entry]
+            scores += np.bincount(cell, weights=value[source] * qtf[entry], minlength=len(scores))
         return scores.reshape(batch.num_rows, n_queries)
 
     query_type = terms.schema["query_id"].dataType.simpleString()

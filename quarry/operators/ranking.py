@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 TIE_DIGITS = 9
 
 # Queries that may be sent whole to every task: 16,384 of up to 1,024 numbers are 128 MB.
@@ -127,6 +130,30 @@ def first_rows(table: DataFrame, limit: int) -> pa.Table | None:
     return found if found.num_rows <= limit else None
 
 
+def blocks(table: DataFrame, max_rows: int, max_queries: int) -> Iterator[pa.Table]:
+    """``table`` in blocks of whole queries within both bounds, one at a time on the driver.
+
+    A single query with more rows than that is a block of its own.
+    """
+    sent = first_rows(table, max_rows)
+    if sent is not None and pc.count_distinct(sent.column("query_id")).as_py() <= max_queries:
+        yield sent
+        return
+    kept = cut_lineage(table)
+    size = (F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("queries"))
+    parts = [(F.lit(True), *kept.agg(*size).first())]
+    while parts:
+        condition, n, queries = parts.pop()
+        if queries == 1 or (n <= max_rows and queries <= max_queries):
+            yield kept.filter(condition).toArrow()
+            continue
+        # Twice as many parts as would do if they were equal; one that is still too large is cut again.
+        cuts = math.ceil(2 * max(n / max_rows, queries / max_queries))
+        part = F.pmod(F.xxhash64("query_id", F.lit(len(parts)), F.lit(n)), F.lit(cuts))
+        sizes = kept.filter(condition).groupBy(part.alias("part")).agg(*size).collect()
+        parts += [(condition & (part == r["part"]), r["n"], r["queries"]) for r in sizes]
+
+
 def small_side(table: DataFrame, max_rows: int, key: str) -> DataFrame:
     """``table`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
 

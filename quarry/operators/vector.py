@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ranking import MAX_SENT_QUERIES, first_rows, ranked, scan_for_best
-from quarry.session import cut_lineage
+from quarry.operators.ranking import MAX_SENT_QUERIES, blocks, ranked, scan_for_best
 
 METRICS = ("cosine", "dotproduct", "euclidean")
 
@@ -98,35 +94,13 @@ def dense_topk(
     query_type, id_type = (t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (vectors, "id")))
     hits = vectors.sparkSession.createDataFrame([], f"query_id {query_type}, id {id_type}, score double")
     scans = [
-        _scan(vectors, sent, query_type, conditions, k, metric) for sent in _blocks(queries, max_sent) if sent.num_rows
+        _scan(vectors, sent, query_type, conditions, k, metric) for sent in blocks(queries, max_sent, max_sent) if sent.num_rows
     ]
     for n, scan in enumerate(scans):
         hits = hits.unionByName(scan) if n else scan
     return ranked(hits, k, item="id", ascending=metric == "euclidean").select("query_id", "rank", "id", "score")
 
 
-def _blocks(queries: DataFrame, max_sent: int) -> Iterator[pa.Table]:
-    """The queries in blocks of at most ``max_sent``, one at a time on the driver."""
-    sent = first_rows(queries, max_sent)
-    if sent is not None:
-        yield sent
-        return
-    kept = cut_lineage(queries)
-    parts = [(F.lit(True), kept.count())]
-    while parts:
-        # Twice as many parts as would do if they were equal; one that is still too large is cut again.
-        condition, n = parts.pop()
-        if n <= max_sent:
-            yield kept.filter(condition).toArrow()
-            continue
-        cuts = math.ceil(2 * n / max_sent)
-        part = F.pmod(F.xxhash64("query_id", F.lit(n)), F.lit(cuts))
-        sizes = kept.filter(condition).groupBy(part.alias("part")).count().collect()
-        if len(sizes) == 1 and kept.filter(condition).select("query_id").distinct().limit(2).count() == 1:
-            raise ValueError("queries must have different ids")
-        parts += [(condition & (part == r["part"]), r["count"]) for r in sizes]
-
-
 def _scan(
     vectors: DataFrame, sent: pa.Table, query_type: str, conditions: list[str], k: int, metric: str
 ) -> DataFrame:

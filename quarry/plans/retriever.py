@@ -50,6 +50,7 @@ class Retriever:
         self.vectors, self.encode, self.completions, self.metric = vectors, encode, completions, metric
         self.corpus: DataFrame | None = None
         self.lexical_index: DataFrame | None = None
+        self.lexical_statistics: DataFrame | None = None
 
     # -- dense --------------------------------------------------------------------
 
@@ -100,11 +101,15 @@ class Retriever:
 
     # -- hybrid -------------------------------------------------------------------
 
-    def index_for_bm25(self, corpus: DataFrame, index: DataFrame | None = None) -> None:
+    def index_for_bm25(
+        self, corpus: DataFrame, index: DataFrame | None = None, statistics: DataFrame | None = None
+    ) -> None:
         """Set the lexical side: ``corpus(chunk_id, content)``.
 
-        Give ``index`` if it is stored already; else it is made here, once for all searches.
+        Give ``index`` and its ``statistics`` if they are stored already (the latter may be
+        left out); else the index is made here, once for all searches.
         """
+        self.lexical_statistics = statistics
         self.corpus = corpus.select("chunk_id", "content")
         if index is None:
             index = cut_lineage(lexical.forward_index(self.corpus, "chunk_id", "content"))
@@ -122,7 +127,7 @@ class Retriever:
             return self.with_content(dense, queries).withColumn("source", F.lit(None).cast("string"))
         # These lists are used again below; they are short, the scans behind them are not.
         dense = cut_lineage(self.hits(_plain(queries), 2 * k, filters))
-        words = lexical.search(self.lexical_index, queries, 2 * k).withColumnRenamed("doc_id", "chunk_id")
+        words = lexical.search(self.lexical_index, queries, 2 * k, kept=self.lexical_statistics).withColumnRenamed("doc_id", "chunk_id")
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
         in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
         marked = cut_lineage(fused.join(in_dense, ["query_id", "chunk_id"], "left"))

@@ -548,7 +548,13 @@ ORACLE["bm25_postings"] = "SELECT * FROM lex_postings"
 ORACLE["bm25_stats"] = "SELECT n_docs, round(avg_doc_len, 6) AS avg_doc_len FROM lex_stats"
 ORACLE["bm25_df"] = "SELECT term, df FROM lex_idf"
 ORACLE["bm25_idf"] = "SELECT term, df, round(idf, 6) AS idf FROM lex_idf"
-ORACLE["bm25_score"] = "SELECT query_id, doc_id, round(score, 6) AS score FROM lex_score"
+ORACLE["bm25_score"] = """
+SELECT p.query_id, p.doc_id, round(coalesce(score, 0), 6) AS score FROM (
+  SELECT DISTINCT doc_id, query_id FROM (
+    SELECT doc_id, unnest(CASE WHEN doc_id % 2 = 0 THEN [0, 1] ELSE [0] END) AS further FROM documents) d
+  JOIN (SELECT query_id, row_number() OVER (ORDER BY query_id) - 1 AS place, count(*) OVER () AS n FROM asked) a
+    ON (doc_id + further) % n = place) p
+LEFT JOIN lex_score s ON s.query_id = p.query_id AND s.doc_id = p.doc_id"""
 ORACLE["bm25_search"] = f"""
 SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({top('SELECT * FROM lex_score WHERE score > 0', 10, 'doc_id')})"""
 ORACLE["dense_topk"] = given_dense(cosine("e.v", "q.v"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from quarry.functions.text import html_table_to_markdown, media_type, token_count, words
 from quarry.functions.vectors import cosine
@@ -423,6 +424,10 @@ def _kept_index(spark, sf_dir):
     return cut_lineage(_index(spark, sf_dir))
 
 
+def _kept_statistics(index):
+    return cut_lineage(lexical.statistics(index))
+
+
 @query
 def bm25_postings(spark, sf_dir):
     return lexical.postings(_index(spark, sf_dir))
@@ -446,12 +451,21 @@ def bm25_idf(spark, sf_dir):
 
 @query
 def bm25_score(spark, sf_dir):
-    return rounded(lexical.score(_kept_index(spark, sf_dir), t.queries(spark, sf_dir)))
+    """Every document with the query its number falls to, and every second one with the next query too."""
+    asked = t.queries(spark, sf_dir)
+    n = asked.count()
+    numbers = t.documents(spark, sf_dir).select("doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("further"))
+    place = (F.col("doc_id") + F.col("further")) % n
+    pairs = numbers.filter((F.col("further") == 0) | (F.col("doc_id") % 2 == 0)).select("doc_id", place.alias("place"))
+    numbered = asked.select("query_id", (F.row_number().over(Window.orderBy("query_id")) - 1).alias("place"))
+    index = _kept_index(spark, sf_dir)
+    return rounded(lexical.score(index, asked, pairs.join(numbered, "place"), kept=_kept_statistics(index)))
 
 
 @query
 def bm25_search(spark, sf_dir):
-    return rounded(lexical.search(_kept_index(spark, sf_dir), t.queries(spark, sf_dir), 10))
+    index = _kept_index(spark, sf_dir)
+    return rounded(lexical.search(index, t.queries(spark, sf_dir), 10, kept=_kept_statistics(index)))
 
 
 # -- dense ----------------------------------------------------------------------------

@@ -46,14 +46,23 @@ def test_score_needs_a_shared_word(spark):
     index = lexical.forward_index(
         docs(spark, ["river rowing is hard", "night rowing club races", "baking bread and cakes"])
     )
-    scores = {r.doc_id: r.score for r in lexical.score(index, asked(spark, "rowing")).collect()}
-    assert set(scores) == {"doc1", "doc2"} and min(scores.values()) > 0
+    pairs = spark.createDataFrame([(0, "doc1"), (0, "doc3"), (0, "doc1"), (1, "doc2")], "query_id long, doc_id string")
+    queries = asked(spark, "rowing", "club river")
+    rows = lexical.score(index, queries, pairs).collect()
+    scores = {(r.query_id, r.doc_id): r.score for r in rows}
+    assert len(rows) == 3 and scores[0, "doc3"] == 0.0 and scores[0, "doc1"] > 0 and scores[1, "doc2"] > 0
+    kept = lexical.statistics(index)
+    assert {(r.query_id, r.doc_id): r.score for r in lexical.score(index, queries, pairs, kept=kept).collect()} == scores
+    found = {(r.query_id, r.doc_id): r.score for r in lexical.search(index, queries, 3).collect()}
+    assert all(found[pair] == pytest.approx(score) for pair, score in scores.items() if score)
+    again = lexical.search(index, queries, 3, kept=kept).collect()
+    assert {(r.query_id, r.doc_id): r.score for r in again} == found
 
 
 PROGRAMS = ["granite carving manual", "granite boulder hill", "marble carving manual"]
 
 
-@pytest.mark.parametrize("bound", [0, 1_000_000])
+@pytest.mark.parametrize("bound", [1, 1_000_000])
 def test_search(spark, monkeypatch, bound):
     monkeypatch.setattr(lexical, "MAX_SENT_TERMS", bound)
     index = lexical.forward_index(docs(spark, PROGRAMS))
@@ -71,6 +80,8 @@ def test_search_nothing(spark):
 @pytest.mark.parametrize("slice_cells", [7, 4_000_000])
 def test_search_like_brute_force(spark, monkeypatch, slice_cells):
     monkeypatch.setattr(ranking, "MAX_HELD_SCORES", slice_cells)
+    monkeypatch.setattr(lexical, "MAX_HELD_SCORES", slice_cells)
+    monkeypatch.setattr(lexical, "MAX_SENT_QUERIES", 2 if slice_cells == 7 else 100)
     monkeypatch.setattr(ranking, "MAX_HELD_HITS", 5 if slice_cells == 7 else 1_000_000)
     rng = random.Random(2)
     texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 9))) for _ in range(60)]
@@ -158,13 +169,6 @@ def test_conditions_of_each_query(spark, sent):
         assert got == {(i, x) for i, (_, ids) in wanted.items() for x in ids}
 
 
-def test_many_rows_of_one_query_id(spark):
-    table = spark.createDataFrame([("a", [1.0])], "id string, embedding array<float>")
-    queries = spark.createDataFrame([(1, [1.0])] * 5, "query_id long, embedding array<float>")
-    with pytest.raises(ValueError):
-        vector.dense_topk(table, queries, max_sent=2)
-
-
 def test_dense_nothing_and_unknown(spark):
     table = spark.createDataFrame([("a", [1.0])], "id string, embedding array<float>")
     queries = spark.createDataFrame([], "query_id long, embedding array<float>")
