@@ -4,12 +4,30 @@ from __future__ import annotations
 
 import re
 
-from quarry.functions.text import NON_SPACE, SPACE_SIGNS, SPACES, TABLE_CELL, TABLE_ROW, TAG, TOKEN, TOKEN_WITH_SPACE, WORD
 from quarry.operators import enrich, fusion
-from quarry.sources.parsers import HTML_BLOCK, HTML_BREAK, HTML_DATA_IMAGE, HTML_DROPPED, HTML_TAG
 
 DIMS = 64
 
+# The patterns as the rules state them, written out here so that the SQL does not lean on the engine.
+SPACES = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+"
+NON_SPACE = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+SPACE_SIGNS = "".join(map(chr, [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+WORD = r"[\p{L}\p{N}_]+"
+TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+TOKEN_WITH_SPACE = (
+    r"(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}])[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]*"
+)
+TABLE_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
+TABLE_CELL = r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
+TAG = HTML_TAG = r"<[^>]+>"
+HTML_BREAK = r"(?i)<br\b[^>]*>"
+HTML_DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<head\b.*?</head>|<!doctype[^>]*>"
+HTML_BLOCK = (
+    r"(?is)(<table\b.*?</table>|<img\b[^>]*>|"
+    r"</?(?:h[1-6]|p|li|ul|ol|div|nav|article|section|main|aside|header|footer|body|html|blockquote|pre)\b[^>]*>)"
+)
+HTML_DATA_IMAGE = r"(?is)^<img\b[^>]*\bsrc=[\"']data:image/([a-z]+);base64,([^\"']*)[\"']"
+
 
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
