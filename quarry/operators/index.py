@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.ranking import small_side
 from quarry.schemas import FILTER_FIELDS, VECTORS
+from quarry.session import cut_lineage
 from quarry.sources.versioned import VersionedTable
 
 # Ids that may be sent whole to every task.
@@ -148,9 +149,10 @@ class VectorTable:
         width = F.assert_true(
             F.size("embedding") == self.dimensions, F.lit(f"vectors must have {self.dimensions} numbers")
         )
-        checked = vectors.filter(width.isNull()).withColumn("_sent", F.monotonically_increasing_id())
+        # The batch is made once, however often it is looked at.
+        checked = cut_lineage(vectors.filter(width.isNull()).withColumn("_sent", F.monotonically_increasing_id()))
         self.table.replace(upsert(self.read(), checked, order or [F.col("_sent")]))
-        return {"upserted": vectors.select("id").count(), **self.stats()}
+        return {"upserted": checked.count(), **self.stats()}
 
     def stats(self) -> dict[str, int]:
         return {"total_vectors": self.read().count(), "dimensions": self.dimensions}

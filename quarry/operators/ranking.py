@@ -32,25 +32,23 @@ def ranked(hits: DataFrame, k: int, score: str = "score", item: str = "chunk_id"
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def _best_of_slice(scores: np.ndarray, k: int, ascending: bool, positive_only: bool) -> tuple[np.ndarray, np.ndarray]:
+def _best_of_slice(
+    scores: np.ndarray, k: int, ascending: bool, positive_only: bool, limits: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """(rows, queries) of the scores (rows x queries) that may be among the ``k`` best of a query.
 
-    Rows come in rising order of id, so a stable sort leaves ties in order of id.
+    Rows come in rising order of id, so of equal scores the first are taken.  ``limits`` holds
+    the k-th best key that a query has had in any slice; worse ones are passed over.
     """
     keys = np.round(scores, TIE_DIGITS) if ascending else -np.round(scores, TIE_DIGITS)
-    rows, queries = [], []
-    for q in range(scores.shape[1]):
-        key = keys[:, q]
-        if len(key) > k:
-            candidates = np.flatnonzero(key <= np.partition(key, k - 1)[k - 1])
-        else:
-            candidates = np.arange(len(key))
-        if positive_only:
-            candidates = candidates[scores[candidates, q] > 0]
-        chosen = candidates[np.argsort(key[candidates], kind="stable")][:k]
-        rows.append(chosen)
-        queries.append(np.full(len(chosen), q))
-    return np.concatenate(rows), np.concatenate(queries)
+    some = (scores > 0 if positive_only else keys < np.inf) & (keys <= limits)
+    if len(keys) > k:
+        last = np.partition(keys, k - 1, axis=0)[k - 1]
+        better, equal = keys < last, keys == last
+        equal &= np.cumsum(equal, axis=0) <= k - better.sum(axis=0)
+        some &= better | equal
+        np.minimum(limits, last, out=limits)
+    return np.nonzero(some)
 
 
 def _best_of_hits(hits: pa.Table, k: int, ascending: bool) -> pa.Table:
@@ -80,12 +78,13 @@ def best_in_task(
     """(query_id, id, score): the ``k`` best rows per query of all batches; the id is column 0."""
     step = max(1, max_scores // max(1, len(query_ids)))
     held: list[pa.Table] = []
+    limits = np.full(len(query_ids), np.inf)
     for whole in batches:
         for offset in range(0, whole.num_rows, step):
             part = whole.slice(offset, step)
             part = part.take(pc.sort_indices(part.column(0)))
             scores = score_batch(part)
-            row, query = _best_of_slice(scores, k, ascending, positive_only)
+            row, query = _best_of_slice(scores, k, ascending, positive_only, limits)
             found = [pa.array(query), part.column(0).take(pa.array(row)), pa.array(scores[row, query], pa.float64())]
             held.append(pa.table(found, names=["query", "id", "score"]))
             if sum(h.num_rows for h in held) > max_hits:

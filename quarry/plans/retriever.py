@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from quarry.operators import fusion, lexical
 from quarry.operators.enrich import respond, with_vectors
 from quarry.operators.index import combined_filter, compile_filter
-from quarry.operators.ranking import MAX_SENT_QUERIES
 from quarry.operators.vector import CONDITIONS, dense_topk
 from quarry.session import cut_lineage
 
+# Hits that may be sent to every task: about 100 bytes each.
+MAX_SENT_HITS = 500_000
+
 METADATA = (
     "document",
     "chunk_index",
@@ -71,21 +73,28 @@ class Retriever:
             .drop("text_sha", *asked)
         )
 
-    def with_content(self, hits: DataFrame, queries: DataFrame) -> DataFrame:
-        """Stored text and metadata for the rows that are hits.
+    def with_content(self, hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+        """Stored text and metadata for the rows that are hits, at most ``k`` per query.
 
-        With a query table of bounded size the hits are, too, and go to the stored rows.
+        If queries times ``k`` are few, the hits go to the stored rows; free text of theirs is joined afterwards.
         """
         stored = self.vectors.select(
             F.col("id").alias("chunk_id"), F.coalesce("original_content", F.lit("")).alias("content"), *METADATA
         )
-        return stored.join(_sent_if_few(hits, queries), "chunk_id").select(*_result_columns(hits))
+        short = ["query_id", "rank", "chunk_id", "score"]
+        more = [c for c in hits.columns if c not in short]
+        # Joined twice then: the list is short, the scans behind it are not.
+        hits = cut_lineage(hits) if more else hits
+        found = stored.join(_sent_if_few(hits.select(*short), queries, k), "chunk_id")
+        if more:
+            found = found.join(hits.select("query_id", "chunk_id", *more), ["query_id", "chunk_id"])
+        return found.select(*_result_columns(hits))
 
     def search(
         self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None, include_metadata: bool = True
     ) -> DataFrame:
         hits = self.hits(_plain(queries), k, filters)
-        return self.with_content(hits, queries) if include_metadata else hits
+        return self.with_content(hits, queries, k) if include_metadata else hits
 
     def search_by_document(self, queries: DataFrame, document: str, k: int = 5) -> DataFrame:
         return self.search(queries, k, {"document": {"$eq": document}})
@@ -124,15 +133,15 @@ class Retriever:
         """
         if self.lexical_index is None or self.corpus is None:
             dense = self.hits(_plain(queries), k, filters)
-            return self.with_content(dense, queries).withColumn("source", F.lit(None).cast("string"))
+            return self.with_content(dense, queries, k).withColumn("source", F.lit(None).cast("string"))
         # These lists are used again below; they are short, the scans behind them are not.
         dense = cut_lineage(self.hits(_plain(queries), 2 * k, filters))
         words = lexical.search(self.lexical_index, queries, 2 * k, kept=self.lexical_statistics).withColumnRenamed("doc_id", "chunk_id")
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
         in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
         marked = cut_lineage(fused.join(in_dense, ["query_id", "chunk_id"], "left"))
-        by_dense = self.with_content(marked.filter("dense"), queries).drop("dense")
-        not_dense = _sent_if_few(marked.filter(F.col("dense").isNull()).drop("dense"), queries)
+        by_dense = self.with_content(marked.filter("dense").drop("dense"), queries, k)
+        not_dense = _sent_if_few(marked.filter(F.col("dense").isNull()).drop("dense"), queries, k)
         by_words = self.corpus.join(not_dense, "chunk_id")
         return by_dense.withColumn("source", F.lit(None).cast("string")).unionByName(
             by_words.withColumn("source", F.lit("bm25")), allowMissingColumns=True
@@ -143,7 +152,7 @@ class Retriever:
     def hyde_search(self, queries: DataFrame, k: int = 5, filters: dict[str, Any] | None = None) -> DataFrame:
         """Search with a made-up answer; ``hyde_query`` is that answer, null where there was none."""
         texts = fusion.hyde_texts(queries, self.completions)
-        return self.with_content(self.hits(_conditioned(texts, queries), k, filters), queries)
+        return self.with_content(self.hits(_conditioned(texts, queries), k, filters), queries, k)
 
     def expanded_hits(self, queries: DataFrame, k: int, variants: int, filters: dict[str, Any] | None) -> DataFrame:
         texts = fusion.expand_queries(queries, self.completions, variants)
@@ -152,7 +161,7 @@ class Retriever:
     def search_expanded(
         self, queries: DataFrame, k: int = 5, variants: int = 3, filters: dict[str, Any] | None = None
     ) -> DataFrame:
-        return self.with_content(self.expanded_hits(queries, k, variants, filters), queries)
+        return self.with_content(self.expanded_hits(queries, k, variants, filters), queries, k)
 
     def rerank(self, queries: DataFrame, results: DataFrame, k: int = 5) -> DataFrame:
         """Results in the order a model gave; without a response the first ``k``."""
@@ -194,7 +203,7 @@ class Retriever:
         combined = fusion.mean_scores(
             lists.withColumn("by", F.struct("hyde_query")), 2 * k if use_reranking else k, keep="by", first="place"
         ).select("query_id", "rank", "chunk_id", "score", "by.hyde_query")
-        results = self.with_content(combined, queries)
+        results = self.with_content(combined, queries, 2 * k)
         return self.rerank(queries, results, k) if use_reranking else results
 
 
@@ -212,10 +221,10 @@ def _conditioned(texts: DataFrame, queries: DataFrame) -> DataFrame:
     return texts.join(queries.select("query_id", *own), "query_id") if own else texts
 
 
-def _sent_if_few(hits: DataFrame, queries: DataFrame) -> DataFrame:
-    """Hits marked for broadcast if the queries are few; a query has at most some ``k`` of them."""
-    few = queries.select("query_id").limit(MAX_SENT_QUERIES + 1).count() <= MAX_SENT_QUERIES
-    return F.broadcast(hits) if few else hits
+def _sent_if_few(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Hits (ids, ranks and scores) marked for broadcast if there are at most ``MAX_SENT_HITS``: ``k`` per query."""
+    most = MAX_SENT_HITS // max(k, 1)
+    return F.broadcast(hits) if queries.select("query_id").limit(most + 1).count() <= most else hits
 
 
 def _result_columns(hits: DataFrame) -> list[str]:
