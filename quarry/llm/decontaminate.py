@@ -1,14 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs without blanks and ASCII marks. A scan of the documents finds the three-word runs of the benchmark items
-in them. Where ``MIN_SEEDS`` different runs of one item lie together, it keeps the words around them (as hashes), and for
-every document the runs it has, so that their document frequency is counted over the whole corpus. A run is rare, and a seed, if few
-documents have it as measured against the other runs of its item: items that leaked into thousands of documents keep their seeds.
-Passages that still have enough seeds are aligned with the item: a match scores 2, a mismatch or a gap -1, and the best local
-score, divided by that of the item with itself, is the result. Edited and paraphrased copies keep most of it.
+in them, the seeds. Wherever ``MIN_SEEDS`` different runs of one item lie together, the words around them are aligned with the item,
+however many documents or items have these runs: a leak that is frequent stays a leak. A match scores 2, a mismatch or a gap -1, and the
+best local score, divided by that of the item with itself, is the result. Edited and paraphrased copies keep most of it. Passages with
+too few of the item's words for the least score (a bound that no alignment can pass) are not aligned.
 
 The benchmark is read in blocks of at most ``BLOCK_RUNS`` runs, each sent to the workers as one table; any benchmark size works,
-with a scan per block. Nothing but counts of benchmark runs and passages with seeds is written or shuffled.
+with a scan per block. Nothing but matches leaves the scan.
 
 Defined results: null and empty texts have no match; an item without words matches nothing, one of fewer than three words is one run;
 of several passages of a document that match an item, the best (then first) is returned; equal items are matched each;
@@ -20,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,16 +31,9 @@ MIN_SEEDS = 2
 #: Part of an item's own score that an alignment needs.
 LEAST_SCORE = 0.4
 BLOCK_RUNS = 200_000
-#: A run is rare if at most RARE_TIMES as many documents have it as have the item's run at this quantile, plus RARE_MORE.
-RARE_QUANTILE, RARE_TIMES, RARE_MORE = 0.4, 2, 10
 MATCH, OTHER = 2, -1
 
 
-def rare(frequencies: np.ndarray) -> np.ndarray:
-    """Which runs of one item are rare."""
-    return frequencies <= RARE_TIMES * np.quantile(frequencies, RARE_QUANTILE, method="lower") + RARE_MORE
-
-
 class Items:
     """A block of benchmark items: their words, and an index from runs to items."""
 
@@ -50,16 +41,11 @@ class Items:
         self.ids, self.words = ids, words
         runs = [np.unique(shingle_hashes(w, RUN)) for w in words]
         item = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        runs = np.concatenate([np.zeros(0, np.uint64), *runs])
-        self.runs, back, times = np.unique(runs, return_inverse=True, return_counts=True)
-        # Runs that most items have cannot be seeds.
-        keep = np.zeros(len(runs), bool)
-        for part in np.split(np.arange(len(runs)), np.flatnonzero(np.diff(item)) + 1):
-            if len(part):
-                keep[part] = rare(times[back[part]])
-        order = np.argsort(back[keep], kind="stable")
-        self.item, run_of = item[keep][order], back[keep][order]
-        self.begin = np.searchsorted(run_of, np.arange(len(self.runs) + 1))
+        self.runs, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *runs]), return_inverse=True)
+        self.own = np.split(back, np.cumsum([len(r) for r in runs])[:-1])
+        order = np.argsort(back, kind="stable")
+        self.item = item[order]
+        self.begin = np.searchsorted(back[order], np.arange(len(self.runs) + 1))
         self.need = np.array([MIN_SEEDS if len(w) >= 4 * RUN else 1 for w in words], np.int64)
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.runs & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
@@ -76,22 +62,19 @@ class Items:
 
     def passages(self, at: np.ndarray, run: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int]]:
         """(item, first word, word after the last) wherever enough runs of an item lie together."""
-        count = self.begin[run + 1] - self.begin[run]
-        if not count.sum():
-            return
-        ends = np.cumsum(count)
-        within = np.arange(ends[-1]) - np.repeat(ends - count, count)
-        item = self.item[np.repeat(self.begin[run], count) + within]
-        at, run = np.repeat(at, count), np.repeat(run, count)
-        order = np.lexsort((at, item))
-        item, at, run = item[order], at[order], run[order]
-        reach = np.array([len(w) for w in self.words])[item]
-        apart = np.flatnonzero((np.diff(item) != 0) | (np.diff(at) > reach[1:])) + 1
-        for part in np.split(np.arange(len(at)), apart):
-            i = int(item[part[0]])
+        different = np.unique(run)
+        # No more than the runs of the block, however often the text has them.
+        items = np.concatenate([self.item[self.begin[r] : self.begin[r + 1]] for r in different])
+        items, n_runs = np.unique(items, return_counts=True)
+        for i in items[n_runs >= self.need[items]].tolist():
+            mine = np.isin(run, self.own[i])
+            yield from self._together(i, at[mine], run[mine], n_words)
+
+    def _together(self, i: int, at: np.ndarray, run: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int]]:
+        size = len(self.words[i])
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > size) + 1):
             if len(np.unique(run[part])) < self.need[i]:
                 continue
-            size = len(self.words[i])
             low, high = max(0, int(at[part[0]]) - size), min(n_words, int(at[part[-1]]) + RUN + size)
             # A long stretch is cut into overlapping windows, each longer than any alignment that matters.
             for start in range(low, max(low + 1, high - 2 * size), 2 * size):
@@ -132,61 +115,40 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items(ids, words)
 
 
-PASSAGES = "doc_id long, key binary, runs array<int>, passages array<struct<item:int, start:int, words:binary>>"
-_PASSAGE = pa.struct([("item", pa.int32()), ("start", pa.int32()), ("words", pa.binary())])
-
-
-def _find(items) -> callable:
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(items) -> callable:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, block = Words(), items.value
         for batch in batches:
-            keep, runs, passages = [], [], []
+            rows = []
             for n, text in enumerate(batch.column("text")):
                 hashes = known.hashes(text.as_py())
                 at, run = block.hits(hashes)
                 if not len(at):
                     continue
-                keep.append(n)
-                runs.append(np.unique(run).tolist())
-                passages.append(
-                    [
-                        {"item": i, "start": a, "words": hashes[a:b].tobytes()}
-                        for i, a, b in block.passages(at, run, len(hashes))
-                    ]
-                )
-            kept = batch.select(["doc_id", "key"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(runs, pa.list_(pa.int32())), pa.array(passages, pa.list_(_PASSAGE))],
-                ["doc_id", "key", "runs", "passages"],
-            )
-
-    return find
-
-
-def _score(items, seeds) -> callable:
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, is_seed = items.value, seeds.value
-        for batch in batches:
-            rows = []
-            for doc_id, key, passages in zip(batch["doc_id"], batch["key"], batch["passages"], strict=True):
                 best: dict[int, tuple] = {}
-                for p in passages:
-                    i, words = p["item"], np.frombuffer(p["words"], np.uint64)
-                    _, run = block.hits(words)
-                    if sum((i, int(r)) in is_seed for r in np.unique(run)) < block.need[i]:
+                for i, first, last in block.passages(at, run, len(hashes)):
+                    own, words = block.words[i], hashes[first:last]
+                    least = LEAST_SCORE * MATCH * len(own)
+                    # Words that the passage does not have cannot match.
+                    if MATCH * np.isin(own, words).sum() < least:
                         continue
-                    own = block.words[i]
                     points, end = align(own, words)
-                    if points >= LEAST_SCORE * MATCH * len(own):
+                    if points >= least:
                         # The same alignment from its end gives its start.
                         _, back = align(own[::-1], words[:end][::-1])
-                        found = (points, -(p["start"] + end - back), p["start"] + end)
+                        found = (points, -(first + end - back), first + end)
                         best[i] = max(best.get(i, (0, 0, 0)), found)
                 for i, (points, start, end) in best.items():
-                    rows.append((doc_id, key, block.ids[i], points / (MATCH * len(block.words[i])), -start, end))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "item_id", "score", "start_word", "end_word"])
+                    rows.append((n, block.ids[i], points / (MATCH * len(block.words[i])), -start, end))
+            n, *found = zip(*rows, strict=True) if rows else [()] * 5
+            kept = batch.select(["doc_id", "key"]).take(pa.array(n, pa.int64()))
+            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, *(pa.array(x, kind) for x, kind in zip(found, kinds, strict=True))],
+                ["doc_id", "key", "item_id", "score", "start_word", "end_word"],
+            )
 
-    return score
+    return scan
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -196,21 +158,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
     result = None
     for block in _blocks(benchmark):
-        items = spark.sparkContext.broadcast(block)
-        found = stored(rows.mapInArrow(_find(items), PASSAGES))
-        # At most one row per run of the block comes to the driver.
-        counted = found.select(F.explode("runs").alias("run")).groupBy("run").count().collect()
-        frequency = np.zeros(len(block.runs), np.int64)
-        for run, n in counted:
-            frequency[run] = n
-        run_of = np.repeat(np.arange(len(block.runs)), np.diff(block.begin))
-        by_item = np.argsort(block.item, kind="stable")
-        seeds = set()
-        for own in np.split(by_item, np.flatnonzero(np.diff(block.item[by_item])) + 1):
-            if len(own):
-                seeds |= {(int(block.item[k]), int(run_of[k])) for k in own[rare(frequency[run_of[own]])]}
-        hits = found.where(F.size("passages") > 0).select("doc_id", "key", "passages")
-        scored = hits.mapInPandas(_score(items, spark.sparkContext.broadcast(seeds)), schema)
+        scored = rows.mapInArrow(_scan(spark.sparkContext.broadcast(block)), schema)
         result = scored if result is None else result.unionByName(scored)
     return spark.createDataFrame([], schema) if result is None else result
 

@@ -202,6 +202,23 @@ def test_leaks(spark, edge, empty):
     assert decontaminate.remove_leaks(empty, benchmark).count() == 0
 
 
+def test_frequent_leaks(spark):
+    items = [prose(40, 9100 + n) for n in range(3)]
+    # Items that have half of their words in common, as a template has.
+    items += [" ".join([*items[0].split()[:20], *prose(20, 9200 + n).split()]) for n in range(30)]
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    edited = items[1].split()
+    for n in range(0, 40, 6):
+        edited[n] = "changed"
+    half = " ".join(items[2].split()[:20])
+    texts = [" ".join(edited)] * 50 + [f"{prose(60, n)} {half}" for n in range(50)]
+    texts += [f"{prose(60, 100 + n)} {' '.join(items[0].split()[:20])}" for n in range(50)] + [prose(60, 200)]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(frame(spark, texts), benchmark).collect()}
+    wanted = {(n, 1) for n in range(50)} | {(n, 2) for n in range(50, 100)}
+    assert found == wanted | {(n, i) for n in range(100, 150) for i in (0, *range(3, 33))}
+    assert [r["doc_id"] for r in decontaminate.remove_leaks(frame(spark, texts), benchmark).collect()] == [150]
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng = random.Random(2)
     for _ in range(60):
