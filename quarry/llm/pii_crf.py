@@ -6,14 +6,16 @@
 
 - the token's shape and the words beside it,
 - a table for two such tokens that stand side by side,
-- one weight per label for two tokens that agree, however far apart: equal but for marks, the same digits, or the same last
-  seven digits. Each token is linked to the last one before it that agrees, so links grow with the tokens, not their pairs.
+- one weight per label for tokens that agree, however far apart: the same last seven digits, the same six digits where there are no
+  more, or else equal but for marks. Two that agree are linked; three or more are each linked to a hub, a node for what they share, so
+  that all are two steps apart and links grow with the tokens, not their pairs. A hub has one of the given labels of its tokens, if any.
 
 The weights are fitted by pseudo-likelihood with the base spans as labels, on the candidate tokens of at most ``FIT_DOCUMENTS`` documents (those
 with the least hash of their id, a bounded sample for fitting only). A token without a base span that agrees with one of
 a base span is not known to be none of the kinds, and is left out of the fit. In every document, tokens of base spans are given, and loopy belief
 propagation passes messages along all edges, so that a number that is a phone number in one place is one in others too,
-even where no pattern matches. Tokens with a belief of at least ``SURE`` and a given or believed twin add spans; base spans stay as they are.
+even where no pattern matches. Messages are passed until none changes by ``SETTLED``; should they swing, steps become smaller after
+``FREE_ROUNDS`` until they settle. Tokens with a belief of at least ``SURE`` and a given or believed twin add spans; base spans stay as they are.
 
 All of it is a scan; only the fit collects a bounded table of token features.
 
@@ -40,7 +42,7 @@ NONE = len(KINDS)
 FIT_DOCUMENTS = 20_000
 FIT_TOKENS = 30_000
 SURE = 0.9
-ROUNDS = 10
+SETTLED, FREE_ROUNDS = 1e-4, 100
 #: Before any data, agreeing tokens are taken to share a label with this weight.
 SKIP_PRIOR = 2.0
 
@@ -137,23 +139,28 @@ class Tokens:
         for kind, start, end in reversed(spans):
             self.given[np.searchsorted(ends, start, "right") : np.searchsorted(starts, end, "left")] = kind
         self.chain = [(k - 1, k) for k in range(1, len(places)) if places[k] == places[k - 1] + 1]
-        self.skip = self._agreeing()
+        self.places = places
+        self.agreeing = self._agreeing()
 
-    def _agreeing(self) -> list[tuple[int, int]]:
-        last: dict[tuple, int] = {}
-        edges = set()
+    def _agreeing(self) -> list[list[int]]:
+        """Groups of tokens that agree, other than two side by side."""
+        groups: dict[tuple, list[int]] = {}
         for k, (_, _, token) in enumerate(self.spans):
             digits = "".join(c for c in token if "0" <= c <= "9")
-            keys = [("word", token.lower().strip(TRIM))]
-            if len(digits) >= 6:
-                keys.append(("digits", digits))
-            if len(digits) >= 7:
-                keys.append(("end", digits[-7:]))
-            for key in keys:
-                if key in last:
-                    edges.add((last[key], k))
-                last[key] = k
-        return sorted(edges.difference(self.chain))
+            # Tokens that are equal have the same digits, and those the same end.
+            key = ("digits", digits[-7:]) if len(digits) >= 6 else ("word", token.lower().strip(TRIM))
+            groups.setdefault(key, []).append(k)
+        return [m for m in groups.values() if len(m) > 1 and self.places[m[-1]] - self.places[m[0]] > 1]
+
+    def twins(self, label: np.ndarray) -> np.ndarray:
+        """Whether a token agrees with one of its own kind that is not beside it."""
+        twin = np.zeros(len(label), bool)
+        for members in self.agreeing:
+            for kind in {int(label[k]) for k in members} - {NONE}:
+                own = [k for k in members if label[k] == kind]
+                first, last = self.places[own[0]], self.places[own[-1]]
+                twin[[k for k in own if self.places[k] - first > 1 or last - self.places[k] > 1]] = True
+        return twin
 
 
 class Field:
@@ -201,45 +208,57 @@ class Field:
         own = np.array([self.unary[f].sum(axis=0) for f in tokens.features])
         known = tokens.given >= 0
         own[known] = np.where(np.arange(NONE + 1) == tokens.given[known][:, None], 0.0, -50.0)
-        edges = [*tokens.chain, *tokens.skip]
+        agree, hubs = [], []
+        for members in tokens.agreeing:
+            if len(members) == 2:
+                agree.append(tuple(members))
+                continue
+            kinds = {int(tokens.given[k]) for k in members} - {-1}
+            agree += [(k, n + len(hubs)) for k in members if tokens.given[k] < 0]
+            hubs.append([0.0 if not kinds or k in kinds else -1e9 for k in range(NONE + 1)])
+        if hubs:
+            own = np.concatenate([own, hubs])
+        edges = [*tokens.chain, *agree]
         if edges:
             a, b = np.array(edges).T
             tables = np.concatenate(
                 [
                     np.repeat(self.pair[None], len(tokens.chain), axis=0),
-                    np.repeat(np.diag(self.agree)[None], len(tokens.skip), axis=0),
+                    np.repeat(np.diag(self.agree)[None], len(agree), axis=0),
                 ]
             )
             source, goal = np.concatenate([a, b]), np.concatenate([b, a])
             tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
             message = np.zeros((len(source), NONE + 1))
-            for _ in range(ROUNDS):
+            step, change, n_rounds = 0.5, np.inf, 0
+            while change > SETTLED:
                 total = own.copy()
                 np.add.at(total, goal, message)
                 out = (total[source] - message[back])[:, :, None] + tables
                 top = out.max(axis=1)
                 new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
                 new -= new.max(axis=1, keepdims=True)
-                message = 0.5 * message + 0.5 * new
+                change = step * np.abs(new - message).max()
+                message += step * (new - message)
+                n_rounds += 1
+                if n_rounds > FREE_ROUNDS:
+                    step *= 0.9
             np.add.at(own, goal, message)
-        own -= own.max(axis=1, keepdims=True)
+        own = own[:n] - own[:n].max(axis=1, keepdims=True)
         p = np.exp(own)
         return p / p.sum(axis=1, keepdims=True)
 
     def added(self, text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Spans that the field adds to the base spans."""
-        if not spans:
-            return []  # without a given label there is no twin of one
-        tokens = Tokens(text, spans)
-        if not (tokens.given < 0).any():
+        if not ("@" in text or DIGIT.search(text)):
             return []
+        tokens = Tokens(text, spans)
+        if not any(tokens.given[k] < 0 for members in tokens.agreeing for k in members):
+            return []  # no token could have a twin
         p = self.beliefs(tokens)
         label = np.where(tokens.given >= 0, tokens.given, np.where(p.max(axis=1) >= SURE, p.argmax(axis=1), NONE))
-        twin = np.zeros(len(label), bool)
-        for a, b in tokens.skip:
-            if label[a] == label[b] != NONE:
-                twin[a] = twin[b] = True
+        twin = tokens.twins(label)
         side = {b: a for a, b in tokens.chain}
         found: list[list] = []
         for k, (start, end, token) in enumerate(tokens.spans):
@@ -277,9 +296,13 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             twins = [[0] * (NONE + 1) for _ in label]
             for a, b in tokens.chain:
                 left[b], right[a] = label[a], label[b]
-            for a, b in tokens.skip:
-                twins[a][label[b]] += 1
-                twins[b][label[a]] += 1
+            for members in tokens.agreeing:
+                having = np.bincount([label[k] for k in members], minlength=NONE + 1)
+                for k in members:
+                    others = [kind for kind in range(NONE) if having[kind] > (label[k] == kind)]
+                    # What agrees with a kind only by itself has twins of unknown label.
+                    for kind in others or ([NONE] if label[k] == NONE else []):
+                        twins[k][kind] += 1
             rows += [
                 {"doc_id": doc_id, "at": k, "features": f, "label": label[k], "left": left[k], "right": right[k], "twins": twins[k]}
                 for k, f in enumerate(tokens.features)

@@ -337,6 +337,27 @@ def test_field_labels_repeated_tokens(spark, edge, empty):
 # Packing
 
 
+def test_field_reaches_all_repetitions(spark):
+    once = [f"{prose(20, n)} call +1 (017) 555-{7000 + n} {prose(20, n + 50)} and 555-{7000 + n} again, not 12" for n in range(60)]
+    many = f"{prose(20, 70)} call +1 (017) 555-7099 " + " ".join(f"{prose(20, 100 + n)} and 555-7099 again" for n in range(50))
+    bare = " ".join(f"{prose(20, 200 + n)} call (017) 555-7098 {prose(9, n)}" for n in range(2))
+    docs = frame(spark, [*once, many, bare])
+    rows = {r["doc_id"]: r for r in pii_crf.spans(docs, pii_crf.fit(docs)).collect()}
+    assert [many[s["start"] : s["end"]] for s in rows[60]["added"]] == ["555-7099"] * 50
+    assert {s["kind"] for s in rows[60]["added"]} == {"phone"}
+    assert not rows[61]["base"] and len(rows[61]["added"]) == 2
+    assert all("555-7098" in bare[s["start"] : s["end"]] for s in rows[61]["added"])
+
+
+def test_messages_settle():
+    rng = random.Random(4)
+    field = pii_crf.Field()
+    field.pair[:] = np.random.default_rng(1).normal(0, 4, field.pair.shape)
+    tokens = pii_crf.Tokens(" ".join(rng.choice(["1234567", "7654321", "55", "word"]) for _ in range(400)), [])
+    before = field.beliefs(tokens)
+    assert np.isfinite(before).all() and np.allclose(before.sum(axis=1), 1)
+
+
 def test_room_tree_and_best_fit():
     rng = random.Random(4)
     lengths = [rng.randrange(1, 65) for _ in range(500)]
