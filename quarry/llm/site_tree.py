@@ -10,12 +10,17 @@ it had, and which texts.
 - A branch has half the content importance of its text node and half the presentation importance of the nodes above it,
   the nearer the more (``DAMPING``).
 
-Names say what they can: elements and classes for menus, page headers, footers, side bars, notices, adverts, forms, scripts
-and reader comments have importance 0 with all that is in them, ``article`` and ``main`` have 1 otherwise, and only where
-names say nothing, the importance found in the tree holds. Branches below ``LEAST_IMPORTANCE`` are removed.
+Names are a prior, combined with the tree. Whole names of elements, classes, ids and roles for menus, page headers, footers, side bars,
+notices, adverts and forms ask for an importance of ``LEAST["away"]`` and for more characters than the page has otherwise: content of
+its own on each page outweighs them if it is the most of the page (menus, adverts and footers often differ by page, too, but are the
+less of it). ``article``
+and ``main`` ask for ``LEAST["here"]`` only, also within a branch of such a name: content equal on most pages outweighs them. All
+else needs ``LEAST["open"]``. On fewer than ``FEW_PAGES`` pages of a host a name is not outweighed. What HTML does not show as text
+(head, scripts, controls, hidden elements) goes. Reader comments go by their name as well: they differ on every page as an article
+does, so entropy cannot tell them; ``main``, and an ``article`` that no other is around, within them are text again.
 
 The tree of a host is rows of counts, added up before they are shuffled, never one object; the pages are stored once in
-parsed form, and the removed paths (of the few undecided ones) are joined to them by host.
+parsed form, and the paths where the tree outweighs the names (or removes what has none) are joined to them by host.
 
 Defined results: null html or url counts as empty; a page without text gives an empty string; broken markup is read as far as it
 goes, an unclosed comment or script to the end; repeated pages are one page of the tree and give a row each; an empty
@@ -36,7 +41,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import stored
 
 DAMPING = 0.7
-LEAST_IMPORTANCE = 0.3
+#: Importance that a branch needs, by what names say of it.
+LEAST = {"away": 0.5, "open": 0.3, "here": 0.25}
+FEW_PAGES = 4
+#: Priors by name. Below 0 the tree is not asked: not shown, comments within article or main, other comments.
+UNSEEN, TALK, TALK_ALONE, AWAY, OPEN, HERE = -1.0, -0.5, -0.25, 0.0, 0.5, 1.0
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,15 +63,16 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+PRIORS = {"away": AWAY, "open": OPEN, "here": HERE}
 #: Names that say that a branch is not, or is, the main text.
-AWAY_TAGS = frozenset(
-    "head nav footer aside form script style noscript template button select textarea iframe object svg dialog menu".split()
-)
+UNSEEN_TAGS = frozenset("head script style noscript template button select textarea iframe object svg".split())
+AWAY_TAGS = frozenset("nav footer aside form dialog menu".split())
+TALK_NAMES = frozenset("comment comments disqus replies respond".split())
 AWAY_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment comments complementary "
-    "consent contentinfo cookie cookies copyright dialog disqus footer form gdpr header login masthead menu menubar modal nav "
-    "navbar navigation newsletter notice notices overlay pager pagination popup promo promotion recommended related replies "
-    "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
+    "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs complementary "
+    "consent contentinfo cookie cookies copyright dialog footer form gdpr header login masthead menu menubar modal nav "
+    "navbar navigation newsletter notice notices overlay pager pagination popup promo promotion recommended related "
+    "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 HERE_TAGS = frozenset(("article", "main"))
 
@@ -74,7 +84,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-NAMES = re.compile(r"[a-z]+")
+DIGITS = re.compile(r"\d+")
 
 
 class Parser:
@@ -95,18 +105,24 @@ class Parser:
             for name, value in ATTRIBUTE.findall(rest):
                 value = value.strip("\"'").lower()
                 if name.lower() == "class":
-                    classes = sorted(set(re.sub(r"\d+", "", value).split()))
+                    classes = sorted(set(DIGITS.sub("", value).split()))
                 if name.lower() in ("class", "id", "role"):
-                    names.update(NAMES.findall(value))
+                    names.update(DIGITS.sub("", value).split())
                 hidden |= name.lower() == "aria-hidden" and value == "true"
                 hidden |= name.lower() == "style" and "display:none" in value.replace(" ", "")
             prior = parent[1]
             if tag not in ("html", "body"):
-                here = tag in HERE_TAGS or bool(names & HERE_TAGS)
-                away = hidden or tag in AWAY_TAGS or (tag == "header" and prior < 1)
-                away |= bool(names & AWAY_NAMES) and not (tag in HERE_TAGS and not names & {"comment", "comments"})
-                if prior > 0:
-                    prior = 0.0 if away else 1.0 if here else prior
+                talk = bool(names & TALK_NAMES)
+                here = tag in HERE_TAGS or bool(names & HERE_TAGS) and not names & AWAY_NAMES
+                away = tag in AWAY_TAGS or (tag == "header" and prior < HERE) or bool(names & AWAY_NAMES)
+                if hidden or tag in UNSEEN_TAGS or prior == UNSEEN:
+                    prior = UNSEEN
+                elif talk:
+                    prior = min(prior, TALK if prior == HERE else TALK_ALONE)
+                elif here and (prior != TALK or tag == "main"):
+                    prior = HERE
+                elif away and prior >= AWAY:
+                    prior = AWAY
             style = ".".join([tag, *classes])
             path = xxhash.xxh3_64_intdigest(style, parent[0]) >> 1
             found = self.paths[key] = path, prior, style
@@ -118,7 +134,7 @@ class Parser:
         nodes: list[tuple[int, int]] = []
         above: dict[int, list[int]] = {}
         # path, prior, style, tag, child styles
-        stack: list[tuple] = [(0, 0.5, "", "", [])]
+        stack: list[tuple] = [(0, OPEN, "", "", [])]
         text: list[str] = []
 
         def end_block() -> None:
@@ -157,7 +173,7 @@ class Parser:
                 if tag == "br":
                     text.append(" ")
                 # Inline elements are part of the text around them, unless they are to go.
-                if tag in VOID or not rest or not 0.0 == self.child(stack[-1], tag, rest)[1] < stack[-1][1]:
+                if tag in VOID or not rest or not self.child(stack[-1], tag, rest)[1] < min(stack[-1][1], OPEN):
                     continue
             end_block()
             shut, within = CLOSES.get(tag, ((), ()))
@@ -194,7 +210,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [b[0] for b in blocks],
                 [b[1] for b in blocks],
                 [xxhash.xxh3_64_intdigest(b[2]) >> 1 for b in blocks],
-                [b[2] if b[1] > 0 else None for b in blocks],
+                [b[2] if b[1] >= AWAY else None for b in blocks],
                 [n[0] for n in nodes],
                 [n[1] for n in nodes],
                 list(above),
@@ -223,48 +239,57 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, importance of each text node, from the parsed pages; pages that are alike are one page of the tree."""
-    pages = pages.select("host", "page", "path", "hash", "node", "children", "leaf", "above").dropDuplicates(["host", "page"])
+    """host, path, pages, importance of each text node, and which priors it has, from the parsed pages; pages that are alike are one page of the tree."""
+    pages = pages.select("host", "page", "path", "prior", "hash", "node", "children", "leaf", "above").dropDuplicates(["host", "page"])
     nodes = pages.select("host", F.explode(F.arrays_zip("node", "children")).alias("x"))
     kinds = nodes.groupBy("host", F.col("x.node").alias("path"), F.col("x.children").alias("c")).agg(
         F.count(F.lit(1)).alias("n")
     )
     # Entropy to the base m: 1 less the mean of log n / log m.
-    importance = lambda df: df.groupBy("host", "path").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.ln("n")).alias("s")
-    ).select("host", "path", F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.ln("m")).otherwise(F.lit(1.0)).alias("i"))
-    presentation = importance(kinds)
-    texts = pages.select("host", F.explode(F.arrays_zip("path", "hash")).alias("x"))
-    content = importance(
-        texts.groupBy("host", F.col("x.path").alias("path"), F.col("x.hash").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    importance = lambda df, *more: (
+        df.groupBy("host", "path")
+        .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.ln("n")).alias("s"), *more)
+        .withColumn("i", F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.ln("m")).otherwise(F.lit(1.0)))
+        .drop("m", "s")
     )
+    presentation = importance(kinds)
+    texts = pages.select("host", F.explode(F.arrays_zip("path", "prior", "hash")).alias("x"))
+    priors = [F.max(F.col("x.prior") == prior).alias(name) for name, prior in PRIORS.items()]
+    texts = texts.groupBy("host", F.col("x.path").alias("path"), F.col("x.hash").alias("h")).agg(F.count(F.lit(1)).alias("n"), *priors)
+    content = importance(texts, *(F.max(name).alias(name) for name in PRIORS))
     leaves = (
         pages.select("host", F.explode(F.arrays_zip("leaf", "above")).alias("x"))
         .select("host", F.col("x.leaf").alias("leaf"), F.col("x.above").alias("above"))
         .groupBy("host", "leaf")
-        .agg(F.first("above").alias("above"))
-        .select("host", "leaf", F.size("above").alias("depth"), F.posexplode("above").alias("at", "path"))
+        .agg(F.first("above").alias("above"), F.count(F.lit(1)).alias("pages"))
+        .select("host", "leaf", "pages", F.size("above").alias("depth"), F.posexplode("above").alias("at", "path"))
         .withColumn("w", F.pow(F.lit(DAMPING), F.col("depth") - 1 - F.col("at")))
     )
     above = (
         leaves.join(presentation, ["host", "path"])
-        .groupBy("host", "leaf")
+        .groupBy("host", "leaf", "pages")
         .agg((F.sum(F.col("w") * F.col("i")) / F.sum("w")).alias("above"))
     )
     return above.join(content, (above["host"] == content["host"]) & (above["leaf"] == content["path"])).select(
-        above["host"], F.col("leaf").alias("path"), ((F.col("above") + F.col("i")) / 2).alias("importance")
+        above["host"], F.col("leaf").alias("path"), "pages", *PRIORS, ((F.col("above") + F.col("i")) / 2).alias("importance")
     )
 
 
-def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
+def extract(pages: DataFrame, least: dict[str, float] = LEAST) -> DataFrame:
     """page_id, url, text, n_chars: the main text of every page."""
     read = parsed(pages)
-    low = style_tree(read).where(F.col("importance") < least)
-    removed = stored(low.groupBy("host").agg(F.collect_set("path").alias("removed")))
+    i, many = F.col("importance"), F.col("pages") >= FEW_PAGES
+    # Where the tree is against what names alone would do.
+    against = {"away": many & (i >= least["away"]), "open": i < least["open"], "here": many & (i < least["here"])}
+    tree = style_tree(read).select("host", "path", *((F.col(n) & c).alias(n) for n, c in against.items()))
+    tree = tree.where(F.col("away") | F.col("open") | F.col("here"))
+    turned = stored(tree.groupBy("host").agg(*(F.collect_set(F.when(F.col(n), F.col("path"))).alias(n) for n in PRIORS)))
     blocks = F.arrays_zip("path", "prior", "text")
-    keep = lambda b: (b["prior"] == 1) | (
-        (b["prior"] > 0) & ~F.coalesce(F.array_contains("removed", b["path"]), F.lit(False))
-    )
-    joined = read.join(removed, "host", "left")
-    text = F.array_join(F.transform(F.filter(blocks, keep), lambda b: b["text"]), "\n")
+    turns = lambda name, b: F.coalesce(F.array_contains(name, b["path"]), F.lit(False))
+    main = lambda b: ((b["prior"] == OPEN) & ~turns("open", b)) | ((b["prior"] == HERE) & ~turns("here", b))
+    own = lambda b: (b["prior"] == AWAY) & turns("away", b)
+    chars = lambda kept: F.aggregate(F.filter(blocks, kept), F.lit(0), lambda n, b: n + F.length(b["text"]))
+    joined = read.join(turned, "host", "left").withColumn("most", chars(own) > chars(main))
+    kept = F.filter(blocks, lambda b: main(b) | (own(b) & F.col("most")))
+    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

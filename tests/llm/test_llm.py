@@ -295,6 +295,26 @@ def test_pages(spark):
     assert site_tree.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_names_are_a_prior(spark):
+    def page(n):
+        own = "".join(f"<p>{prose(12, 1000 * n + k)}</p>" for k in range(1 + n % 4))
+        menu = "<nav><ul><li>home</li><li>news</li></ul></nav><div class=sidebar>same aside</div>"
+        hosts = {
+            "wrapped": f"<body>{menu}<div class='sidebar'><main>{own}<div>same notice</div></main></div>",
+            "parts": f"<body>{menu}<div class='content has-sidebar'>{own}</div>",
+            "results": f"<body>{menu}<div id=search-results class=social-policy>{own}</div>",
+            "unique": f"<body>{menu}<div class=social>{own}</div>",
+            "talk": f"<body>{menu}<article>{own}<div class=comments><p>said {n} {prose(9, n)}</p></div></article>",
+        }
+        text = re.sub("</p>", "\n", own.replace("<p>", "")).strip()
+        return [(n, f"http://{host}/{n}", html, text) for host, html in hosts.items()]
+
+    pages = [row for n in range(20) for row in page(n)]
+    frame = spark.createDataFrame([r[:3] for r in pages], "page_id long, url string, html string")
+    found = {r["url"]: r["text"] for r in site_tree.extract(frame).collect()}
+    assert found == {url: text for _, url, _, text in pages}
+
+
 # Personal data
 
 REFERENCE = {
