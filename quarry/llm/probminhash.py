@@ -3,13 +3,15 @@
 **Shingles** are runs of five words of the lower-cased text. Words are runs without blanks and ASCII marks; since an edit may
 also change marks, two texts are compared with and without marks as parts of words, and the larger similarity holds.
 
-**Sketch.** The shingles (without marks) have weights 1 + ln(occurrences). Each shingle is a Poisson process whose
+**Sketches.** The shingles without marks, and those with marks where they differ, have weight 1, so that candidates are found by
+the similarities that links have; where shingles are repeated, a third sketch gives those without marks 1 + ln(occurrences). Each
+shingle is a Poisson process whose
 rate is its weight; an arrival falls into one of ``REGISTERS`` registers by chance, and a register keeps the shingle that came
 first. Two texts agree in a register with the probability Jaccard similarity of their weights, which is the plain Jaccard
 similarity where each text has equal weights. Arrivals are drawn only up to a time at which all registers are filled (early
 termination; if one is empty, up to twice that time), so a sketch costs about m ln m arrivals, however long the text.
 
-**Candidates.** Registers are cut into bands; texts that agree in a whole band are candidates. Exact copies are one node from
+**Candidates.** Registers are cut into bands; texts that agree in a whole band, of any of their sketches, are candidates. Exact copies are one node from
 the start. Each member of a crowded band value is tied to the least one, and what is tied together is a family.
 
 **Links.** Within a family every pair is compared on the whole texts: an index from shingles to members counts, for one member,
@@ -106,18 +108,35 @@ def band_hashes(signatures: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+def variants(text: str | None, known: Words, marked: Words) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The (shingles, weights) of a text that are sketched."""
+    found, weights = weighted_shingles(text, known)
+    every = [(found, np.ones(len(found)))]
+    if (weights > 1).any():
+        every.append((found, weights))
+    with_marks = np.unique(shingle_hashes(marked.hashes(text), WORDS_IN_SHINGLE))
+    if not np.array_equal(found, with_marks):
+        every.append((with_marks, np.ones(len(with_marks))))
+    return [x for x in every if len(x[0])]
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Words()
+    known, marked = Words(), Words(marks=True)
     for batch in batches:
-        found = [weighted_shingles(text.as_py(), known) for text in batch.column("text")]
-        counts = np.array([len(x) for x, _ in found], np.int64)
-        some = np.flatnonzero(counts)
+        each = [variants(text.as_py(), known, marked) for text in batch.column("text")]
+        owner = np.repeat(np.arange(len(each)), [BANDS * len(x) for x in each])
+        found = [x for some in each for x in some]
         # Texts are sketched some at a time, a long one by itself.
-        cuts = np.flatnonzero(np.diff(np.cumsum(counts[some]) // TOGETHER)) + 1
-        signatures = [prob_min_hash([found[i] for i in part]) for part in np.split(some, cuts) if len(part)]
-        signatures = np.concatenate([np.zeros((0, REGISTERS), np.uint64), *signatures])
-        ends = np.cumsum([0, *(BANDS * (counts > 0))], dtype=np.int32)
-        flat = band_hashes(signatures).ravel()
+        cuts = np.flatnonzero(np.diff(np.cumsum([len(x) for x, _ in found]) // TOGETHER)) + 1
+        signatures = [prob_min_hash(found[a:b]) for a, b in zip([0, *cuts], [*cuts, len(found)], strict=True) if a < b]
+        flat = band_hashes(np.concatenate([np.zeros((0, REGISTERS), np.uint64), *signatures])).ravel()
+        # Sketches of a text often have bands in common.
+        order = np.lexsort((flat, owner))
+        flat, owner = flat[order], owner[order]
+        new = np.ones(len(flat), bool)
+        new[1:] = (np.diff(flat) != 0) | (np.diff(owner) != 0)
+        flat = flat[new]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(each)))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),

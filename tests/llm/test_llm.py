@@ -105,6 +105,21 @@ def test_family_in_pieces(spark, monkeypatch):
     assert {r["class_id"] for r in probminhash.classes(frame(spark, texts)).collect()} == {0}
 
 
+def test_candidates_cover_the_links(spark):
+    rng, texts = random.Random(6), []
+    for seed in range(50):
+        line, tail = [prose(n, 100 * seed + n).split() for n in (10, 94)]
+        edited = list(tail)
+        edited[30], edited[60] = "one", "two"
+        texts += [" ".join(line * 400 + tail), " ".join(line * 2 + edited)]
+    for _ in range(5):
+        marks = ["".join(rng.choices("#$%&*", k=6)) for _ in range(60)]
+        texts += [" ".join(marks), " ".join([*marks[:-1], "###"])]
+    assert all(similar(a, b) for a, b in zip(texts[::2], texts[1::2], strict=True))
+    got = {r["doc_id"]: r["class_id"] for r in probminhash.classes(frame(spark, texts)).collect()}
+    assert got == {n: n - n % 2 for n in range(len(texts))}
+
+
 def test_sketch_estimates_similarity():
     a = np.arange(1, 601, dtype=np.uint64)
     agree = [
