@@ -6,7 +6,8 @@ edge from an old to a new shard costs nothing where the bytes stay and one per b
 table says). Successive shortest paths solve it; the graph has old x new edges and nothing in it grows with the rows.
 
 The flow is carried out in blocks. Rows of equal text share a block (a range of a hash within their old shard), so that
-copies stay together; only a block that no shard can hold is dealt out by id. Blocks go, largest first, to the new shard with
+copies stay together. A block that no shard can hold is dealt out by text; only the rows of a text that no shard can hold are dealt
+out by row (rows that are alike, and many, by their place in the table). Blocks go, largest first, to the new shard with
 the most bytes of the flow still open. The number of blocks is fixed by parameters, so the driver sees a bounded table of sizes.
 
 Slots are numbered without gaps: rows of a shard are counted in small pieces, the counts are added up, and rows are numbered
@@ -134,6 +135,8 @@ def assign(
             F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
             now.cast("int").alias("old_shard"),
             F.pmod(F.shiftright(key_hash, 20), F.lit(fine)).cast("int").alias("block"),
+            # Fixed once it is written.
+            F.monotonically_increasing_id().alias("place"),
         )
     )
     sizes = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
@@ -142,7 +145,7 @@ def assign(
     table = sorted((r["old_shard"], r["block"], r["bytes"]) for r in found)
     total = sum(x[2] for x in table)
     capacity = [total // new_shards + (j < total % new_shards) for j in range(new_shards)]
-    # A block that no shard can hold is dealt out over ids.
+    # A block that no shard can hold is dealt out over its texts, a text that none can hold over its rows.
     pieces = {(o, b): 64 * -(-size // max(1, capacity[0])) for o, b, size in table if size > capacity[0]}
     blocks = [(o, b, 0, size) for o, b, size in table if (o, b) not in pieces]
     part = F.lit(0)
@@ -150,8 +153,18 @@ def assign(
         spark = rows.sparkSession
         many = spark.createDataFrame([(o, b, n) for (o, b), n in pieces.items()], "old_shard int, block int, pieces int")
         rows = rows.join(F.broadcast(many), ["old_shard", "block"], "left")  # old_shards x fine rows at most
-        part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("pieces")), F.lit(0)).cast("int")
-        rows = rows.withColumn("part", part).drop("pieces")
+        split = rows.where("pieces is not null")
+        of_text = split.groupBy("text_key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > capacity[0])
+        of_text = stored(of_text.select("text_key", F.lit(True).alias("giant")))  # fewer than new_shards rows
+        rows = rows.join(F.broadcast(of_text), "text_key", "left")
+        of_row = rows.where("giant").groupBy("row_key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+        of_row = of_row.where((F.col("n") > 1) & (64 * F.col("bytes") > capacity[0]))
+        of_row = stored(of_row.select("row_key", F.lit(True).alias("alike")))  # fewer than 64 x new_shards rows
+        rows = rows.join(F.broadcast(of_row), "row_key", "left")
+        dealt = F.when(F.col("alike"), F.xxhash64("row_key", "place")).when(F.col("giant"), F.xxhash64("row_key"))
+        dealt = F.coalesce(dealt, F.xxhash64(F.lit("part"), "text_key"))
+        part = F.coalesce(F.pmod(dealt, F.col("pieces")), F.lit(0)).cast("int")
+        rows = rows.withColumn("part", part).drop("pieces", "giant", "alike")
         split = rows.join(F.broadcast(many.drop("pieces")), ["old_shard", "block"], "left_semi")
         found = split.groupBy("old_shard", "block", "part").agg(F.sum("size").alias("bytes")).collect()
         blocks += [(r["old_shard"], r["block"], r["part"], r["bytes"]) for r in found]

@@ -507,6 +507,22 @@ def test_group_larger_than_a_shard_is_split(spark):
     assert max(sizes) <= 1.35 * min(sizes)
 
 
+def test_groups_beside_a_giant_stay_whole(spark):
+    # One block for each old shard: every block has to be split, that of the large group as well.
+    texts = ["same text of a large group"] * 900 + [prose(9, n % 300) for n in range(1200)]
+    rows = reshard.assign(frame(spark, texts), fine=1).collect()
+    where: dict = {}
+    for r in rows:
+        where.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+    giant = where.pop(texts[0])
+    assert len(rows) == len(texts) and len(giant) > 1 and all(len(x) == 1 for x in where.values())
+    alike = frame(spark, [*texts[:1], *texts[900:]]).withColumn("copies", F.when(F.col("doc_id") == 0, 900).otherwise(1))
+    alike = alike.select("*", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "col")
+    rows = reshard.assign(alike.withColumn("doc_id", F.lit(None).cast("long"))).collect()
+    sizes = [sum(r["size"] for r in rows if r["shard"] == k) for k in range(16)]
+    assert max(sizes) <= 1.35 * min(sizes)
+
+
 # Quality
 
 
