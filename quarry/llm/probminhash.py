@@ -12,17 +12,24 @@ similarity where each text has equal weights. Arrivals are drawn only up to a ti
 termination; if one is empty, up to twice that time), so a sketch costs about m ln m arrivals, however long the text.
 
 **Candidates.** Registers are cut into bands; texts that agree in a whole band, of any of their sketches, are candidates. Exact copies are one node from
-the start. Each member of a crowded band value is tied to the least one, and what is tied together is a family.
+the start.
 
-**Links.** Within a family every pair is compared on the whole texts: an index from shingles to members counts, for one member,
-what it shares with all others at once. A pair is a link if the Jaccard similarity of its five-word shingles is 0.8 or more.
-Of the links found together, those that join what is not joined yet are returned: enough for the classes, and never more than
-there are texts. Large families are cut into pieces, and pieces are compared two by two, so no task holds more than two.
+**Representatives.** The representative of a crowded band value is the member with most company in all its bands: the original
+of a group of edited copies rather than one of the copies. Every member is compared with the representatives of its bands on the whole
+texts (``verified``: sorted so that a representative comes before its members; one with many is repeated for parts of them). A pair is a
+link if the Jaccard similarity of its five-word shingles is 0.8 or more. A member keeps one membership; a further
+representative of the same member gives one pair of representatives. So links are at most the texts and the pairs of representatives.
 
-**Classes** are connected components of the links: the least label spreads over links, with pointer jumping, each round a
-written table.
+**Left over** are the members of a band value that, its representative aside, are not in one class yet. Among them the candidates are found exactly,
+without pairs of a whole group: of two sets x and y (x the larger) with similarity s, the rarest shingle both
+have comes early in both, at most (|x| + |y|) s / (1 + s) before the end. So only those rare prefixes are joined, by shingle and by the
+sizes that a partner of a shingle at this place may have (in steps of two in a hundred). A copy with too many shingles of its own meets nobody, however large
+its group. What remains is compared on the whole texts again.
 
-Scale: texts are shuffled only if they are in a family (a sieve of at most ``SIEVE`` numbers goes to all workers and lets no other
+**Classes** are connected components: of the pairs of representatives, then of the classes that left-over links join. The least label
+spreads over links, with pointer jumping, each round a written table.
+
+Scale: texts are shuffled only if they have company (a sieve of at most ``SIEVE`` numbers goes to all workers and lets no other
 text pass to the shuffle, but for rare collisions); everything kept between steps is a table in the shared folder.
 
 Defined results: null text counts as empty; equal texts (also empty ones) are one class; texts of one to four words are one
@@ -35,7 +42,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +53,17 @@ WORDS_IN_SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 4, 24
 REGISTERS = ROWS * BANDS
-#: Members, and characters, of a family that are compared at once, about.
+#: Members, and characters, that are compared with one copy of their representative's text, about.
 PIECE, PIECE_CHARS = 400, 8_000_000
 SIEVE = 1 << 20
 #: Arrivals are drawn until a time by which a register is empty with probability exp(-SURE) / REGISTERS.
 SURE = 2.5
-#: Shingles that are sketched at once.
-TOGETHER = 30_000
+#: Arrivals that are drawn at once, about (some ten numbers of 8 bytes each); a long text has more, by itself.
+TOGETHER = 200_000
+#: A text has about this many arrivals, and one more for each shingle.
+ARRIVALS = int(REGISTERS * (np.log(REGISTERS) + SURE))
+#: Sizes of shingle sets are joined in steps of this ratio.
+SIZE_STEP = 1.02
 
 
 def weighted_shingles(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +118,13 @@ def band_hashes(signatures: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
-def variants(text: str | None, known: Words, marked: Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The (shingles, weights) of a text that are sketched."""
+def shingle_sets(text: str | None, known: Words, marked: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted five-word shingles of a text without and with marks."""
+    return tuple(np.unique(shingle_hashes(w.hashes(text), WORDS_IN_SHINGLE)) for w in (known, marked))
+
+
+def variants(text: str | None, known: Words, marked: Words) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[int, int]]:
+    """The (shingles, weights) of a text that are sketched, and how many shingles it has without and with marks."""
     found, weights = weighted_shingles(text, known)
     every = [(found, np.ones(len(found)))]
     if (weights > 1).any():
@@ -117,44 +132,63 @@ def variants(text: str | None, known: Words, marked: Words) -> list[tuple[np.nda
     with_marks = np.unique(shingle_hashes(marked.hashes(text), WORDS_IN_SHINGLE))
     if not np.array_equal(found, with_marks):
         every.append((with_marks, np.ones(len(with_marks))))
-    return [x for x in every if len(x[0])]
+    return [x for x in every if len(x[0])], (len(found), len(with_marks))
+
+
+def _signatures(found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return band_hashes(prob_min_hash(found)) if found else np.zeros((0, BANDS), np.int64)
+
+
+def _bands(texts: Iterator[str | None], known: Words, marked: Words) -> Iterator[tuple[np.ndarray, int, int]]:
+    """For each text: its bands (each once), and how many shingles it has without and with marks."""
+    waiting, found, cost = [], [], 0
+
+    def flush() -> Iterator[tuple[np.ndarray, int, int]]:
+        hashes = _signatures(found)
+        at = 0
+        for n, *sizes in waiting:
+            yield np.unique(hashes[at : at + n]), *sizes
+            at += n
+        waiting.clear(), found.clear()
+
+    for text in texts:
+        each, sizes = variants(text, known, marked)
+        more = sum(ARRIVALS + len(x) for x, _ in each)
+        if cost + more > TOGETHER:
+            yield from flush()
+            cost = 0
+        waiting.append((len(each), *sizes))
+        found.extend(each)
+        cost += more
+    yield from flush()
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known, marked = Words(), Words(marks=True)
     for batch in batches:
-        each = [variants(text.as_py(), known, marked) for text in batch.column("text")]
-        owner = np.repeat(np.arange(len(each)), [BANDS * len(x) for x in each])
-        found = [x for some in each for x in some]
-        # Texts are sketched some at a time, a long one by itself.
-        cuts = np.flatnonzero(np.diff(np.cumsum([len(x) for x, _ in found]) // TOGETHER)) + 1
-        signatures = [prob_min_hash(found[a:b]) for a, b in zip([0, *cuts], [*cuts, len(found)], strict=True) if a < b]
-        flat = band_hashes(np.concatenate([np.zeros((0, REGISTERS), np.uint64), *signatures])).ravel()
-        # Sketches of a text often have bands in common.
-        order = np.lexsort((flat, owner))
-        flat, owner = flat[order], owner[order]
-        new = np.ones(len(flat), bool)
-        new[1:] = (np.diff(flat) != 0) | (np.diff(owner) != 0)
-        flat = flat[new]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(each)))]).astype(np.int32)
+        rows = list(_bands((text.as_py() for text in batch.column("text")), known, marked))
+        ends = np.cumsum([0, *(len(r[0]) for r in rows)]).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.int64), *(r[0] for r in rows)])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("key"),
                 batch.column("n_chars"),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([r[2] for r in rows], pa.int64()),
             ],
-            ["doc_id", "key", "n_chars", "bands"],
+            ["doc_id", "key", "n_chars", "bands", "plain", "marked"],
         )
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """node, key, doc_id (least), n_chars, bands: one row per distinct text, written."""
+    """node, key, doc_id (least), n_chars, bands, plain, marked (shingles without and with marks): one row per distinct text, written."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_or_empty().alias("text")
     ).withColumn("n_chars", F.length("text").cast("long"))
-    sketches = rows.mapInArrow(_sketch_batches, "doc_id long, key binary, n_chars long, bands array<long>")
-    one = sketches.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_chars", "bands")).alias("s"))
+    sketches = rows.mapInArrow(_sketch_batches, "doc_id long, key binary, n_chars long, bands array<long>, plain long, marked long")
+    one = sketches.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("n_chars", "bands", "plain", "marked")).alias("s"))
     # The number of a node is fixed once it is written.
     return stored(one.select(F.monotonically_increasing_id().alias("node"), "key", "doc_id", "s.*"))
 
@@ -188,91 +222,174 @@ def components(links: DataFrame) -> DataFrame:
         total = seen
 
 
-def _shared(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """For each set in turn, how many elements it shares with each of the sets."""
-    sizes = [len(x) for x in sets]
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, number = np.unique(np.concatenate(sets), return_inverse=True)
-    owners = owner[np.argsort(number, kind="stable")]
-    ends = np.cumsum(np.bincount(number))
-    begins = np.concatenate([[0], ends[:-1]])
-    at = np.concatenate([[0], np.cumsum(sizes)])
-    for i in range(len(sets)):
-        own = number[at[i] : at[i + 1]]
-        count = ends[own] - begins[own]
-        stop = np.cumsum(count)
-        places = np.arange(count.sum()) - np.repeat(stop - count - begins[own], count)
-        yield np.bincount(owners[places], minlength=len(sets))
-
-
-def _family_links(members: pd.DataFrame) -> pd.DataFrame:
-    """Links that join members of one piece, or of two pieces, of a family."""
-    members = members.sort_values("node")
-    node, slot = members["node"].to_numpy(), members["slot"].to_numpy()
-    inside = members["low"].iloc[0] == members["high"].iloc[0]
-    above = list(range(len(node)))
-
-    def top(i: int) -> int:
-        while above[i] != i:
-            above[i] = i = above[above[i]]
-        return i
-
-    found = []
-    for words in (Words(), Words(marks=True)):
-        sets = [np.unique(shingle_hashes(words.hashes(t), WORDS_IN_SHINGLE)) for t in members["text"]]
-        size = np.array([len(x) for x in sets])
-        if not size.any():
+def alike(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether two texts, given by ``shingle_sets``, are similar without or with marks."""
+    for a, b in zip(x, y, strict=True):
+        less, more = sorted((len(a), len(b)))
+        # both >= SIMILARITY * union, in whole numbers of a hundredth.
+        if not less or 100 * less < round(100 * SIMILARITY) * more:
             continue
-        for i, both in enumerate(_shared(sets)):
-            # both >= SIMILARITY * union, in whole numbers of a hundredth.
-            alike = (both > 0) & (100 * both >= round(100 * SIMILARITY) * (size + size[i] - both))
-            alike[: i + 1] = False
-            if not inside:
-                alike &= slot != slot[i]
-            for j in np.flatnonzero(alike):
-                x, y = top(i), top(int(j))
-                if x != y:
-                    above[y] = x
-                    found.append((node[i], node[j]))
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """nodes(docs), and links (a, b) between them whose components are those of all similar pairs among the candidates."""
-    every = nodes(docs)
-    banded = every.select("node", F.explode("bands").alias("band"))
-    crowds = stored(
-        banded.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        if 100 * both >= round(100 * SIMILARITY) * (less + more - both):
+            return True
+    return False
+
+
+def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from rows sorted by (a, part): first that of a itself (b null), then those of its members."""
+    known, marked = Words(), Words(marks=True)
+    head, of = None, None
+    for batch in batches:
+        found = []
+        for a, part, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b", "text")), strict=True):
+            sets = shingle_sets(text, known, marked)
+            if b is None:
+                head, of = sets, (a, part)
+            elif of != (a, part):
+                raise RuntimeError("a member came without its representative")
+            elif alike(head, sets):
+                found.append((a, b))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], ["a", "b"]
+        )
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the distinct (a, b) whose texts (node, n_chars, text) are similar, written; an a may have any number of b."""
+    lengths = texts.select(F.col("node").alias("b"), "n_chars")
+    load = pairs.join(lengths, "b").groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    parts = F.greatest(F.ceil(F.col("n") / PIECE), F.ceil(F.col("chars") / PIECE_CHARS), F.lit(1)).cast("int")
+    load = stored(load.select("a", parts.alias("parts")))
+    members = (
+        pairs.join(load, "a")
+        .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+        .join(texts.select(F.col("node").alias("b"), "text"), "b")
+        .select("a", "part", "b", "text")
     )
-    ties = stored(
-        banded.join(crowds, "band").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    heads = (
+        load.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .join(texts.select(F.col("node").alias("a"), "text"), "a")
+        .select("a", "part", F.lit(None).cast("long").alias("b"), "text")
     )
-    family = components(ties).withColumnRenamed("label", "family")
+    dealt = members.unionByName(heads).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return stored(dealt.mapInArrow(_compare_batches, "a long, b long"))
+
+
+def _prefix_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known, marked = Words(), Words(marks=True)
+    for batch in batches:
+        rows = [shingle_sets(text.as_py(), known, marked) for text in batch.column("text")]
+        columns = []
+        for n in (0, 1):
+            ends = np.cumsum([0, *(len(r[n]) for r in rows)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.uint64), *(r[n] for r in rows)]).view(np.int64)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), *columns], ["node", "label", "plain", "marked"])
+
+
+def prefix_pairs(texts: DataFrame) -> DataFrame:
+    """Distinct (a, b) of (node, label, text) with unlike labels, among them every similar pair, by rare prefixes."""
+    sets = stored(texts.select("node", "label", "text").mapInArrow(
+        _prefix_sets, "node long, label long, plain array<long>, marked array<long>"
+    ))
+    each = sets.select(
+        "node", "label", F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(c).alias("s")) for n, c in enumerate(("plain", "marked"))])).alias("k")
+    ).select("node", "label", "k.kind", F.size("k.s").cast("long").alias("size"), F.explode("k.s").alias("shingle"))
+    often = stored(each.groupBy("kind", "shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    # The similarity as a fraction num / den.
+    num, den = round(100 * SIMILARITY), 100
+    size = F.col("size")
+    spare = size - F.ceil(size * num / den).cast("long") + 1
+    ranked = (
+        each.join(often, ["kind", "shingle"])
+        .groupBy("node", "label", "kind", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("rare"))
+        # What no other text has comes first in the order and needs no row.
+        .withColumn("own", size - F.size("rare"))
+        .select("node", "label", "kind", "size", "own", F.posexplode(F.slice("rare", 1, F.greatest(spare - F.col("own"), F.lit(0)).cast("int"))).alias("n", "r"))
+        .select("node", "label", "kind", "size", (F.col("own") + F.col("n")).alias("at"), F.col("r.shingle").alias("shingle"))
+    )
+    ranked = stored(ranked)
+    step = lambda c: F.floor(F.log(c.cast("double")) / F.log(F.lit(SIZE_STEP))).cast("int")
+    # What two sets must share: (|x| + |y|) num / (num + den), which leaves this most for |y| at a place of x.
+    most = F.floor(((size - F.col("at")) * (num + den) - size * num) / num).cast("long")
+    larger = (
+        ranked.withColumn("low", F.ceil(size * num / den).cast("long"))
+        .withColumn("high", F.least(size, most))
+        .where("low <= high")
+        .select("kind", "shingle", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("size").alias("size_a"), "low", "high", F.explode(F.sequence(step(F.col("low")), step(F.col("high")))).alias("step"))
+    )
+    smaller = ranked.where((size - F.col("at")) * (num + den) >= 2 * num * size).select(
+        "kind", "shingle", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("size").alias("size_b"), F.col("at").alias("at_b"), step(size).alias("step")
+    )
+    fits = (
+        (F.col("label_a") != F.col("label_b"))
+        & F.col("size_b").between(F.col("low"), F.col("high"))
+        & ((F.col("size_a") > F.col("size_b")) | (F.col("a") > F.col("b")))
+        & ((F.col("size_b") - F.col("at_b")) * (num + den) >= num * (F.col("size_a") + F.col("size_b")))
+    )
+    return larger.join(smaller, ["kind", "shingle", "step"]).where(fits).select("a", "b").distinct()
+
+
+def joined(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From verified (a, b) with representatives a: (node, head), one membership for each b, and pairs of heads that a b or a link joins."""
+    of = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("heads"))
+    of = stored(of)
+    members = of.select(F.col("b").alias("node"), F.col("heads")[0].alias("head"))
+    ties = of.select(F.col("heads")[0].alias("a"), F.explode(F.slice("heads", 2, F.greatest(F.size("heads") - 1, F.lit(0)))).alias("b"))
+    # A head that is itself a member is tied to its own head.
+    heads = of.select(F.explode("heads").alias("node")).distinct()
+    own = members.join(heads, "node").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    return members, stored(ties.unionByName(own).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """nodes(docs); (node, label), label a node of the same class, for those in a class of two or more; the left-over links (a, b)."""
+    every = nodes(docs)
+    banded = every.select("node", F.explode("bands").alias("band"))
+    crowds = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = stored(banded.join(crowds, "band"))
+    company = stored(crowded.groupBy("node").agg(F.sum("n").alias("company")))
+    first = F.max(F.struct("company", (-F.col("node")).alias("last"))).alias("first")
+    heads = stored(crowded.join(company, "node").groupBy("band").agg(first).select("band", (-F.col("first.last")).alias("head")))
+    placed = stored(crowded.join(heads, "band").where("node <> head").select("band", "head", "node"))
+
     which = F.pmod(F.xxhash64("key", "doc_id"), F.lit(SIEVE))
-    needed = stored(family.join(every.drop("bands"), "node").withColumn("which", which))
+    needed = stored(company.join(every.drop("bands"), "node").withColumn("which", which))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), text_or_empty().alias("text"))
     # At most SIEVE numbers.
     passed = rows.join(F.broadcast(needed.select("which").distinct()), which == F.col("which"), "left_semi")
-    texts = passed.select("key", "text").join(needed.drop("doc_id", "which"), "key").dropDuplicates(["node"])
-    sizes = needed.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
-    pieces = F.greatest(F.ceil(F.col("n") / PIECE), F.ceil(F.col("chars") / PIECE_CHARS), F.lit(1)).cast("int")
-    sizes = stored(sizes.select("family", pieces.alias("pieces")))
-    members = (
-        stored(texts.select("node", "family", "text"))
-        .join(sizes, "family")
-        .withColumn("slot", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .withColumn("low", F.least("slot", "other"))
-        .withColumn("high", F.greatest("slot", "other"))
-        .select("family", "low", "high", "slot", "node", "text")
-    )
-    return every, stored(members.groupBy("family", "low", "high").applyInPandas(_family_links, "a long, b long"))
+    texts = stored(
+        passed.select("key", "text").join(needed.select("node", "key", "n_chars"), "key").dropDuplicates(["node"])
+    ).select("node", "n_chars", "text")
+
+    sizes = needed.select("node", "plain", "marked")
+    pairs = placed.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    sized = pairs.join(sizes.toDF("a", "plain_a", "marked_a"), "a").join(sizes.toDF("b", "plain_b", "marked_b"), "b")
+    near = lambda c: 100 * F.least(f"{c}_a", f"{c}_b") >= round(100 * SIMILARITY) * F.greatest(f"{c}_a", f"{c}_b")
+    members, ties = joined(verified(stored(sized.where(near("plain") | near("marked")).select("a", "b")), texts))
+    tied = components(ties)
+    main = members.select(F.col("head").alias("node")).distinct().join(tied, "node", "left_anti")
+    heads = stored(tied.unionByName(main.withColumn("label", F.col("node"))))
+    own = members.join(heads.withColumnRenamed("node", "head"), "head").select("node", "label")
+    label = stored(heads.unionByName(own).distinct())
+
+    seen = placed.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_bands = seen.groupBy("band").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other")
+    left = stored(seen.join(open_bands.select("band"), "band").select("node", "label").distinct())
+    later = verified(stored(prefix_pairs(left.join(texts, "node"))), texts)
+    # Left-over links join whole classes.
+    side = lambda c: left.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}"))
+    between = later.join(side("a"), "a").join(side("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
+    whole = components(between).withColumnRenamed("label", "whole").withColumnRenamed("node", "label")
+    alone = left.join(label, "node", "left_anti").select("node", "label")
+    final = label.unionByName(alone).join(whole, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
+    return every, stored(final), later
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, key (of the text), class_id (least doc_id of the class), kept_key (text of the row that stays)."""
-    every, found = links(docs)
-    label = components(found)
+    every, label, _ = links(docs)
     labelled = every.join(label, "node", "left").select(
         "key", "doc_id", F.coalesce("label", "node").alias("label")
     )

@@ -24,7 +24,7 @@ from quarry.llm import (
     site_tree,
     toxicity,
 )
-from quarry.llm.shingles import Words
+from quarry.llm.shingles import Words, shingle_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, size string"
 PLAIN = [f"w{n:03d}" for n in range(400)]
@@ -105,6 +105,56 @@ def test_family_in_pieces(spark, monkeypatch):
     assert {r["class_id"] for r in probminhash.classes(frame(spark, texts)).collect()} == {0}
 
 
+def brute_classes(texts):
+    """The least number of each text's class, over all pairs."""
+    sets = []
+    for kind in (Words(), Words(marks=True)):
+        sets.append([set(shingle_hashes(kind.hashes(t), 5).tolist()) for t in texts])
+    label = list(range(len(texts)))
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for some in sets:
+        for a, b in combinations(range(len(texts)), 2):
+            both = len(some[a] & some[b])
+            if both and 5 * both >= 4 * (len(some[a]) + len(some[b]) - both):
+                x, y = top(a), top(b)
+                label[max(x, y)] = min(x, y)
+    return {i: top(i) for i in range(len(texts))}
+
+
+def test_a_family_that_chains_and_spreads(spark):
+    # Copies of one text whose similarity to it lies on both sides of the bound, chains away from it, and copies with parts left out.
+    rng, base, texts = random.Random(9), prose(140, 77).split(), []
+    for n in range(500):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            copy[rng.randrange(len(copy))] = f"n{n}{rng.random()}"
+        texts.append(" ".join(copy))
+    for n in range(60):
+        step = list(base)
+        for k in range(6):
+            step[(7 * n + 20 * k) % 140] = f"c{n}k{k}"
+            texts.append(" ".join(step))
+    texts += [" ".join(base[: rng.randrange(80, 140)]) for _ in range(60)]
+    rng.shuffle(texts)
+    texts = list(dict.fromkeys(texts))
+    want = brute_classes(texts)
+    every, label, later = probminhash.links(frame(spark, texts))
+    ids = {r["node"]: r["doc_id"] for r in every.collect()}
+    got: dict = {}
+    for r in label.collect():
+        got.setdefault(r["label"], []).append(ids[r["node"]])
+    found = {i: min(some) for some in got.values() for i in some}
+    assert {i: found.get(i, i) for i in want} == want
+    assert 1 < len(set(want.values())) < len(texts) - 300
+    # A straddling copy meets few others: nothing like all pairs is looked at again.
+    assert later.count() < len(texts)
+
+
 def test_candidates_cover_the_links(spark):
     rng, texts = random.Random(6), []
     for seed in range(50):
