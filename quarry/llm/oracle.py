@@ -119,4 +119,111 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
-ORACLE: dict[str, str] = {"op7_chat_format": CHAT, "op10_adaptive_quality": QUALITY}
+
+
+def crc_table() -> str:
+    """The remainders of the CRC-32 of each byte, as a list in SQL."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return "[" + ", ".join(map(str, table)) + "]::BIGINT[]"
+
+
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS raw FROM documents
+), per_doc AS (
+    SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+    FROM runs GROUP BY 1, 2
+), bytes AS (
+    SELECT run, c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, {crc_table()} AS crc FROM per_doc
+), checked AS (
+    SELECT run, c, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(
+            range(1, length(x), 2), lambda i: (instr('0123456789ABCDEF', x[i]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 1
+        )),
+        lambda a, b: xor(a >> 8, crc[xor(a & 255, b) + 1])
+    )) AS h FROM bytes
+), slipped AS (
+    SELECT c, CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+    FROM checked
+), words AS (
+    SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), cut AS (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT cut.word, words.word, words.n FROM cut JOIN words ON cut.rest = words.word
+    UNION
+    SELECT words.word, cut.word, cut.n FROM cut JOIN words ON cut.rest = words.word
+), near AS (
+    SELECT word, count(*) AS n_near FROM pairs GROUP BY word
+), best AS (
+    SELECT word, other, other_n FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other COLLATE C) = 1
+), formed AS (
+    SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN other_n >= 2 * words.n THEN other END AS form, CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN near USING (word) LEFT JOIN best USING (word)
+), followed AS (
+    SELECT word, word AS at FROM formed
+    UNION ALL
+    SELECT followed.word, formed.form FROM followed JOIN formed ON formed.word = followed.at WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT followed.word, followed.at FROM followed JOIN formed ON formed.word = followed.at WHERE formed.form IS NULL
+)
+SELECT formed.word, form, ends.at AS root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+# A run of period q is a stretch of places whose word comes again q places later; of equal stretches, the least period counts.
+PERIODIC = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        hex(encode(coalesce(doc_id::VARCHAR, ''))) AS x, {crc_table()} AS crc
+    FROM documents
+), checked AS (
+    SELECT k, doc_id, w, len(w) AS n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(
+            range(1, length(x), 2), lambda i: (instr('0123456789ABCDEF', x[i]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 1
+        )),
+        lambda a, b: xor(a >> 8, crc[xor(a & 255, b) + 1])
+    )) AS h FROM docs
+), drawn AS (
+    SELECT k, doc_id, w, n, (h // 10) % n AS a, h // 10 % 8 AS g8, h % 10 = 0 AND n > 0 AND doc_id IS NOT NULL AS stutters FROM checked
+), periods AS (
+    SELECT *, CASE WHEN stutters THEN 1 + (n - a) // (3 + g8) END AS p FROM drawn
+), words AS (
+    SELECT k, n, i, CASE WHEN stutters AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+    FROM periods, unnest(range(n)) AS t(i)
+), again AS (
+    SELECT a.k, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.k = b.k AND a.word = b.word AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), islands AS (
+    SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM again
+), stretches AS (
+    SELECT k, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY k, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT k, start, length, min(q) AS period FROM stretches GROUP BY ALL
+), told AS (
+    SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS written,
+        first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS r
+    FROM runs GROUP BY k
+), kept AS (
+    SELECT k, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words
+    WHERE NOT EXISTS (
+        FROM runs WHERE runs.k = words.k AND words.i >= runs.start + runs.period AND words.i < runs.start + runs.length
+    ) GROUP BY k
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, r.start::BIGINT AS start, r.length::BIGINT AS length, r.period::BIGINT AS period,
+    (1000 * r.length // r.period)::BIGINT AS exponent_milli,
+    sha256(coalesce(written, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM docs LEFT JOIN told USING (k) LEFT JOIN kept USING (k)
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_chat_format": CHAT,
+    "op10_adaptive_quality": QUALITY,
+    "op11_spelling": SPELLING,
+    "op12_periodic": PERIODIC,
+}

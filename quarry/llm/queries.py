@@ -7,7 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import adaptive_quality, chat, decontaminate, mixture, packing, pii_crf, probminhash, reshard, site_tree, toxicity
+from public_tokenizers import path as tokenizer
+
+from quarry.llm import (
+    adaptive_quality,
+    chat,
+    decontaminate,
+    mixture,
+    packing,
+    periodic,
+    pieces,
+    pii_crf,
+    probminhash,
+    reshard,
+    site_tree,
+    spelling,
+    toxicity,
+)
 from quarry.session import prepare
 
 
@@ -112,6 +128,46 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.assess(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of all frequent words of the documents, some of which lost a letter."""
+    return spelling.variants(table(spark, sf_dir, "documents"), spelling.slip)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, some of which stutter."""
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), periodic.stutter)
+    written = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    )
+    # The longest run: of equals the first by start, then period.
+    first = F.element_at(F.sort_array(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))), 1)
+    none = F.size("runs") == 0
+    longest = found.select(
+        "doc_id", "runs", "collapsed", F.size("runs").cast("long").alias("n_runs"), F.when(~none, first).alias("r")
+    ).select("*", F.col("r.start").alias("start"), (-F.col("r.col1")).alias("length"), F.col("r.period").alias("period"))
+    return longest.select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.floor(1000 * F.col("length") / F.col("period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents, and of the texts decoded from them."""
+    vocabulary = pieces.read_vocabulary(tokenizer("piece_bpe_32k.model"))
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixture, op4_site_tree, op5_pii, op6_packing, op7_chat_format, op8_reshard, op9_probminhash, op10_adaptive_quality)
-}
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_decontaminate, op3_mixture, op4_site_tree, op5_pii, op6_packing, op7_chat_format, op8_reshard,
+        op9_probminhash, op10_adaptive_quality, op11_spelling, op12_periodic, op13_pieces,
+    )
+}
