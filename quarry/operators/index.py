@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.operators.ranking import small_side
 from quarry.schemas import FILTER_FIELDS, VECTORS
 from quarry.session import cut_lineage
-from quarry.sources.versioned import VersionedTable
+from quarry.sources.bucketed import BUCKETS, BucketedTable
 
 # Ids that may be sent whole to every task.
 MAX_SENT_IDS = 1_000_000
@@ -131,32 +131,44 @@ def index_stats(vectors: DataFrame) -> DataFrame:
 
 
 class VectorTable:
-    """A stored vector table of fixed width; made on first use."""
+    """A stored vector table of fixed width, in buckets of ids; made on first use."""
 
-    def __init__(self, spark: SparkSession, path: str, dimensions: int = 1024):
-        self.table, self.dimensions = VersionedTable(spark, path, VECTORS), dimensions
+    def __init__(self, spark: SparkSession, path: str, dimensions: int = 1024, buckets: int = BUCKETS):
+        self.table, self.dimensions = BucketedTable(spark, path, VECTORS, "id", buckets), dimensions
         if not self.table.exists():
             self.table.clear()
 
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def read_ids(self, ids: DataFrame) -> DataFrame:
+        """The records of the ids in the first column of ``ids``, from their buckets alone."""
+        return self.table.read_keys(ids)
+
     def index_chunks(self, vectors: DataFrame, order: list[Column] | None = None) -> dict[str, int]:
         """Upsert records; a vector of another width stops the job and changes nothing.
 
-        Of several records with one id the last in ``order`` counts, by default the last in the batch.
+        Of several records with one id the last in ``order`` counts, by default the last in the batch.  Only the
+        buckets that the batch falls into are written anew.
         """
         width = F.assert_true(
             F.size("embedding") == self.dimensions, F.lit(f"vectors must have {self.dimensions} numbers")
         )
         # The batch is made once, however often it is looked at.
         checked = cut_lineage(vectors.filter(width.isNull()).withColumn("_sent", F.monotonically_increasing_id()))
-        self.table.replace(upsert(self.read(), checked, order or [F.col("_sent")]))
+        self.table.merge(checked, order or [F.col("_sent")])
         return {"upserted": checked.count(), **self.stats()}
 
     def stats(self) -> dict[str, int]:
         return {"total_vectors": self.read().count(), "dimensions": self.dimensions}
 
+    def compact(self) -> None:
+        """All records in new files; old versions go with ``clean_up``."""
+        self.table.compact()
+
+    def clean_up(self, keep: int = 1) -> None:
+        self.table.clean_up(keep)
+
     def delete_all_vectors(self) -> None:
         self.table.clear()
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import pathlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 # An Arrow batch holds at most this much, however long the texts in it are.
-MAX_BATCH_BYTES = 64 * 1024 * 1024
+MAX_BATCH_BYTES = 16 * 1024 * 1024
 
 
 _shipped: set[str] = set()
@@ -63,6 +64,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return prepare(spark)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, which all executors share; only a local session may do without."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="quarry-scratch-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/quarry-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the folder the session names in ``spark.checkpoint.dir``.
 

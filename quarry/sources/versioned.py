@@ -27,8 +27,9 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
     def replace(self, table: DataFrame) -> None:
-        before = self._version()
-        table.select(*self.schema.names).write.mode("overwrite").parquet(self._folder((before or 0) + 1))
+        # Past any folder that a dead job left; if another writer takes the same number, one of the two is told.
+        following = max(self._numbers(), default=0) + 1
+        table.select(*self.schema.names).write.mode("error").parquet(self._folder(following))
 
     def clean_up(self, keep: int = 1) -> None:
         """Delete all but the last ``keep`` versions; no reader may still be at work on them."""
@@ -53,11 +54,13 @@ class VersionedTable:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
-    def _version(self) -> int | None:
+    def _numbers(self) -> list[int]:
         files, folder = self._files(self.path)
-        if not files.exists(folder):
-            return None
-        names = [entry.getPath().getName() for entry in files.listStatus(folder)]
-        numbers = sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
+        names = [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
+        return [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+
+    def _version(self) -> int | None:
+        files = self._files(self.path)[0]
+        numbers = sorted(self._numbers(), reverse=True)
         finished = (n for n in numbers if files.exists(self._files(f"{self._folder(n)}/_SUCCESS")[1]))
         return next(finished, None)

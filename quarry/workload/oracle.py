@@ -557,6 +557,13 @@ CTES["upserted"] = """
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS nth FROM (
         SELECT id, document, section_title, page_number, 0 AS seq FROM records UNION ALL SELECT * FROM sent)) WHERE nth = 1"""
 ORACLE["index_upsert"] = "SELECT * FROM upserted"
+ORACLE["index_upsert_sequence"] = """
+SELECT 'held' AS seen, id, document, section_title, page_number FROM records UNION ALL SELECT 'now', * FROM upserted"""
+ORACLE["index_lifecycle"] = f"""
+SELECT step, CASE step WHEN 'made' THEN 0 WHEN 'emptied' THEN 0 WHEN 'dropped' THEN NULL
+       WHEN 'looked up' THEN (SELECT count(*) FROM records WHERE document IN (SELECT document FROM labelled WHERE toxic = 1))
+       ELSE (SELECT count(*) FROM records) END AS total_vectors, CASE WHEN step <> 'dropped' THEN {DIMS} END AS dimensions
+FROM (SELECT unnest(['made', 'filled', 'looked up', 'compacted', 'emptied', 'dropped']) AS step)"""
 ORACLE["index_stats"] = f"""
 SELECT (SELECT count(*) FROM sent) AS upserted, (SELECT count(*) FROM upserted) AS total_vectors, {DIMS} AS dimensions"""
 ORACLE["filter_expr"] = """

@@ -15,10 +15,10 @@ from quarry.operators import chunking, fusion, lexical
 from quarry.operators import elements as E
 from quarry.operators import enrich
 from quarry.operators.borders import ChunkParams
-from quarry.operators.index import compile_filter, index_stats, upsert, upsert_report
+from quarry.operators.index import VectorTable, compile_filter, index_stats, upsert, upsert_report
 from quarry.operators.vector import dense_topk
 from quarry.plans import ingest
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, scratch_folder
 from quarry.schemas import CHUNK_JSON, ELEMENT_JSON
 from quarry.sources import files, parsers
 from quarry.workload import tables as t
@@ -398,6 +398,39 @@ def index_upsert(spark, sf_dir):
     return table.select("id", "document", "section_title", "page_number")
 
 
+@query
+def index_upsert_sequence(spark, sf_dir):
+    """Three batches into a stored table; who read it after the first one still sees that."""
+    table = VectorTable(spark, scratch_folder(spark), t.DIMENSIONS, buckets=16)
+    table.index_chunks(t.vectors(spark, sf_dir))
+    held, sent = table.read(), _sent(spark, sf_dir)
+    table.index_chunks(sent.filter("seq < 3"), [F.col("seq")])
+    table.index_chunks(sent.filter("seq = 3"))
+    seen = [rows.select(F.lit(name).alias("seen"), "id", "document", "section_title", "page_number") for name, rows in (("held", held), ("now", table.read()))]
+    return seen[0].unionByName(seen[1])
+
+
+@query
+def index_lifecycle(spark, sf_dir):
+    """Rows and width of a stored table when it is made, filled, looked up, compacted, emptied, and dropped."""
+    table = VectorTable(spark, scratch_folder(spark), t.DIMENSIONS, buckets=8)
+    steps = [("made", table.stats())]
+    steps.append(("filled", table.index_chunks(t.vectors(spark, sf_dir))))
+    labelled = t.given(spark, sf_dir, "labels").filter("toxic = 1").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("_chunk_0")).alias("id")
+    )
+    steps.append(("looked up", {"total_vectors": table.read_ids(labelled).count(), "dimensions": t.DIMENSIONS}))
+    table.compact()
+    table.clean_up()
+    steps.append(("compacted", table.stats()))
+    table.delete_all_vectors()
+    steps.append(("emptied", table.stats()))
+    table.delete_index()
+    steps.append(("dropped", {"total_vectors": None, "dimensions": None} if not table.table.exists() else table.stats()))
+    rows = [(step, found["total_vectors"], found["dimensions"]) for step, found in steps]
+    return spark.createDataFrame(rows, "step string, total_vectors long, dimensions int")
+
+
 @query
 def index_stats_(spark, sf_dir):
     sent = _sent(spark, sf_dir)

@@ -4,9 +4,11 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.encoder import hash_embedding
 from quarry.operators import fusion, lexical, ranking, vector
+from quarry.sources.bucketed import BucketedTable, ConcurrentWrite
 from quarry.operators.index import VectorTable, combined_filter, compile_filter, index_stats, latest, prepare_vectors, upsert
 from quarry.plans.retriever import Retriever
 from quarry.schemas import VECTORS
@@ -250,7 +252,7 @@ def test_vector_table(spark, tmp_path):
     table.index_chunks(first.unionByName(first.withColumn("original_content", F.lit("second"))))
     assert held.count() == 2 and held.filter("original_content = 'second'").count() == 0
     assert table.read().filter("original_content = 'second'").count() == 1
-    table.table.clean_up()
+    table.clean_up()
     assert table.read().count() == 2
     with pytest.raises(Exception, match="vectors must have 2 numbers"):
         table.index_chunks(prepare_vectors(record(spark, embedding=[1.0])))
@@ -262,6 +264,72 @@ def test_vector_table(spark, tmp_path):
         table.read()
 
 
+def bucketed(spark, path, buckets=8):
+    table = BucketedTable(spark, str(path), T.StructType.fromDDL("id string, v int"), "id", buckets)
+    table.clear()
+    return table
+
+
+def pairs(spark, rows):
+    return spark.createDataFrame(rows, "id string, v int")
+
+
+def test_a_batch_rewrites_its_buckets_alone(spark, tmp_path):
+    table = bucketed(spark, tmp_path / "t")
+    table.merge(pairs(spark, [(f"k{n}", 0) for n in range(200)]), [F.col("v")])
+    before, held = table.manifest().folders, table.read()
+    assert all(before)
+    touched = table.merge(pairs(spark, [("k1", 1), ("k1", 3), ("k1", 2), ("new", 5)]), [F.col("v")])
+    after = table.manifest().folders
+    assert 1 <= len(touched) <= 2 and {n for n in range(8) if before[n] != after[n]} == set(touched)
+    got = {r.id: r.v for r in table.read().collect()}
+    assert got == {**{f"k{n}": 0 for n in range(200)}, "k1": 3, "new": 5}
+    assert {r.v for r in held.collect()} == {0} and held.count() == 200
+    # Ids are looked for in their own buckets.
+    looked = table.read_keys(pairs(spark, [("k1", 0), ("nobody", 0)]))
+    assert [tuple(r) for r in looked.collect()] == [("k1", 3)]
+    assert len(looked.inputFiles()) <= 2 < len(table.read().inputFiles())
+    # Compaction and another number of buckets keep the rows; old files go with clean_up.
+    wider = BucketedTable(spark, table.path, table.schema, "id", 16)
+    wider.compact()
+    assert len(wider.manifest().folders) == 16 and {r.id: r.v for r in wider.read().collect()} == got
+    wider.merge(pairs(spark, [("k1", 9)]), [F.col("v")])
+    wider.clean_up()
+    assert len(wider._names(f"{table.path}/manifest")) == 1 and len(wider._names(f"{table.path}/data")) == 2
+    assert {r.id: r.v for r in wider.read().collect()} == {**got, "k1": 9}
+    assert wider.merge(pairs(spark, []), [F.col("v")]) == []
+
+
+def test_two_writers(spark, tmp_path, monkeypatch):
+    table = bucketed(spark, tmp_path / "t")
+    table.merge(pairs(spark, [(f"k{n}", 0) for n in range(40)]), [F.col("v")])
+    write, others = table._write, [[("k7", 1)], [("k8", 1), ("k7", 2)]]
+
+    def slow(rows):
+        found = write(rows)
+        if others:
+            # Another writer comes between this one's files and its manifest.
+            BucketedTable(spark, table.path, table.schema, "id").merge(pairs(spark, others.pop(0)), [F.col("v")])
+        return found
+
+    monkeypatch.setattr(table, "_write", slow)
+    table.merge(pairs(spark, [("k7", 5), ("k9", 5)]), [F.col("v")])
+    got = {r.id: r.v for r in table.read().collect()}
+    assert (got["k7"], got["k8"], got["k9"]) == (5, 1, 5) and len(got) == 40
+
+
+def test_a_dead_writer(spark, tmp_path):
+    table = bucketed(spark, tmp_path / "t")
+    table.replace(pairs(spark, [("a", 1)]))
+    (tmp_path / "t" / "manifest" / "0000000003.json").write_text('{"folders": [')
+    assert [tuple(r) for r in table.read().collect()] == [("a", 1)]
+    with pytest.raises(ConcurrentWrite, match="recover"):
+        table.replace(pairs(spark, []))
+    table.recover()
+    table.replace(pairs(spark, []))
+    assert table.read().count() == 0
+
+
 # -- retrieval -------------------------------------------------------------------------
 
 CORPUS = ["granite carving", "marble carving", "baking bread", "baking with granite"]
