@@ -27,15 +27,16 @@ def chunk_documents(
     use_context: bool = True,
     completions: DataFrame | None = None,
     encoder: Encoder = Encoder(),
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """Chunk records of an elements table.
+    """Chunk records of an elements table; ``block_rows`` for documents of any length (see ``chunk_elements``).
 
     The document text a context is asked with is made before images are described.
     """
     ready = elements if completions is None else describe_images(elements, completions)
     if params.strategy == "semantic":
         ready = element_vectors(ready, encoder)
-    chunks = chunk_elements(ready, params, stored=elements)
+    chunks = chunk_elements(ready, params, block_rows)
     if not use_context:
         return chunk_records(chunks)
     parts = None if completions is None else document_parts(elements)

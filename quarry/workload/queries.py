@@ -248,7 +248,7 @@ def long_chunk_overlap(spark, sf_dir):
 @query
 def chunk_semantic(spark, sf_dir):
     mixed = t.mixed_elements(spark, sf_dir)
-    chunks = chunking.chunk_elements(ingest.element_vectors(mixed, ENCODER), SMALL_SEMANTIC, stored=mixed)
+    chunks = chunking.chunk_elements(ingest.element_vectors(mixed, ENCODER), SMALL_SEMANTIC)
     return chunking.chunk_records(chunks).select(*CHUNK_COLUMNS)
 
 
@@ -263,7 +263,7 @@ def chunk_records(spark, sf_dir):
     """Described images, context sentences from responses where there are any."""
     mixed = t.mixed_elements(spark, sf_dir)
     described = E.describe_images(mixed, t.image_completions(spark, sf_dir))
-    chunks = cut_lineage(chunking.chunk_elements(described, SMALL, stored=mixed))
+    chunks = cut_lineage(chunking.chunk_elements(described, SMALL))
     parts = E.document_parts(mixed)
     answered = enrich.with_context(chunks, parts, _context_completions(chunks, parts))
     return chunking.chunk_records(answered, F.col("context")).select(*CHUNK_COLUMNS)
@@ -296,7 +296,7 @@ def context_fallback(spark, sf_dir):
 
 @query
 def context_requests(spark, sf_dir):
-    return _context_requests(spark, sf_dir, SMALL, E.BLOCK_ROWS)
+    return _context_requests(spark, sf_dir, SMALL)
 
 
 @query
@@ -305,7 +305,7 @@ def long_context_requests(spark, sf_dir):
     return _context_requests(spark, sf_dir, TINY, SHORT_BLOCK)
 
 
-def _context_requests(spark, sf_dir, params, block_rows):
+def _context_requests(spark, sf_dir, params, block_rows=None):
     mixed = t.mixed_elements(spark, sf_dir)
     chunks, parts = cut_lineage(chunking.chunk_elements(mixed, params, block_rows)), E.document_parts(mixed)
     prompts = enrich.context_prompts(enrich.context_requests(chunks, parts), chunks, parts)
@@ -371,7 +371,7 @@ def embedding_cache_stats(spark, sf_dir):
 def prepare_vectors(spark, sf_dir):
     mixed = t.mixed_elements(spark, sf_dir)
     described = E.describe_images(mixed, t.image_completions(spark, sf_dir))
-    records = chunking.chunk_records(chunking.chunk_elements(described, SMALL, stored=mixed))
+    records = chunking.chunk_records(chunking.chunk_elements(described, SMALL))
     vectors = ingest.index_records(records, ENCODER)
     # Of a vector: its numbers weighed by their places, and the largest.
     products = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))

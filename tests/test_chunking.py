@@ -104,6 +104,44 @@ def test_long_documents_semantic(spark):
     assert got(chunk_elements(elements, params, block_rows=70)) == got(chunk_elements(elements, params))
 
 
+@pytest.mark.parametrize("ratio", [0.0, 0.15, 0.5])
+@pytest.mark.parametrize("block_rows", [None, 70])
+def test_groups_over_several_stretches(spark, monkeypatch, ratio, block_rows):
+    """Texts stand in rows of few positions; groups of several rows, titles of earlier ones."""
+    monkeypatch.setattr(chunking, "STRETCH", 5)
+    documents = random_documents(21, n_documents=4, longest=200)
+    documents["one title"] = [("Title", "Top"), *[("NarrativeText", f"word {n} of many, many words") for n in range(60)]]
+    elements = elements_of(spark, documents)
+    # Places left out of the numbering, and elements without a document.
+    gaps = elements.withColumn("pos", F.col("pos") * 3 + F.when(F.col("pos") > 40, 100).otherwise(0))
+    chunks = chunk_elements(gaps, ChunkParams("basic", 20, 60, ratio), block_rows)
+    assert got(chunks) == expected(documents, 20, 60, ratio)
+    nameless = gaps.withColumn("document", F.when(F.col("document") != "d0", F.col("document")))
+    assert got(chunk_elements(nameless.filter("document is null"), ChunkParams("basic", 20, 60, ratio), block_rows))[""] == got(chunks)["d0"]
+
+
+def test_a_way_through_hundreds_of_blocks(spark):
+    """Ways through blocks are composed in rounds that grow with the digits of their number."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["NarrativeText"] * 9 + ["Title"]), " ".join(["word"] * rng.randint(1, 9))) for _ in range(6000)]
+    documents = {"long": rows, "short": rows[:30]}
+    params = ChunkParams("basic", 5, 15, 0.4)
+    blocks = chunking.blocks_of(chunking.stretches_of(elements_of(spark, documents)), params, 20)
+    assert blocks.count() > 300
+    nodes = chunking.entry_nodes(blocks, params).filter("document = 'long'").collect()
+    assert sorted(r.block for r in nodes) == list(range(300))
+    assert got(chunk_elements(elements_of(spark, documents), params, block_rows=20)) == expected(documents, 5, 15, 0.4)
+
+
+def test_no_payload_by_document(spark):
+    """Documents are gathered as numbers; texts and images only stand in rows of a stretch."""
+    elements = elements_of(spark, random_documents(3))
+    plan = chunk_elements(elements, ChunkParams("basic", 20, 60, 0.2))._jdf.queryExecution().optimizedPlan().toString()
+    by_document = [line for line in plan.split("\n") if "Aggregate [document#" in line and "], [" in line and "stretch" not in line.split("], [")[0]]
+    by_document = [line for line in by_document if "ordinal" not in line.split("], [")[0]]
+    assert by_document and all("tokens" in line and "image_base64" not in line and "body" not in line for line in by_document)
+
+
 def test_last_block_without_a_group_of_its_own(spark):
     documents = {"same": [("NarrativeText", "one two three four five six seven eight")] * 76}
     chunks = chunk_elements(elements_of(spark, documents), ChunkParams("basic", 20, 60, 0.1), block_rows=75)
@@ -121,7 +159,7 @@ def test_block_holds_a_group(spark):
 def test_images_are_not_lent(make_elements):
     """An image ends a group, so a block of images lends its first ones only."""
     image = ("Image", "", metadata(image_base64="eA==", filetype="png"))
-    blocks = chunking.block_rows_of(make_elements([image] * 200), ChunkParams("basic", 20, 60), 100)
+    blocks = chunking.blocks_of(chunking.stretches_of(make_elements([image] * 200)), ChunkParams("basic", 20, 60), 100)
     assert {(r.block, r.own): r.lent for r in blocks.collect()} == {(0, 100): 0, (1, 100): 2}
 
 
