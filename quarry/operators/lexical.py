@@ -8,16 +8,28 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.rows import unfold
 from quarry.functions.text import bind, words
-from quarry.operators.ranking import MAX_HELD_SCORES, MAX_SENT_QUERIES, blocks, ranked, scan_for_best, small_side
+from quarry.operators.ranking import (
+    MAX_HELD_HITS,
+    MAX_HELD_SCORES,
+    MAX_SENT_QUERIES,
+    TIE_DIGITS,
+    best_of_hits,
+    blocks,
+    ranked,
+    small_side,
+)
 from quarry.session import cut_lineage
 
 # Distinct (query, term) pairs that may be sent whole to every task.
 MAX_SENT_TERMS = 1_000_000
+# Documents whose largest term values bound a score together.
+BLOCK_DOCUMENTS = 256
 
 
 @dataclass(frozen=True)
@@ -142,17 +154,19 @@ def search(
     k: int = 10,
     params: Bm25Params = Bm25Params(),
     kept: DataFrame | None = None,
+    touched: Accumulator | None = None,
 ) -> DataFrame:
     """(query_id, rank, doc_id, score): the ``k`` best documents with a score above 0.
 
     Each task scores its documents and passes on the best; queries beyond the bounds are cut
     into blocks with a scan each.  ``kept``: the stored ``statistics`` of the index; without
-    them the terms of the queries are counted first, in one more pass.
+    them the terms of the queries are counted first, in one more pass.  ``touched`` is told how many
+    (document, query, term) entries were looked at.
     """
     terms = query_terms(queries)
     hits = no_hits(index, terms.schema["query_id"].dataType.simpleString())
     for n, sent in enumerate(blocks(terms, MAX_SENT_TERMS, MAX_SENT_QUERIES)):
-        scan = _scan(index, terms, sent, k, params, kept)
+        scan = _scan(index, terms, sent, k, params, kept, touched)
         hits = hits.unionByName(scan) if n else scan
     return ranked(hits, k, item="doc_id").select("query_id", "rank", "doc_id", "score")
 
@@ -193,9 +207,18 @@ def _kept_counts(kept: DataFrame, vocabulary: pa.Array) -> dict[int, tuple[int,
 
 
 def _scan(
-    index: DataFrame, terms: DataFrame, sent: pa.Table, k: int, params: Bm25Params, kept: DataFrame | None
+    index: DataFrame,
+    terms: DataFrame,
+    sent: pa.Table,
+    k: int,
+    params: Bm25Params,
+    kept: DataFrame | None,
+    touched: Accumulator | None,
 ) -> DataFrame:
+    query_type = terms.schema["query_id"].dataType.simpleString()
     vocabulary = pc.unique(sent.column("term").combine_chunks())
+    if len(vocabulary) == 0:
+        return no_hits(index, query_type)
     counts = _counts(index, vocabulary) if kept is None else _kept_counts(kept, vocabulary)
     n_docs, total = counts.get(-1, (0, 0))
     average = (total / n_docs if n_docs else 0.0) or 1.0
@@ -205,40 +228,130 @@ def _scan(
     query_ids = pc.unique(sent.column("query_id").combine_chunks())
     term = pc.index_in(sent.column("term").combine_chunks(), vocabulary).to_numpy(zero_copy_only=False)
     query = pc.index_in(sent.column("query_id").combine_chunks(), query_ids).to_numpy(zero_copy_only=False)
-    qtf = sent.column("qtf").to_numpy()
     by_term = np.argsort(term, kind="stable")
-    term, query, qtf = term[by_term], query[by_term], qtf[by_term].astype("float64")
-    first = np.searchsorted(term, np.arange(len(vocabulary) + 1))
-    n_queries = len(query_ids)
-    sent_tables = index.sparkSession.sparkContext.broadcast((vocabulary, weight, query, qtf, first))
-
-    def score_batch(batch: pa.RecordBatch) -> np.ndarray:
-        vocabulary, weight, query, qtf, first = sent_tables.value
-        lists = batch.column("terms")
-        flat = lists.flatten()
-        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        code = pc.index_in(flat.field("term"), vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
-        hit = code >= 0
-        row, code = row[hit], code[hit]
-        tf = flat.field("tf").to_numpy(zero_copy_only=False)[hit].astype("float64")
-        share = batch.column("doc_len").to_numpy(zero_copy_only=False)[row] / average
-        value = weight[code] * tf * (params.k1 + 1) / (tf + params.k1 * (1 - params.b + params.b * share))
-        # Each (document, term) goes to all queries that have the term, a bounded number at once.
-        fan = first[code + 1] - first[code]
-        scores = np.zeros(batch.num_rows * n_queries)
-        for part in np.split(np.arange(len(code)), np.flatnonzero(np.diff(np.cumsum(fan) // MAX_HELD_SCORES)) + 1):
-            times = fan[part]
-            source = np.repeat(part, times)
-            entry = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times) + first[code][source]
-            cell = row[source] * n_queries + query[entry]
-            scores += np.bincount(cell, weights=value[source] * qtf[entry], minlength=len(scores))
-        return scores.reshape(batch.num_rows, n_queries)
+    asked = AskedTerms(
+        query[by_term],
+        sent.column("qtf").to_numpy()[by_term].astype("float64"),
+        np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1)),
+        len(query_ids),
+    )
+    shared = index.sparkSession.sparkContext.broadcast((vocabulary, weight, asked, query_ids))
 
-    query_type = terms.schema["query_id"].dataType.simpleString()
-    if n_queries == 0:
-        return no_hits(index, query_type)
-    hits = scan_for_best(index, "doc_id", score_batch, query_ids, query_type, k, positive_only=True)
-    return hits.withColumnRenamed("id", "doc_id")
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, weight, asked, query_ids = shared.value
+        search, held = SparseTopK(asked, k), []
+        for batch in batches:
+            lists = batch.column("terms")
+            flat = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            code = pc.index_in(flat.field("term"), vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
+            hit = code >= 0
+            row, code = row[hit], code[hit]
+            tf = flat.field("tf").to_numpy(zero_copy_only=False)[hit].astype("float64")
+            share = batch.column("doc_len").to_numpy(zero_copy_only=False)[row] / average
+            value = weight[code] * tf * (params.k1 + 1) / (tf + params.k1 * (1 - params.b + params.b * share))
+            # Documents in blocks; the entries of a block lie together.
+            edges = np.searchsorted(row, np.arange(0, batch.num_rows + BLOCK_DOCUMENTS, BLOCK_DOCUMENTS))
+            for a, b in zip(edges, edges[1:]):
+                rows, queries, scores = search.block(row[a:b], code[a:b], value[a:b])
+                if len(rows):
+                    found = [pa.array(queries), batch.column("doc_id").take(pa.array(rows)), pa.array(scores)]
+                    held.append(pa.table(found, names=["query", "id", "score"]))
+                if sum(h.num_rows for h in held) > MAX_HELD_HITS:
+                    held = [best_of_hits(pa.concat_tables(held), k, False)]
+        if touched is not None:
+            touched.add(search.touched)
+        if held:
+            hits = best_of_hits(pa.concat_tables(held), k, False)
+            ids = query_ids.take(hits.column("query").combine_chunks())
+            yield from pa.table([ids, hits.column("id"), hits.column("score")], names=["query_id", "doc_id", "score"]).to_batches()
+
+    doc_type = index.schema["doc_id"].dataType.simpleString()
+    rows = index.select("doc_id", "doc_len", "terms")
+    return rows.mapInArrow(best, f"query_id {query_type}, doc_id {doc_type}, score double")
+
+
+@dataclass(frozen=True)
+class AskedTerms:
+    """The queries of each term: those of term t are ``query[first[t]:first[t + 1]]``, with how often they say it."""
+
+    query: np.ndarray
+    times: np.ndarray
+    first: np.ndarray
+    n_queries: int
+
+    def entries(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each term's place in ``code``, repeated for its queries, and the place of the query."""
+        count = self.first[code + 1] - self.first[code]
+        place = np.repeat(np.arange(len(code)), count)
+        return place, np.arange(len(place)) - np.repeat(np.cumsum(count) - count - self.first[code], count)
+
+
+class SparseTopK:
+    """The best documents of each query so far, from blocks of documents.
+
+    The largest value that each term has in a block bounds what a document of the block can score for a query; queries
+    that already have ``k`` better documents pass the block by.  For the others only matches are looked at: no cell
+    exists for a document without a term of the query.
+    """
+
+    def __init__(self, asked: AskedTerms, k: int):
+        self.asked, self.k, self.touched = asked, k, 0
+        self.best = np.full((asked.n_queries, k), -np.inf)
+        self.least = np.full(asked.n_queries, -np.inf)
+
+    def block(self, row: np.ndarray, code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, queries, scores) that may be among the best; ``row`` rises."""
+        if not len(code):
+            return row, code, value
+        terms, number = np.unique(code, return_inverse=True)
+        highest = np.zeros(len(terms))
+        np.maximum.at(highest, number, value)
+        place, entry = self.asked.entries(terms)
+        bound = np.bincount(self.asked.query[entry], highest[place] * self.asked.times[entry], self.asked.n_queries)
+        # A little more, for sums in another order.
+        open_ = bound * (1 + 1e-9) + 1e-9 >= self.least
+        keep = open_[self.asked.query[entry]]
+        place, entry = place[keep], entry[keep]
+        # The open queries of each term of the block, then those of each posting, a bounded number at once.
+        begin = np.searchsorted(place, np.arange(len(terms) + 1))
+        count = (begin[1:] - begin[:-1])[number]
+        found = []
+        ends = np.cumsum(count)
+        first_of_row = np.flatnonzero(np.diff(row, prepend=-1))
+        load = np.append(0, ends)[np.append(first_of_row, len(row))]
+        cuts = [0, *(np.flatnonzero(np.diff(load[:-1] // MAX_HELD_SCORES)) + 1).tolist(), len(first_of_row)]
+        at_row = np.append(first_of_row, len(row))
+        for a, b in zip(cuts, cuts[1:]):
+            part = slice(at_row[a], at_row[b])
+            times = count[part]
+            source = np.repeat(np.arange(part.start, part.stop), times)
+            own = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times) + begin[number[source]]
+            which = entry[own]
+            cell = row[source].astype("int64") * self.asked.n_queries + self.asked.query[which]
+            cells, into = np.unique(cell, return_inverse=True)
+            scores = np.bincount(into, value[source] * self.asked.times[which])
+            self.touched += len(source)
+            found.append((cells // self.asked.n_queries, cells % self.asked.n_queries, scores))
+        rows, queries, scores = (np.concatenate(x) for x in zip(*found))
+        good = np.round(scores, TIE_DIGITS) >= np.round(self.least[queries], TIE_DIGITS)
+        rows, queries, scores = rows[good], queries[good], scores[good]
+        self._learn(queries, scores)
+        good = np.round(scores, TIE_DIGITS) >= np.round(self.least[queries], TIE_DIGITS)
+        return rows[good], queries[good], scores[good]
+
+    def _learn(self, queries: np.ndarray, scores: np.ndarray) -> None:
+        order = np.lexsort((-scores, queries))
+        queries, scores = queries[order], scores[order]
+        begins = np.flatnonzero(np.diff(queries, prepend=-1))
+        place = np.arange(len(queries)) - np.repeat(begins, np.diff(np.append(begins, len(queries))))
+        some, which = np.unique(queries, return_inverse=True)
+        new = np.full((len(some), self.k), -np.inf)
+        first = place < self.k
+        new[which[first], place[first]] = scores[first]
+        both = np.concatenate([self.best[some], new], axis=1)
+        self.best[some] = np.partition(both, self.k, axis=1)[:, self.k :]
+        self.least[some] = self.best[some].min(axis=1)
 
 
 def no_hits(index: DataFrame, query_type: str) -> DataFrame:

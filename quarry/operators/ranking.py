@@ -51,7 +51,7 @@ def _best_of_slice(
     return np.nonzero(some)
 
 
-def _best_of_hits(hits: pa.Table, k: int, ascending: bool) -> pa.Table:
+def best_of_hits(hits: pa.Table, k: int, ascending: bool) -> pa.Table:
     """The ``k`` best of each query among the hits (query, id, score) of a task."""
     key = pc.round(hits.column("score"), TIE_DIGITS)
     key = key if ascending else pc.negate(key)
@@ -88,10 +88,10 @@ def best_in_task(
             found = [pa.array(query), part.column(0).take(pa.array(row)), pa.array(scores[row, query], pa.float64())]
             held.append(pa.table(found, names=["query", "id", "score"]))
             if sum(h.num_rows for h in held) > max_hits:
-                held = [_best_of_hits(pa.concat_tables(held), k, ascending)]
+                held = [best_of_hits(pa.concat_tables(held), k, ascending)]
     if not held:
         return None
-    best = _best_of_hits(pa.concat_tables(held), k, ascending)
+    best = best_of_hits(pa.concat_tables(held), k, ascending)
     columns = [query_ids.take(best.column("query").combine_chunks()), best.column("id"), best.column("score")]
     return pa.table(columns, names=["query_id", "id", "score"])
 

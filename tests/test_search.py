@@ -264,6 +264,27 @@ def test_vector_table(spark, tmp_path):
         table.read()
 
 
+def test_sparse_topk_follows_matches(spark, monkeypatch):
+    """The best of many documents by looking at few entries: equal to scoring all, whatever the blocks."""
+    rng = random.Random(4)
+    common, rare = [f"c{n}" for n in range(30)], [f"r{n}" for n in range(400)]
+    texts = [" ".join(rng.choices(common, k=rng.randrange(1, 30)) + rng.choices(rare, k=2)) for _ in range(1500)]
+    queries = [" ".join([rng.choice(rare), rng.choice(common), rng.choice(common)]) for _ in range(60)]
+    index = lexical.forward_index(docs(spark, texts)).coalesce(1).cache()
+    every = lexical.score(index, asked(spark, *queries), asked(spark, *queries).select("query_id").crossJoin(index.select("doc_id")))
+    want = ranking.ranked(every.filter("score > 0"), 3, item="doc_id").select("query_id", "rank", "doc_id").collect()
+    looked = {}
+    for block in (7, 256):
+        monkeypatch.setattr(lexical, "BLOCK_DOCUMENTS", block)
+        touched = spark.sparkContext.accumulator(0)
+        got = lexical.search(index, asked(spark, *queries), 3, touched=touched).collect()
+        assert {(r.query_id, r.rank, r.doc_id) for r in got} == {tuple(r) for r in want}
+        looked[block] = touched.value
+    matches = sum(sum(w in set(t.split()) for w in q.split()) for q in queries for t in texts)
+    # Blocks that cannot have a better document are passed by; nothing is done per document and query.
+    assert looked[7] < matches / 2 and looked[256] <= matches < 1500 * 60 * 3
+
+
 def bucketed(spark, path, buckets=8):
     table = BucketedTable(spark, str(path), T.StructType.fromDDL("id string, v int"), "id", buckets)
     table.clear()
