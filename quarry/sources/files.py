@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,9 @@ from pyspark.sql import types as T
 from quarry.functions.rows import unfold
 from quarry.schemas import CHUNK_JSON, ELEMENT_JSON
 from quarry.sources.parsers import file_elements
+from quarry.sources.whole_files import write_files
+
+JSON_ARRAY = {"open": "[", "between": ",\n", "close": "]"}
 
 # Extraction parameters by file type; any other type has the last ones.
 LANGUAGES = ["eng"]
@@ -31,6 +36,10 @@ ROUTES = {
 }
 DEFAULT_ROUTE = {"strategy": "auto"}
 
+# Types whose content is read here, and how long a file of them may be.
+READABLE = (".html", ".htm", ".csv", ".txt", ".md")
+MAX_FILE_BYTES = 256 * 1024 * 1024
+
 ROUTE_TYPES = {
     "strategy": "string",
     "hi_res_model_name": "string",
@@ -74,17 +83,62 @@ def route(files: DataFrame, path: str = "path") -> DataFrame:
     return files.withColumns(columns)
 
 
-def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, filename, extension, content) of the files of a flat folder."""
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    raw = spark.read.format("binaryFile").load(folder).select("path", text.alias("content"))
-    return raw.withColumns({"filename": file_name(F.col("path")), "extension": file_extension(F.col("path"))})
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, filename, extension, length) of the files of a flat folder; no content is read.
+
+    Spark's file sources pass empty files by; these come from the listing that Spark makes on the driver for any read.
+    """
+    source = spark.read.format("binaryFile").load(folder)
+    listed = source.select("path", file_name(F.col("path")).alias("filename"), "length")
+    names = [(unquote(path.rsplit("/", 1)[1]),) for path in source.inputFiles()]
+    empty = spark.createDataFrame(names, "filename string").join(listed.select("filename"), "filename", "left_anti")
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), "filename").alias("path")
+    every = listed.unionByName(empty.select(path, "filename", F.lit(0).cast("long").alias("length")))
+    return every.withColumn("extension", file_extension(F.col("path")))
+
+
+def read_files(spark: SparkSession, folder: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """(path, filename, extension, length, content, problem) of the files of a flat folder.
+
+    Content is read of files that a rule reads, up to ``max_bytes``; where it is null ``problem`` says why.
+    """
+    listed = list_files(spark, folder)
+    either = lambda suffix: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
+    pattern = "*{" + ",".join(either(suffix) for suffix in READABLE) + "}"
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    text = F.col("content").cast("string")
+    read = (
+        raw.filter(F.col("length") <= max_bytes)
+        .withColumns({"filename": file_name(F.col("path")), "extension": file_extension(F.col("path"))})
+        .withColumn("whole", F.is_valid_utf8(text))
+        .select(
+            "path", "filename", "extension", "length",
+            F.when(F.col("whole"), text).alias("content"),
+            F.when(~F.col("whole"), "content is not UTF-8").alias("problem"),
+        )
+    )
+    known = F.col("extension").isin(*READABLE)
+    unread = listed.filter(~(known & F.col("length").between(1, max_bytes))).select(
+        "path", "filename", "extension", "length",
+        F.when(known & (F.col("length") == 0), "").alias("content"),
+        F.when(known & (F.col("length") > 0), F.lit(f"file of more than {max_bytes} bytes"))
+        .when(known, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("no reader for file type "), "extension"))
+        .alias("problem"),
+    )
+    return read.filter(F.col("extension").isin(*READABLE)).unionByName(unread)
 
 
 def extract(files: DataFrame) -> DataFrame:
-    """Files with their ``elements`` array (null where no rule reads the type) and log columns."""
+    """Files with their ``elements`` array (null where it failed) and log columns.
+
+    A file of a type that no rule reads, or without readable content, is a row with the status ``failed`` and an ``error``.
+    """
     read = route(files).withColumn("elements", file_elements(F.col("content"), F.col("extension")))
     failed = F.col("elements").isNull()
+    problem = F.when(~F.col("extension").isin(*READABLE), F.concat(F.lit("no reader for file type "), "extension")).otherwise("no content")
+    if "problem" in files.columns:
+        problem = F.coalesce("problem", problem)
     return read.select(
         F.col("filename").alias("document"),
         "filename",
@@ -93,7 +147,7 @@ def extract(files: DataFrame) -> DataFrame:
         F.when(failed, "failed").otherwise("success").alias("status"),
         F.when(~failed, F.size("elements")).alias("elements_count"),
         F.when(~failed, F.col("strategy")).alias("strategy"),
-        F.when(failed, F.concat(F.lit("no reader for file type "), "extension")).alias("error"),
+        F.when(failed, problem).alias("error"),
     )
 
 
@@ -194,3 +248,21 @@ def write_elements(elements: DataFrame, folder: str) -> None:
 def write_json(table: DataFrame, folder: str) -> None:
     """Elements or chunks as JSON lines, for other programs."""
     table.write.mode("overwrite").json(folder)
+
+
+def element_json(elements: DataFrame) -> Column:
+    """One element as a JSON object, in the layout of the element files."""
+    return F.to_json(F.struct(*[f.name for f in ELEMENT_JSON.fields]))
+
+
+def write_element_files(elements: DataFrame, folder: str) -> None:
+    """One JSON array per document, as ``parse_elements`` reads it: ``report.pdf`` goes to ``report.json``."""
+    rows = elements.select(json_name(F.col("document")).alias("file"), "pos", element_json(elements).alias("content"))
+    write_files(rows, folder, [F.col("pos")], **JSON_ARRAY)
+
+
+def write_chunk_files(chunks: DataFrame, folder: str) -> None:
+    """One JSON array per document, as ``read_chunks_json`` reads it: ``report.pdf`` goes to ``report_chunks.json``."""
+    name = F.regexp_replace(json_name(F.col("document")), r"\.json$", "_chunks.json")
+    rows = chunks.select(name.alias("file"), "chunk_index", chunk_json(chunks).alias("content"))
+    write_files(rows, folder, [F.col("chunk_index")], **JSON_ARRAY)

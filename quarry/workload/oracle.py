@@ -218,6 +218,7 @@ chunk_ctes("alike", "valid", 60, 120, 0.15, 0.7)
 chunk_ctes("told", "described", 60, 120)
 chunk_ctes("whole", "els", 400, 800, 0.15)
 chunk_ctes("small", "els", 60, 120)
+chunk_ctes("default_sizes", "els", 300, 1000)
 chunk_ctes("tiny", "valid", 10, 20)
 chunk_ctes("tiny_overlapped", "valid", 10, 20, 0.15)
 
@@ -525,6 +526,19 @@ ORACLE["context_requests"] = _requests("basic")
 ORACLE["long_context_requests"] = _requests("tiny")
 ORACLE["chunks_from_json"] = f"""
 SELECT chunk_id || '_chunks.json' AS filename, unnest([0, 1])::INT AS file_pos, * FROM ({records('whole', FALLBACK)})"""
+ORACLE["chunks_round_trip"] = f"""
+SELECT document || '_chunks.json' AS filename, (row_number() OVER (PARTITION BY document ORDER BY chunk_index) - 1)::INT AS file_pos, *
+FROM ({records('small', FALLBACK)})"""
+ORACLE["chunk_defaults"] = records("default_sizes")
+ORACLE["extract_files_log"] = """
+SELECT file AS filename, CASE WHEN error IS NULL THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN error IS NULL THEN coalesce(n, 0)::INT END AS elements_count, CASE WHEN error IS NULL THEN 'fast' END AS strategy, error
+FROM (SELECT document || ['.txt', '.MD', '.pdf', '.xyz'][doc_id % 4 + 1] AS file, CASE WHEN doc_id % 7 <> 0 THEN n END AS n,
+             CASE WHEN doc_id % 4 >= 2 THEN 'no reader for file type ' || ['.pdf', '.xyz'][doc_id % 4 - 1]
+                  WHEN doc_id % 5 = 0 THEN 'content is not UTF-8' END AS error
+      FROM docs LEFT JOIN (SELECT document, count(*) AS n FROM els GROUP BY document) e USING (document))"""
+ORACLE["elements_round_trip"] = "SELECT document, pos, type, text, page_number, text_as_html, image_base64, filetype FROM mixed"
+ORACLE["search_ids_only"] = f"SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM ({top(dense('plain'), 5, 'chunk_id')})"
 ORACLE["hash_embed"] = f"""
 SELECT doc_id, place::INT AS place, round(value::DOUBLE, 6) AS value FROM (
   SELECT key AS doc_id, unnest(v) AS value, unnest(range({DIMS})) AS place FROM own_vectors) WHERE value <> 0"""

@@ -21,6 +21,7 @@ from quarry.plans import ingest
 from quarry.session import cut_lineage, scratch_folder
 from quarry.schemas import CHUNK_JSON, ELEMENT_JSON
 from quarry.sources import files, parsers
+from quarry.sources.whole_files import write_files
 from quarry.workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +134,33 @@ def extract_summary(spark, sf_dir):
     return files.extract_summary(extract_log(spark, sf_dir))
 
 
+def _source_files(spark, sf_dir):
+    """A folder of files: every document under one of four types, some empty, some cut in the middle of a sign."""
+    folder = scratch_folder(spark)
+    n, text = F.col("doc_id"), F.col("text").cast("binary")
+    suffixes = F.array(*[F.lit(s) for s in (".txt", ".MD", ".pdf", ".xyz")])
+    content = F.when(n % 5 == 0, F.concat(text, F.unhex(F.lit("C3")))).when(n % 7 != 0, text).otherwise(F.unhex(F.lit("")))
+    name = F.concat(F.lit("doc_"), n.cast("string"), suffixes[(n % 4).cast("int")])
+    write_files(t.documents(spark, sf_dir).select(name.alias("file"), content.alias("content")), folder)
+    return folder
+
+
+@query
+def extract_files_log(spark, sf_dir):
+    """The log of a folder with unknown types, empty and broken files."""
+    return files.extract_log(files.extract(files.read_files(spark, _source_files(spark, sf_dir))))
+
+
+@query
+def elements_round_trip(spark, sf_dir):
+    """Elements written as one JSON array per document and read back."""
+    folder = scratch_folder(spark)
+    files.write_element_files(t.mixed_elements(spark, sf_dir), folder)
+    return element_columns(files.read_elements_json(spark, folder)).select(
+        "document", "pos", "type", "text", "page_number", "text_as_html", "image_base64", "filetype"
+    )
+
+
 @query
 def valid_elements(spark, sf_dir):
     return E.valid_elements(t.mixed_elements(spark, sf_dir)).select("document", "pos", "type", "text")
@@ -323,6 +351,20 @@ def chunks_from_json(spark, sf_dir):
     return files.chunks_of_json(arrays).select("filename", "file_pos", *CHUNK_COLUMNS)
 
 
+@query
+def chunks_round_trip(spark, sf_dir):
+    """Chunks written as one JSON array per document and read back."""
+    folder = scratch_folder(spark)
+    files.write_chunk_files(ingest.chunk_arrays(t.text_arrays(spark, sf_dir), SMALL), folder)
+    return files.read_chunks_json(spark, folder).select("filename", "file_pos", *CHUNK_COLUMNS)
+
+
+@query
+def chunk_defaults(spark, sf_dir):
+    """The limits of a chunker that is told nothing."""
+    return chunking.chunk_records(chunking.chunk_elements(t.elements(spark, sf_dir), ChunkParams())).select(*CHUNK_COLUMNS)
+
+
 # -- encoder and cache --------------------------------------------------------------
 
 
@@ -536,6 +578,13 @@ def semantic_search(spark, sf_dir):
     return _shown(t.retriever(spark, sf_dir).search(t.queries(spark, sf_dir), 5))
 
 
+@query
+def search_ids_only(spark, sf_dir):
+    """Hits without stored texts and metadata."""
+    found = t.retriever(spark, sf_dir).search(t.queries(spark, sf_dir), 5, include_metadata=False)
+    return rounded(found).select("query_id", "rank", "chunk_id", "score")
+
+
 @query
 def search_by_document(spark, sf_dir):
     return _shown(t.retriever(spark, sf_dir).search_by_document(t.queries(spark, sf_dir), "doc_7", 5))

@@ -8,7 +8,7 @@ from quarry.operators.borders import ChunkParams
 from quarry.operators.enrich import Encoder, text_keys
 from quarry.operators.index import VectorTable
 from quarry.plans import ingest
-from quarry.sources import files, parsers
+from quarry.sources import files, parsers, whole_files
 
 
 def parsed(spark, content, parse):
@@ -104,17 +104,27 @@ def test_folder_of_files(spark, tmp_path):
     (tmp_path / "d.md").write_bytes(b"# bad \xff byte")
     (tmp_path / "b.html").write_text("<p>para</p>")
     (tmp_path / "c.pdf").write_bytes(b"%PDF\xff\xfe\x00\x80")
+    for name in ("e.csv", "f.bin"):
+        (tmp_path / name).write_bytes(b"")
     extracted = files.extract(files.read_files(spark, str(tmp_path)))
     log = {r.filename: r for r in files.extract_log(extracted).collect()}
     assert (log["a.TXT"].status, log["a.TXT"].elements_count, log["a.TXT"].strategy) == ("success", 1, "fast")
     assert (log["c.pdf"].status, log["c.pdf"].error) == ("failed", "no reader for file type .pdf")
+    # What cannot be decoded is a row of the log, like a type without a reader; empty files have no elements.
+    assert (log["d.md"].status, log["d.md"].error, log["d.md"].elements_count) == ("failed", "content is not UTF-8", None)
+    assert (log["e.csv"].status, log["e.csv"].elements_count) == ("success", 0)
+    assert log["f.bin"].error == "no reader for file type .bin"
     assert files.extract_summary(files.extract_log(extracted)).first().asDict() == {
-        "total": 4, "successful": 3, "failed": 1, "elements": 3
+        "total": 6, "successful": 3, "failed": 3, "elements": 2
     }
     elements = parsers.explode_elements(extracted)
-    assert {(r.document, r.text) for r in elements.collect()} == {
-        ("a.TXT", "Été line."), ("b.html", "para"), ("d.md", "bad \ufffd byte")
-    }
+    assert {(r.document, r.text) for r in elements.collect()} == {("a.TXT", "Été line."), ("b.html", "para")}
+    # Only files of known types are read, and only up to a size.
+    read = files.read_files(spark, str(tmp_path), max_bytes=9)
+    assert {r.filename for r in read.filter("content is not null").collect()} == {"e.csv"}
+    assert {r.problem for r in read.filter("length > 9 and extension <> '.pdf'").collect()} == {"file of more than 9 bytes"}
+    listing = files.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in listing
 
 
 def test_summary_of_a_log(spark):
@@ -167,3 +177,32 @@ def test_written_elements_read_back(spark, sample, tmp_path):
     assert spark.read.parquet(str(tmp_path / "e")).exceptAll(sample).count() == 0
     files.write_json(sample.select("document", "pos", "type", "text"), str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == sample.count()
+
+
+def test_files_of_arrays(spark, sample, tmp_path):
+    two = sample.unionByName(sample.withColumn("document", F.lit("other.pdf")))
+    files.write_element_files(two.withColumn("document", F.when(F.col("document") == "doc", "a b.html").otherwise(F.col("document"))), str(tmp_path / "e"))
+    names = {p.name for p in (tmp_path / "e").iterdir()}
+    assert {"a b.json", "other.json", "_SUCCESS"} == {n for n in names if not n.endswith(".crc")}
+    assert [e["text"] for e in json.loads((tmp_path / "e" / "other.json").read_text())] == [x for _, x, _ in SAMPLE]
+    back = files.read_elements_json(spark, str(tmp_path / "e"))
+    assert back.filter("document = 'other'").drop("document").exceptAll(sample.drop("document")).count() == 0
+    chunks = ingest.chunk_documents(two, ChunkParams("basic", 10, 100))
+    files.write_chunk_files(chunks, str(tmp_path / "c"))
+    read = files.read_chunks_json(spark, str(tmp_path / "c"))
+    assert {r.filename for r in read.collect()} == {"doc_chunks.json", "other_chunks.json"}
+    assert [r.file_pos for r in read.filter("document = 'doc'").orderBy("file_pos").collect()] == list(range(chunks.filter("document = 'doc'").count()))
+    assert read.drop("filename", "file_pos").exceptAll(chunks.select(*[c for c in read.columns if c not in ("filename", "file_pos")])).count() == 0
+
+
+def test_a_failed_write_leaves_no_success(spark, tmp_path):
+    good = spark.createDataFrame([("a", "x"), ("b", "y")], "file string, content string")
+    whole_files.write_files(good, str(tmp_path / "g"))
+    assert (tmp_path / "g" / "a").read_text() == "x" and (tmp_path / "g" / "_SUCCESS").exists()
+    # The same files again replace the old ones; empty contents are files too.
+    whole_files.write_files(good.withColumn("content", F.lit("")), str(tmp_path / "g"))
+    assert (tmp_path / "g" / "a").read_text() == ""
+    bad = good.unionByName(spark.createDataFrame([("../c", "z")], "file string, content string"))
+    with pytest.raises(Exception, match="not a file name"):
+        whole_files.write_files(bad, str(tmp_path / "h"))
+    assert not (tmp_path / "h" / "_SUCCESS").exists() and not (tmp_path / "h" / "_temporary").exists()
