@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ranking import MAX_SENT_QUERIES, blocks, ranked, scan_for_best
+from quarry.operators.ranking import MAX_HELD_SCORES, MAX_SENT_QUERIES, blocks, ranked, scan_for_best
 
 METRICS = ("cosine", "dotproduct", "euclidean")
 
@@ -22,7 +22,7 @@ CONDITIONS = {
 }
 
 
-def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+def matrix_of(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
     """Vectors as rows of ``width`` numbers (by default that of the first); null vectors and numbers are zero."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
@@ -37,17 +37,39 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int | None = None) -> np
     return np.nan_to_num(rows, nan=0.0)
 
 
-def _scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """Rows x queries; for euclidean the distance, else the similarity."""
+def scores_of(rows: np.ndarray, queries: np.ndarray, metric: str, k: int, allowed: np.ndarray | None = None) -> np.ndarray:
+    """Rows x queries; for euclidean the distance, else the similarity.  Pairs that are not ``allowed`` have the worst score."""
     if metric == "euclidean":
-        # From the differences: the short way over products loses small distances.
-        return np.stack([np.sqrt(((rows - query) ** 2).sum(axis=1)) for query in queries], axis=1)
-    products = rows @ queries.T
-    if metric == "dotproduct":
-        return products
+        return _distances(rows, queries, k, allowed)
+    scores = rows @ queries.T
+    if metric == "cosine":
+        row_squares, query_squares = (rows**2).sum(axis=1), (queries**2).sum(axis=1)
+        size = np.sqrt(row_squares)[:, None] * np.sqrt(query_squares)[None, :]
+        scores = np.divide(scores, size, out=np.zeros_like(scores), where=size != 0)
+    return scores if allowed is None else np.where(allowed, scores, -np.inf)
+
+
+def _distances(rows: np.ndarray, queries: np.ndarray, k: int, allowed: np.ndarray | None) -> np.ndarray:
+    """Distances of the rows that may be among the ``k`` nearest of a query, infinite for the others.
+
+    Squares by products tell who may be; they lose small distances, so these pairs are measured again by their differences.
+    """
     row_squares, query_squares = (rows**2).sum(axis=1), (queries**2).sum(axis=1)
-    size = np.sqrt(row_squares)[:, None] * np.sqrt(query_squares)[None, :]
-    return np.divide(products, size, out=np.zeros_like(products), where=size != 0)
+    squares = row_squares[:, None] + query_squares[None, :] - 2 * rows @ queries.T
+    if allowed is not None:
+        squares = np.where(allowed, squares, np.inf)
+    near = squares < np.inf
+    if len(rows) > k:
+        # Far more than products in double precision can be wrong.
+        unsure = 1e-9 * (row_squares.max() + query_squares)
+        near &= squares <= np.partition(squares, k - 1, axis=0)[k - 1] + 2 * unsure
+    row, query = np.nonzero(near)
+    distances = np.full(squares.shape, np.inf)
+    step = max(1, MAX_HELD_SCORES // max(1, rows.shape[1]))
+    for begin in range(0, len(row), step):
+        r, q = row[begin : begin + step], query[begin : begin + step]
+        distances[r, q] = np.sqrt(((rows[r] - queries[q]) ** 2).sum(axis=1))
+    return distances
 
 
 def _allowed(batch: pa.RecordBatch, conditions: dict[str, pa.Array]) -> np.ndarray:
@@ -107,12 +129,12 @@ def _scan(
     """(query_id, id, score): the best of every task for one block of queries."""
     ascending = metric == "euclidean"
     context = vectors.sparkSession.sparkContext
-    matrix = context.broadcast(_matrix(sent.column("embedding")))
+    matrix = context.broadcast(matrix_of(sent.column("embedding")))
     wanted = context.broadcast({c: sent.column(c).combine_chunks() for c in conditions})
 
     def score_batch(batch: pa.RecordBatch) -> np.ndarray:
-        scores = _scores(_matrix(batch.column("embedding"), matrix.value.shape[1]), matrix.value, metric)
-        return np.where(_allowed(batch, wanted.value), scores, np.inf if ascending else -np.inf) if conditions else scores
+        rows = matrix_of(batch.column("embedding"), matrix.value.shape[1])
+        return scores_of(rows, matrix.value, metric, k, _allowed(batch, wanted.value) if conditions else None)
 
     hits = scan_for_best(vectors, "id", score_batch, sent.column("query_id").combine_chunks(), query_type, k, ascending)
-    return hits.filter(F.abs("score") < float("inf")) if conditions else hits
+    return hits.filter(F.abs("score") < float("inf")) if conditions or ascending else hits

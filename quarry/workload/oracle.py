@@ -597,6 +597,7 @@ LEFT JOIN lex_score s ON s.query_id = p.query_id AND s.doc_id = p.doc_id"""
 ORACLE["bm25_search"] = f"""
 SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({top('SELECT * FROM lex_score WHERE score > 0', 10, 'doc_id')})"""
 ORACLE["dense_topk"] = given_dense(cosine("e.v", "q.v"))
+ORACLE["dense_topk_pruned"] = ORACLE["dense_topk"]
 ORACLE["dense_topk_dot"] = given_dense("list_dot_product(e.v, q.v)")
 ORACLE["dense_topk_euclidean"] = given_dense("list_distance(e.v, q.v)", True)
 ORACLE["semantic_search"] = shown(top(dense("plain"), 5, "chunk_id"))

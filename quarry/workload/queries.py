@@ -16,6 +16,7 @@ from quarry.operators import elements as E
 from quarry.operators import enrich
 from quarry.operators.borders import ChunkParams
 from quarry.operators.index import VectorTable, compile_filter, index_stats, upsert, upsert_report
+from quarry.operators.cells import CellTable
 from quarry.operators.vector import dense_topk
 from quarry.plans import ingest
 from quarry.session import cut_lineage, scratch_folder
@@ -566,6 +567,14 @@ def dense_topk_euclidean(spark, sf_dir):
     return rounded(found)
 
 
+@query
+def dense_topk_pruned(spark, sf_dir):
+    """The k best by cells: those that cannot have any are not read."""
+    cells = CellTable(spark, scratch_folder(spark))
+    cells.build(t.given_vectors(spark, sf_dir), 64)
+    return rounded(cells.search(t.query_vectors(spark, sf_dir), 10))
+
+
 RESULT_COLUMNS = ("query_id", "rank", "chunk_id", "score", "content", "document", "chunk_type", "page_number", "has_image")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.encoder import hash_embedding
-from quarry.operators import fusion, lexical, ranking, vector
+from quarry.operators import cells, fusion, lexical, ranking, vector
 from quarry.sources.bucketed import BucketedTable, ConcurrentWrite
 from quarry.operators.index import VectorTable, combined_filter, compile_filter, index_stats, latest, prepare_vectors, upsert
 from quarry.plans.retriever import Retriever
@@ -285,6 +285,39 @@ def test_sparse_topk_follows_matches(spark, monkeypatch):
     assert looked[7] < matches / 2 and looked[256] <= matches < 1500 * 60 * 3
 
 
+@pytest.mark.parametrize("metric", vector.METRICS)
+def test_cells_give_what_a_scan_gives(spark, tmp_path, metric):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(30, 8)) * 6
+    rows = [(f"v{n:04d}", (middles[n % 30] + rng.normal(size=8) * 0.3).tolist(), n % 4) for n in range(1800)]
+    # Ties, vectors without a direction, and one that is missing.
+    rows += [(f"t{n}", rows[n % 3][1], 1) for n in range(9)] + [("zero", [0.0] * 8, 0), ("none", None, 0)]
+    vectors = spark.createDataFrame(rows, "id string, embedding array<double>, part int")
+    asked_vectors = [(n, (middles[n] + rng.normal(size=8) * 0.3).tolist()) for n in range(20)] + [(20, rows[0][1]), (21, [0.0] * 8)]
+    queries = spark.createDataFrame(asked_vectors, "query_id long, embedding array<double>")
+    table = cells.CellTable(spark, str(tmp_path / "cells"), metric)
+    table.build(vectors, 40)
+    told = lambda hits: sorted((r.query_id, r.rank, r.id, round(r.score, 8)) for r in hits.collect())
+    want = vector.dense_topk(vectors, queries, 5, metric)
+    assert told(table.search(queries, 5)) == told(want)
+    some = vector.dense_topk(vectors.filter("part = 1"), queries, 5, metric)
+    assert told(table.search(queries, 5, F.col("part") == 1)) == told(some)
+    if metric != "dotproduct":
+        # Most cells cannot have a better vector for a query near one of them.
+        known = table.cells()
+        best = -want.filter("query_id = 3").agg(F.max("score")).first()[0] if metric == "euclidean" else want.filter("query_id = 3").agg(F.min("score")).first()[0]
+        assert (table.promise(np.array([asked_vectors[3][1]]), known) >= best).sum() < len(known.numbers) / 2
+
+
+def test_small_distances_are_exact(spark):
+    far = [1e6, 1e6, 1e6]
+    rows = [("a", far), ("b", [1e6, 1e6, 1e6 + 1e-4]), ("c", [1e6, 1e6, 1e6 + 3e-4]), *[(f"z{n}", [float(n), 0.0, 0.0]) for n in range(20)]]
+    vectors = spark.createDataFrame(rows, "id string, embedding array<double>")
+    query = spark.createDataFrame([(1, far)], "query_id long, embedding array<double>")
+    got = vector.dense_topk(vectors, query, 3, "euclidean").orderBy("rank").collect()
+    assert [r.id for r in got] == ["a", "b", "c"] and got[1].score == pytest.approx(1e-4, rel=1e-3)
+
+
 def bucketed(spark, path, buckets=8):
     table = BucketedTable(spark, str(path), T.StructType.fromDDL("id string, v int"), "id", buckets)
     table.clear()
