@@ -45,18 +45,22 @@ def reciprocal_rank(rank: Column, weight: float) -> Column:
 
 
 def rank_fusion(dense: DataFrame, lexical: DataFrame, k: int, dense_weight: float = 0.7) -> DataFrame:
-    """(query_id, rank, chunk_id, score) from two ranked lists (query_id, rank, chunk_id)."""
+    """(query_id, rank, chunk_id, score, by_words) from two ranked lists (query_id, rank, chunk_id).
 
-    def votes(hits: DataFrame, weight: float) -> DataFrame:
-        return hits.select("query_id", "chunk_id", reciprocal_rank(F.col("rank"), weight).alias("vote"))
+    ``by_words``: only the lexical list has the chunk.
+    """
+
+    def votes(hits: DataFrame, weight: float, by_words: bool) -> DataFrame:
+        vote = reciprocal_rank(F.col("rank"), weight).alias("vote")
+        return hits.select("query_id", "chunk_id", vote, F.lit(by_words).alias("by_words"))
 
     fused = (
-        votes(dense, dense_weight)
-        .unionByName(votes(lexical, 1 - dense_weight))
+        votes(dense, dense_weight, False)
+        .unionByName(votes(lexical, 1 - dense_weight, True))
         .groupBy("query_id", "chunk_id")
-        .agg(F.sum("vote").alias("score"))
+        .agg(F.sum("vote").alias("score"), F.min("by_words").alias("by_words"))
     )
-    return ranked(fused, k).select("query_id", "rank", "chunk_id", "score")
+    return ranked(fused, k).select("query_id", "rank", "chunk_id", "score", "by_words")
 
 
 def hyde_requests(queries: DataFrame) -> DataFrame:

@@ -141,6 +141,10 @@ class VectorTable:
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def read_buckets(self) -> tuple[DataFrame, int]:
+        """The records with their ``_bucket``, and the number of buckets: what a ``Retriever`` needs to read few folders."""
+        return self.table.read_with_bucket(), len(self.table.manifest().folders)
+
     def read_ids(self, ids: DataFrame) -> DataFrame:
         """The records of the ids in the first column of ``ids``, from their buckets alone."""
         return self.table.read_keys(ids)

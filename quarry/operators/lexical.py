@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,7 @@ from quarry.operators.ranking import (
     ranked,
     small_side,
 )
+from quarry.operators.vector import CONDITIONS, allowed_pairs, plain_conditions
 from quarry.session import cut_lineage
 
 # Distinct (query, term) pairs that may be sent whole to every task.
@@ -58,14 +59,16 @@ def term_counts(tokens: Column) -> Column:
     return bind(F.sort_array(tokens), counted)
 
 
-def forward_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, doc_len, terms): one row per document, built in place.
+def forward_index(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, doc_len, terms): one row per document, built in place, with the columns to ``keep`` for filters.
 
     Written to Parquet, it is the index to keep; ``postings`` and statistics come from it.
     """
     tokens = words(F.coalesce(F.col(text), F.lit("")))
-    return documents.select(F.col(doc_id).alias("doc_id"), bind(tokens, lambda t: _index_row(t)).alias("r")).select(
-        "doc_id", "r.doc_len", "r.terms"
+    return documents.select(F.col(doc_id).alias("doc_id"), bind(tokens, lambda t: _index_row(t)).alias("r"), *keep).select(
+        "doc_id", "r.doc_len", "r.terms", *keep
     )
 
 
@@ -98,10 +101,10 @@ def term_idf(index: DataFrame) -> DataFrame:
     return document_frequency(index).withColumn("idf", idf(F.lit(stats["n_docs"]), F.col("df")))
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
+def query_terms(queries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(query_id, term, qtf): a word said twice in a query counts twice."""
     counts = term_counts(words(F.coalesce("query", F.lit(""))))
-    return unfold(queries, ["query_id"], counts, "t").select("query_id", "t.term", F.col("t.tf").alias("qtf"))
+    return unfold(queries, ["query_id", *keep], counts, "t").select("query_id", "t.term", F.col("t.tf").alias("qtf"), *keep)
 
 
 def statistics(index: DataFrame) -> DataFrame:
@@ -155,18 +158,24 @@ def search(
     params: Bm25Params = Bm25Params(),
     kept: DataFrame | None = None,
     touched: Accumulator | None = None,
+    condition: Column | None = None,
+    by_query: bool = False,
 ) -> DataFrame:
     """(query_id, rank, doc_id, score): the ``k`` best documents with a score above 0.
 
+    Only documents that meet ``condition`` are found, and with ``by_query`` only those that meet the conditions that
+    ``queries`` has in columns of ``CONDITIONS``, both on columns kept with the index.  Statistics are those of all documents.
+
     Each task scores its documents and passes on the best; queries beyond the bounds are cut
     into blocks with a scan each.  ``kept``: the stored ``statistics`` of the index; without
     them the terms of the queries are counted first, in one more pass.  ``touched`` is told how many
     (document, query, term) entries were looked at.
     """
-    terms = query_terms(queries)
+    names, plain = plain_conditions(queries) if by_query else ([], [])
+    terms = query_terms(queries.select("query_id", "query", *plain), names)
     hits = no_hits(index, terms.schema["query_id"].dataType.simpleString())
     for n, sent in enumerate(blocks(terms, MAX_SENT_TERMS, MAX_SENT_QUERIES)):
-        scan = _scan(index, terms, sent, k, params, kept, touched)
+        scan = _scan(index, terms, sent, k, params, kept, touched, condition, names)
         hits = hits.unionByName(scan) if n else scan
     return ranked(hits, k, item="doc_id").select("query_id", "rank", "doc_id", "score")
 
@@ -214,6 +223,8 @@ def _scan(
     params: Bm25Params,
     kept: DataFrame | None,
     touched: Accumulator | None,
+    condition: Column | None,
+    conditions: list[str],
 ) -> DataFrame:
     query_type = terms.schema["query_id"].dataType.simpleString()
     vocabulary = pc.unique(sent.column("term").combine_chunks())
@@ -235,10 +246,15 @@ def _scan(
         np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1)),
         len(query_ids),
     )
-    shared = index.sparkSession.sparkContext.broadcast((vocabulary, weight, asked, query_ids))
+    # The conditions of a query stand in each of its rows.
+    first_row = np.zeros(len(query_ids), dtype="int64")
+    first_row[query[::-1]] = np.arange(len(query))[::-1]
+    wanted = {c: sent.column(c).combine_chunks().take(pa.array(first_row)) for c in conditions}
+    columns = sorted({CONDITIONS[c] for c in conditions})
+    shared = index.sparkSession.sparkContext.broadcast((vocabulary, weight, asked, query_ids, wanted))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weight, asked, query_ids = shared.value
+        vocabulary, weight, asked, query_ids, wanted = shared.value
         search, held = SparseTopK(asked, k), []
         for batch in batches:
             lists = batch.column("terms")
@@ -252,8 +268,10 @@ def _scan(
             value = weight[code] * tf * (params.k1 + 1) / (tf + params.k1 * (1 - params.b + params.b * share))
             # Documents in blocks; the entries of a block lie together.
             edges = np.searchsorted(row, np.arange(0, batch.num_rows + BLOCK_DOCUMENTS, BLOCK_DOCUMENTS))
+            here = {c: batch.column(c) for c in columns}
+            meets = (lambda r, q, here=here: allowed_pairs(here, wanted, r, q)) if wanted else None
             for a, b in zip(edges, edges[1:]):
-                rows, queries, scores = search.block(row[a:b], code[a:b], value[a:b])
+                rows, queries, scores = search.block(row[a:b], code[a:b], value[a:b], meets)
                 if len(rows):
                     found = [pa.array(queries), batch.column("doc_id").take(pa.array(rows)), pa.array(scores)]
                     held.append(pa.table(found, names=["query", "id", "score"]))
@@ -267,7 +285,7 @@ def _scan(
             yield from pa.table([ids, hits.column("id"), hits.column("score")], names=["query_id", "doc_id", "score"]).to_batches()
 
     doc_type = index.schema["doc_id"].dataType.simpleString()
-    rows = index.select("doc_id", "doc_len", "terms")
+    rows = (index if condition is None else index.filter(condition)).select("doc_id", "doc_len", "terms", *columns)
     return rows.mapInArrow(best, f"query_id {query_type}, doc_id {doc_type}, score double")
 
 
@@ -300,8 +318,14 @@ class SparseTopK:
         self.best = np.full((asked.n_queries, k), -np.inf)
         self.least = np.full(asked.n_queries, -np.inf)
 
-    def block(self, row: np.ndarray, code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(rows, queries, scores) that may be among the best; ``row`` rises."""
+    def block(
+        self,
+        row: np.ndarray,
+        code: np.ndarray,
+        value: np.ndarray,
+        meets: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, queries, scores) that may be among the best; ``row`` rises, ``meets`` tells which pairs are allowed."""
         if not len(code):
             return row, code, value
         terms, number = np.unique(code, return_inverse=True)
@@ -336,6 +360,9 @@ class SparseTopK:
         rows, queries, scores = (np.concatenate(x) for x in zip(*found))
         good = np.round(scores, TIE_DIGITS) >= np.round(self.least[queries], TIE_DIGITS)
         rows, queries, scores = rows[good], queries[good], scores[good]
+        if meets is not None:
+            good = meets(rows, queries)
+            rows, queries, scores = rows[good], queries[good], scores[good]
         self._learn(queries, scores)
         good = np.round(scores, TIE_DIGITS) >= np.round(self.least[queries], TIE_DIGITS)
         return rows[good], queries[good], scores[good]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ranking import MAX_HELD_SCORES, MAX_SENT_QUERIES, blocks, ranked, scan_for_best
@@ -92,6 +92,28 @@ def _allowed(batch: pa.RecordBatch, conditions: dict[str, pa.Array]) -> np.ndarr
     return allowed
 
 
+def allowed_pairs(
+    columns: dict[str, pa.Array], conditions: dict[str, pa.Array], row: np.ndarray, query: np.ndarray
+) -> np.ndarray:
+    """Whether row ``row[i]`` meets the conditions of query ``query[i]``; as ``_allowed``, for some pairs."""
+    allowed = np.ones(len(row), bool)
+    for name, wanted in conditions.items():
+        values, want = columns[CONDITIONS[name]].take(pa.array(row)), wanted.take(pa.array(query))
+        if name in ("min_page", "max_page"):
+            page, bound = (x.cast("double").to_numpy(zero_copy_only=False) for x in (values, want))
+            allowed &= np.isnan(bound) | (page >= bound if name == "min_page" else page <= bound)
+        else:
+            met = pc.fill_null(pc.equal(values, want), False).to_numpy(zero_copy_only=False)
+            allowed &= pc.is_null(want).to_numpy(zero_copy_only=False) | met
+    return allowed
+
+
+def plain_conditions(queries: DataFrame) -> tuple[list[str], list[Column]]:
+    """The columns of ``CONDITIONS`` that a query table has, and their values; an empty document or type is none."""
+    names = [c for c in CONDITIONS if c in queries.columns]
+    return names, [F.nullif(c, F.lit("")).alias(c) if c in ("document", "chunk_type") else F.col(c) for c in names]
+
+
 def dense_topk(
     vectors: DataFrame,
     queries: DataFrame,
@@ -109,9 +131,8 @@ def dense_topk(
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}: use one of {METRICS}")
-    conditions = [c for c in CONDITIONS if c in queries.columns]
+    conditions, plain = plain_conditions(queries)
     vectors = vectors.select("id", "embedding", *sorted({CONDITIONS[c] for c in conditions}))
-    plain = [F.nullif(c, F.lit("")).alias(c) if c in ("document", "chunk_type") else F.col(c) for c in conditions]
     queries = queries.select("query_id", "embedding", *plain)
     query_type, id_type = (t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (vectors, "id")))
     hits = vectors.sparkSession.createDataFrame([], f"query_id {query_type}, id {id_type}, score double")

@@ -13,6 +13,7 @@ from quarry.operators.enrich import respond, with_vectors
 from quarry.operators.index import combined_filter, compile_filter
 from quarry.operators.vector import CONDITIONS, dense_topk
 from quarry.session import cut_lineage
+from quarry.sources.bucketed import BUCKET, bucket_of
 
 # Hits that may be sent to every task: about 100 bytes each.
 MAX_SENT_HITS = 500_000
@@ -38,6 +39,8 @@ class Retriever:
 
     ``encode`` turns a text column into a vector column, for texts that are not in ``cache``;
     ``completions`` holds generated texts by request, and where it has none the plain search stands in.
+    ``buckets``: in how many buckets the ``vectors`` are stored, if they are read with their ``_bucket`` column
+    (``VectorTable.read_buckets``): the contents of hits are then read from the buckets of their ids alone.
     """
 
     def __init__(
@@ -47,8 +50,9 @@ class Retriever:
         completions: DataFrame | None = None,
         metric: str = "cosine",
         cache: DataFrame | None = None,
+        buckets: int | None = None,
     ):
-        self.cache = cache
+        self.cache, self.buckets = cache, buckets
         self.vectors, self.encode, self.completions, self.metric = vectors, encode, completions, metric
         self.corpus: DataFrame | None = None
         self.lexical_index: DataFrame | None = None
@@ -79,13 +83,20 @@ class Retriever:
         If queries times ``k`` are few, the hits go to the stored rows; free text of theirs is joined afterwards.
         """
         stored = self.vectors.select(
-            F.col("id").alias("chunk_id"), F.coalesce("original_content", F.lit("")).alias("content"), *METADATA
-        )
+            F.col("id").alias("chunk_id"), F.coalesce("original_content", F.lit("")).alias("content"), *METADATA,
+            *([BUCKET] if self.buckets else []),
+        )
         short = ["query_id", "rank", "chunk_id", "score"]
         more = [c for c in hits.columns if c not in short]
         # Joined twice then: the list is short, the scans behind it are not.
         hits = cut_lineage(hits) if more else hits
-        found = stored.join(_sent_if_few(hits.select(*short), queries, k), "chunk_id")
+        wanted = hits.select(*short)
+        if self.buckets:
+            # The short list is made first; only the folders of its buckets (their numbers come here) are read.
+            wanted = cut_lineage(wanted)
+            numbers = wanted.select(bucket_of("chunk_id", self.buckets).alias("b")).distinct().collect()
+            stored = stored.filter(F.col(BUCKET).isin([r["b"] for r in numbers])).drop(BUCKET)
+        found = stored.join(_sent_if_few(wanted, queries, k), "chunk_id")
         if more:
             found = found.join(hits.select("query_id", "chunk_id", *more), ["query_id", "chunk_id"])
         return found.select(*_result_columns(hits))
@@ -113,7 +124,7 @@ class Retriever:
     def index_for_bm25(
         self, corpus: DataFrame, index: DataFrame | None = None, statistics: DataFrame | None = None
     ) -> None:
-        """Set the lexical side: ``corpus(chunk_id, content)``.
+        """Set the lexical side: ``corpus(chunk_id, content)``, and metadata columns for filters.
 
         Give ``index`` and its ``statistics`` if they are stored already (the latter may be
         left out); else the index is made here, once for all searches.
@@ -121,28 +132,35 @@ class Retriever:
         self.lexical_statistics = statistics
         self.corpus = corpus.select("chunk_id", "content")
         if index is None:
-            index = cut_lineage(lexical.forward_index(self.corpus, "chunk_id", "content"))
+            kept = [c for c in METADATA if c in corpus.columns]
+            index = cut_lineage(lexical.forward_index(corpus, "chunk_id", "content", kept))
         self.lexical_index = index
 
     def hybrid_search(
-        self, queries: DataFrame, k: int = 10, dense_weight: float = 0.7, filters: dict[str, Any] | None = None
+        self,
+        queries: DataFrame,
+        k: int = 10,
+        dense_weight: float = 0.7,
+        filters: dict[str, Any] | None = None,
+        filter_lexical: bool = False,
     ) -> DataFrame:
-        """Rank fusion of dense and lexical search; filters act on the dense side only.
+        """Rank fusion of dense and lexical search; filters (and conditions of queries) act on the dense side only, with
+        ``filter_lexical`` on both: the corpus must then have the metadata columns that they name.
 
         A chunk only the lexical side found shows its full text and ``source = 'bm25'``.
         """
         if self.lexical_index is None or self.corpus is None:
             dense = self.hits(_plain(queries), k, filters)
             return self.with_content(dense, queries, k).withColumn("source", F.lit(None).cast("string"))
-        # These lists are used again below; they are short, the scans behind them are not.
-        dense = cut_lineage(self.hits(_plain(queries), 2 * k, filters))
-        words = lexical.search(self.lexical_index, queries, 2 * k, kept=self.lexical_statistics).withColumnRenamed("doc_id", "chunk_id")
+        dense = self.hits(_plain(queries), 2 * k, filters)
+        words = lexical.search(
+            self.lexical_index, queries, 2 * k, kept=self.lexical_statistics,
+            condition=compile_filter(filters) if filter_lexical else None, by_query=filter_lexical,
+        ).withColumnRenamed("doc_id", "chunk_id")
+        # One plan: the list is made once, behind the shuffle that ranks it, and both kinds of hits are taken from there.
         fused = fusion.rank_fusion(dense, words, k, dense_weight)
-        in_dense = dense.select("query_id", "chunk_id", F.lit(True).alias("dense"))
-        marked = cut_lineage(fused.join(in_dense, ["query_id", "chunk_id"], "left"))
-        by_dense = self.with_content(marked.filter("dense").drop("dense"), queries, k)
-        not_dense = _sent_if_few(marked.filter(F.col("dense").isNull()).drop("dense"), queries, k)
-        by_words = self.corpus.join(not_dense, "chunk_id")
+        by_dense = self.with_content(fused.filter("not by_words").drop("by_words"), queries, k)
+        by_words = self.corpus.join(_sent_if_few(fused.filter("by_words").drop("by_words"), queries, k), "chunk_id")
         return by_dense.withColumn("source", F.lit(None).cast("string")).unionByName(
             by_words.withColumn("source", F.lit("bm25")), allowMissingColumns=True
         )

@@ -19,6 +19,14 @@ TRIES = 10
 MAX_LISTED_KEYS = 10_000
 
 
+# The column that names a row's bucket, where it is asked for.
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class ConcurrentWrite(RuntimeError):
     """Another writer was faster."""
 
@@ -52,9 +60,20 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self._rows(self._present().folders)
 
-    def read_buckets(self, buckets: list[int]) -> DataFrame:
-        manifest = self._present()
-        return self._rows(tuple(manifest.folders[b] for b in buckets))
+    def read_with_bucket(self) -> DataFrame:
+        """All rows with their bucket, a column by whose values folders are passed by.
+
+        One part per write that is still in force; ``compact`` makes them one.
+        """
+        schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        by_write: dict[str, list[str]] = {}
+        for folder in filter(None, self._present().folders):
+            by_write.setdefault(folder.split("/")[0], []).append(f"{self.path}/data/{folder}")
+        table = None
+        for write, paths in sorted(by_write.items()):
+            rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data/{write}").parquet(*paths)
+            table = rows if table is None else table.unionByName(rows)
+        return self.spark.createDataFrame([], schema) if table is None else table
 
     def read_keys(self, keys: DataFrame) -> DataFrame:
         """The rows whose key is in the first column of ``keys``.
@@ -153,7 +172,7 @@ class BucketedTable:
     # -- files --------------------------------------------------------------------
 
     def _bucket(self, n: int) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(n)).cast("int")
+        return bucket_of(self.key, n)
 
     def _rows(self, folders: tuple[str | None, ...]) -> DataFrame:
         paths = [f"{self.path}/data/{folder}" for folder in folders if folder]

@@ -311,9 +311,11 @@ def given_dense(score: str, ascending: bool = False) -> str:
 # -- fusion -------------------------------------------------------------------------------
 
 
-def fused_ctes(prefix: str, where: str, k: int) -> None:
+def fused_ctes(prefix: str, where: str, k: int, words_where: str = "true") -> None:
     CTES[f"{prefix}_dense"] = top(dense("plain", where), 2 * k, "chunk_id")
-    CTES[f"{prefix}_words"] = top("SELECT query_id, 'doc_' || doc_id || '_chunk_0' AS chunk_id, score FROM lex_score WHERE score > 0", 2 * k, "chunk_id")
+    found = f"""SELECT q.query_id, r.id AS chunk_id, score FROM lex_score q JOIN records r ON r.document = 'doc_' || doc_id
+      WHERE score > 0 AND {words_where}"""
+    CTES[f"{prefix}_words"] = top(found, 2 * k, "chunk_id")
     votes = f"""SELECT query_id, chunk_id, sum(vote) AS score FROM (
       SELECT query_id, chunk_id, 0.7::DOUBLE * (1.0::DOUBLE / (60 + rank)) AS vote FROM {prefix}_dense
       UNION ALL SELECT query_id, chunk_id, (1 - 0.7::DOUBLE) * (1.0::DOUBLE / (60 + rank)) FROM {prefix}_words) GROUP BY ALL"""
@@ -324,6 +326,9 @@ def fused_ctes(prefix: str, where: str, k: int) -> None:
 
 
 fused_ctes("hybrid", "true", 10)
+BOTH = """r.page_number >= 5 AND (q.query_id % 3 <> 0 OR r.page_number <= 25) AND (q.query_id % 5 <> 0 OR r.has_image)
+    AND (q.query_id % 2 = 0 OR r.chunk_type = 'text')"""
+fused_ctes("hybrid_both", BOTH, 10, BOTH)
 fused_ctes("hybrid_part", "r.chunk_type = 'table'", 10)
 
 
@@ -628,6 +633,8 @@ _begun = f"""
 ORACLE["search_with_cached_vectors"] = shown(top(_begun, 5, "chunk_id"))
 ORACLE["hybrid_rrf"] = hybrid("hybrid")
 ORACLE["hybrid_filtered"] = hybrid("hybrid_part")
+ORACLE["hybrid_filter_both"] = hybrid("hybrid_both")
+ORACLE["hybrid_from_buckets"] = hybrid("hybrid")
 ORACLE["hybrid_without_lexical"] = shown(top(dense("plain"), 10, "chunk_id"), ", NULL::VARCHAR AS source")
 ORACLE["rerank_apply"] = shown(reranked(top(dense("plain"), 10, "chunk_id"), 5))
 _head, _middle, _tail = (lit(p) for p in fusion.RERANK_PROMPT)

@@ -666,6 +666,31 @@ def hybrid_filtered(spark, sf_dir):
     return _shown(_hybrid(spark, sf_dir, filters={"chunk_type": {"$eq": "table"}}), "source")
 
 
+@query
+def hybrid_filter_both(spark, sf_dir):
+    """A filter, and conditions of queries, on both sides."""
+    search = t.retriever(spark, sf_dir)
+    records = t.records(spark, sf_dir).withColumnRenamed("original_content", "content")
+    search.index_for_bm25(records)
+    n = F.col("query_id")
+    own = t.queries(spark, sf_dir).withColumns(
+        {"max_page": F.when(n % 3 == 0, 25), "has_image": F.when(n % 5 == 0, True), "chunk_type": F.when(n % 2 == 0, "").otherwise("text")}
+    )
+    found = search.hybrid_search(own, 10, filters={"page_number": {"$gte": 5}}, filter_lexical=True)
+    return _shown(found, "source")
+
+
+@query
+def hybrid_from_buckets(spark, sf_dir):
+    """Hybrid search over a stored table; contents come from the buckets of the hits."""
+    table = VectorTable(spark, scratch_folder(spark), t.DIMENSIONS, buckets=32)
+    table.index_chunks(t.vectors(spark, sf_dir))
+    vectors, buckets = table.read_buckets()
+    search = t.Retriever(vectors, t.encode, buckets=buckets)
+    search.index_for_bm25(t.corpus(spark, sf_dir))
+    return _shown(search.hybrid_search(t.queries(spark, sf_dir), 10), "source")
+
+
 @query
 def hybrid_without_lexical(spark, sf_dir):
     return _shown(t.retriever(spark, sf_dir).hybrid_search(t.queries(spark, sf_dir), 10), "source")

@@ -527,3 +527,39 @@ def test_null_and_odd_vectors(spark):
     odd = rows.unionByName(spark.createDataFrame([("d", [1.0, 0.0, 0.0, 1.0])], rows.schema))
     with pytest.raises(Exception, match="vectors must have 2 numbers"):
         vector.dense_topk(odd, queries, 3).collect()
+
+
+def test_contents_come_from_few_folders(spark, tmp_path):
+    """Hits are turned into bucket numbers; folders of other buckets are not read."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["granite", "marble", "baking", "bread", "carving", "rose", f"w{n}"], k=6)) for n in range(300)]
+    records = spark.createDataFrame([(f"c{n}", t, t) for n, t in enumerate(texts)], "chunk_id string, original_content string, text string")
+    for name, kind in (("document", "string"), ("chunk_type", "string"), ("section_title", "string"), ("filetype", "string"), ("image_description", "string"), ("chunk_index", "int"), ("page_number", "int"), ("element_count", "int"), ("token_count", "int"), ("has_image", "boolean")):
+        records = records.withColumn(name, F.lit(None).cast(kind))
+    encode = lambda text: hash_embedding(text, 16)
+    table = VectorTable(spark, str(tmp_path / "index"), 16, buckets=64)
+    table.index_chunks(prepare_vectors(records, encode(F.col("text"))))
+    vectors, buckets = table.read_buckets()
+    stored = Retriever(vectors, encode, buckets=buckets)
+    plain = Retriever(table.read(), encode)
+    queries = asked(spark, "granite carving", "w17 bread")
+    corpus = records.select("chunk_id", F.col("text").alias("content"))
+    for search in (stored, plain):
+        search.index_for_bm25(corpus)
+    found = stored.hybrid_search(queries, 3)
+    want = sorted(map(str, plain.hybrid_search(queries, 3).collect()))
+    got = found.collect()
+    assert sorted(map(str, got)) == want and len(got) == 6
+
+    def scans(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return scans(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return scans(node.plan())
+        own = [node] if node.nodeName().startswith("Scan") and node.metrics().contains("numFiles") else []
+        children = node.children()
+        return own + [s for n in range(children.size()) for s in scans(children.apply(n))]
+
+    read = [int(s.metrics().apply("numFiles").value()) for s in scans(found._jdf.queryExecution().executedPlan())]
+    # The contents are read from the folders of six hits at most; the scan for vectors reads all.
+    assert min(r for r in read if r) <= 6 < 50 < max(read)
