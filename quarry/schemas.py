@@ -89,3 +89,12 @@ COMPLETIONS = T.StructType(
         T.StructField("response", T.StringType()),
     ]
 )
+
+# What was asked of a model, and what came of it: a response, or the error of an attempt.
+ANSWERS = T.StructType(
+    [
+        *COMPLETIONS.fields,
+        T.StructField("error", T.StringType()),
+        T.StructField("attempt", T.IntegerType()),
+    ]
+)

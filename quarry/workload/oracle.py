@@ -558,6 +558,11 @@ ORACLE["embedding_misses"] = """
 SELECT DISTINCT sha256(text) AS text_sha, length(text)::INT AS chars FROM said WHERE text NOT IN (SELECT text FROM cached)"""
 ORACLE["embedding_cache_stats"] = """
 SELECT count(*) AS calls, count(*) - count(DISTINCT text) AS hits, count(DISTINCT text) AS misses FROM said"""
+ORACLE["ask_twice"] = """
+SELECT sha256(text) AS request_id, CASE WHEN n % 7 = 0 OR n % 5 = 0 THEN 2 ELSE 1 END AS sent,
+       CASE WHEN n % 7 = 0 OR n % 5 = 0 THEN 'again ' ELSE 'said ' END || n AS response,
+       CASE WHEN n % 7 = 0 THEN 'ConnectionError: not now' WHEN n % 5 = 0 THEN 'no response' END AS error
+FROM (SELECT DISTINCT text, length(text) AS n FROM conversations WHERE role = 'user' AND text IS NOT NULL)"""
 CTES["told_records"] = records("told")
 CTES["told_v"] = hashed("told_records", "chunk_id", "contextualized_content")
 ORACLE["prepare_vectors"] = """

@@ -14,6 +14,7 @@ from quarry.functions.vectors import cosine
 from quarry.operators import chunking, fusion, lexical
 from quarry.operators import elements as E
 from quarry.operators import enrich
+from quarry.operators.asking import AnswerStore
 from quarry.operators.borders import ChunkParams
 from quarry.operators.index import VectorTable, compile_filter, index_stats, upsert, upsert_report
 from quarry.operators.cells import CellTable
@@ -407,6 +408,26 @@ def embedding_cache_stats(spark, sf_dir):
     return enrich.cache_statistics(_said(spark, sf_dir))
 
 
+@query
+def ask_twice(spark, sf_dir):
+    """Requests for the turns of users, sent twice to a model that at first fails for batches with a certain letter."""
+    store = AnswerStore(spark, scratch_folder(spark))
+    turns = t.given(spark, sf_dir, "conversations").filter("role = 'user' AND text IS NOT NULL")
+    requests = turns.select(F.sha2("text", 256).alias("request_id"), F.col("text").alias("prompt"))
+
+    def once(prompts: list[str]) -> list[str | None]:
+        if any(len(p) % 7 == 0 for p in prompts):
+            raise ConnectionError("not now")
+        return [None if len(p) % 5 == 0 else f"said {len(p)}" for p in prompts]
+
+    store.ask(requests, "echo", once, batch=1)
+    store.ask(requests, "echo", lambda prompts: [f"again {len(p)}" for p in prompts], batch=16)
+    answers = store.answers().groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("sent"), F.max("response").alias("response"), F.max("error").alias("error")
+    )
+    return answers
+
+
 # -- index ----------------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from quarry.functions.encoder import hash_embedding
 from quarry.operators import elements as E
 from quarry.operators import enrich
 from quarry.operators.borders import ChunkParams
+from quarry.operators.asking import AnswerStore
 from quarry.operators.chunking import chunk_elements
 from quarry.schemas import EMBEDDING_CACHE
 from quarry.sources.versioned import VersionedTable
@@ -158,3 +159,27 @@ def test_repeated_answers_count_once(spark):
     requests = spark.createDataFrame([("1",), ("2",)], "request_id string")
     known = completions(spark, [("hyde", "1", "b"), ("hyde", "1", "a"), ("hyde", "1", ""), ("hyde", "2", "")])
     assert {tuple(r) for r in enrich.respond(requests, known, "hyde").collect()} == {("1", "a"), ("2", "")}
+
+
+def test_answers_are_kept_and_failures_are_rows(spark, tmp_path):
+    store = AnswerStore(spark, str(tmp_path / "answers"))
+    requests = spark.createDataFrame([(str(n), f"prompt {n}") for n in range(10)] + [("3", "prompt 3")], "request_id string, prompt string")
+
+    def flaky(prompts):
+        if "prompt 4" in prompts:
+            raise TimeoutError("slow")
+        return [None if p == "prompt 7" else p.upper() for p in prompts]
+
+    log = {r.request_id: r for r in store.ask(requests.coalesce(1), "up", flaky, batch=2).collect()}
+    failed = {k for k, r in log.items() if not r.answered}
+    # One batch of two failed as a whole, and one request had no response; no other lost anything.
+    assert len(log) == 10 and {"4", "7"} <= failed and len(failed) == 3
+    assert log["4"].last_error == "TimeoutError: slow" and log["7"].last_error == "no response"
+    for _ in range(3):
+        store.ask(requests, "up", flaky, batch=1)
+    log = {r.request_id: r for r in store.log().collect()}
+    assert {k for k, r in log.items() if not r.answered} == {"4", "7"} and log["4"].attempts == log["7"].attempts == 3
+    assert store.answers().count() == 10 + 3 + 2 and store.completions().count() == 8
+    assert store.open_requests(requests, "up").count() == 0 and store.open_requests(requests, "other").count() == 10
+    bad = store.ask(requests.filter("request_id = '1'"), "short", lambda prompts: []).first()
+    assert not bad.answered and bad.last_error == "ValueError: 0 responses for 1 prompts"
