@@ -45,6 +45,13 @@ def text_key(column: Column | str = "text") -> Column:
 
 
 def row_key(docs: DataFrame) -> Column:
-    """A key of the whole row: 16 bytes of the text and 8 of all columns (maps cannot be hashed and are left out)."""
-    rest = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    """A key of the whole row: 16 bytes of the text and 8 of all columns; maps and variants, which have no hash, count as JSON."""
+
+    def hashable(kind: str) -> bool:
+        return "map<" not in kind and "variant" not in kind
+
+    rest = [
+        F.col(f"`{f.name}`") if hashable(f.dataType.simpleString()) else F.to_json(F.struct(F.col(f"`{f.name}`")))
+        for f in docs.schema
+    ]
     return F.unhex(F.concat(F.md5(text_or_empty()), F.lpad(F.hex(F.xxhash64(*rest)), 16, "0")))

@@ -19,6 +19,7 @@ keep their order; an empty table gives no rows; a null doc_id is carried as null
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,12 +115,15 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-_encoders: dict[int, tiktoken.Encoding] = {}
+_encoders: dict[bytes, tiktoken.Encoding] = {}
 
 
 def encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     """One encoder per worker and vocabulary."""
-    key = len(ranks), hash(tuple(sorted(ranks.items())[:100]))
+    digest = hashlib.sha256()
+    for piece, n in sorted(ranks.items()):
+        digest.update(f"{n}:{len(piece)}:".encode() + piece)
+    key = digest.digest()
     if key not in _encoders:
         _encoders[key] = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encoders[key]

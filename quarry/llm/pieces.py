@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
 #: Code points that are worked on at once, and that distinct strings kept for later chunks may have.
-CHUNK, KEPT = 1_000_000, 8_000_000
+CHUNK, KEPT = 300_000, 2_000_000
 MOST_ROUNDS = 100
 NONE = np.int32(2**31 - 1)
 

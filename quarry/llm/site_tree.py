@@ -84,6 +84,8 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|=|$)", re.I)
 DIGITS = re.compile(r"\d+")
 
 
@@ -101,7 +103,8 @@ class Parser:
             if len(self.paths) > 100_000:
                 self.paths.clear()
             classes, names = [], set()
-            hidden = bool(re.search(r"(^|\s)hidden(\s|/|$)", rest))
+            # The attribute alone, not the word in another one's value.
+            hidden = bool(HIDDEN.search(VALUE.sub("=", rest)))
             for name, value in ATTRIBUTE.findall(rest):
                 value = value.strip("\"'").lower()
                 if name.lower() == "class":

@@ -380,6 +380,15 @@ def test_names_are_a_prior(spark):
     assert found == {url: text for _, url, _, text in pages}
 
 
+def test_hidden_is_an_attribute(spark):
+    own = prose(30, 5)
+    pages = ['<article title="a hidden gem">{}</article>', "<article class='post hidden sm'>{}</article>", "<article data-hidden=1>{}</article>"]
+    gone = ["<div hidden>{}</div>", "<div class=x hidden=''>{}</div>", "<div HIDDEN>{}</div>", "<div aria-hidden=true>{}</div>"]
+    rows = [(n, f"http://h{n}/", html.format(own)) for n, html in enumerate([*pages, *gone])]
+    found = site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {n: own if n < 3 else "" for n in range(7)}
+
+
 # Personal data
 
 REFERENCE = {
@@ -458,6 +467,26 @@ def test_room_tree_and_best_fit():
     assert sorted(64 - sum(lengths[n] for n in row) for row in rows) == sorted(room)
 
 
+def test_an_encoder_for_each_vocabulary():
+    ranks = packing.read_vocabulary(packing.VOCABULARY)
+    last, before = sorted(ranks, key=ranks.get)[-1:-3:-1]
+    other = {**ranks, last: ranks[before], before: ranks[last]}
+    assert packing.encoder(ranks) is packing.encoder(dict(ranks)) and packing.encoder(ranks) is not packing.encoder(other)
+    assert packing.encoder(other).encode_single_token(last) == ranks[before]
+
+
+def test_rows_that_differ_in_a_map_or_variant_are_all_kept(spark):
+    base = frame(spark, ["the same text"] * 6).withColumns({"doc_id": F.lit(1).cast("long"), "lang": F.lit("en"), "source": F.lit("s")})
+    numbered = base.withColumn("n", F.monotonically_increasing_id().cast("string"))
+    mapped = numbered.select(*base.columns, F.create_map(F.lit("k"), "n").alias("extra"))
+    varied = numbered.select(*base.columns, F.to_variant_object(F.struct("n")).alias("extra"))
+    for docs in (mapped, varied):
+        want = sorted(r[0] for r in docs.select(F.to_json(F.struct("extra"))).collect())
+        assert len(set(want)) == 6
+        got = reshard.reshard(docs).select(F.to_json(F.struct("extra"))).collect()
+        assert sorted(r[0] for r in got) == want
+
+
 def test_packing_round_trip(edge, empty):
     rows = packing.packed(edge, length=128)
     encode = packing.encoder(packing.read_vocabulary(packing.VOCABULARY)).encode_ordinary
