@@ -1,20 +1,21 @@
 """Toxicity by the nearest labelled examples.
 
 **Terms** of a text are its words (lower-cased runs without blanks and ASCII marks) and their beginnings of 3 to 6 bytes, since
-abuse is often a known stem with a new ending. The terms that the labels depend on (chi-square of at least ``LEAST_CHI2``, at most
-``MOST_TERMS``) span the vector space.
+abuse is often a known stem with a new ending. The space has a dimension for every term that two examples
+share and that the labels depend on at all (chi-square of ``SIGNIFICANT``, one in twenty by chance), however many these are.
 
 **Examples.** At most ``PER_CLASS`` labelled documents per class, those with the least hash of their id, are the index; votes are
 weighted by how many labelled documents each stands for. This bound keeps the index small enough to be sent to every worker;
 the documents that are scored are not bounded in any way.
 
-**Search.** Vectors are (1 + ln tf) x idf, of length one. The inverted index has, for each term, its postings in blocks of ``BLOCK``
-examples and the largest weight in each block. The bound of a block is the sum of these maxima times the query's weights; the
+**Search.** Vectors are (1 + ln tf) x idf x how far the labels depend on the term, of length one; the last factor is
+chi2 / (chi2 + ``HALF_CHI2``), so that words which are there by chance weigh little, and rare abuse still has a place. The inverted index
+has, for each term, its postings in blocks of ``BLOCK`` examples, with the largest weight of each block that has any. The bound of a block is the sum of these maxima times the query's weights; the
 blocks with the best bounds are scored first, then all whose bound reaches the k-th best cosine so far. The result is exactly
 that of scoring every example.
 
-**Score.** The nearest ``NEIGHBOURS`` vote with their cosines as weights. The share of toxic votes and the length of the query's
-vector go through a logistic curve that is fitted on the examples, each by its neighbours without itself, so the score is a
+**Score.** The nearest ``NEIGHBOURS`` vote with their cosines as weights. The share of toxic votes and the weight of the query's
+strongest terms go through a logistic curve that is fitted on the examples, each by its neighbours without itself, so the score is a
 probability. The neighbours come along as evidence. A text with no term of the space has the rate of such examples.
 
 Scoring is one scan without a shuffle. Labels, language, source and ids are never inputs of a score.
@@ -40,8 +41,9 @@ from quarry.llm.shingles import STEP, Words, mixed
 BEGINNINGS = (3, 4, 5, 6)
 SALTS = np.array(BEGINNINGS, np.uint64) * STEP
 PER_CLASS = 4000
-LEAST_CHI2 = 30.0
-MOST_TERMS = 20_000
+SIGNIFICANT = 3.84
+HALF_CHI2 = 30.0
+STRONGEST = 3
 BLOCK = 64
 NEIGHBOURS = 25
 EVIDENCE = 3
@@ -75,22 +77,25 @@ class Model:
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    #: Postings by term and block: begins[t, b] to begins[t, b + 1] of example and value.
-    begins: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
+    #: Entries of term t: begins[t] to begins[t + 1]; an entry is a block, its postings (first, last) and their largest value.
+    begins: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    last: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    highest: np.ndarray = field(default_factory=lambda: np.zeros(0))
     example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     value: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    highest: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: np.ndarray = field(default_factory=lambda: np.zeros(3))
     sieve: np.ndarray = field(default_factory=lambda: np.zeros(1, bool))
 
     def set_space(self, space: np.ndarray, idf: np.ndarray) -> None:
         order = np.argsort(space)
         self.space, self.idf = space[order], idf[order]
-        self.sieve = np.zeros(1 << 18, bool)
+        self.sieve = np.zeros(1 << 21, bool)
         self.sieve[(self.space & np.uint64(len(self.sieve) - 1)).astype(np.int64)] = True
 
     def vector(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Places in the space, weights of length one, and the length before."""
+        """Places in the space, weights of length one, and the length of the strongest before."""
         if not len(self.space):
             return np.zeros(0, np.int64), np.zeros(0), 0.0
         maybe = found[self.sieve[(found & np.uint64(len(self.sieve) - 1)).astype(np.int64)]]
@@ -98,7 +103,7 @@ class Model:
         at, times = np.unique(at[self.space[at] == maybe], return_counts=True)
         weights = (1 + np.log(times)) * self.idf[at]
         length = float(np.sqrt((weights**2).sum()))
-        return at, weights / max(length, 1e-300), length
+        return at, weights / max(length, 1e-300), float(np.sqrt((np.sort(weights)[-STRONGEST:] ** 2).sum()))
 
     def set_examples(self, ids, toxic, weight, vectors) -> None:
         """Examples with like first terms lie together, so that blocks differ in their maxima."""
@@ -109,33 +114,42 @@ class Model:
         example = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
         by_term = np.lexsort((example, term))
         term, self.example, self.value = term[by_term], example[by_term], value[by_term]
-        blocks = -(-len(order) // BLOCK)
-        cell = term * blocks + self.example // BLOCK
-        begins = np.searchsorted(cell, np.arange(len(self.space) * blocks + 1))
-        self.begins = np.stack([begins[:-1], begins[1:]], axis=-1).reshape(len(self.space), blocks, 2)
-        highest = np.zeros(len(self.space) * blocks)
-        np.maximum.at(highest, cell, self.value)
-        self.highest = highest.reshape(len(self.space), blocks)
-
-    def cosines(self, at: np.ndarray, weights: np.ndarray, blocks: np.ndarray, into: np.ndarray) -> None:
-        """Add up the products of the postings of the given blocks."""
-        ranges = self.begins[at][:, blocks].reshape(-1, 2)
-        count = ranges[:, 1] - ranges[:, 0]
+        cell = term * (-(-len(order) // BLOCK)) + self.example // BLOCK
+        self.first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.last = np.append(self.first[1:], len(cell))
+        self.block = self.example[self.first] // BLOCK
+        self.highest = np.maximum.reduceat(self.value, self.first) if len(self.first) else np.zeros(0)
+        self.begins = np.searchsorted(term[self.first], np.arange(len(self.space) + 1))
+
+    def entries(self, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of some terms, with the weight that the query gives the term."""
+        count = self.begins[at + 1] - self.begins[at]
         ends = np.cumsum(count)
-        if not len(ends) or not ends[-1]:
+        places = np.arange(count.sum()) - np.repeat(ends - count - self.begins[at], count)
+        return places, np.repeat(weights, count)
+
+    def cosines(self, entries: np.ndarray, weights: np.ndarray, into: np.ndarray) -> None:
+        """Add up the products of the postings of the given entries."""
+        count = self.last[entries] - self.first[entries]
+        ends = np.cumsum(count)
+        if not len(ends):
             return
-        places = np.arange(ends[-1]) - np.repeat(ends - count - ranges[:, 0], count)
-        products = self.value[places] * np.repeat(np.repeat(weights, len(blocks)), count)
-        into += np.bincount(self.example[places], products, len(into))
+        places = np.arange(ends[-1]) - np.repeat(ends - count - self.first[entries], count)
+        into += np.bincount(self.example[places], self.value[places] * np.repeat(weights, count), len(into))
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the largest positive cosine (ties: least id), exactly; ``without`` is left out."""
-        bound = weights @ self.highest[at] * (1 + 1e-9)
+        entries, share = self.entries(at, weights)
+        block = self.block[entries]
+        bound = np.bincount(block, share * self.highest[entries], -(-len(self.ids) // BLOCK)) * (1 + 1e-9)
         order = np.argsort(-bound, kind="stable")
         order = order[: int((bound > 0).sum())]
-        score, done, step = np.zeros(len(self.ids)), 0, 4
+        score, done, step = np.zeros(len(self.ids)), 0, 2
         while done < len(order):
-            self.cosines(at, weights, order[done : done + step], score)
+            now = np.zeros(len(bound), bool)
+            now[order[done : done + step]] = True
+            mine = now[block]
+            self.cosines(entries[mine], share[mine], score)
             done, step = done + step, len(order)
             seen = np.delete(score, without) if without >= 0 else score
             reached = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
@@ -149,12 +163,12 @@ class Model:
         best = some[np.lexsort((self.ids[some], -score[some]))][:k]
         return best, score[best]
 
-    def features(self, at, weights, length: float, without: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def features(self, at, weights, strongest: float, without: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         best, near = self.nearest(at, weights, NEIGHBOURS, without)
         votes = near * self.weight[best]
         share = ((votes * self.toxic[best]).sum() + 0.05 * self.base) / (votes.sum() + 0.05)
         share = min(max(share, 1e-3), 1 - 1e-3)
-        return np.array([1.0, np.log(share / (1 - share)), np.log1p(length**2)]), best, near
+        return np.array([1.0, np.log(share / (1 - share)), np.log1p(strongest**2)]), best, near
 
     def fit_curve(self, rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
         """Logistic regression with a ridge, by Newton's steps, halved until they gain."""
@@ -177,10 +191,10 @@ class Model:
 
     def score(self, text: str | None, known: Words) -> tuple[float, np.ndarray, np.ndarray]:
         """Probability, and the nearest examples with their cosines."""
-        at, weights, length = self.vector(terms(text, known))
+        at, weights, strongest = self.vector(terms(text, known))
         if not len(at) or not len(self.ids):
             return self.base, np.zeros(0, np.int64), np.zeros(0)
-        row, best, near = self.features(at, weights, length)
+        row, best, near = self.features(at, weights, strongest)
         p = 1 / (1 + np.exp(-(row @ self.curve)))
         return float(p), self.ids[best[:EVIDENCE]], near[:EVIDENCE]
 
@@ -226,23 +240,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     )
     a, b = F.col("n1"), F.col("n") - F.col("n1")
     chi2 = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (n1 * n0 * F.col("n") * F.greatest(n1 + n0 - F.col("n"), F.lit(0.5)))
-    space = (
-        counted.withColumn("chi2", chi2)
-        .where(F.col("chi2") >= LEAST_CHI2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(MOST_TERMS)
-        .collect()
-    )
+    # No more terms than the texts of 2 x per_class examples have.
+    space = counted.withColumn("chi2", F.coalesce(chi2, F.lit(0.0))).where((F.col("n") >= 2) & (F.col("chi2") >= SIGNIFICANT)).toArrow()
     model = Model(base)
-    if not space:
+    if not space.num_rows:
         return model
+    found, toxic, chi2 = (space.column(c).to_numpy() for c in ("n", "n1", "chi2"))
     # Document frequency as it is among all labelled documents, whose classes the examples do not show in proportion.
-    df = np.array([base * r["n1"] / n1 + (1 - base) * (r["n"] - r["n1"]) / n0 for r in space]) * everything
-    model.set_space(
-        np.array([r["term"] for r in space], np.int64).view(np.uint64), np.log((everything + 1) / (df + 1)) + 1
-    )
+    df = (base * toxic / n1 + (1 - base) * (found - toxic) / n0) * everything
+    factor = chi2 / (chi2 + HALF_CHI2)
+    model.set_space(space.column("term").to_numpy().view(np.uint64), (np.log((everything + 1) / (df + 1)) + 1) * factor)
     # 2 x per_class rows, each with its terms of the space only.
-    rows = examples.mapInArrow(_vectors(model), "doc_id long, toxic int, at array<long>, weights array<double>, length double")
+    rows = examples.mapInArrow(_vectors(model), "doc_id long, toxic int, at array<long>, weights array<double>, strongest double")
     rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
     stands = {1: totals[1] / n1, 0: totals[0] / n0}
     none = [r for r in rows if not r["at"]]
@@ -257,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     )
     place = {int(i): n for n, i in enumerate(model.ids)}
     features = [
-        model.features(at, w, r["length"], place[r["doc_id"]])[0] for r, (at, w) in zip(some, vectors, strict=True)
+        model.features(at, w, r["strongest"], place[r["doc_id"]])[0] for r, (at, w) in zip(some, vectors, strict=True)
     ]
     model.fit_curve(
         np.array(features), np.array([float(r["toxic"]) for r in some]), np.array([stands[r["toxic"]] for r in some])
@@ -278,7 +287,7 @@ def _vectors(model: Model) -> callable:
                     pa.array([x[1].tolist() for x in found], pa.list_(pa.float64())),
                     pa.array([x[2] for x in found], pa.float64()),
                 ],
-                ["doc_id", "toxic", "at", "weights", "length"],
+                ["doc_id", "toxic", "at", "weights", "strongest"],
             )
 
     return vectors

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -216,16 +218,50 @@ def test_toxicity_on_held_out(spark):
         assert r["predicted"] == int(r["doc_id"] % 5 == 0)
 
 
+def counted(text):
+    """The terms of a text, written out: words, and beginnings of 3 to 6 bytes of longer ones."""
+    found = Counter()
+    for word in re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.lower()):
+        data = word.encode()
+        found[data] += 1
+        for n in (3, 4, 5, 6):
+            if len(data) > n:
+                found[n, data[:n]] += 1
+    return found
+
+
 def test_nearest_is_exact(spark):
+    """The nearest examples by cosines that are computed from the texts alone."""
     docs, labels = labelled(spark)
     model = toxicity.fit(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    found = {d: counted(texts[d]) for d in toxic}
+    n1, n = sum(toxic.values()), len(toxic)
+    weight = {}
+    for term in {t for c in found.values() for t in c}:
+        a, b = (sum(term in found[d] for d in toxic if toxic[d] == c) for c in (1, 0))
+        chi2 = n * (a * (n - n1 - b) - b * (n1 - a)) ** 2 / (n1 * (n - n1) * (a + b) * max(n - a - b, 0.5))
+        if a + b >= 2 and chi2 >= 3.84:
+            weight[term] = (math.log((n + 1) / (a + b + 1)) + 1) * chi2 / (chi2 + 30)
+    assert len(weight) == len(model.space)
+
+    def vector(counts):
+        v = {t: (1 + math.log(k)) * weight[t] for t, k in counts.items() if t in weight}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()} if size else {}
+
+    vectors = {d: vector(c) for d, c in found.items()}
     for k in range(0, 400, 5):
-        at, weights, _ = model.vector(toxicity.terms(prose(80, k) + f" rotten{k % 7} vile{k % 3} rotten1", Words()))
-        every = np.zeros(len(model.ids))
-        model.cosines(at, weights, np.arange(model.highest.shape[1]), every)
-        order = np.lexsort((model.ids, -every))[:7]
+        text = prose(80, k) + f" rotten{k % 7} vile{k % 3} rotten1"
+        own = vector(counted(text))
+        want = sorted(((-sum(x * v.get(t, 0.0) for t, x in own.items()), d) for d, v in vectors.items()))[:7]
+        at, weights, _ = model.vector(toxicity.terms(text, Words()))
         best, near = model.nearest(at, weights, 7)
-        assert np.allclose(near, every[order]) and (model.ids[best] == model.ids[order]).all()
+        assert np.allclose(near, [-c for c, _ in want[: len(near)]]) and sum(c < -1e-12 for c, _ in want) == len(near)
+        ties = {round(c, 9) for c, _ in want}
+        if len(ties) == len(want):
+            assert model.ids[best].tolist() == [d for _, d in want[: len(near)]]
 
 
 def test_toxicity_edge(spark, edge, empty):
