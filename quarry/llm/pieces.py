@@ -27,6 +27,7 @@ text normalisation or without bytes are refused.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNKNOWN_TEXT = " ⁇ "
 #: Code points that are worked on at once, and that distinct strings kept for later chunks may have.
-CHUNK, KEPT = 300_000, 2_000_000
+CHUNK, KEPT = 300_000, 5_000_000
 MOST_ROUNDS = 100
 NONE = np.int32(2**31 - 1)
 
@@ -190,8 +191,10 @@ class Merger:
             stays = np.ones(len(place), bool)
             stays[at + 1] = False
             place, symbol, word, rank, makes = (x[stays] for x in (place, symbol, word, rank, makes))
-            changed = at - np.arange(len(at))
-            changed = np.unique(np.concatenate([changed, changed[changed > 0] - 1]))
+            merged = at - np.arange(len(at))
+            fresh = np.zeros(len(place) + 1, bool)
+            fresh[merged] = fresh[merged - 1] = True
+            changed = np.flatnonzero(fresh[:-1])
             rank[changed], makes[changed] = self._beside(symbol, word, changed)
         bounds = [*np.flatnonzero(np.diff(word, prepend=-1)), len(word)]
         for a, b in zip(bounds, bounds[1:], strict=False):
@@ -264,11 +267,11 @@ class Merger:
         if self.kept > KEPT:
             self.forget()
         cut = [self.pattern.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({s for strings in cut for s in strings if s not in self.known})
+        every = list(itertools.chain.from_iterable(cut))
+        new = [s for s in dict.fromkeys(every) if s not in self.known]
         if new:
             self.learn(new)
-        get = self.known.__getitem__
-        which = np.array([get(s) for strings in cut for s in strings], np.int64)
+        which = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
         begin, count = self.ends[which], self.ends[which + 1] - self.ends[which]
         stop = np.append(0, np.cumsum(count))
         ids = self.ids[np.arange(stop[-1]) - np.repeat(stop[:-1] - begin, count)]
