@@ -40,7 +40,7 @@ from quarry.llm.shingles import STEP, Words, mixed
 
 BEGINNINGS = (3, 4, 5, 6)
 SALTS = np.array(BEGINNINGS, np.uint64) * STEP
-PER_CLASS = 1000
+PER_CLASS = 500
 SIGNIFICANT = 3.84
 HALF_CHI2 = 30.0
 STRONGEST = 3
