@@ -8,6 +8,8 @@ import zlib
 
 import duckdb
 import pytest
+import sentencepiece
+from public_tokenizers import path as tokenizer
 
 from quarry.llm import pii_crf
 from quarry.llm.queries import REGISTERED
@@ -69,3 +71,14 @@ def test_toxicity_and_packing_cover_all(spark, texts):
     assert {r["doc_id"] for r in REGISTERED["op1_toxicity"](spark, SMALLEST).collect()} == set(texts)
     packed = {d for r in REGISTERED["op6_packing"](spark, SMALLEST).collect() for d in r["doc_ids"]}
     assert packed == {d for d, t in texts.items() if t}
+
+
+def test_pieces_are_those_of_the_library(spark, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
+    rows = REGISTERED["op13_pieces"](spark, SMALLEST).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]], num_threads=1)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
