@@ -1,7 +1,9 @@
+import hashlib
 import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -563,3 +565,55 @@ def test_contents_come_from_few_folders(spark, tmp_path):
     read = [int(s.metrics().apply("numFiles").value()) for s in scans(found._jdf.queryExecution().executedPlan())]
     # The contents are read from the folders of six hits at most, of 64.
     assert len(table.read().inputFiles()) > 50 and 0 < max(read) <= 6
+
+
+# -- memory of the workers ---------------------------------------------------------------
+
+
+def test_vectors_of_a_large_batch_take_no_more_memory_than_those_of_a_small_one(monkeypatch):
+    from quarry.functions import encoder
+
+    rng = random.Random(4)
+    rows = [[f"w{rng.randrange(300)}" for _ in range(rng.randrange(60))] for _ in range(400)] + [[], None]
+    lists = pa.array(rows, pa.list_(pa.string()))
+    whole = encoder.hash_vectors(lists, 16)
+    assert len(whole) == len(rows) and whole[400].as_py() == [0.0] * 16
+
+    def expected(words):
+        vector = np.zeros(16)
+        for word in words or []:
+            digest = hashlib.md5(word.encode()).hexdigest()
+            vector[int(digest[:8], 16) % 16] += 1.0 if digest[8] < "8" else -1.0
+        return vector / (np.linalg.norm(vector) or 1.0)
+
+    assert all(np.allclose(got, expected(words), atol=1e-6) for got, words in zip(whole.to_pylist(), rows))
+    monkeypatch.setattr(encoder, "MAX_WORDS", 7)
+    monkeypatch.setattr(encoder, "MAX_CELLS", 48)
+    assert encoder.hash_vectors(lists, 16) == whole
+    assert encoder.hash_vectors(lists.slice(3, 0), 16).to_pylist() == []
+
+
+def test_a_batch_for_the_index_is_encoded_once(spark, tmp_path, monkeypatch):
+    plans = []
+
+    def seen(table):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return table.localCheckpoint()
+
+    monkeypatch.setattr("quarry.operators.index.cut_lineage", seen)
+    texts = spark.createDataFrame([("a", "one two"), ("b", None)], "chunk_id string, text string")
+    records = record(spark).drop("chunk_id", "embedding").crossJoin(texts)
+    table = VectorTable(spark, str(tmp_path / "t"), 4, buckets=2)
+    table.index_chunks(prepare_vectors(records, hash_embedding(F.col("text"), 4)))
+    assert plans[0].count("ArrowEvalPython") == 1
+    assert table.stats()["total_vectors"] == 2
+    with pytest.raises(Exception, match="vectors must have 4 numbers"):
+        table.index_chunks(prepare_vectors(records, F.lit(None).cast("array<float>")))
+
+
+def test_batches_are_taken_apart_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], ["x"])
+    parts = list(ranking.slices([batch, batch.slice(0, 3)]))
+    assert [p.num_rows for p in parts] == [1024, 1024, 452, 3]
+    assert parts[1].column("x")[0].as_py() == 1024
+    assert ranking.MAX_HELD_SCORES * 8 <= 4_000_000
