@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,10 +91,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """
     source = spark.read.format("binaryFile").load(folder)
     listed = source.select("path", file_name(F.col("path")).alias("filename"), "length")
-    names = [(unquote(path.rsplit("/", 1)[1]),) for path in source.inputFiles()]
-    empty = spark.createDataFrame(names, "filename string").join(listed.select("filename"), "filename", "left_anti")
-    path = F.concat(F.lit(folder.rstrip("/") + "/"), "filename").alias("path")
-    every = listed.unionByName(empty.select(path, "filename", F.lit(0).cast("long").alias("length")))
+    names = [unquote(path.rsplit("/", 1)[1]) for path in source.inputFiles()]
+    # One scan of the listing: what it passes by is found by the names it has no row for.
+    joined = spark.createDataFrame(pa.table({"filename": pa.array(names, pa.string())})).join(listed, "filename", "left")
+    path = F.coalesce("path", F.concat(F.lit(folder.rstrip("/") + "/"), "filename")).alias("path")
+    every = joined.select(path, "filename", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
     return every.withColumn("extension", file_extension(F.col("path")))
 
 
@@ -194,8 +196,9 @@ def elements_of_json(parsed: DataFrame) -> DataFrame:
 
 def read_json_texts(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """(filename, content), one row per file."""
-    texts = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
-    return texts.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("content"))
+    # Not as whole texts: that source sets up a reader of its own for every file, which costs more than its content.
+    texts = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return texts.select(F.col("_metadata.file_name").alias("filename"), F.col("content").cast("string").alias("content"))
 
 
 def read_elements_json(spark: SparkSession, folder: str) -> DataFrame:

@@ -206,3 +206,22 @@ def test_a_failed_write_leaves_no_success(spark, tmp_path):
     with pytest.raises(Exception, match="not a file name"):
         whole_files.write_files(bad, str(tmp_path / "h"))
     assert not (tmp_path / "h" / "_SUCCESS").exists() and not (tmp_path / "h" / "_temporary").exists()
+
+
+def test_json_files_are_read_without_a_reader_for_each(spark, tmp_path):
+    texts = {"a.json": '[{"type": "Title",\n"text": "é"}]', "b.json": "[]", "d.json": " \r\n", "e.txt": "[]", "f.json": ""}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    read = files.read_json_texts(spark, str(tmp_path))
+    assert {(r.filename, r.content) for r in read.collect()} == {(n, t) for n, t in texts.items() if n.endswith(".json") and t}
+    assert "binaryfile" in read._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_a_folder_is_listed_in_one_scan(spark, tmp_path):
+    for name in ("a.txt", "b c%20.md", "d.pdf", "e.txt"):
+        (tmp_path / name).write_text("" if name == "e.txt" else "text")
+    listed = files.list_files(spark, str(tmp_path))
+    assert {(r.filename, r.extension, r.length) for r in listed.collect()} == {
+        ("a.txt", ".txt", 4), ("b c%20.md", ".md", 4), ("d.pdf", ".pdf", 4), ("e.txt", ".txt", 0),
+    }
+    assert listed._jdf.queryExecution().optimizedPlan().toString().count("binaryFile") == 1
