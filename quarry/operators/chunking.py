@@ -367,7 +367,8 @@ def chunk_elements(elements: DataFrame, params: ChunkParams, block_rows: int | N
     The numbers of a document (some 16 bytes per element, and its vectors for similarity grouping) are one row.  With
     ``block_rows`` they are rows of so many elements (of as many as the longest group that ``params`` allow, at least), for documents of any length.
     """
-    stretches = stretches_of(elements)
+    # In blocks the groups are found by jobs of their own; what these and the texts come from is then made once.
+    stretches = stretches_of(elements) if block_rows is None else cut_lineage(stretches_of(elements))
     groups = groups_of(stretches, params) if block_rows is None else groups_of_blocks(stretches, params, block_rows)
     items = (
         groups.select("document", "ordinal", "chain", "title", F.size("parts").alias("n_parts"), F.posexplode("parts").alias("part", "p"))

@@ -236,3 +236,9 @@ def test_chunk_text_does_not_strip(make_elements):
 def test_semantic_whole_way(sample):
     records = ingest.chunk_documents(sample, ChunkParams("semantic"), use_context=False)
     assert {r.chunk_type for r in records.collect()} == {"text", "table"}
+
+
+def test_blocks_and_texts_come_from_elements_made_once(make_elements):
+    source = make_elements(SAMPLE * 12).filter("document <> 'no such document'")
+    plan = chunk_elements(source, ChunkParams("basic", 10, 20, 0.15), 25)._jdf.queryExecution().optimizedPlan().toString()
+    assert "no such document" not in plan
