@@ -40,20 +40,18 @@ IMAGE_FIELDS = ("image_base64", "image_description", "filetype")
 # -- rows -------------------------------------------------------------------------
 
 
-def _measured(kind: Column, text: Column, metadata: Column, vector: Column | None = None) -> list[Column]:
-    """What grouping and output need to know of one element."""
+def _measured(kind: Column, text: Column, metadata: Column) -> list[Column]:
+    """What grouping and output need to know of one element; the text of a title is its ``body``."""
     body = reading_text(kind, text, metadata["text_as_html"])
     kind_code = F.when(kind.isin(*STAND_ALONE), ALONE).when(kind == "Title", TITLE).otherwise(TEXT)
-    fields = [
+    return [
         kind.alias("type"),
-        F.coalesce(text, F.lit("")).alias("text"),
         body.alias("body"),
         token_count(text).alias("tokens"),
         F.coalesce(kind_code, F.lit(TEXT)).alias("kind"),
         metadata["page_number"].alias("page_number"),
         *[metadata[f].alias(f) for f in IMAGE_FIELDS],
     ]
-    return fields if vector is None else [*fields, vector.alias("vector")]
 
 
 def rows_of_arrays(documents: DataFrame) -> DataFrame:
@@ -66,28 +64,28 @@ def rows_of_arrays(documents: DataFrame) -> DataFrame:
 
 
 def stretches_of(elements: DataFrame) -> DataFrame:
-    """(document, stretch, elements) of an elements table (with a ``vector`` column for similarity grouping).
+    """(document, stretch, elements) of an elements table; of one with a ``vector`` column, for similarity grouping, also ``vectors``.
 
     The one shuffle of all that elements hold.  Elements without a document belong to the document ''.
     """
-    vector = F.col("vector") if "vector" in elements.columns else None
+    vector = [F.col("vector")] if "vector" in elements.columns else []
     # Keys that cannot be null: joins then put no conditions of their own under the shuffle, and all uses share it.
     document = F.coalesce("document", F.lit("")).alias("document")
     stretch = F.coalesce(F.floor(F.col("pos") / STRETCH).cast("int"), F.lit(0)).alias("stretch")
     measured = valid_elements(elements).select(
-        document, "pos", stretch, *_measured(F.col("type"), F.col("text"), F.col("metadata"), vector)
+        document, "pos", stretch, *vector, *_measured(F.col("type"), F.col("text"), F.col("metadata"))
     )
-    fields = [c for c in measured.columns if c not in ("document", "pos", "stretch")]
+    fields = [c for c in measured.columns if c not in ("document", "pos", "stretch", "vector")]
     return (
         measured.groupBy("document", "stretch")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("e")))).alias("sorted"))
-        .select("document", "stretch", F.col("sorted.e").alias("elements"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("e"), *vector))).alias("sorted"))
+        .select("document", "stretch", F.col("sorted.e").alias("elements"), *[F.col("sorted.vector").alias("vectors") for _ in vector])
     )
 
 
 def _numbers(stretches: DataFrame) -> list[Column]:
     """The numbers of the elements of a stretch, as arrays."""
-    vectors = [F.col("elements.vector").alias("vectors")] if "vector" in stretches.schema["elements"].dataType.elementType.names else []
+    vectors = [F.col("vectors")] if "vectors" in stretches.columns else []
     return [F.col("elements.tokens").alias("tokens"), F.col("elements.kind").alias("kinds"), *vectors]
 
 
@@ -289,8 +287,8 @@ def _chunk_struct(params: ChunkParams, elements: Column, begin: Column, item: Co
     # A title before the elements seen is the last one of the stretch before them, or of an earlier stretch.
     seen = F.filter(F.slice(elements, 1, begin), lambda e: e["type"] == "Title")
     title = (
-        F.when(title_at >= 0, elements[title_at]["text"])
-        .when(item["title"].isNull() & (F.size(seen) > 0), F.element_at(seen, -1)["text"])
+        F.when(title_at >= 0, elements[title_at]["body"])
+        .when(item["title"].isNull() & (F.size(seen) > 0), F.element_at(seen, -1)["body"])
         .otherwise(title_before)
     )
     repeated = (group["overlap"] > 0).cast("int")
@@ -356,7 +354,7 @@ def _with_titles(stretches: DataFrame) -> DataFrame:
     """Stretches with ``title_before``, the text of the last title in earlier ones."""
     earlier = W.partitionBy("document").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
     titles = F.filter("elements", lambda e: e["type"] == "Title")
-    last = stretches.select("document", "stretch", bind(titles, lambda t: F.when(F.size(t) > 0, F.element_at(t, -1)["text"])).alias("title"))
+    last = stretches.select("document", "stretch", bind(titles, lambda t: F.when(F.size(t) > 0, F.element_at(t, -1)["body"])).alias("title"))
     before = last.select("document", "stretch", F.last("title", True).over(earlier).alias("title_before"))
     return stretches.join(before, ["document", "stretch"])
 
@@ -376,7 +374,7 @@ def chunk_elements(elements: DataFrame, params: ChunkParams, block_rows: int | N
         .groupBy("document", "stretch")
         .agg(F.collect_list("item").alias("items"))
     )
-    titled = _with_titles(stretches)
+    titled = _with_titles(stretches.drop("vectors"))
     one = F.transform(
         F.filter("items", lambda i: i["n_parts"] == 1),
         lambda i: _chunk_struct(params, F.col("elements"), i["begin"], i, F.col("title_before")),
@@ -386,7 +384,7 @@ def chunk_elements(elements: DataFrame, params: ChunkParams, block_rows: int | N
     # A group that lies in several stretches: its elements in one array, after the title that holds where they begin.
     def portion(item: Column) -> Column:
         seen = F.filter(F.slice("elements", 1, item["begin"] + 1), lambda e: e["type"] == "Title")
-        title = F.when(F.size(seen) > 0, F.element_at(seen, -1)["text"]).otherwise(F.col("title_before"))
+        title = F.when(F.size(seen) > 0, F.element_at(seen, -1)["body"]).otherwise(F.col("title_before"))
         own = F.slice("elements", item["begin"] + 1, item["stop"] - item["begin"])
         return F.struct(
             item["ordinal"].alias("ordinal"), item["part"].alias("part"), item["chain"].alias("chain"),

@@ -35,7 +35,7 @@ def valid_elements(elements: DataFrame) -> DataFrame:
 
 def image_requests(elements: DataFrame) -> DataFrame:
     """One request per distinct image: id, data and media type."""
-    images = valid_elements(elements).filter(F.col("type") == "Image")
+    images = valid_elements(elements.filter(F.col("type") == "Image"))
     return images.select(
         F.sha2("metadata.image_base64", 256).alias("request_id"),
         F.col("metadata.image_base64").alias("image_base64"),
@@ -50,12 +50,12 @@ def describe_images(elements: DataFrame, completions: DataFrame) -> DataFrame:
     leave two different stand-in texts.
     """
     responses = one_answer(completions, "image").withColumnRenamed("request_id", "image_id")
-    valid = valid_elements(elements)
     is_image = F.coalesce(F.col("type") == "Image", F.lit(False))
+    # What is an image is known from the type alone, so it is looked at before the texts are.
+    images, others = valid_elements(elements.filter(is_image)), valid_elements(elements.filter(~is_image))
     # Only images take part in the join; all other rows stay where they are.
     described = (
-        valid.filter(is_image)
-        .withColumn("image_id", F.sha2("metadata.image_base64", 256))
+        images.withColumn("image_id", F.sha2("metadata.image_base64", 256))
         .join(responses, "image_id", "left")
         .withColumn(
             "description",
@@ -71,7 +71,7 @@ def describe_images(elements: DataFrame, completions: DataFrame) -> DataFrame:
             .withField("has_image", F.lit(True)),
         )
     )
-    return valid.filter(~is_image).unionByName(described.select(*valid.columns))
+    return others.unionByName(described.select(*others.columns))
 
 
 def carried_over(

@@ -49,14 +49,16 @@ def text_elements(content: Column) -> Column:
     """
 
     def line_element(line: Column) -> Column:
+        # Most lines are told by their first sign, without a pattern.
+        hashed, listed = line.startswith("#"), line.startswith("-") | line.startswith("*")
         short = (F.length(line) <= TITLE_MAX_CHARS) & line.rlike(r"\p{L}") & ~line.rlike(r"[.!?:;,]\z")
         kind = (
-            F.when(line.rlike(r"\A#+ "), "Title")
-            .when(line.rlike(r"\A[-*] "), "ListItem")
+            F.when(hashed & line.rlike(r"\A#+ "), "Title")
+            .when(listed & line.rlike(r"\A[-*] "), "ListItem")
             .when(short, "Title")
             .otherwise("NarrativeText")
         )
-        marked = line.rlike(r"\A(?:#+|[-*]) ")
+        marked = (hashed | listed) & line.rlike(r"\A(?:#+|[-*]) ")
         return _element(kind, F.when(marked, strip(F.regexp_replace(line, r"\A(?:#+|[-*]) ", ""))).otherwise(line))
 
     lines = F.transform(F.split(content, "\n"), strip)

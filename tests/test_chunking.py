@@ -242,3 +242,21 @@ def test_blocks_and_texts_come_from_elements_made_once(make_elements):
     source = make_elements(SAMPLE * 12).filter("document <> 'no such document'")
     plan = chunk_elements(source, ChunkParams("basic", 10, 20, 0.15), 25)._jdf.queryExecution().optimizedPlan().toString()
     assert "no such document" not in plan
+
+
+def test_rows_of_texts_hold_them_once_and_no_vectors(spark):
+    """Texts stood twice in each row that is shuffled, vectors in each that is joined."""
+    elements = elements_of(spark, random_documents(5, 2)).withColumn("vector", F.array(F.lit(1.0)))
+    stretches = chunking.stretches_of(elements)
+    fields = stretches.schema["elements"].dataType.elementType.names
+    assert stretches.columns == ["document", "stretch", "elements", "vectors"]
+    assert "body" in fields and not {"text", "vector"} & set(fields)
+
+
+def test_lengths_of_lines_are_counted_once(spark, tmp_path):
+    """The length decides on the kind, which decides on nearly all else."""
+    from quarry.workload import tables
+
+    spark.createDataFrame([(1, "A line\nand another one")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = tables.mixed_elements(spark, str(tmp_path)).filter("type = 'Image'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS size#") <= 1 and "length(e#" not in plan and "length(text#" not in plan
