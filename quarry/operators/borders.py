@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,7 +64,7 @@ class Grouping:
         self.vectors = None
         if params.strategy == "semantic":
             self.vectors = [np.asarray(v, dtype="float64") for v in vectors]
-            self.lengths = [float(np.linalg.norm(v)) for v in self.vectors]
+            self.lengths = [math.sqrt(v.dot(v)) for v in self.vectors]
 
     @staticmethod
     def _following(marked: np.ndarray) -> list[int]:
@@ -98,13 +99,13 @@ class Grouping:
         for at in range(start + 1, self.alone[start + 1]):
             size = self.sums[at] - before
             together = length * self.lengths[at]
-            alike = float(np.dot(centre, self.vectors[at])) / together if together else 0.0
+            alike = float(centre.dot(self.vectors[at])) / together if together else 0.0
             keep = size < p.min_tokens and alike >= KEEP_SMALL_SIMILARITY
             if (self.sums[at + 1] - before > p.max_tokens or alike < p.similarity) and not keep:
                 return at, self._repeated(self.sums[at] - self.sums[start], overlap)
             members += 1
             centre = (centre * (members - 1) + self.vectors[at]) / members
-            length = float(np.linalg.norm(centre))
+            length = math.sqrt(centre.dot(centre))
         return self.alone[start + 1], 0
 
     def _repeated(self, own: int, overlap: int) -> int:

@@ -593,6 +593,15 @@ def test_vectors_of_a_large_batch_take_no_more_memory_than_those_of_a_small_one(
     assert encoder.hash_vectors(lists.slice(3, 0), 16).to_pylist() == []
 
 
+def test_words_seen_before_are_not_hashed_again(monkeypatch):
+    from quarry.functions import encoder
+
+    lists = pa.array([["pit", "stone", "pit"]], pa.list_(pa.string()))
+    first = encoder.hash_vectors(lists, 16)
+    monkeypatch.setattr(encoder.hashlib, "md5", None)
+    assert encoder.hash_vectors(lists, 16) == first
+
+
 def test_a_batch_for_the_index_is_encoded_once(spark, tmp_path, monkeypatch):
     plans = []
 
