@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.rows import unfold
 from quarry.schemas import CHUNK_JSON, ELEMENT_JSON
+from quarry.sources import folders
 from quarry.sources.parsers import file_elements
 from quarry.sources.whole_files import write_files
 
@@ -87,15 +88,21 @@ def route(files: DataFrame, path: str = "path") -> DataFrame:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, filename, extension, length) of the files of a flat folder; no content is read.
 
-    Spark's file sources pass empty files by; these come from the listing that Spark makes on the driver for any read.
+    A folder of many files is listed by a task when the rows are asked for.  Spark's file sources, which list on the driver at once and
+    pass empty files by, do the others.
     """
+    place = folders.Folder(spark, folder)
+    # Empty files have the path as it was given.
+    given, path = F.concat(F.lit(folder.rstrip("/") + "/"), "filename"), F.concat(F.lit(place.path), "filename")
+    if place.has_many():
+        every = place.list().select(F.when(F.col("length") > 0, path).otherwise(given).alias("path"), "filename", "length")
+        return every.withColumn("extension", file_extension(F.col("path")))
     source = spark.read.format("binaryFile").load(folder)
     listed = source.select("path", file_name(F.col("path")).alias("filename"), "length")
     names = [unquote(path.rsplit("/", 1)[1]) for path in source.inputFiles()]
     # One scan of the listing: what it passes by is found by the names it has no row for.
     joined = spark.createDataFrame(pa.table({"filename": pa.array(names, pa.string())})).join(listed, "filename", "left")
-    path = F.coalesce("path", F.concat(F.lit(folder.rstrip("/") + "/"), "filename")).alias("path")
-    every = joined.select(path, "filename", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
+    every = joined.select(F.coalesce("path", given).alias("path"), "filename", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
     return every.withColumn("extension", file_extension(F.col("path")))
 
 
@@ -105,30 +112,27 @@ def read_files(spark: SparkSession, folder: str, max_bytes: int = MAX_FILE_BYTES
     Content is read of files that a rule reads, up to ``max_bytes``; where it is null ``problem`` says why.
     """
     listed = list_files(spark, folder)
-    either = lambda suffix: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
-    pattern = "*{" + ",".join(either(suffix) for suffix in READABLE) + "}"
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    text = F.col("content").cast("string")
-    read = (
-        raw.filter(F.col("length") <= max_bytes)
-        .withColumns({"filename": file_name(F.col("path")), "extension": file_extension(F.col("path"))})
-        .withColumn("whole", F.is_valid_utf8(text))
-        .select(
-            "path", "filename", "extension", "length",
-            F.when(F.col("whole"), text).alias("content"),
-            F.when(~F.col("whole"), "content is not UTF-8").alias("problem"),
-        )
-    )
     known = F.col("extension").isin(*READABLE)
-    unread = listed.filter(~(known & F.col("length").between(1, max_bytes))).select(
+    wanted = known & F.col("length").between(1, max_bytes)
+    place = folders.Folder(spark, folder)
+    if place.has_many():
+        found = place.read(listed, wanted)
+    else:
+        either = lambda suffix: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
+        pattern = "*{" + ",".join(either(suffix) for suffix in READABLE) + "}"
+        raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+        path = F.col("path")
+        named = raw.select("path", file_name(path).alias("filename"), file_extension(path).alias("extension"), "length", "content")
+        found = named.filter(wanted).unionByName(listed.filter(~wanted), allowMissingColumns=True)
+    text = F.col("content").cast("string")
+    return found.withColumn("whole", F.is_valid_utf8(text)).select(
         "path", "filename", "extension", "length",
-        F.when(known & (F.col("length") == 0), "").alias("content"),
-        F.when(known & (F.col("length") > 0), F.lit(f"file of more than {max_bytes} bytes"))
-        .when(known, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("no reader for file type "), "extension"))
+        F.when(F.col("whole"), text).when(known & (F.col("length") == 0), "").alias("content"),
+        F.when(~F.col("whole"), "content is not UTF-8")
+        .when(known & (F.col("length") > max_bytes), F.lit(f"file of more than {max_bytes} bytes"))
+        .when(~known, F.concat(F.lit("no reader for file type "), "extension"))
         .alias("problem"),
     )
-    return read.filter(F.col("extension").isin(*READABLE)).unionByName(unread)
 
 
 def extract(files: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 import json
+import os
 
+import pyarrow as pa
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from conftest import SAMPLE
@@ -8,7 +11,7 @@ from quarry.operators.borders import ChunkParams
 from quarry.operators.enrich import Encoder, text_keys
 from quarry.operators.index import VectorTable
 from quarry.plans import ingest
-from quarry.sources import files, parsers, whole_files
+from quarry.sources import files, folders, parsers, whole_files
 
 
 def parsed(spark, content, parse):
@@ -225,3 +228,66 @@ def test_a_folder_is_listed_in_one_scan(spark, tmp_path):
         ("a.txt", ".txt", 4), ("b c%20.md", ".md", 4), ("d.pdf", ".pdf", 4), ("e.txt", ".txt", 0),
     }
     assert listed._jdf.queryExecution().optimizedPlan().toString().count("binaryFile") == 1
+
+
+ODD_NAMES = ("a b.json", "c%20d.json", "é.TXT", "_k=v.md", "_hidden.md", ".h.md", "_metadata.md", "x._COPYING_", "new\nline.md", "[z].csv", "plus+#?.json", "none")
+
+
+def test_many_files_are_not_held_by_the_driver(spark, tmp_path, monkeypatch):
+    n = folders.MANY_FILES + 1
+    for i in range(n):
+        content = (b"", b"A sentence ends here.", b"bad \xff", b"long " * 20)[i % 4]
+        (tmp_path / f"doc_{i}{('.txt', '.MD', '.pdf')[i % 3]}").write_bytes(content)
+    for name in ODD_NAMES:
+        (tmp_path / name).write_text("text")
+    with open(os.fsencode(tmp_path) + b"/odd\xff.txt", "wb") as odd:
+        odd.write(b"x")
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "a.txt").write_text("x")
+    (tmp_path / "link.md").symlink_to(tmp_path / "é.TXT")
+    (tmp_path / "broken.md").symlink_to(tmp_path / "nothing")
+
+    def made():
+        read = files.read_files(spark, f"{tmp_path}/", max_bytes=50)
+        return files.list_files(spark, f"{tmp_path}/"), read, files.extract_log(files.extract(read))
+
+    many = made()
+    for table in many:
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert table.inputFiles() == [] and "LocalRelation" not in plan and "binaryFile" not in plan
+    monkeypatch.setattr(folders, "MANY_FILES", 10**6)
+    for here, there in zip(many, made(), strict=True):
+        assert sorted(map(repr, here.collect())) == sorted(map(repr, there.collect()))
+    # Three of the odd names are hidden; the good link counts.
+    assert many[0].count() == n + len(ODD_NAMES) - 3 + 1
+
+
+def test_files_of_a_task_are_read_in_bounded_batches(tmp_path):
+    for i, n in enumerate((5, 5, 30, 0, 1, 9)):
+        (tmp_path / str(i)).write_bytes(b"x" * n)
+    rows = {"filename": list("012345"), "length": [5, 5, 30, 0, 1, 9], "wanted": [True, True, True, False, True, True]}
+    parts = [*folders.with_contents(fs.LocalFileSystem(), str(tmp_path), pa.RecordBatch.from_pydict(rows), most=10)]
+    assert [p["filename"].to_pylist() for p in parts] == [["0", "1"], ["2", "3"], ["4", "5"]]
+    assert [c for p in parts for c in p["content"].to_pylist()] == [b"x" * 5, b"x" * 5, b"x" * 30, None, b"x", b"x" * 9]
+
+
+def test_a_folder_is_listed_alike_in_other_stores(spark, tmp_path, monkeypatch):
+    for name in ODD_NAMES:
+        (tmp_path / name).write_text("text")
+    (tmp_path / "below").mkdir()
+    here = sorted(folders.entries(fs.LocalFileSystem(), str(tmp_path)))
+    assert here == sorted(folders.entries(fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()), ""))
+    monkeypatch.setattr(folders, "MANY_FILES", 3)
+    place = folders.Folder(spark, str(tmp_path))
+    assert place.has_many() and not folders.Folder(spark, f"{tmp_path}/*").has_many()
+    assert not any(folders.Folder(spark, str(tmp_path / name)).has_many() for name in ("none", "below", "nothing"))
+    store = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    monkeypatch.setattr(folders, "opened", lambda uri: (store, ""))
+    assert place.has_many() and not folders.Folder(spark, str(tmp_path / "nothing")).has_many()
+
+    def unknown(uri):
+        raise pa.ArrowInvalid("Unrecognized filesystem type in URI")
+
+    # What only Spark reads stays with Spark.
+    monkeypatch.setattr(folders, "opened", unknown)
+    assert not place.has_many()
