@@ -199,7 +199,15 @@ def elements_of_json(parsed: DataFrame) -> DataFrame:
 
 
 def read_json_texts(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
-    """(filename, content), one row per file."""
+    """(filename, content), one row per file; ``filename`` as in ``_metadata.file_name``, which is that of a URI.
+
+    A folder of many files is listed by a task when the rows are asked for (see ``list_files``).
+    """
+    place = folders.Folder(spark, folder)
+    if place.has_many():
+        listed = place.list().filter(place.matching(pattern) & (F.col("length") > 0))
+        found = place.read(listed, F.lit(True))
+        return found.select(F.col("uri_name").alias("filename"), F.col("content").cast("string").alias("content"))
     # Not as whole texts: that source sets up a reader of its own for every file, which costs more than its content.
     texts = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return texts.select(F.col("_metadata.file_name").alias("filename"), F.col("content").cast("string").alias("content"))

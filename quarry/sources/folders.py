@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 from collections.abc import Iterable, Iterator
 from itertools import islice
+from urllib.parse import quote
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -19,7 +21,7 @@ from quarry.session import MAX_BATCH_BYTES, ship_package
 MANY_FILES = 1_000
 LISTED_ROWS = 10_000
 
-LISTED = pa.schema([("filename", pa.string()), ("length", pa.int64())])
+LISTED = pa.schema([("filename", pa.string()), ("uri_name", pa.string()), ("length", pa.int64())])
 
 
 def hidden(name: str) -> bool:
@@ -29,6 +31,11 @@ def hidden(name: str) -> bool:
     return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
 
 
+def uri_name(name: str) -> str:
+    """A file name as it stands in a URI, and so in ``_metadata.file_name``: letters of all alphabets are kept."""
+    return re.sub(r"[^A-Za-z0-9_.!~'()*:@&=+$,;\-\x80-\U0010ffff]|[\s\x7f-\x9f]", lambda sign: quote(sign[0], safe=""), name)
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
@@ -95,16 +102,21 @@ class Folder:
             yield found.next()
 
     def list(self) -> DataFrame:
-        """(filename, length) of its files, listed by one task whenever the rows are asked for."""
+        """(filename, uri_name, length) of its files, listed by one task whenever the rows are asked for."""
         ship_package(self.spark)
         uri = self.uri
 
         def listed(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = entries(*opened(uri))
-            while some := list(islice(found, LISTED_ROWS)):
+            while some := [(name, uri_name(name), length) for name, length in islice(found, LISTED_ROWS)]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), LISTED.types)], schema=LISTED)
 
-        return self.spark.range(0, 1, 1, 1).mapInArrow(listed, "filename string, length long")
+        return self.spark.range(0, 1, 1, 1).mapInArrow(listed, "filename string, uri_name string, length long")
+
+    def matching(self, pattern: str) -> Column:
+        """Whether the file name has a pattern of Hadoop's."""
+        compiled = self.spark._jvm.org.apache.hadoop.fs.GlobPattern.compile(pattern).pattern()
+        return F.col("filename").rlike(rf"(?s)\A(?:{compiled})\z")
 
     def read(self, listed: DataFrame, wanted: Column) -> DataFrame:
         """Files of ``list`` with their ``content``, null where not ``wanted``; dealt by name to as many tasks as a shuffle has."""

@@ -11,6 +11,7 @@ from quarry.operators.borders import ChunkParams
 from quarry.operators.enrich import Encoder, text_keys
 from quarry.operators.index import VectorTable
 from quarry.plans import ingest
+from quarry.schemas import ELEMENT_JSON
 from quarry.sources import files, folders, parsers, whole_files
 
 
@@ -291,3 +292,29 @@ def test_a_folder_is_listed_alike_in_other_stores(spark, tmp_path, monkeypatch):
     # What only Spark reads stays with Spark.
     monkeypatch.setattr(folders, "opened", unknown)
     assert not place.has_many()
+
+
+def test_many_json_files_are_not_held_by_the_driver(spark, tmp_path, monkeypatch):
+    records = [(f"doc {i}.pdf" if i % 5 else f"é_{i}", 0, f"text {i}") for i in range(folders.MANY_FILES + 1)]
+    rows = spark.createDataFrame(records, "document string, pos int, text string")
+    elements = rows.select("document", "pos", F.lit("Title").alias("type"), "text", F.lit(None).cast(ELEMENT_JSON["metadata"].dataType).alias("metadata"))
+    files.write_element_files(elements, str(tmp_path))
+    files.write_chunk_files(ingest.chunk_documents(elements, ChunkParams("basic", 10, 100)), str(tmp_path))
+    for name in ODD_NAMES:
+        (tmp_path / name).write_text("[]")
+    signs = "".join(chr(c) for c in [*range(32, 127), 0xA0, 0x2003, 0x3000, 0x1F600, 0x85, 0x200B] if chr(c) not in "/:")
+    (tmp_path / f"x{signs}.json").write_text("[]")
+    (tmp_path / "empty.json").write_text("")
+
+    def made():
+        folder = str(tmp_path)
+        texts = [files.read_json_texts(spark, folder, p) for p in ("*.json", "*", "{[a-d],doc?1}*[!s].json", "*\\%20*")]
+        return [*texts, files.read_chunks_json(spark, folder), files.read_elements_json(spark, folder)]
+
+    many = made()
+    assert all(table.inputFiles() == [] for table in many)
+    monkeypatch.setattr(folders, "MANY_FILES", 10**6)
+    for here, there in zip(many, made(), strict=True):
+        assert here.dtypes == there.dtypes
+        assert sorted(map(repr, here.collect())) == sorted(map(repr, there.collect()))
+    assert many[4].select("document").distinct().count() == many[5].filter("type = 'Title'").count() == len(records)
